@@ -46,10 +46,15 @@ def day_percentiles(
     `weight` says how many equal rows a row stands for. `discrete` returns an actual element
     (the first whose rank share reaches the fraction) instead of interpolating.
     """
-    w = F.lit(1).cast("bigint") if weight is None else F.col(weight)
-    rows = df.select("date", F.col(value).alias("v"), w.alias("w")).where(
-        F.col("v").isNotNull() & (F.col("w") > 0)
-    )
+    if weight is None:
+        rows = df.select("date", F.col(value).alias("v"), F.lit(1).cast("bigint").alias("w"))
+    else:
+        # Testing the weight here keeps it in every branch below, so that all of them read one
+        # and the same shuffled frame when `df` is an aggregate.
+        rows = df.select("date", F.col(value).alias("v"), F.col(weight).alias("w")).where(
+            F.col("w") > 0
+        )
+    rows = rows.where(F.col("v").isNotNull())
     cuts = _cut_points(wanted.values())
     sketch = rows.groupBy("date").agg(
         F.percentile_approx("v", cuts, SKETCH_ACCURACY).alias("cuts")

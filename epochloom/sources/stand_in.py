@@ -43,11 +43,15 @@ def _cents(amount: str) -> Column:
     return F.round(F.col(amount) * 100).cast("bigint")
 
 
-def _amount(units: Column, zeros: int) -> Column:
-    """Units followed by that many zeros, as a whole amount."""
-    return (units.cast("decimal(20,0)") * F.lit(10**zeros).cast("decimal(18,0)")).cast(
-        "decimal(38,0)"
-    )
+def _amount(units: Column, zeros: int, key: Column) -> Column:
+    """The units scaled up, with lower digits drawn from the key; 0 stays 0.
+
+    Doubles, because that is how every job reads an amount. The drawn digits keep results off
+    the exact halves on which engines round differently.
+    """
+    digits = (key * 7919 * 1_000_003) % F.lit(10**zeros)
+    scaled = units.cast("double") * F.lit(10.0**zeros) + digits.cast("double")
+    return F.when(units != 0, scaled).otherwise(F.lit(0.0))
 
 
 def _message_id(key: str) -> Column:
@@ -135,9 +139,9 @@ def _sector_events(orders: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def _claims(events: DataFrame) -> DataFrame:
-    raw = _amount(_cents("value"), 10)
+    raw = _amount(_cents("value"), 10, F.col("event_id"))
     silent = F.col("event_id") % 50 == 0
-    adjusted = _amount(_cents("value") * (1 + F.col("event_id") % 10), 10)
+    adjusted = _amount(_cents("value") * (1 + F.col("event_id") % 10), 10, F.col("user_id"))
     return events.select(
         _event_height().alias("height"),
         F.concat(F.lit("f0"), F.col("user_id").cast("string")).alias("miner_id"),
@@ -156,14 +160,15 @@ def stand_in_ledger(spark: SparkSession, sf_dir: str, fee_zeros: int = 12) -> Le
     height = _event_height().alias("height")
     line_height = _day_height("l_shipdate") + F.col("l_partkey") % 2880
     discount = F.round(F.col("l_discount") * 100).cast("bigint")
+    event, part = F.col("event_id"), F.col("l_partkey")
     tax = F.round(F.col("l_tax") * 100).cast("bigint")
     return Ledger(
-        block_headers=events.select(height, _amount(_cents("value"), 7).alias("parent_base_fee")),
+        block_headers=events.select(height, _amount(_cents("value"), 7, event).alias("parent_base_fee")),
         derived_gas_outputs=lines.select(
             line_height.alias("height"),
             _message_id("l_orderkey").alias("cid"),
-            _amount(_cents("l_extendedprice") * discount, fee_zeros).alias("base_fee_burn"),
-            _amount(_cents("l_extendedprice") * tax, fee_zeros).alias("over_estimation_burn"),
+            _amount(_cents("l_extendedprice") * discount, fee_zeros, part).alias("base_fee_burn"),
+            _amount(_cents("l_extendedprice") * tax, fee_zeros, F.col("l_suppkey")).alias("over_estimation_burn"),
             (F.col("l_quantity").cast("bigint") * 1_000_000).alias("gas_used"),
             F.lit(50_000_000).cast("bigint").alias("gas_limit"),
         ),
@@ -172,21 +177,25 @@ def stand_in_ledger(spark: SparkSession, sf_dir: str, fee_zeros: int = 12) -> Le
         power_actor_claims=_claims(events),
         chain_economics=events.select(
             height,
-            _amount(_cents("value") + 100_000, 16).alias("circulating_fil"),
-            _amount(F.floor(_cents("value") / 10), 16).alias("burnt_fil"),
+            _amount(_cents("value") + 100_000, 16, event).alias("circulating_fil"),
+            _amount(F.floor(_cents("value") / 10), 16, event).alias("burnt_fil"),
         ),
         chain_rewards=events.select(
             height,
-            _amount(F.col("event_id") * 1000 + _cents("value"), 16).alias("total_mined_reward"),
+            _amount(event * 1000 + _cents("value"), 16, event).alias("total_mined_reward"),
         ),
         chain_powers=events.select(height, F.col("user_id").alias("participating_miner_count")),
         miner_sector_infos=lines.select(
             line_height.alias("activation_epoch"),
-            (line_height + (F.col("l_suppkey") % 20 - 4) * 28_800).alias("expiration_epoch"),
+            (line_height + (F.col("l_suppkey") % 20 - 4) * 28_800 + 1 + part % 6).alias(
+                "expiration_epoch"
+            ),
             F.when(
                 F.col("l_linenumber") != 7,
-                F.when(F.col("l_discount") == 0, _amount(F.lit(0), 6)).otherwise(
-                    _amount(_cents("l_extendedprice"), 6)
+                _amount(
+                    F.when(F.col("l_discount") == 0, 0).otherwise(_cents("l_extendedprice")),
+                    6,
+                    part,
                 ),
             ).alias("daily_fee"),
         ),

@@ -23,6 +23,7 @@ ONBOARDING = (
 DISPUTE = "('DisputeWindowedPoSt', 'TerminateSectors')"
 CLASSED = DISPUTE[:-1] + ", " + ONBOARDING[1:]
 PIB = "pow(1024, 5)"
+RAW, QAP = f"raw / {PIB}", f"qap / {PIB}"
 
 
 def day(height: str) -> str:
@@ -85,9 +86,16 @@ def _cents(column: str) -> str:
     return f"CAST(round({column} * 100) AS BIGINT)"
 
 
+def _amount(units: str, zeros: int, key: str) -> str:
+    digits = f"CAST({key} * 7919 * 1000003 % {10**zeros} AS DOUBLE)"
+    scaled = f"CAST({units} AS DOUBLE) * CAST({10**zeros} AS DOUBLE) + {digits}"
+    return f"CASE WHEN ({units}) <> 0 THEN {scaled} ELSE CAST(0 AS DOUBLE) END"
+
+
 def tables(zeros: int = 12) -> dict[str, str]:
-    """The stand-in tables. Amounts are doubles here; the sources store whole numbers."""
-    burn = f"CAST({_cents('l_extendedprice')} * {{}} AS DOUBLE) * 1e{zeros}"
+    """The stand-in tables."""
+    price, value = _cents("l_extendedprice"), _cents("value")
+    discount, tax = (f"CAST(round({c} * 100) AS BIGINT)" for c in ("l_discount", "l_tax"))
     return {
         "msgs": f"""
             SELECT height, cid, method, CASE
@@ -114,8 +122,8 @@ def tables(zeros: int = 12) -> dict[str, str]:
             END AS method FROM orders)""",
         "gas": f"""
             SELECT {_LINE_HEIGHT} AS height, 'm' || l_orderkey AS cid,
-                {burn.format("CAST(round(l_discount * 100) AS BIGINT)")} AS base_fee_burn,
-                {burn.format("CAST(round(l_tax * 100) AS BIGINT)")} AS over_estimation_burn,
+                {_amount(f"{price} * {discount}", zeros, "l_partkey")} AS base_fee_burn,
+                {_amount(f"{price} * {tax}", zeros, "l_suppkey")} AS over_estimation_burn,
                 CAST(l_quantity AS BIGINT) * 1000000 AS gas_used,
                 CAST(50000000 AS BIGINT) AS gas_limit
             FROM lineitem""",
@@ -131,28 +139,28 @@ def tables(zeros: int = 12) -> dict[str, str]:
             FROM events""",
         "claims": f"""
             SELECT {_EVENT_HEIGHT} AS height, 'f0' || user_id AS miner_id,
-                CAST({_cents("value")} AS DOUBLE) * 1e10 AS raw,
+                {_amount(value, 10, "event_id")} AS raw,
                 CASE WHEN event_id % 50 <> 0
-                    THEN CAST({_cents("value")} * (1 + event_id % 10) AS DOUBLE) * 1e10
-                END AS qap
+                    THEN {_amount(f"{value} * (1 + event_id % 10)", 10, "user_id")} END AS qap
             FROM events""",
         "econ": f"""
             SELECT {_EVENT_HEIGHT} AS height,
-                CAST({_cents("value")} + 100000 AS DOUBLE) * 1e16 AS circulating,
-                CAST({_cents("value")} // 10 AS DOUBLE) * 1e16 AS burnt
+                {_amount(f"{value} + 100000", 16, "event_id")} AS circulating,
+                {_amount(f"{value} // 10", 16, "event_id")} AS burnt
             FROM events""",
         "rewards": f"""
             SELECT {_EVENT_HEIGHT} AS height,
-                CAST(event_id * 1000 + {_cents("value")} AS DOUBLE) * 1e16 AS total
+                {_amount(f"event_id * 1000 + {value}", 16, "event_id")} AS total
             FROM events""",
         "headers": f"""
-            SELECT {_EVENT_HEIGHT} AS height, CAST({_cents("value")} AS DOUBLE) * 1e7 AS fee
+            SELECT {_EVENT_HEIGHT} AS height, {_amount(value, 7, "event_id")} AS fee
             FROM events""",
         "powers": f"SELECT {_EVENT_HEIGHT} AS height, user_id AS miners FROM events",
         "infos": f"""
-            SELECT {_LINE_HEIGHT} AS start, {_LINE_HEIGHT} + (l_suppkey % 20 - 4) * 28800 AS stop,
-                CASE WHEN l_linenumber <> 7 THEN CASE WHEN l_discount = 0 THEN 0.0
-                    ELSE CAST({_cents("l_extendedprice")} AS DOUBLE) * 1e6 END END AS fee
+            SELECT {_LINE_HEIGHT} AS start, {_LINE_HEIGHT}
+                    + (l_suppkey % 20 - 4) * 28800 + 1 + l_partkey % 6 AS stop,
+                CASE WHEN l_linenumber <> 7 THEN CASE WHEN l_discount = 0 THEN CAST(0 AS DOUBLE)
+                    ELSE {_amount(price, 6, "l_partkey")} END END AS fee
             FROM lineitem""",
     }
 
@@ -476,8 +484,8 @@ def operator_sql() -> dict[str, str]:
             count(*) AS messages FROM ({facts}) GROUP BY date"""
         ),
         "scalar_subquery_filter": claims_query(
-            f"""SELECT {text()} AS date, miner_id, {r("raw")} AS raw_byte_power,
-            {r("qap")} AS quality_adj_power FROM anchored
+            f"""SELECT {text()} AS date, miner_id, {r(RAW)} AS raw_byte_power,
+            {r(QAP)} AS quality_adj_power FROM anchored
             WHERE date >= (SELECT min(date) FROM act)""",
             "anchored",
         ),
@@ -510,7 +518,7 @@ def operator_sql() -> dict[str, str]:
             ON s.date = e.date AND s.cid = e.message_cid GROUP BY ALL"""
         ),
         "join_semi": claims_query(
-            f"""SELECT miner_id, {r("raw")} AS raw_byte_power, {r("qap")} AS quality_adj_power
+            f"""SELECT miner_id, {r(RAW)} AS raw_byte_power, {r(QAP)} AS quality_adj_power
             FROM seed""",
             "seed",
         ),
@@ -616,7 +624,7 @@ def operator_sql() -> dict[str, str]:
                 ORDER BY height DESC, raw DESC NULLS LAST) AS rn FROM ({claims})) WHERE rn = 1"""
         ),
         "win_latest_before": query(
-            f"""SELECT miner_id, {r("raw")} AS raw_byte_power, {r("qap")} AS quality_adj_power
+            f"""SELECT miner_id, {r(RAW)} AS raw_byte_power, {r(QAP)} AS quality_adj_power
             FROM latest """,
             latest=CLAIM_STEPS["latest"],
         ),
@@ -665,8 +673,8 @@ def operator_sql() -> dict[str, str]:
             FROM gas """
         ),
         "safe_divide": query(
-            f"""SELECT start AS activation_epoch, stop AS expiration_epoch,
-            {r("start / nullif(stop - start, 0)")} AS share FROM infos """
+            f"""SELECT height, cid, {r("base_fee_burn / nullif(over_estimation_burn, 0)")} AS share
+            FROM gas """
         ),
         "nullif_zero": query(f"SELECT cid, nullif({length('Sectors')}, 0) AS sectors FROM msgs "),
         "coalesce_chain": query(
@@ -710,18 +718,18 @@ def operator_sql() -> dict[str, str]:
                 WHEN 2 THEN 'Infinity' ELSE split_part(c_name, '#', 2) END, '') AS DOUBLE) AS x
             FROM customer)""",
         "daily_latest": claims_query(
-            f"""SELECT {text()} AS date, miner_id, {r("raw")} AS raw_byte_power,
-            {r("qap")} AS quality_adj_power FROM act""",
+            f"""SELECT {text()} AS date, miner_id, {r(RAW)} AS raw_byte_power,
+            {r(QAP)} AS quality_adj_power FROM act""",
             "act",
         ),
         "seed_anchor": claims_query(
-            f"""SELECT {text()} AS date, miner_id, {r("raw")} AS raw_byte_power,
-            {r("qap")} AS quality_adj_power FROM anchored""",
+            f"""SELECT {text()} AS date, miner_id, {r(RAW)} AS raw_byte_power,
+            {r(QAP)} AS quality_adj_power FROM anchored""",
             "anchored",
         ),
         "fill_forward": claims_query(
-            f"""SELECT {text()} AS date, miner_id, {r("raw")} AS raw_byte_power,
-            {r("qap")} AS quality_adj_power FROM filled""",
+            f"""SELECT {text()} AS date, miner_id, {r(RAW)} AS raw_byte_power,
+            {r(QAP)} AS quality_adj_power FROM filled""",
             "filled",
         ),
         "state_delta_daily": claims_query(

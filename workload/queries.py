@@ -126,9 +126,11 @@ def bucket_not_in(t: Ledger) -> DataFrame:
 
 
 def _daily_claims(t: Ledger) -> DataFrame:
-    return state.daily_latest(
-        dated(_claims(t), CLAIMS), "miner_id", ORDER, POWERS
-    )
+    return state.daily_latest(dated(_claims(t), CLAIMS), "miner_id", ORDER, POWERS)
+
+
+def _in_pib(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: amounts.pebibytes(F.col(c)) for c in POWERS})
 
 
 def _claims(t: Ledger) -> DataFrame:
@@ -151,7 +153,7 @@ def _anchored(t: Ledger) -> DataFrame:
 
 def scalar_subquery_filter(t: Ledger) -> DataFrame:
     first = _daily_claims(t).agg(F.min("date"))
-    return _anchored(t).where(F.col("date") >= first.scalar())
+    return _in_pib(_anchored(t).where(F.col("date") >= first.scalar()))
 
 
 # --- joins --------------------------------------------------------------------------------
@@ -192,7 +194,7 @@ def join_left_composite(t: Ledger) -> DataFrame:
 
 
 def join_semi(t: Ledger) -> DataFrame:
-    return _seed(t)
+    return _in_pib(_seed(t))
 
 
 def join_cross_spine(t: Ledger) -> DataFrame:
@@ -353,7 +355,7 @@ def win_latest_per_day(t: Ledger) -> DataFrame:
 
 def win_latest_before(t: Ledger) -> DataFrame:
     before = _claims_before(t).withColumn("date", epoch_to_day(F.lit(0), CLAIMS))
-    return state.daily_latest(before, "miner_id", ORDER, POWERS).drop("date")
+    return _in_pib(state.daily_latest(before, "miner_id", ORDER, POWERS).drop("date"))
 
 
 def _daily_supply(t: Ledger) -> DataFrame:
@@ -439,12 +441,10 @@ def unit_convert(t: Ledger) -> DataFrame:
 
 def safe_divide(t: Ledger) -> DataFrame:
     """NULL where the divisor is zero."""
-    return t.miner_sector_infos.select(
-        "activation_epoch",
-        "expiration_epoch",
-        amounts.ratio(
-            F.col("activation_epoch"), F.col("expiration_epoch") - F.col("activation_epoch")
-        ).alias("share"),
+    return t.derived_gas_outputs.select(
+        "height",
+        "cid",
+        amounts.ratio(F.col("base_fee_burn"), F.col("over_estimation_burn")).alias("share"),
     )
 
 
@@ -507,16 +507,16 @@ def to_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_latest(t: Ledger) -> DataFrame:
-    return _daily_claims(t)
+    return _in_pib(_daily_claims(t))
 
 
 def fill_forward(t: Ledger) -> DataFrame:
-    return state.fill_forward(_anchored(t), "miner_id", POWERS)
+    return _in_pib(state.fill_forward(_anchored(t), "miner_id", POWERS))
 
 
 def state_delta_daily(t: Ledger) -> DataFrame:
     daily = state.state_delta_daily(power_changes(t, CLAIMS), "miner_id", POWERS)
-    return daily.select("date", *[amounts.pebibytes(F.col(c)).alias(c) for c in POWERS])
+    return _in_pib(daily)
 
 
 def rolling_mean(t: Ledger) -> DataFrame:
@@ -710,8 +710,8 @@ def all_queries() -> dict[str, Query]:
     found |= {
         "epoch_to_day": _on_ledger(epoch_day),
         "phase_of": _on_ledger(phases),
-        "seed_state": _on_ledger(_seed),
-        "seed_anchor": _on_ledger(_anchored),
+        "seed_state": _on_ledger(join_semi),
+        "seed_anchor": _on_ledger(lambda t: _in_pib(_anchored(t))),
         "agg_two_level": _on_ledger(agg_two_level, 4, NANO_ZEROS),
         "message_cost": _on_ledger(message_cost, 4, NANO_ZEROS),
         "lifetime_cost": _on_ledger(lifetime_cost, 4),
