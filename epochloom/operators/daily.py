@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from epochloom.functions.amounts import ratio
 
-BY_DAY = Window.orderBy("date")
+
+def by_day():
+    return Window.orderBy("date")
 
 
 def newest_first(daily: DataFrame, *then: str) -> DataFrame:
@@ -23,7 +25,7 @@ def newest_first(daily: DataFrame, *then: str) -> DataFrame:
 
 def previous(value: str) -> Column:
     """The value of the previous row, which need not be the previous calendar day."""
-    return F.lag(value).over(BY_DAY)
+    return F.lag(value).over(by_day())
 
 
 def change(value: str) -> Column:
@@ -32,7 +34,7 @@ def change(value: str) -> Column:
 
 def trailing_mean(value: str, rows: int, min_samples: int = 1) -> Column:
     """Mean of the last `rows` rows, NULLs skipped; NULL below `min_samples` values."""
-    frame = BY_DAY.rowsBetween(1 - rows, 0)
+    frame = by_day().rowsBetween(1 - rows, 0)
     mean = F.avg(value).over(frame)
     if min_samples <= 1:
         return mean

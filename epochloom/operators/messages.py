@@ -59,14 +59,16 @@ def matched_totals(gas: DataFrame, messages: DataFrame, unit: float, cfg: Ledger
     )
 
 
-def fee_per_class(gas: DataFrame, messages: DataFrame, unit: float, cfg: LedgerConfig):
+def fee_per_class(
+    gas: DataFrame, messages: DataFrame, unit: float, cfg: LedgerConfig, start: int | None = None
+) -> DataFrame:
     """Per day of the gas row: fee over all matched messages, and over each class.
 
-    Only the gas side is bound to the window. A day gives 0 for a class none of its messages
+    Gas rows lie after the height `start`, the window's unless given. Only the gas side is bound to the window. A day gives 0 for a class none of its messages
     belong to, and NULL only where every matched fee of the class's messages is NULL.
     """
     by_id = (
-        in_window(gas, cfg)
+        in_window(gas, cfg, start)
         .groupBy("cid", epoch_to_day(F.col("height"), cfg).alias("date"))
         .agg(F.sum(burnt_fee(unit)).alias("fee"))
     )
@@ -84,10 +86,12 @@ def fee_per_class(gas: DataFrame, messages: DataFrame, unit: float, cfg: LedgerC
     )
 
 
-def added_by_message(events: DataFrame, event_id: str, cfg: LedgerConfig) -> DataFrame:
+def added_by_message(
+    events: DataFrame, event_id: str, cfg: LedgerConfig, start: int | None = None
+) -> DataFrame:
     """(cid, date, events): sector-added events per message id and day."""
     return (
-        in_window(events, cfg)
+        in_window(events, cfg, start)
         .where((F.col("event") == SECTOR_ADDED) & F.col(event_id).isNotNull())
         .groupBy(F.col(event_id).alias("cid"), epoch_to_day(F.col("height"), cfg).alias("date"))
         .agg(F.count("*").alias("events"))
@@ -102,15 +106,17 @@ def sector_counts(
     event_methods: Sequence[str],
     cfg: LedgerConfig,
     prefer: str = "params",
+    start: int | None = None,
 ) -> DataFrame:
     """(date, cid, method, sector_count, copies): sectors per message, equal messages folded.
 
     The count comes from the parameters. Where they give none (a count of 0 is one), it is
     the number of sector-added events joined to the message on the same day; `prefer="events"`
-    turns the order round. Without an event id column there is no fallback.
+    turns the order round. Without an event id column there is no fallback. `start` keeps only
+    messages after that height, counted as they would be among all of the window's.
     """
     counted = (
-        in_window(messages, cfg)
+        in_window(messages, cfg, start)
         .where(F.col("method").isin(*fields))
         .groupBy(
             "cid",
@@ -123,10 +129,17 @@ def sector_counts(
     columns = ["date", "cid", "method", "sector_count", "copies"]
     if event_id is None:
         return counted.withColumn("sector_count", F.col("param_count")).select(columns)
-    added = added_by_message(events, event_id, cfg)
+    added = added_by_message(events, event_id, cfg, start)
     # Laid out by id once, which also serves the window, this join and the join to the gas.
     laid_out = counted.repartition("cid")
-    same_method = F.sum("copies").over(Window.partitionBy("cid", "method"))
+    if start is None or start <= cfg.window_start:
+        folded = F.sum("copies").over(Window.partitionBy("cid", "method"))
+        laid_out = laid_out.withColumn("same_method", folded)
+    else:
+        # Earlier messages of the same id count too; their parameters are not read.
+        everywhere = in_window(messages, cfg).where(F.col("method").isin(*fields))
+        totals = everywhere.groupBy("cid", "method").agg(F.count("*").alias("same_method"))
+        laid_out = laid_out.join(totals, ["cid", "method"], "left")
     from_events = F.when(
         F.col("method").isin(*event_methods), F.col("events") * F.col("same_method")
     )
@@ -134,8 +147,7 @@ def sector_counts(
     if prefer == "events":
         order.reverse()
     return (
-        laid_out.withColumn("same_method", same_method)
-        .join(added, ["cid", "date"], "left")
+        laid_out.join(added, ["cid", "date"], "left")
         .withColumn("sector_count", F.coalesce(*order))
         .select(columns)
     )

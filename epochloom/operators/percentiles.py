@@ -1,10 +1,4 @@
-"""Exact daily percentiles without gathering a day in one task.
-
-The built-in exact percentile keeps every distinct value of a group in one buffer, so a day
-holding much of the data would not fit. Here a quantile sketch proposes cut points, the rows
-between cuts are counted, and only the slices that hold a wanted rank are sorted. The counts
-are exact, so the sketch decides how evenly work spreads and never what the answer is.
-"""
+"""Exact daily percentiles."""
 
 from __future__ import annotations
 
@@ -14,56 +8,56 @@ from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# A day of at most this many rows is aggregated in one buffer.
+BUFFERED_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 BRACKET = 5 / SKETCH_ACCURACY
 GRID = 8
 
 
+def day_percentiles(
+    df: DataFrame, value: str, wanted: Mapping[str, float], buffered_rows: int = BUFFERED_ROWS
+) -> DataFrame:
+    """One row per `date` with the named interpolated percentiles of `value`.
+
+    The built-in percentile holds a group's distinct values in one buffer. The largest day is
+    counted first; beyond `buffered_rows` the work goes to `sliced_percentiles`, which never
+    brings a whole day together.
+    """
+    largest = df.groupBy("date").count().agg(F.max("count")).first()[0] or 0
+    if largest > buffered_rows:
+        return sliced_percentiles(df, value, wanted)
+    found = df.groupBy("date").agg(F.percentile(value, list(wanted.values())).alias("found"))
+    return found.select("date", *[F.col("found")[i].alias(n) for i, n in enumerate(wanted)])
+
+
 def _cut_points(fractions) -> list[float]:
     near = {min(max(p + d, 0.0), 1.0) for p in fractions for d in (-BRACKET, BRACKET)}
     return sorted(near | {i / GRID for i in range(1, GRID)})
 
 
-def _ranks(fraction: float, discrete: bool) -> tuple[Column, Column, Column]:
-    """Zero-based ranks below and above the wanted position, and the share of the upper one."""
-    n = F.col("n")
-    if discrete:
-        rank = F.greatest(F.ceil(F.lit(fraction) * n), F.lit(1)) - 1
-        return rank, rank, F.lit(0.0)
-    position = F.lit(fraction) * (n - 1)
+def _ranks(fraction: float) -> tuple[Column, Column, Column]:
+    """Zero-based ranks around the wanted position, and the share of the upper one."""
+    position = F.lit(fraction) * (F.col("n") - 1)
     return F.floor(position), F.ceil(position), position - F.floor(position)
 
 
-def day_percentiles(
-    df: DataFrame,
-    value: str,
-    wanted: Mapping[str, float],
-    weight: str | None = None,
-    discrete: bool = False,
-) -> DataFrame:
-    """One row per `date` with the named exact percentiles of `value`.
+def sliced_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -> DataFrame:
+    """The same result for days of any size.
 
-    `weight` says how many equal rows a row stands for. `discrete` returns an actual element
-    (the first whose rank share reaches the fraction) instead of interpolating.
+    A quantile sketch proposes cut points, rows between cuts are counted, and only the slices
+    that hold a wanted rank are grouped by value and sorted. The counts are exact, so the
+    sketch decides how evenly work spreads and never what the answer is.
     """
-    if weight is None:
-        rows = df.select("date", F.col(value).alias("v"), F.lit(1).cast("bigint").alias("w"))
-    else:
-        # Testing the weight here keeps it in every branch below, so that all of them read one
-        # and the same shuffled frame when `df` is an aggregate.
-        rows = df.select("date", F.col(value).alias("v"), F.col(weight).alias("w")).where(
-            F.col("w") > 0
-        )
-    rows = rows.where(F.col("v").isNotNull())
+    rows = df.select("date", F.col(value).alias("v")).where(F.col("v").isNotNull())
     cuts = _cut_points(wanted.values())
     sketch = rows.groupBy("date").agg(
         F.percentile_approx("v", cuts, SKETCH_ACCURACY).alias("cuts")
     )
-    # One fixed-width row per calendar day, so these two broadcasts stay small.
+    # One fixed-width row per calendar day, so this broadcast and the next stay small.
     sliced = rows.join(F.broadcast(sketch), "date").select(
         "date",
         "v",
-        "w",
         reduce(
             add, [(F.col("v") > F.col("cuts")[i]).cast("int") for i in range(len(cuts))]
         ).alias("slice"),
@@ -71,7 +65,7 @@ def day_percentiles(
     by_day = Window.partitionBy("date")
     slices = (
         sliced.groupBy("date", "slice")
-        .agg(F.sum("w").alias("size"))
+        .agg(F.count("*").alias("size"))
         .select(
             "date",
             "slice",
@@ -80,13 +74,13 @@ def day_percentiles(
             (F.sum("size").over(by_day.orderBy("slice")) - F.col("size")).alias("before"),
         )
     )
-    ranks = {name: _ranks(p, discrete) for name, p in wanted.items()}
+    ranks = {name: _ranks(p) for name, p in wanted.items()}
     held = reduce(
         or_,
         [
-            (r >= F.col("before")) & (r < F.col("before") + F.col("size"))
+            (rank >= F.col("before")) & (rank < F.col("before") + F.col("size"))
             for low, high, _ in ranks.values()
-            for r in (low, high)
+            for rank in (low, high)
         ],
     )
     hit = slices.where(held).select("date", "slice", "n", "before")
@@ -94,7 +88,7 @@ def day_percentiles(
     placed = (
         sliced.join(F.broadcast(hit), ["date", "slice"])
         .groupBy("date", "slice", "n", "before", "v")
-        .agg(F.sum("w").alias("copies"))
+        .agg(F.count("*").alias("copies"))
         .withColumn("end", F.col("before") + F.sum("copies").over(in_slice))
         .withColumn("start", F.col("end") - F.col("copies"))
     )
@@ -102,8 +96,7 @@ def day_percentiles(
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("v")))
 
-    found = placed.groupBy("date").agg(
-        F.max("n").alias("n"),
+    found = placed.groupBy("date", "n").agg(
         *[
             at(rank).alias(f"{name}_{side}")
             for name, (low, high, _) in ranks.items()
@@ -115,10 +108,28 @@ def day_percentiles(
         *[
             (
                 F.col(f"{name}_low")
-                if discrete
-                else F.col(f"{name}_low")
                 + (F.col(f"{name}_high") - F.col(f"{name}_low")) * share
             ).alias(name)
             for name, (_, _, share) in ranks.items()
         ],
     )
+
+
+def counted_median(counts: DataFrame, value: str, weight: str, name: str) -> DataFrame:
+    """One row per `date`: the lower median of `value`, each row standing for `weight` equal ones.
+
+    For values with few distinct levels, such as batch sizes, already counted per day: the
+    window then sees one row per level however many messages there were.
+    """
+    by_day = Window.partitionBy("date")
+    ranked = counts.where(F.col(value).isNotNull()).select(
+        "date",
+        value,
+        F.sum(weight).over(by_day.orderBy(value)).alias("reached"),
+        F.sum(weight).over(by_day).alias("total"),
+    )
+    return (
+        ranked.where(F.col("reached") * 2 >= F.col("total"))
+        .groupBy("date")
+        .agg(F.min(value).alias(name))
+    )

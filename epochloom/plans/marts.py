@@ -1,82 +1,309 @@
-"""Intermediate frames that several jobs read.
+"""Fact tables reduced to daily frames.
 
-Each is a fact table reduced to one row per day and small label set. They can be written
-once per refresh and read by every job that needs them.
+Every builder takes the ledger, the settings and optionally `since`, a day: with it, only days
+from that one on are produced. The day of a row comes from one table, whose scan is cut at the
+matching height; tables joined to it are read over the whole window, because a message and its
+gas may lie on different days. So a frame for some days equals those days of the full frame.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import datetime as dt
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from epochloom.config import (
+    ARCHETYPE_COUNT_FIELDS,
     ATTO_PER_COIN,
+    PATH_COUNT_FIELDS,
     PRECOMMIT_BATCH,
     PROVE_AGGREGATE,
+    PROVE_COMMIT,
+    PROVE_UPDATES,
     LedgerConfig,
 )
-from epochloom.functions.params import array_length
+from epochloom.functions.amounts import coins, lifetime_cost, number, ratio
+from epochloom.functions.classes import size_class
+from epochloom.functions.params import (
+    array_elements,
+    array_length,
+    notifies_market,
+    notifies_market_strict,
+)
 from epochloom.functions.time import epoch_to_day, phase_of
-from epochloom.operators.messages import fee_per_class, sector_counts
+from epochloom.operators.daily import join_days
+from epochloom.operators.messages import (
+    fee_per_class,
+    gas_by_message,
+    mean_cost_per_sector,
+    sector_counts,
+)
+from epochloom.operators.percentiles import day_percentiles
 from epochloom.operators.state import state_changes
 from epochloom.sources.tables import Ledger, in_window, resolve_column
 
 POWERS = ("raw_byte_power", "quality_adj_power")
+Day = dt.date | None
+
+
+def start_height(cfg: LedgerConfig, since: Day, after: int | None = None) -> int:
+    """Height a scan starts after: the window start, or the end of the day before `since`."""
+    start = cfg.window_start if after is None else after
+    if since is None:
+        return start
+    return max(start, cfg.first_epoch_of((since - dt.date(1970, 1, 1)).days) - 1)
 
 
-def dated(df: DataFrame, cfg: LedgerConfig, after: int | None = None) -> DataFrame:
+def dated(
+    df: DataFrame, cfg: LedgerConfig, since: Day = None, after: int | None = None
+) -> DataFrame:
     """In-window rows with their day."""
-    return in_window(df, cfg, after).withColumn("date", epoch_to_day(F.col("height"), cfg))
+    rows = in_window(df, cfg, start_height(cfg, since, after))
+    return rows.withColumn("date", epoch_to_day(F.col("height"), cfg))
 
 
-def daily_burn(t: Ledger, cfg: LedgerConfig) -> DataFrame:
-    """date, total, dispute, onboarding, other: coins burnt by message class."""
-    return fee_per_class(t.derived_gas_outputs, t.parsed_messages, ATTO_PER_COIN, cfg)
+def base_fees(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, p50, p95 in atto; a day whose fees are all NULL still has a row."""
+    fees = dated(t.block_headers, cfg, since).select(
+        "date", number(F.col("parent_base_fee")).alias("fee")
+    )
+    found = day_percentiles(fees, "fee", {"p50": 0.5, "p95": 0.95})
+    return join_days(fees.select("date").distinct(), found)
+
 
+def burn(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, total, dispute, onboarding, other: coins burnt, by class of message."""
+    start = start_height(cfg, since)
+    return fee_per_class(t.derived_gas_outputs, t.parsed_messages, ATTO_PER_COIN, cfg, start)
 
-def daily_sector_events(t: Ledger, cfg: LedgerConfig) -> DataFrame:
+
+def supply(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, circulating_fil, burnt_fil: daily means in coins."""
+    return (
+        dated(t.chain_economics, cfg, since)
+        .groupBy("date")
+        .agg(
+            coins(F.avg(number(F.col("circulating_fil")))).alias("circulating_fil"),
+            coins(F.avg(number(F.col("burnt_fil")))).alias("burnt_fil"),
+        )
+    )
+
+
+def rewards(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, top: the largest cumulative reward of the day, in atto."""
+    top = F.max(number(F.col("total_mined_reward"))).alias("top")
+    return dated(t.chain_rewards, cfg, since).groupBy("date").agg(top)
+
+
+def sector_events(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
     """date, event, phase, events."""
     return (
-        dated(t.miner_sector_events, cfg)
+        dated(t.miner_sector_events, cfg, since)
         .groupBy("date", "event", phase_of(F.col("height"), cfg).alias("phase"))
         .agg(F.count("*").alias("events"))
     )
 
 
-def batch_sizes(t: Ledger, cfg: LedgerConfig) -> DataFrame:
+def activations(
+    t: Ledger, cfg: LedgerConfig, since: Day = None, strict: bool = False
+) -> DataFrame:
+    """date, total, market: activated sectors, and those that notify the market actor.
+
+    Sectors are classed inside each message's own array; no row per sector is made.
+    """
+    through_market = notifies_market_strict if strict else notifies_market
+    return (
+        dated(t.parsed_messages, cfg, since, cfg.onboarding_window_start)
+        .where(F.col("method") == PROVE_COMMIT)
+        .select("date", array_elements(F.col("params"), "SectorActivations").alias("sectors"))
+        .where(F.size("sectors") > 0)
+        .groupBy("date")
+        .agg(
+            F.sum(F.size("sectors")).alias("total"),
+            F.sum(F.size(F.filter("sectors", through_market))).alias("market"),
+        )
+    )
+
+
+def path_counts(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """Sectors per onboarding message, from parameters or events."""
+    return sector_counts(
+        t.parsed_messages,
+        t.miner_sector_events,
+        resolve_column(t.miner_sector_events),
+        PATH_COUNT_FIELDS,
+        [PROVE_COMMIT, PROVE_AGGREGATE, PROVE_UPDATES],
+        cfg,
+        start=start_height(cfg, since),
+    )
+
+
+def path_costs(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, method, cost: mean nano cost per sector of each onboarding path."""
+    gas = gas_by_message(t.derived_gas_outputs, cfg)
+    return mean_cost_per_sector(path_counts(t, cfg, since), gas, ["date", "method"], "cost")
+
+
+def archetype_costs(
+    t: Ledger, cfg: LedgerConfig, since: Day = None, archetype_fields=ARCHETYPE_COUNT_FIELDS
+) -> DataFrame:
+    """date, sp_archetype, cost: mean cost per method and size class, summed over methods."""
+    counts = sector_counts(
+        t.parsed_messages,
+        t.miner_sector_events,
+        resolve_column(t.miner_sector_events),
+        archetype_fields,
+        [PROVE_COMMIT],
+        cfg,
+        start=start_height(cfg, since),
+    )
+    classed = counts.withColumn("sp_archetype", size_class(F.col("sector_count"), cfg))
+    gas = gas_by_message(t.derived_gas_outputs, cfg)
+    return (
+        mean_cost_per_sector(classed, gas, ["date", "method", "sp_archetype"], "cost")
+        .groupBy("date", "sp_archetype")
+        .agg(F.sum("cost").alias("cost"))
+    )
+
+
+def gas_totals(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, gas_used, gas_limit."""
+    return (
+        dated(t.derived_gas_outputs, cfg, since)
+        .groupBy("date")
+        .agg(F.sum("gas_used").alias("gas_used"), F.sum("gas_limit").alias("gas_limit"))
+    )
+
+
+def batch_gas(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, gas_per_sector: gas used by batched pre-commits over the sectors they carry."""
+    batches = (
+        dated(t.parsed_messages, cfg, since)
+        .where(F.col("method") == PRECOMMIT_BATCH)
+        .select("date", "cid", array_length(F.col("params"), "Sectors").alias("sectors"))
+        .where(F.col("sectors") > 0)
+        .groupBy("cid", "date")
+        .agg(F.count("*").alias("copies"), F.sum("sectors").alias("sectors"))
+    )
+    # Unlike the daily totals, the gas matched here carries no window of its own.
+    gas = t.derived_gas_outputs.groupBy("cid").agg(
+        F.sum(number(F.col("gas_used"))).alias("gas_used"), F.count("*").alias("gas_rows")
+    )
+    return (
+        batches.join(gas, "cid")
+        .groupBy("date")
+        .agg(
+            ratio(
+                F.sum(F.col("copies") * F.col("gas_used")),
+                F.sum(F.col("sectors") * F.col("gas_rows")),
+            ).alias("gas_per_sector")
+        )
+    )
+
+
+def miner_counts(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, participating_miner_count: the day's largest reading."""
+    top = F.max("participating_miner_count").alias("participating_miner_count")
+    return dated(t.chain_powers, cfg, since).groupBy("date").agg(top)
+
+
+def power_changes(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, miner_id and the powers after each day's last change; date NULL is the seed."""
+    claims = t.power_actor_claims
+    if since is not None:
+        claims = in_window(claims, cfg, start_height(cfg, since))
+    claims = claims.select(
+        "height", "miner_id", *[F.col(c).cast("double").alias(c) for c in POWERS]
+    )
+    return state_changes(claims, "miner_id", ["height"], POWERS, cfg)
+
+
+def batch_sizes(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
     """date, sector_count, messages of the batched pre-commits; the count may be NULL."""
     return (
-        dated(t.parsed_messages, cfg)
+        dated(t.parsed_messages, cfg, since)
         .where(F.col("method") == PRECOMMIT_BATCH)
         .groupBy("date", array_length(F.col("params"), "Sectors").alias("sector_count"))
         .agg(F.count("*").alias("messages"))
     )
 
 
-def aggregate_sizes(t: Ledger, cfg: LedgerConfig) -> DataFrame:
+def aggregate_sizes(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
     """date, sector_count, messages of the aggregated proofs, with the event fallback."""
     counts = sector_counts(
         t.parsed_messages,
         t.miner_sector_events,
         resolve_column(t.miner_sector_events),
-        {PROVE_AGGREGATE: ("SectorNumbers",)},
+        {PROVE_AGGREGATE: PATH_COUNT_FIELDS[PROVE_AGGREGATE]},
         [PROVE_AGGREGATE],
         cfg,
+        start=start_height(cfg, since),
     )
     return counts.groupBy("date", "sector_count").agg(F.sum("copies").alias("messages"))
 
 
-def power_changes(t: Ledger, cfg: LedgerConfig) -> DataFrame:
-    """date, miner_id and the powers after each day's last change; date NULL is the seed."""
-    claims = t.power_actor_claims.select(
-        "height", "miner_id", *[F.col(c).cast("double").alias(c) for c in POWERS]
+def fee_costs(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, cost, sectors: mean projected fee over declared lifetimes, and the rows behind it."""
+    start, end, fee = F.col("activation_epoch"), F.col("expiration_epoch"), F.col("daily_fee")
+    first = start_height(cfg, since, cfg.upgrade_epoch - 1) + 1
+    sectors = t.miner_sector_infos
+    if "day" in sectors.columns:
+        sectors = sectors.where(F.col("day") >= epoch_to_day(F.lit(first), cfg))
+    valid = (start >= first) & (end > start) & fee.isNotNull() & (number(fee) > 0)
+    return (
+        sectors.where(valid)
+        .groupBy(epoch_to_day(start, cfg).alias("date"))
+        .agg(
+            F.avg(lifetime_cost(fee, start, end, cfg)).alias("cost"),
+            F.count("*").alias("sectors"),
+        )
     )
-    return state_changes(claims, "miner_id", ["height"], POWERS, cfg)
 
 
 MARTS = {
-    "daily_burn": daily_burn,
-    "daily_sector_events": daily_sector_events,
-    "batch_sizes": batch_sizes,
-    "aggregate_sizes": aggregate_sizes,
-    "power_changes": power_changes,
+    f.__name__: f
+    for f in (
+        base_fees,
+        burn,
+        supply,
+        rewards,
+        sector_events,
+        activations,
+        path_costs,
+        archetype_costs,
+        gas_totals,
+        batch_gas,
+        miner_counts,
+        power_changes,
+        batch_sizes,
+        aggregate_sizes,
+        fee_costs,
+    )
 }
+
+
+class Marts:
+    """The daily frames of one ledger: stored ones where given, planned ones otherwise."""
+
+    def __init__(
+        self,
+        ledger: Ledger | None = None,
+        cfg: LedgerConfig | None = None,
+        stored: Mapping[str, DataFrame] | None = None,
+    ):
+        self.cfg = cfg or LedgerConfig()
+        self._ledger = ledger
+        self._frames = dict(stored or {})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            if self._ledger is None:
+                raise KeyError(name)
+            self._frames[name] = MARTS[name](self._ledger, self.cfg)
+        return self._frames[name]
+
+
+def events_where(condition: Column, count: str = "events") -> Column:
+    """Sum of counts over rows that meet the condition; 0 where none does."""
+    return F.coalesce(F.sum(F.when(condition, F.col(count))), F.lit(0).cast("bigint"))

@@ -1,51 +1,20 @@
-"""The sixteen daily metrics: each takes the ledger and returns one row per `date`.
-
-`marts` may hold frames already built by `epochloom.plans.marts`; missing ones are planned
-in place.
-"""
+"""The sixteen daily metrics, newest day first, from the daily frames of `plans.marts`."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from epochloom.config import (
-    ARCHETYPE_COUNT_FIELDS,
+    ATTO_PER_COIN,
     ONBOARDING_PATHS,
-    PATH_COUNT_FIELDS,
-    PRECOMMIT_BATCH,
-    PROVE_AGGREGATE,
-    PROVE_COMMIT,
-    PROVE_UPDATES,
     SECTOR_ADDED,
     SECTOR_EXPIRED,
     SECTOR_EXTENDED,
     SIZE_CLASSES,
-    LedgerConfig,
-    ATTO_PER_COIN,
-    ATTO_PER_NANO,
-)
-from epochloom.functions.amounts import (
-    coins,
-    lifetime_cost,
-    nanos,
-    number,
-    pebibytes,
-    percent,
-    ratio,
 )
-from epochloom.functions.classes import size_class
-from epochloom.functions.params import (
-    array_elements,
-    array_length,
-    notifies_market,
-    notifies_market_strict,
-)
-from epochloom.functions.time import epoch_to_day
+from epochloom.functions.amounts import nanos, pebibytes, percent, ratio
 from epochloom.operators.daily import (
     change,
-    cumulative_to_daily,
     join_days,
     newest_first,
     pivot_mean,
@@ -54,29 +23,17 @@ from epochloom.operators.daily import (
     trailing_mean,
     yield_per_unit,
 )
-from epochloom.operators.messages import gas_by_message, mean_cost_per_sector, sector_counts
-from epochloom.operators.percentiles import day_percentiles
+from epochloom.operators.percentiles import counted_median
 from epochloom.operators.quality import check_pct_sum
 from epochloom.operators.state import state_delta_daily
-from epochloom.plans.marts import MARTS, POWERS, dated
-from epochloom.sources.tables import Ledger, resolve_column
-
-Marts = Mapping[str, DataFrame]
+from epochloom.plans.marts import POWERS, Marts, events_where
 
+PHASES = ("pre", "during", "post")
 
-def _mart(name: str, t: Ledger, cfg: LedgerConfig, marts: Marts | None) -> DataFrame:
-    if marts and name in marts:
-        return marts[name]
-    return MARTS[name](t, cfg)
 
-
-def base_fee_percentiles(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    fees = dated(t.block_headers, cfg).select("date", number(F.col("parent_base_fee")).alias("fee"))
-    found = day_percentiles(fees, "fee", {"p50": 0.5, "p95": 0.95})
-    # A day whose fees are all NULL still has a row.
-    days = fees.select("date").distinct()
+def base_fee_percentiles(m: Marts) -> DataFrame:
     return newest_first(
-        join_days(days, found).select(
+        m["base_fees"].select(
             "date",
             nanos(F.col("p50")).alias("base_fee_p50_nanofil"),
             nanos(F.col("p95")).alias("base_fee_p95_nanofil"),
@@ -84,10 +41,9 @@ def base_fee_percentiles(t: Ledger, cfg: LedgerConfig, marts: Marts | None = Non
     )
 
 
-def burn_composition(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    burn = _mart("daily_burn", t, cfg, marts)
+def burn_composition(m: Marts) -> DataFrame:
     return newest_first(
-        burn.select(
+        m["burn"].select(
             "date",
             F.col("dispute").alias("dispute_termination_gas_fil"),
             F.col("onboarding").alias("sector_onboarding_gas_fil"),
@@ -96,34 +52,24 @@ def burn_composition(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
     )
 
 
-def circulating_supply_vs_burn(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    daily = (
-        dated(t.chain_economics, cfg)
-        .groupBy("date")
-        .agg(
-            coins(F.avg(number(F.col("circulating_fil")))).alias("circulating_fil"),
-            coins(F.avg(number(F.col("burnt_fil")))).alias("burnt_fil"),
-        )
-    )
+def circulating_supply_vs_burn(m: Marts) -> DataFrame:
+    """Growth is relative to the previous day's supply, burn to the current one's."""
+    growth = percent(change("circulating_fil"), previous("circulating_fil"), 6)
+    burnt = percent(change("burnt_fil"), F.col("circulating_fil"), 6)
     return newest_first(
-        daily.select(
+        m["supply"].select(
             "date",
             "circulating_fil",
             "burnt_fil",
-            percent(change("circulating_fil"), previous("circulating_fil"), 6).alias(
-                "circulating_growth_pct"
-            ),
-            percent(change("burnt_fil"), F.col("circulating_fil"), 6).alias(
-                "daily_burn_rate_pct"
-            ),
+            growth.alias("circulating_growth_pct"),
+            burnt.alias("daily_burn_rate_pct"),
         )
     )
 
 
-def daily_fee_burn(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    burn = _mart("daily_burn", t, cfg, marts)
+def daily_fee_burn(m: Marts) -> DataFrame:
     return newest_first(
-        burn.select(
+        m["burn"].select(
             "date",
             F.col("total").alias("total_fee_burn_fil"),
             F.col("onboarding").alias("sector_onboarding_gas_fil"),
@@ -131,133 +77,63 @@ def daily_fee_burn(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
     )
 
 
-def ddo_sector_onboarding(
-    t: Ledger, cfg: LedgerConfig, marts: Marts | None = None, strict: bool = False
-):
-    """Activations are classed inside each message's own array; no row per sector is made."""
-    through_market = notifies_market_strict if strict else notifies_market
-    activations = (
-        dated(t.parsed_messages, cfg, cfg.onboarding_window_start)
-        .where(F.col("method") == PROVE_COMMIT)
-        .select("date", array_elements(F.col("params"), "SectorActivations").alias("sectors"))
-        .where(F.size("sectors") > 0)
-        .select(
-            "date",
-            F.size("sectors").alias("total"),
-            F.size(F.filter("sectors", through_market)).alias("market"),
-        )
-    )
+def ddo_sector_onboarding(m: Marts) -> DataFrame:
     return newest_first(
-        activations.groupBy("date").agg(
-            F.sum(F.col("total") - F.col("market")).alias("ddo_sectors"),
-            F.sum("market").alias("non_ddo_sectors"),
-            F.sum("total").alias("total_pcs3_sectors"),
+        m["activations"].select(
+            "date",
+            (F.col("total") - F.col("market")).alias("ddo_sectors"),
+            F.col("market").alias("non_ddo_sectors"),
+            F.col("total").alias("total_pcs3_sectors"),
         )
     )
 
 
-def fil_return_per_sector(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    rewards = cumulative_to_daily(
-        dated(t.chain_rewards, cfg), "total_mined_reward", "reward", ATTO_PER_COIN
-    )
+def fil_return_per_sector(m: Marts) -> DataFrame:
+    gained = m["rewards"].select("date", (change("top") / F.lit(ATTO_PER_COIN)).alias("reward"))
     added = (
-        _mart("daily_sector_events", t, cfg, marts)
+        m["sector_events"]
         .where(F.col("event") == SECTOR_ADDED)
         .groupBy("date")
         .agg(F.sum("events").alias("added"))
     )
     return newest_first(
-        yield_per_unit(rewards, added, "reward", "added", "fil_return_per_sector")
+        yield_per_unit(gained, added, "reward", "added", "fil_return_per_sector")
     )
 
 
-def path_costs(t: Ledger, cfg: LedgerConfig) -> DataFrame:
-    """date, method, avg_gas_per_sector: the long form of the cost by onboarding path."""
-    counts = sector_counts(
-        t.parsed_messages,
-        t.miner_sector_events,
-        resolve_column(t.miner_sector_events),
-        PATH_COUNT_FIELDS,
-        [PROVE_COMMIT, PROVE_AGGREGATE, PROVE_UPDATES],
-        cfg,
-    )
-    gas = gas_by_message(t.derived_gas_outputs, cfg, ATTO_PER_NANO)
-    return mean_cost_per_sector(counts, gas, ["date", "method"], "avg_gas_per_sector")
-
-
-def gas_per_sector_by_path(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    costs = path_costs(t, cfg)
-    return newest_first(pivot_mean(costs, "method", "avg_gas_per_sector", ONBOARDING_PATHS))
-
-
-def batch_gas(t: Ledger, cfg: LedgerConfig) -> DataFrame:
-    """date, gas_per_sector: gas used by batched pre-commits over the sectors they carry."""
-    batches = (
-        dated(t.parsed_messages, cfg)
-        .where(F.col("method") == PRECOMMIT_BATCH)
-        .select("date", "cid", array_length(F.col("params"), "Sectors").alias("sectors"))
-        .where(F.col("sectors") > 0)
-        .groupBy("cid", "date")
-        .agg(F.count("*").alias("copies"), F.sum("sectors").alias("sectors"))
-    )
-    # Unlike the daily totals, the gas matched here carries no window of its own.
-    gas = t.derived_gas_outputs.groupBy("cid").agg(
-        F.sum(number(F.col("gas_used"))).alias("gas_used"), F.count("*").alias("gas_rows")
-    )
-    return (
-        batches.join(gas, "cid")
-        .groupBy("date")
-        .agg(
-            ratio(
-                F.sum(F.col("copies") * F.col("gas_used")),
-                F.sum(F.col("sectors") * F.col("gas_rows")),
-            ).alias("gas_per_sector")
-        )
-    )
+def gas_per_sector_by_path(m: Marts) -> DataFrame:
+    return newest_first(pivot_mean(m["path_costs"], "method", "cost", ONBOARDING_PATHS))
 
 
 def theoretical_capacity(capacity: float, unit_cost: Column) -> Column:
     return F.round(ratio(F.lit(capacity), unit_cost), 0)
 
 
-def gas_utilization(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    used = (
-        dated(t.derived_gas_outputs, cfg)
-        .groupBy("date")
-        .agg(percent(F.sum("gas_used"), F.sum("gas_limit"), 4).alias("gas_utilization_pct"))
-    )
+def gas_utilization(m: Marts) -> DataFrame:
     return newest_first(
-        join_days(used, batch_gas(t, cfg)).select(
+        join_days(m["gas_totals"], m["batch_gas"]).select(
             "date",
-            "gas_utilization_pct",
-            theoretical_capacity(cfg.daily_gas_capacity, F.col("gas_per_sector")).alias(
+            percent(F.col("gas_used"), F.col("gas_limit"), 4).alias("gas_utilization_pct"),
+            theoretical_capacity(m.cfg.daily_gas_capacity, F.col("gas_per_sector")).alias(
                 "theoretical_max_sectors_per_day"
             ),
         )
     )
 
 
-def participating_miner_count(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    return newest_first(
-        dated(t.chain_powers, cfg)
-        .groupBy("date")
-        .agg(F.max("participating_miner_count").alias("participating_miner_count"))
-    )
+def participating_miner_count(m: Marts) -> DataFrame:
+    return newest_first(m["miner_counts"].select("date", "participating_miner_count"))
 
 
-def power_added(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    changes = _mart("power_changes", t, cfg, marts)
-    raw, adjusted = POWERS
-    daily = state_delta_daily(changes, "miner_id", POWERS).select(
-        "date",
-        pebibytes(F.col(raw)).alias("raw_power_added"),
-        pebibytes(F.col(adjusted)).alias("quality_adjusted_power_added"),
+def power_added(m: Marts) -> DataFrame:
+    names = dict(zip(POWERS, ("raw_power_added", "quality_adjusted_power_added"), strict=True))
+    daily = state_delta_daily(m["power_changes"], "miner_id", POWERS).select(
+        "date", *[pebibytes(F.col(power)).alias(name) for power, name in names.items()]
     )
-    smooth = ["raw_power_added", "quality_adjusted_power_added"]
-    return newest_first(rolling_mean(daily, smooth, cfg.smooth_days))
+    return newest_first(rolling_mean(daily, names.values(), m.cfg.smooth_days))
 
 
-def _mean_of_sizes(keep: Column) -> Column:
+def _mean_size(keep: Column) -> Column:
     size, messages = F.col("sector_count"), F.col("messages")
     return ratio(
         F.sum(F.when(keep, size * messages)),
@@ -265,27 +141,24 @@ def _mean_of_sizes(keep: Column) -> Column:
     )
 
 
-def precommit_sector_batch_size(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    batches = _mart("batch_sizes", t, cfg, marts)
-    proofs = _mart("aggregate_sizes", t, cfg, marts)
-    sized = proofs.where(F.col("sector_count") > 0)
-
-    def median(sizes: DataFrame, name: str) -> DataFrame:
-        return day_percentiles(sizes, "sector_count", {name: 0.5}, "messages", discrete=True)
-
+def precommit_sector_batch_size(m: Marts) -> DataFrame:
+    batches, proofs = m["batch_sizes"], m["aggregate_sizes"]
+    is_sized = F.col("sector_count") > 0
     batch_daily = batches.groupBy("date").agg(
-        _mean_of_sizes(F.lit(True)).alias("avg_sectors_per_message"),
+        _mean_size(F.lit(True)).alias("avg_sectors_per_message"),
         F.sum("messages").alias("messages"),
     )
     proof_daily = proofs.groupBy("date").agg(
-        _mean_of_sizes(F.col("sector_count") > 0).alias("avg_aggregate_size"),
+        _mean_size(is_sized).alias("avg_aggregate_size"),
         F.sum("messages").alias("aggregate_messages"),
     )
     joined = join_days(
         batch_daily,
-        median(batches, "median_sectors_per_message"),
+        counted_median(batches, "sector_count", "messages", "median_sectors_per_message"),
         proof_daily,
-        median(sized, "median_aggregate_size"),
+        counted_median(
+            proofs.where(is_sized), "sector_count", "messages", "median_aggregate_size"
+        ),
     )
     return newest_first(
         joined.select(
@@ -300,109 +173,75 @@ def precommit_sector_batch_size(t: Ledger, cfg: LedgerConfig, marts: Marts | Non
     )
 
 
-def _events(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("events"))), F.lit(0).cast("bigint"))
-
-
-def renewal_rate(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    events = _mart("daily_sector_events", t, cfg, marts).where(
-        F.col("event").isin(SECTOR_EXPIRED, SECTOR_EXTENDED)
-    )
+def renewal_rate(m: Marts) -> DataFrame:
+    """Only the phase columns are smoothed."""
     extended = F.col("event") == SECTOR_EXTENDED
 
     def rate(rows: Column) -> Column:
-        return percent(_events(extended & rows), _events(rows), 2)
-
-    phases = {name: f"renewal_rate_{name}_pct" for name in ("pre", "during", "post")}
-    daily = events.groupBy("date").agg(
-        _events(F.col("event") == SECTOR_EXPIRED).alias("expired_count"),
-        _events(extended).alias("extended_count"),
-        rate(F.lit(True)).alias("renewal_rate_pct"),
-        *[rate(F.col("phase") == name).alias(column) for name, column in phases.items()],
+        return percent(events_where(extended & rows), events_where(rows), 2)
+
+    columns = {phase: f"renewal_rate_{phase}_pct" for phase in PHASES}
+    daily = (
+        m["sector_events"]
+        .where(F.col("event").isin(SECTOR_EXPIRED, SECTOR_EXTENDED))
+        .groupBy("date")
+        .agg(
+            events_where(F.col("event") == SECTOR_EXPIRED).alias("expired_count"),
+            events_where(extended).alias("extended_count"),
+            rate(F.lit(True)).alias("renewal_rate_pct"),
+            *[rate(F.col("phase") == phase).alias(c) for phase, c in columns.items()],
+        )
     )
-    return newest_first(rolling_mean(daily, phases.values(), cfg.smooth_days))
+    return newest_first(rolling_mean(daily, columns.values(), m.cfg.smooth_days))
 
 
-def sector_daily_fee_cost(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
+def sector_daily_fee_cost(m: Marts) -> DataFrame:
     """`sector_count` counts table rows, not distinct sectors."""
-    start, end, fee = F.col("activation_epoch"), F.col("expiration_epoch"), F.col("daily_fee")
-    sectors = t.miner_sector_infos
-    if "day" in sectors.columns:
-        sectors = sectors.where(F.col("day") >= epoch_to_day(F.lit(cfg.upgrade_epoch), cfg))
     return newest_first(
-        sectors.where(
-            (start >= cfg.upgrade_epoch) & (end > start) & fee.isNotNull() & (number(fee) > 0)
-        )
-        .groupBy(epoch_to_day(start, cfg).alias("date"))
-        .agg(
-            F.avg(lifetime_cost(fee, start, end, cfg)).alias(
-                "avg_daily_fee_lifetime_cost_nanofil"
-            ),
-            F.count("*").alias("sector_count"),
+        m["fee_costs"].select(
+            "date",
+            F.col("cost").alias("avg_daily_fee_lifetime_cost_nanofil"),
+            F.col("sectors").alias("sector_count"),
         )
     )
 
 
-def sector_extensions(t: Ledger, cfg: LedgerConfig, marts: Marts | None = None):
-    phases = {name: f"extensions_{name}_grace" for name in ("pre", "during", "post")}
+def sector_extensions(m: Marts) -> DataFrame:
+    columns = {phase: f"extensions_{phase}_grace" for phase in PHASES}
     daily = (
-        _mart("daily_sector_events", t, cfg, marts)
+        m["sector_events"]
         .where(F.col("event") == SECTOR_EXTENDED)
         .groupBy("date")
         .agg(
             F.sum("events").alias("extensions_per_day"),
-            *[_events(F.col("phase") == name).alias(c) for name, c in phases.items()],
+            *[events_where(F.col("phase") == phase).alias(c) for phase, c in columns.items()],
         )
     )
     return newest_first(
         daily.select(
             "date",
             "extensions_per_day",
-            *[F.nullif(F.col(c), F.lit(0)).alias(c) for c in phases.values()],
-            trailing_mean("extensions_per_day", cfg.baseline_days).alias("baseline_rolling_30d"),
+            *[F.nullif(F.col(c), F.lit(0)).alias(c) for c in columns.values()],
+            trailing_mean("extensions_per_day", m.cfg.baseline_days).alias(
+                "baseline_rolling_30d"
+            ),
         )
     )
 
 
-def archetype_costs(
-    t: Ledger, cfg: LedgerConfig, archetype_fields=ARCHETYPE_COUNT_FIELDS
-) -> DataFrame:
-    """date, sp_archetype, cost: mean cost per method and size class, summed over methods."""
-    counts = sector_counts(
-        t.parsed_messages,
-        t.miner_sector_events,
-        resolve_column(t.miner_sector_events),
-        archetype_fields,
-        [PROVE_COMMIT],
-        cfg,
-    )
-    gas = gas_by_message(t.derived_gas_outputs, cfg, ATTO_PER_NANO)
-    classed = counts.withColumn("sp_archetype", size_class(F.col("sector_count"), cfg))
-    return (
-        mean_cost_per_sector(classed, gas, ["date", "method", "sp_archetype"], "cost")
-        .groupBy("date", "sp_archetype")
-        .agg(F.sum("cost").alias("cost"))
-    )
-
-
-def sector_lifetime_cost(
-    t: Ledger,
-    cfg: LedgerConfig,
-    marts: Marts | None = None,
-    archetype_fields=ARCHETYPE_COUNT_FIELDS,
-):
-    costs = archetype_costs(t, cfg, archetype_fields)
-    return newest_first(pivot_mean(costs, "sp_archetype", "cost", SIZE_CLASSES))
+def sector_lifetime_cost(m: Marts) -> DataFrame:
+    return newest_first(pivot_mean(m["archetype_costs"], "sp_archetype", "cost", SIZE_CLASSES))
 
 
-def _small_batches(t: Ledger, cfg: LedgerConfig, marts: Marts | None) -> DataFrame:
-    def messages(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("messages"))), F.lit(0).cast("bigint"))
+def small_batch_count(m: Marts, check: bool = False) -> DataFrame:
+    """Messages without a count are in the total only, so the shares may fall short of 100.
 
-    small = messages(F.col("sector_count") < cfg.small_batch_below)
-    fuller = messages(F.col("sector_count") >= cfg.small_batch_below)
-    return (
-        _mart("batch_sizes", t, cfg, marts)
+    `check` runs the completeness check first and raises if a day is off.
+    """
+    small = events_where(F.col("sector_count") < m.cfg.small_batch_below, "messages")
+    fuller = events_where(F.col("sector_count") >= m.cfg.small_batch_below, "messages")
+    daily = (
+        m["batch_sizes"]
         .groupBy("date")
         .agg(
             small.alias("small_batch_count"),
@@ -411,16 +250,6 @@ def _small_batches(t: Ledger, cfg: LedgerConfig, marts: Marts | None) -> DataFra
             percent(fuller, F.sum("messages"), 2).alias("fuller_batch_pct"),
         )
     )
-
-
-def small_batch_count(
-    t: Ledger, cfg: LedgerConfig, marts: Marts | None = None, check: bool = False
-):
-    """Messages without a count are in the total only, so the shares may fall short of 100.
-
-    `check` runs the completeness check first and raises if a day is off.
-    """
-    daily = _small_batches(t, cfg, marts)
     if check:
         check_pct_sum(daily, ["small_batch_pct", "fuller_batch_pct"])
     return newest_first(daily)

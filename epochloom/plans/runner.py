@@ -1,49 +1,63 @@
-"""One full run: shared frames written once, then every metric as JSON records."""
+"""Full runs: daily frames stored once, then every metric as JSON records."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epochloom.config import LedgerConfig
-from epochloom.plans.marts import MARTS
+from epochloom.plans.marts import MARTS, Marts
 from epochloom.plans.metrics import METRICS, small_batch_count
 from epochloom.sources.json_records import write_records
 from epochloom.sources.tables import Ledger
 
 
-def write_marts(spark: SparkSession, ledger: Ledger, cfg: LedgerConfig, root: str) -> dict:
-    """Write every shared frame as Parquet and return frames that read it back.
+def store_mart(df: DataFrame, path: str, replace_days_only: bool = False) -> None:
+    """Write a daily frame as day partitions, replacing all of it or only the days it holds.
 
-    A lost executor later re-reads these files instead of repeating the joins behind them.
+    Rebalancing gives each day few files and splits a day that is much larger than others.
     """
-    for name, build in MARTS.items():
-        build(ledger, cfg).write.mode("overwrite").parquet(f"{root}/{name}")
-    return read_marts(spark, root)
+    mode = "dynamic" if replace_days_only else "static"
+    df.hint("rebalance", F.col("date")).write.mode("overwrite").option(
+        "partitionOverwriteMode", mode
+    ).partitionBy("date").parquet(path)
 
 
-def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{root}/{name}") for name in MARTS}
+def stored_marts(spark: SparkSession, cfg: LedgerConfig, root: str) -> Marts:
+    return Marts(cfg=cfg, stored={n: spark.read.parquet(f"{root}/{n}") for n in MARTS})
 
 
-def run_metrics(
+def store_marts(
     spark: SparkSession,
     ledger: Ledger,
     cfg: LedgerConfig,
-    mart_root: str,
-    out_root: str,
-    only: Iterable[str] | None = None,
-    check: bool = True,
+    root: str,
+    since: dt.date | None = None,
+) -> Marts:
+    """Build and store every daily frame, or only its days from `since` on, and read them back.
+
+    The facts are joined and parsed once here; a job that later loses an executor re-reads
+    these files. A day left without rows keeps its earlier result when `since` is given, which
+    append-only facts never bring about.
+    """
+    for name, build in MARTS.items():
+        store_mart(build(ledger, cfg, since), f"{root}/{name}", since is not None)
+    return stored_marts(spark, cfg, root)
+
+
+def write_metrics(
+    marts: Marts, out_root: str, only: Iterable[str] | None = None, check: bool = True
 ) -> list[str]:
     """Write `out_root/<metric>` for each metric and return the names written."""
-    marts = write_marts(spark, ledger, cfg, mart_root)
     written = []
     for name in only or METRICS:
-        if name == "small_batch_count":
-            daily = small_batch_count(ledger, cfg, marts, check=check)
-        else:
-            daily = METRICS[name](ledger, cfg, marts)
+        daily = (
+            small_batch_count(marts, check=check)
+            if name == "small_batch_count"
+            else METRICS[name](marts)
+        )
         write_records(daily, f"{out_root}/{name}")
         written.append(name)
     return written

@@ -6,12 +6,11 @@ keep the size and the key distribution of their sources.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from epochloom.config import LedgerConfig
 from epochloom.sources.tables import Ledger
 
-GENESIS_DAY = "1995-01-01"
 # Orders and line items: a window from 1995-03, an upgrade at noon on 1997-06-15.
 FACTS = LedgerConfig(
     genesis_unix=788_918_400,
@@ -30,123 +29,111 @@ EVENTS = LedgerConfig(
 CLAIMS = EVENTS.with_(window_start=10599 * 2880 - 1)
 
 
-def _day_height(ts: str) -> Column:
-    return F.datediff(F.to_date(ts), F.lit(GENESIS_DAY).cast("date")).cast("bigint") * 2880
-
-
-def _event_height() -> Column:
-    seconds = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.second("ts"))
-    return _day_height("ts") + F.floor(seconds / 30)
-
-
-def _cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("bigint")
-
-
-def _amount(units: Column, zeros: int, key: Column) -> Column:
+EVENT_HEIGHT = (
+    "datediff(to_date(ts), DATE'1995-01-01') * 2880L"
+    " + (hour(ts) * 3600 + minute(ts) * 60 + second(ts)) div 30"
+)
+ORDER_HEIGHT = "datediff(to_date(o_orderdate), DATE'1995-01-01') * 2880L + o_orderkey % 2880"
+LINE_HEIGHT = "datediff(to_date(l_shipdate), DATE'1995-01-01') * 2880L + l_partkey % 2880"
+CENTS = "CAST(round(value * 100) AS BIGINT)"
+PRICE = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+METHOD = """CASE
+    WHEN o_orderpriority = '1-URGENT' THEN 'PreCommitSectorBatch2'
+    WHEN o_orderpriority = '2-HIGH' THEN 'ProveCommitSectors3'
+    WHEN o_orderpriority = '3-MEDIUM' THEN 'ProveCommitAggregate'
+    WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'ProveReplicaUpdates3'
+    WHEN o_orderstatus = 'O' THEN 'DisputeWindowedPoSt'
+    WHEN o_orderstatus = 'F' THEN 'SubmitWindowedPoSt' END"""
+SECTOR = """concat('{"SectorNumber":', i, '}')"""
+ACTIVATION = """CASE (o_custkey + i) % 4
+    WHEN 0 THEN '{"SectorType":8}'
+    WHEN 1 THEN '{"Pieces":null}'
+    WHEN 2 THEN '{"Pieces":[{"Size":1,"Notify":[{"Address":"f05"}]}]}'
+    ELSE '{"Pieces":[{"Size":1,"Notify":[{"Address":"f099"}]}]}' END"""
+
+
+def _amount(units: str, zeros: int, key: str) -> str:
     """The units scaled up, with lower digits drawn from the key; 0 stays 0.
 
     Doubles, because that is how every job reads an amount. The drawn digits keep results off
     the exact halves on which engines round differently.
     """
-    digits = (key * 7919 * 1_000_003) % F.lit(10**zeros)
-    scaled = units.cast("double") * F.lit(10.0**zeros) + digits.cast("double")
-    return F.when(units != 0, scaled).otherwise(F.lit(0.0))
+    digits = f"CAST({key} * 7919L * 1000003L % {10**zeros}L AS DOUBLE)"
+    scaled = f"CAST({units} AS DOUBLE) * CAST({10**zeros}L AS DOUBLE) + {digits}"
+    return f"CASE WHEN ({units}) <> 0 THEN {scaled} ELSE 0D END"
 
 
-def _message_id(key: str) -> Column:
-    return F.concat(F.lit("m"), F.col(key).cast("string"))
-
-
-def _array(field: str, element) -> Column:
+def _array(field: str, element: str) -> str:
     """JSON object with one array of o_custkey % 13 elements."""
-    index = F.filter(F.sequence(F.lit(0), F.lit(12)), lambda i: i < F.col("o_custkey") % 13)
-    return F.concat(
-        F.lit(f'{{"{field}":['), F.array_join(F.transform(index, element), ","), F.lit("]}")
-    )
+    index = "filter(sequence(0, 12), i -> i < o_custkey % 13)"
+    return f"""concat('{{"{field}":[', array_join(transform({index}, i -> {element}), ','), ']}}')"""
 
 
-def _sector(i: Column) -> Column:
-    return F.concat(F.lit('{"SectorNumber":'), i.cast("string"), F.lit("}"))
+PARAMS = f"""CASE
+    WHEN o_orderkey % 7 = 0 THEN NULL
+    WHEN o_orderkey % 11 = 0 THEN '{{"Deadline":1}}'
+    WHEN method = 'PreCommitSectorBatch2' THEN {_array("Sectors", SECTOR)}
+    WHEN method = 'ProveCommitSectors3' AND o_orderkey % 2 = 0
+        THEN {_array("SectorActivations", ACTIVATION)}
+    WHEN method = 'ProveCommitSectors3' THEN {_array("SectorProofs", SECTOR)}
+    WHEN method = 'ProveCommitAggregate' THEN {_array("SectorNumbers", SECTOR)}
+    WHEN method = 'ProveReplicaUpdates3' AND o_custkey % 3 = 0
+        THEN {_array("SectorUpdates", SECTOR)}
+    WHEN method = 'ProveReplicaUpdates3' AND o_custkey % 3 = 1 THEN {_array("Sectors", SECTOR)}
+    WHEN method = 'ProveReplicaUpdates3' THEN {_array("SectorNumbers", SECTOR)} END"""
 
 
-def _activation(i: Column) -> Column:
-    kind = (F.col("o_custkey") + i) % 4
-    return (
-        F.when(kind == 0, F.lit('{"SectorType":8}'))
-        .when(kind == 1, F.lit('{"Pieces":null}'))
-        .when(kind == 2, F.lit('{"Pieces":[{"Size":1,"Notify":[{"Address":"f05"}]}]}'))
-        .otherwise(F.lit('{"Pieces":[{"Size":1,"Notify":[{"Address":"f099"}]}]}'))
+def _messages(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr("*", f"{METHOD} AS method").selectExpr(
+        f"{ORDER_HEIGHT} AS height", "concat('m', o_orderkey) AS cid", "method", f"{PARAMS} AS params"
     )
 
 
-def _params() -> Column:
-    method, third = F.col("method"), F.col("o_custkey") % 3
-    return (
-        F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("string"))
-        .when(F.col("o_orderkey") % 11 == 0, F.lit('{"Deadline":1}'))
-        .when(method == "PreCommitSectorBatch2", _array("Sectors", _sector))
-        .when(
-            (method == "ProveCommitSectors3") & (F.col("o_orderkey") % 2 == 0),
-            _array("SectorActivations", _activation),
-        )
-        .when(method == "ProveCommitSectors3", _array("SectorProofs", _sector))
-        .when(method == "ProveCommitAggregate", _array("SectorNumbers", _sector))
-        .when((method == "ProveReplicaUpdates3") & (third == 0), _array("SectorUpdates", _sector))
-        .when((method == "ProveReplicaUpdates3") & (third == 1), _array("Sectors", _sector))
-        .when(method == "ProveReplicaUpdates3", _array("SectorNumbers", _sector))
+def _sector_events(orders: DataFrame, events: DataFrame) -> DataFrame:
+    added = orders.selectExpr(
+        f"{ORDER_HEIGHT} + if(o_orderkey % 14 = 0, 2880, 0) AS height",
+        "'SECTOR_ADDED' AS event",
+        "concat('m', o_orderkey) AS message_cid",
+        "explode(sequence(1, CAST(1 + o_custkey % 4 AS INT))) AS copy",
+    ).drop("copy")
+    other = events.selectExpr(
+        f"{EVENT_HEIGHT} AS height",
+        """CASE event_type WHEN 'view' THEN 'SECTOR_ADDED' WHEN 'signup' THEN 'SECTOR_EXTENDED'
+            WHEN 'purchase' THEN 'SECTOR_EXPIRED' ELSE 'SECTOR_SNAPPED' END AS event""",
+        "CAST(NULL AS STRING) AS message_cid",
     )
+    return added.unionByName(other)
 
 
-def _messages(orders: DataFrame) -> DataFrame:
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-    method = (
-        F.when(priority == "1-URGENT", "PreCommitSectorBatch2")
-        .when(priority == "2-HIGH", "ProveCommitSectors3")
-        .when(priority == "3-MEDIUM", "ProveCommitAggregate")
-        .when(priority == "4-NOT SPECIFIED", "ProveReplicaUpdates3")
-        .when(status == "O", "DisputeWindowedPoSt")
-        .when(status == "F", "SubmitWindowedPoSt")
-    )
-    return orders.withColumn("method", method).select(
-        (_day_height("o_orderdate") + F.col("o_orderkey") % 2880).alias("height"),
-        _message_id("o_orderkey").alias("cid"),
-        "method",
-        _params().alias("params"),
+def _claims(events: DataFrame) -> DataFrame:
+    adjusted = _amount(f"{CENTS} * (1 + event_id % 10)", 10, "user_id")
+    return events.selectExpr(
+        f"{EVENT_HEIGHT} AS height",
+        "concat('f0', user_id) AS miner_id",
+        f"{_amount(CENTS, 10, 'event_id')} AS raw_byte_power",
+        f"CASE WHEN event_id % 50 <> 0 THEN {adjusted} END AS quality_adj_power",
     )
 
 
-def _sector_events(orders: DataFrame, events: DataFrame) -> DataFrame:
-    late = F.when(F.col("o_orderkey") % 14 == 0, 2880).otherwise(0)
-    copies = F.sequence(F.lit(1), (1 + F.col("o_custkey") % 4).cast("int"))
-    added = orders.select(
-        (_day_height("o_orderdate") + F.col("o_orderkey") % 2880 + late).alias("height"),
-        F.lit("SECTOR_ADDED").alias("event"),
-        _message_id("o_orderkey").alias("message_cid"),
-        F.explode(copies).alias("copy"),
-    ).drop("copy")
-    kind = F.col("event_type")
-    other = events.select(
-        _event_height().alias("height"),
-        F.when(kind == "view", "SECTOR_ADDED")
-        .when(kind == "signup", "SECTOR_EXTENDED")
-        .when(kind == "purchase", "SECTOR_EXPIRED")
-        .otherwise("SECTOR_SNAPPED")
-        .alias("event"),
-        F.lit(None).cast("string").alias("message_cid"),
+def _gas(lines: DataFrame, fee_zeros: int) -> DataFrame:
+    base = _amount(f"{PRICE} * CAST(round(l_discount * 100) AS BIGINT)", fee_zeros, "l_partkey")
+    over = _amount(f"{PRICE} * CAST(round(l_tax * 100) AS BIGINT)", fee_zeros, "l_suppkey")
+    return lines.selectExpr(
+        f"{LINE_HEIGHT} AS height",
+        "concat('m', l_orderkey) AS cid",
+        f"{base} AS base_fee_burn",
+        f"{over} AS over_estimation_burn",
+        "CAST(l_quantity AS BIGINT) * 1000000L AS gas_used",
+        "50000000L AS gas_limit",
     )
-    return added.unionByName(other)
 
 
-def _claims(events: DataFrame) -> DataFrame:
-    raw = _amount(_cents("value"), 10, F.col("event_id"))
-    silent = F.col("event_id") % 50 == 0
-    adjusted = _amount(_cents("value") * (1 + F.col("event_id") % 10), 10, F.col("user_id"))
-    return events.select(
-        _event_height().alias("height"),
-        F.concat(F.lit("f0"), F.col("user_id").cast("string")).alias("miner_id"),
-        raw.alias("raw_byte_power"),
-        F.when(~silent, adjusted).alias("quality_adj_power"),
+def _sector_infos(lines: DataFrame) -> DataFrame:
+    fee = f"CASE WHEN l_discount = 0 THEN 0D ELSE {_amount(PRICE, 6, 'l_partkey')} END"
+    return lines.selectExpr(
+        f"{LINE_HEIGHT} AS activation_epoch",
+        f"{LINE_HEIGHT} + (l_suppkey % 20 - 4) * 28800 + 1 + l_partkey % 6 AS expiration_epoch",
+        f"CASE WHEN l_linenumber <> 7 THEN {fee} END AS daily_fee",
     )
 
 
@@ -156,47 +143,25 @@ def stand_in_ledger(spark: SparkSession, sf_dir: str, fee_zeros: int = 12) -> Le
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    orders, lines, events = table("orders"), table("lineitem"), table("events")
-    height = _event_height().alias("height")
-    line_height = _day_height("l_shipdate") + F.col("l_partkey") % 2880
-    discount = F.round(F.col("l_discount") * 100).cast("bigint")
-    event, part = F.col("event_id"), F.col("l_partkey")
-    tax = F.round(F.col("l_tax") * 100).cast("bigint")
+    def from_events(*columns: str) -> DataFrame:
+        return table("events").selectExpr(f"{EVENT_HEIGHT} AS height", *columns)
+
+    def amount(units: str, zeros: int, name: str) -> str:
+        return f"{_amount(units, zeros, 'event_id')} AS {name}"
+
     return Ledger(
-        block_headers=events.select(height, _amount(_cents("value"), 7, event).alias("parent_base_fee")),
-        derived_gas_outputs=lines.select(
-            line_height.alias("height"),
-            _message_id("l_orderkey").alias("cid"),
-            _amount(_cents("l_extendedprice") * discount, fee_zeros, part).alias("base_fee_burn"),
-            _amount(_cents("l_extendedprice") * tax, fee_zeros, F.col("l_suppkey")).alias("over_estimation_burn"),
-            (F.col("l_quantity").cast("bigint") * 1_000_000).alias("gas_used"),
-            F.lit(50_000_000).cast("bigint").alias("gas_limit"),
-        ),
-        parsed_messages=_messages(orders),
-        miner_sector_events=_sector_events(orders, events),
-        power_actor_claims=_claims(events),
-        chain_economics=events.select(
-            height,
-            _amount(_cents("value") + 100_000, 16, event).alias("circulating_fil"),
-            _amount(F.floor(_cents("value") / 10), 16, event).alias("burnt_fil"),
-        ),
-        chain_rewards=events.select(
-            height,
-            _amount(event * 1000 + _cents("value"), 16, event).alias("total_mined_reward"),
+        block_headers=lambda: from_events(amount(CENTS, 7, "parent_base_fee")),
+        derived_gas_outputs=lambda: _gas(table("lineitem"), fee_zeros),
+        parsed_messages=lambda: _messages(table("orders")),
+        miner_sector_events=lambda: _sector_events(table("orders"), table("events")),
+        power_actor_claims=lambda: _claims(table("events")),
+        chain_economics=lambda: from_events(
+            amount(f"{CENTS} + 100000", 16, "circulating_fil"),
+            amount(f"{CENTS} div 10", 16, "burnt_fil"),
         ),
-        chain_powers=events.select(height, F.col("user_id").alias("participating_miner_count")),
-        miner_sector_infos=lines.select(
-            line_height.alias("activation_epoch"),
-            (line_height + (F.col("l_suppkey") % 20 - 4) * 28_800 + 1 + part % 6).alias(
-                "expiration_epoch"
-            ),
-            F.when(
-                F.col("l_linenumber") != 7,
-                _amount(
-                    F.when(F.col("l_discount") == 0, 0).otherwise(_cents("l_extendedprice")),
-                    6,
-                    part,
-                ),
-            ).alias("daily_fee"),
+        chain_rewards=lambda: from_events(
+            amount(f"event_id * 1000 + {CENTS}", 16, "total_mined_reward")
         ),
+        chain_powers=lambda: from_events("user_id AS participating_miner_count"),
+        miner_sector_infos=lambda: _sector_infos(table("lineitem")),
     )

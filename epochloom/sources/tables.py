@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -33,29 +33,32 @@ SCHEMAS = {
 PROBED = "miner_sector_events"
 
 
-@dataclass(frozen=True)
 class Ledger:
-    block_headers: DataFrame
-    derived_gas_outputs: DataFrame
-    parsed_messages: DataFrame
-    miner_sector_events: DataFrame
-    power_actor_claims: DataFrame
-    chain_economics: DataFrame
-    chain_rewards: DataFrame
-    chain_powers: DataFrame
-    miner_sector_infos: DataFrame
+    """The fact tables by name; each is opened when a job first asks for it."""
+
+    def __init__(self, **tables: Callable[[], DataFrame]):
+        self._tables = tables
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._tables:
+            raise AttributeError(name)
+        if name not in self._opened:
+            self._opened[name] = self._tables[name]()
+        return self._opened[name]
 
 
 def load_ledger(spark: SparkSession, root: str) -> Ledger:
-    """Read every table from Parquet under `root`.
+    """Tables stored as Parquet under `root`.
 
     The events table keeps the schema of its files, because its message id column varies.
     """
-    frames = {}
-    for name, schema in SCHEMAS.items():
-        reader = spark.read if name == PROBED else spark.read.schema(schema)
-        frames[name] = reader.parquet(f"{root}/{name}")
-    return Ledger(**frames)
+
+    def table(name: str) -> DataFrame:
+        reader = spark.read if name == PROBED else spark.read.schema(SCHEMAS[name])
+        return reader.parquet(f"{root}/{name}")
+
+    return Ledger(**{name: partial(table, name) for name in SCHEMAS})
 
 
 def write_table(df: DataFrame, root: str, name: str, cfg: LedgerConfig) -> None:

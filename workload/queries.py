@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -15,7 +14,6 @@ from epochloom.config import (
     ONBOARDING_PATHS,
     PATH_COUNT_FIELDS,
     PRECOMMIT_BATCH,
-    PROVE_AGGREGATE,
     PROVE_COMMIT,
     PROVE_UPDATES,
     SECTOR_ADDED,
@@ -25,8 +23,8 @@ from epochloom.functions import amounts, classes, params as js
 from epochloom.functions.time import day_text, epoch_to_day, phase_of
 from epochloom.operators import daily as d, messages as m, quality, state
 from epochloom.operators.percentiles import day_percentiles
-from epochloom.plans import metrics, series
-from epochloom.plans.marts import POWERS, batch_sizes, dated, power_changes
+from epochloom.plans import marts, metrics, series
+from epochloom.plans.marts import POWERS, Marts, dated, power_changes
 from epochloom.sources.stand_in import CLAIMS, EVENTS, FACTS, stand_in_ledger
 from epochloom.sources.tables import Ledger, in_window, resolve_column
 
@@ -71,8 +69,8 @@ def digits_of(metric: str) -> int:
 
 def metric_frame(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
     zeros = NANO_ZEROS if metric in NANO_METRICS else 12
-    frame = metrics.METRICS[metric](stand_in_ledger(spark, sf_dir, zeros), config_of(metric))
-    return publish(frame, digits_of(metric))
+    frames = Marts(stand_in_ledger(spark, sf_dir, zeros), config_of(metric))
+    return publish(metrics.METRICS[metric](frames), digits_of(metric))
 
 
 def _metric(name: str) -> Query:
@@ -182,7 +180,7 @@ def join_left_daily(t: Ledger) -> DataFrame:
     used = dated(t.derived_gas_outputs, FACTS).groupBy("date").agg(
         F.sum("gas_used").alias("gas_used")
     )
-    return d.join_days(used, metrics.batch_gas(t, FACTS))
+    return d.join_days(used, marts.batch_gas(t, FACTS))
 
 
 def join_left_composite(t: Ledger) -> DataFrame:
@@ -304,7 +302,7 @@ def ratio_of_counts(t: Ledger) -> DataFrame:
 
 
 def agg_two_level(t: Ledger) -> DataFrame:
-    return metrics.archetype_costs(t, FACTS)
+    return marts.archetype_costs(t, FACTS)
 
 
 def distinct_keys(t: Ledger) -> DataFrame:
@@ -312,14 +310,7 @@ def distinct_keys(t: Ledger) -> DataFrame:
 
 
 def _path_counts(t: Ledger) -> DataFrame:
-    return m.sector_counts(
-        t.parsed_messages,
-        t.miner_sector_events,
-        resolve_column(t.miner_sector_events),
-        PATH_COUNT_FIELDS,
-        [PROVE_COMMIT, PROVE_AGGREGATE, PROVE_UPDATES],
-        FACTS,
-    )
+    return marts.path_counts(t, FACTS)
 
 
 def pivot_mean(t: Ledger) -> DataFrame:
@@ -589,7 +580,7 @@ def lifetime_cost(t: Ledger) -> DataFrame:
 
 
 def theoretical_capacity(t: Ledger) -> DataFrame:
-    return metrics.batch_gas(t, FACTS).select(
+    return marts.batch_gas(t, FACTS).select(
         "date",
         metrics.theoretical_capacity(FACTS.daily_gas_capacity, F.col("gas_per_sector")).alias(
             "capacity"
@@ -603,7 +594,7 @@ def yield_per_unit(t: Ledger) -> DataFrame:
 
 def check_pct_sum(t: Ledger) -> DataFrame:
     columns = ["small_batch_pct", "fuller_batch_pct"]
-    return quality.pct_sum_report(metrics.small_batch_count(t, FACTS), columns, 100.0, 0.5)
+    return quality.pct_sum_report(metrics.small_batch_count(Marts(t, FACTS)), columns, 100.0, 0.5)
 
 
 # --- series -------------------------------------------------------------------------------
