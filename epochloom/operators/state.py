@@ -58,7 +58,8 @@ def _by_key(key: str):
     return Window.partitionBy(key).orderBy(F.asc_nulls_first("date"))
 
 
-def _carried(value: str, key: str) -> Column:
+def carried(value: str, key: str) -> Column:
+    """Last non-NULL value along a key's rows; for frames with one row per key and day."""
     frame = _by_key(key).rowsBetween(Window.unboundedPreceding, 0)
     return F.last(value, ignorenulls=True).over(frame)
 
@@ -75,7 +76,7 @@ def state_delta_daily(changes: DataFrame, key: str, values: Sequence[str]) -> Da
         "date",
         *[
             (
-                F.coalesce(_carried(v, key), F.lit(0.0))
+                F.coalesce(carried(v, key), F.lit(0.0))
                 - F.coalesce(F.last(v, ignorenulls=True).over(before), F.lit(0.0))
             ).alias(v)
             for v in values
@@ -109,7 +110,7 @@ def fill_forward(rows: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
     ordered = Window.partitionBy(key).orderBy("date")
     spans = rows.select(
         key,
-        *[_carried(v, key).alias(v) for v in values],
+        *[carried(v, key).alias(v) for v in values],
         F.col("date").alias("start"),
         F.lead("date").over(ordered).alias("until"),
         (F.row_number().over(ordered) == 1).alias("is_first"),

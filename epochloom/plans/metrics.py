@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from epochloom.config import (
@@ -29,65 +32,74 @@ from epochloom.operators.state import state_delta_daily
 from epochloom.plans.marts import POWERS, Marts, events_where
 
 PHASES = ("pre", "during", "post")
+# Metrics by name: as daily frames in no order, and newest day first.
+DAILY: dict[str, Callable[..., DataFrame]] = {}
+METRICS: dict[str, Callable[..., DataFrame]] = {}
+
+
+def metric(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    @wraps(build)
+    def in_order(m: Marts, **options) -> DataFrame:
+        return newest_first(build(m, **options))
 
+    DAILY[build.__name__] = build
+    METRICS[build.__name__] = in_order
+    return in_order
 
+
+@metric
 def base_fee_percentiles(m: Marts) -> DataFrame:
-    return newest_first(
-        m["base_fees"].select(
-            "date",
-            nanos(F.col("p50")).alias("base_fee_p50_nanofil"),
-            nanos(F.col("p95")).alias("base_fee_p95_nanofil"),
-        )
+    return m["base_fees"].select(
+        "date",
+        nanos(F.col("p50")).alias("base_fee_p50_nanofil"),
+        nanos(F.col("p95")).alias("base_fee_p95_nanofil"),
     )
 
 
+@metric
 def burn_composition(m: Marts) -> DataFrame:
-    return newest_first(
-        m["burn"].select(
-            "date",
-            F.col("dispute").alias("dispute_termination_gas_fil"),
-            F.col("onboarding").alias("sector_onboarding_gas_fil"),
-            F.col("other").alias("other_burn_fil"),
-        )
+    return m["burn"].select(
+        "date",
+        F.col("dispute").alias("dispute_termination_gas_fil"),
+        F.col("onboarding").alias("sector_onboarding_gas_fil"),
+        F.col("other").alias("other_burn_fil"),
     )
 
 
+@metric
 def circulating_supply_vs_burn(m: Marts) -> DataFrame:
     """Growth is relative to the previous day's supply, burn to the current one's."""
     growth = percent(change("circulating_fil"), previous("circulating_fil"), 6)
     burnt = percent(change("burnt_fil"), F.col("circulating_fil"), 6)
-    return newest_first(
-        m["supply"].select(
-            "date",
-            "circulating_fil",
-            "burnt_fil",
-            growth.alias("circulating_growth_pct"),
-            burnt.alias("daily_burn_rate_pct"),
-        )
+    return m["supply"].select(
+        "date",
+        "circulating_fil",
+        "burnt_fil",
+        growth.alias("circulating_growth_pct"),
+        burnt.alias("daily_burn_rate_pct"),
     )
 
 
+@metric
 def daily_fee_burn(m: Marts) -> DataFrame:
-    return newest_first(
-        m["burn"].select(
-            "date",
-            F.col("total").alias("total_fee_burn_fil"),
-            F.col("onboarding").alias("sector_onboarding_gas_fil"),
-        )
+    return m["burn"].select(
+        "date",
+        F.col("total").alias("total_fee_burn_fil"),
+        F.col("onboarding").alias("sector_onboarding_gas_fil"),
     )
 
 
+@metric
 def ddo_sector_onboarding(m: Marts) -> DataFrame:
-    return newest_first(
-        m["activations"].select(
-            "date",
-            (F.col("total") - F.col("market")).alias("ddo_sectors"),
-            F.col("market").alias("non_ddo_sectors"),
-            F.col("total").alias("total_pcs3_sectors"),
-        )
+    return m["activations"].select(
+        "date",
+        (F.col("total") - F.col("market")).alias("ddo_sectors"),
+        F.col("market").alias("non_ddo_sectors"),
+        F.col("total").alias("total_pcs3_sectors"),
     )
 
 
+@metric
 def fil_return_per_sector(m: Marts) -> DataFrame:
     gained = m["rewards"].select("date", (change("top") / F.lit(ATTO_PER_COIN)).alias("reward"))
     added = (
@@ -96,41 +108,41 @@ def fil_return_per_sector(m: Marts) -> DataFrame:
         .groupBy("date")
         .agg(F.sum("events").alias("added"))
     )
-    return newest_first(
-        yield_per_unit(gained, added, "reward", "added", "fil_return_per_sector")
-    )
+    return yield_per_unit(gained, added, "reward", "added", "fil_return_per_sector")
 
 
+@metric
 def gas_per_sector_by_path(m: Marts) -> DataFrame:
-    return newest_first(pivot_mean(m["path_costs"], "method", "cost", ONBOARDING_PATHS))
+    return pivot_mean(m["path_costs"], "method", "cost", ONBOARDING_PATHS)
 
 
 def theoretical_capacity(capacity: float, unit_cost: Column) -> Column:
     return F.round(ratio(F.lit(capacity), unit_cost), 0)
 
 
+@metric
 def gas_utilization(m: Marts) -> DataFrame:
-    return newest_first(
-        join_days(m["gas_totals"], m["batch_gas"]).select(
-            "date",
-            percent(F.col("gas_used"), F.col("gas_limit"), 4).alias("gas_utilization_pct"),
-            theoretical_capacity(m.cfg.daily_gas_capacity, F.col("gas_per_sector")).alias(
-                "theoretical_max_sectors_per_day"
-            ),
-        )
+    return join_days(m["gas_totals"], m["batch_gas"]).select(
+        "date",
+        percent(F.col("gas_used"), F.col("gas_limit"), 4).alias("gas_utilization_pct"),
+        theoretical_capacity(m.cfg.daily_gas_capacity, F.col("gas_per_sector")).alias(
+            "theoretical_max_sectors_per_day"
+        ),
     )
 
 
+@metric
 def participating_miner_count(m: Marts) -> DataFrame:
-    return newest_first(m["miner_counts"].select("date", "participating_miner_count"))
+    return m["miner_counts"].select("date", "participating_miner_count")
 
 
+@metric
 def power_added(m: Marts) -> DataFrame:
     names = dict(zip(POWERS, ("raw_power_added", "quality_adjusted_power_added"), strict=True))
     daily = state_delta_daily(m["power_changes"], "miner_id", POWERS).select(
         "date", *[pebibytes(F.col(power)).alias(name) for power, name in names.items()]
     )
-    return newest_first(rolling_mean(daily, names.values(), m.cfg.smooth_days))
+    return rolling_mean(daily, names.values(), m.cfg.smooth_days)
 
 
 def _mean_size(keep: Column) -> Column:
@@ -141,6 +153,7 @@ def _mean_size(keep: Column) -> Column:
     )
 
 
+@metric
 def precommit_sector_batch_size(m: Marts) -> DataFrame:
     batches, proofs = m["batch_sizes"], m["aggregate_sizes"]
     is_sized = F.col("sector_count") > 0
@@ -160,19 +173,18 @@ def precommit_sector_batch_size(m: Marts) -> DataFrame:
             proofs.where(is_sized), "sector_count", "messages", "median_aggregate_size"
         ),
     )
-    return newest_first(
-        joined.select(
-            "date",
-            "avg_sectors_per_message",
-            "median_sectors_per_message",
-            "messages",
-            "avg_aggregate_size",
-            "median_aggregate_size",
-            "aggregate_messages",
-        )
+    return joined.select(
+        "date",
+        "avg_sectors_per_message",
+        "median_sectors_per_message",
+        "messages",
+        "avg_aggregate_size",
+        "median_aggregate_size",
+        "aggregate_messages",
     )
 
 
+@metric
 def renewal_rate(m: Marts) -> DataFrame:
     """Only the phase columns are smoothed."""
     extended = F.col("event") == SECTOR_EXTENDED
@@ -192,20 +204,20 @@ def renewal_rate(m: Marts) -> DataFrame:
             *[rate(F.col("phase") == phase).alias(c) for phase, c in columns.items()],
         )
     )
-    return newest_first(rolling_mean(daily, columns.values(), m.cfg.smooth_days))
+    return rolling_mean(daily, columns.values(), m.cfg.smooth_days)
 
 
+@metric
 def sector_daily_fee_cost(m: Marts) -> DataFrame:
     """`sector_count` counts table rows, not distinct sectors."""
-    return newest_first(
-        m["fee_costs"].select(
-            "date",
-            F.col("cost").alias("avg_daily_fee_lifetime_cost_nanofil"),
-            F.col("sectors").alias("sector_count"),
-        )
+    return m["fee_costs"].select(
+        "date",
+        F.col("cost").alias("avg_daily_fee_lifetime_cost_nanofil"),
+        F.col("sectors").alias("sector_count"),
     )
 
 
+@metric
 def sector_extensions(m: Marts) -> DataFrame:
     columns = {phase: f"extensions_{phase}_grace" for phase in PHASES}
     daily = (
@@ -217,22 +229,22 @@ def sector_extensions(m: Marts) -> DataFrame:
             *[events_where(F.col("phase") == phase).alias(c) for phase, c in columns.items()],
         )
     )
-    return newest_first(
-        daily.select(
-            "date",
-            "extensions_per_day",
-            *[F.nullif(F.col(c), F.lit(0)).alias(c) for c in columns.values()],
-            trailing_mean("extensions_per_day", m.cfg.baseline_days).alias(
-                "baseline_rolling_30d"
-            ),
-        )
+    return daily.select(
+        "date",
+        "extensions_per_day",
+        *[F.nullif(F.col(c), F.lit(0)).alias(c) for c in columns.values()],
+        trailing_mean("extensions_per_day", m.cfg.baseline_days).alias(
+            "baseline_rolling_30d"
+        ),
     )
 
 
+@metric
 def sector_lifetime_cost(m: Marts) -> DataFrame:
-    return newest_first(pivot_mean(m["archetype_costs"], "sp_archetype", "cost", SIZE_CLASSES))
+    return pivot_mean(m["archetype_costs"], "sp_archetype", "cost", SIZE_CLASSES)
 
 
+@metric
 def small_batch_count(m: Marts, check: bool = False) -> DataFrame:
     """Messages without a count are in the total only, so the shares may fall short of 100.
 
@@ -252,27 +264,4 @@ def small_batch_count(m: Marts, check: bool = False) -> DataFrame:
     )
     if check:
         check_pct_sum(daily, ["small_batch_pct", "fuller_batch_pct"])
-    return newest_first(daily)
-
-
-METRICS = {
-    f.__name__: f
-    for f in (
-        base_fee_percentiles,
-        burn_composition,
-        circulating_supply_vs_burn,
-        daily_fee_burn,
-        ddo_sector_onboarding,
-        fil_return_per_sector,
-        gas_per_sector_by_path,
-        gas_utilization,
-        participating_miner_count,
-        power_added,
-        precommit_sector_batch_size,
-        renewal_rate,
-        sector_daily_fee_cost,
-        sector_extensions,
-        sector_lifetime_cost,
-        small_batch_count,
-    )
-}
+    return daily

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epochloom.config import LedgerConfig
 from epochloom.plans.marts import MARTS, Marts
-from epochloom.plans.metrics import METRICS, small_batch_count
+from epochloom.plans.metrics import DAILY
 from epochloom.sources.json_records import write_records
 from epochloom.sources.tables import Ledger
 
@@ -25,6 +27,17 @@ def store_mart(df: DataFrame, path: str, replace_days_only: bool = False) -> Non
     ).partitionBy("date").parquet(path)
 
 
+STATE = "_reached"
+
+
+def reached_day(spark: SparkSession, root: str) -> dt.date | None:
+    """The newest day of the last run that finished, or None before the first one."""
+    try:
+        return spark.read.schema("date DATE").parquet(f"{root}/{STATE}").first()[0]
+    except AnalysisException:
+        return None
+
+
 def stored_marts(spark: SparkSession, cfg: LedgerConfig, root: str) -> Marts:
     return Marts(cfg=cfg, stored={n: spark.read.parquet(f"{root}/{n}") for n in MARTS})
 
@@ -44,7 +57,13 @@ def store_marts(
     """
     for name, build in MARTS.items():
         store_mart(build(ledger, cfg, since), f"{root}/{name}", since is not None)
-    return stored_marts(spark, cfg, root)
+    marts = stored_marts(spark, cfg, root)
+    newest = reduce(
+        DataFrame.union, [marts[name].agg(F.max("date").alias("date")) for name in MARTS]
+    ).agg(F.max("date").alias("date"))
+    # Written last, so a run that breaks off is repeated from the same day.
+    newest.write.mode("overwrite").parquet(f"{root}/{STATE}")
+    return marts
 
 
 def write_metrics(
@@ -52,12 +71,8 @@ def write_metrics(
 ) -> list[str]:
     """Write `out_root/<metric>` for each metric and return the names written."""
     written = []
-    for name in only or METRICS:
-        daily = (
-            small_batch_count(marts, check=check)
-            if name == "small_batch_count"
-            else METRICS[name](marts)
-        )
-        write_records(daily, f"{out_root}/{name}")
+    for name in only or DAILY:
+        options = {"check": check} if name == "small_batch_count" else {}
+        write_records(DAILY[name](marts, **options), f"{out_root}/{name}")
         written.append(name)
     return written

@@ -9,20 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 from epochloom.config import LedgerConfig
-from epochloom.plans.marts import MARTS, Marts
-from epochloom.plans.runner import store_marts, stored_marts, write_metrics
+from epochloom.plans.marts import Marts
+from epochloom.plans.runner import reached_day, store_marts, write_metrics
 from epochloom.sources.tables import Ledger
 
 
-def last_day(marts: Marts) -> dt.date | None:
-    """The newest day that every stored frame with rows has reached, still possibly partial."""
-    newest = [marts[name].agg(F.max("date")).first()[0] for name in MARTS]
-    return min((day for day in newest if day is not None), default=None)
-
-
 def refresh(
     spark: SparkSession,
     ledger: Ledger,
@@ -35,10 +29,11 @@ def refresh(
 ) -> Marts:
     """Bring stored frames and metrics up to date with the ledger.
 
-    Without `since`, starts `overlap_days` before the oldest of the frames' last days.
+    Without `since`, starts `overlap_days` before the newest day the last finished run reached,
+    which may have been stored while still partial.
     """
     if since is None:
-        reached = last_day(stored_marts(spark, cfg, mart_root))
+        reached = reached_day(spark, mart_root)
         if reached is not None:
             since = reached - dt.timedelta(days=overlap_days)
     marts = store_marts(spark, ledger, cfg, mart_root, since)

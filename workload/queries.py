@@ -67,10 +67,14 @@ def digits_of(metric: str) -> int:
     return 4 if metric in NANO_METRICS else 6
 
 
-def metric_frame(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+def _marts(spark: SparkSession, sf_dir: str, metric: str) -> Marts:
     zeros = NANO_ZEROS if metric in NANO_METRICS else 12
-    frames = Marts(stand_in_ledger(spark, sf_dir, zeros), config_of(metric))
-    return publish(metrics.METRICS[metric](frames), digits_of(metric))
+    return Marts(stand_in_ledger(spark, sf_dir, zeros), config_of(metric))
+
+
+def metric_frame(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    frame = metrics.METRICS[metric](_marts(spark, sf_dir, metric))
+    return publish(frame, digits_of(metric))
 
 
 def _metric(name: str) -> Query:
@@ -370,7 +374,7 @@ def win_fill_forward(t: Ledger) -> DataFrame:
     return _anchored(t).select(
         "date",
         "miner_id",
-        amounts.pebibytes(state._carried("quality_adj_power", "miner_id")).alias("carried"),
+        amounts.pebibytes(state.carried("quality_adj_power", "miner_id")).alias("carried"),
     )
 
 
@@ -602,33 +606,34 @@ def check_pct_sum(t: Ledger) -> DataFrame:
 
 def series_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(
-        series.series_points(metric_frame_raw(spark, sf_dir, "gas_utilization"), "gas_utilization_pct")
+        series.series_points(daily_frame(spark, sf_dir, "gas_utilization"), "gas_utilization_pct")
     )
 
 
-def metric_frame_raw(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
-    """As `metric_frame`, with the day still a date."""
-    return metric_frame(spark, sf_dir, metric).withColumn("date", F.to_date("date"))
+def daily_frame(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    """As `metric_frame`, unordered and with the day still a date."""
+    frame = metrics.DAILY[metric](_marts(spark, sf_dir, metric))
+    return publish(frame, digits_of(metric)).withColumn("date", F.to_date("date"))
 
 
 def series_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = metric_frame_raw(spark, sf_dir, "precommit_sector_batch_size")
+    daily = daily_frame(spark, sf_dir, "precommit_sector_batch_size")
     columns = ["avg_aggregate_size", "median_aggregate_size"]
     return publish(series.series_unpivot(daily, columns, ["mean", "median"]))
 
 
 def series_has_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = metric_frame_raw(spark, sf_dir, "renewal_rate")
+    daily = daily_frame(spark, sf_dir, "renewal_rate")
     columns = [c for c in daily.columns if c != "date"]
     return publish(series.series_has_data(daily, columns))
 
 
 def phase_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.phase_coverage(metric_frame_raw(spark, sf_dir, "renewal_rate"))
+    return series.phase_coverage(daily_frame(spark, sf_dir, "renewal_rate"))
 
 
 def metric_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = {name: metric_frame_raw(spark, sf_dir, name) for name in metrics.METRICS}
+    frames = {name: daily_frame(spark, sf_dir, name) for name in metrics.METRICS}
     return publish(series.chart_series(frames))
 
 
