@@ -41,6 +41,9 @@ ARCHETYPE_COUNT_FIELDS = {
     PRECOMMIT_BATCH: ("Sectors",),
     PROVE_COMMIT: ("SectorNumbers", "SectorProofs", "Sectors"),
 }
+# The methods whose activations are classed, each with its array. The same rule can be applied
+# to replica updates by adding their "SectorUpdates".
+ACTIVATION_FIELDS = {PROVE_COMMIT: "SectorActivations"}
 # The documented onboarding fields for the same job; choose with `archetype_fields=`.
 ARCHETYPE_ACTIVATION_FIELDS = {
     PRECOMMIT_BATCH: ("Sectors",),

@@ -129,8 +129,13 @@ def sector_counts(
     columns = ["date", "cid", "method", "sector_count", "copies"]
     if event_id is None:
         return counted.withColumn("sector_count", F.col("param_count")).select(columns)
-    added = added_by_message(events, event_id, cfg, start)
-    # Laid out by id once, which also serves the window, this join and the join to the gas.
+    # At most one entry per calendar day, so an id's map stays short. Looking the day up lets
+    # this join, the window and the later join to the gas all work on rows laid out by id.
+    by_day = (
+        added_by_message(events, event_id, cfg, start)
+        .groupBy("cid")
+        .agg(F.map_from_entries(F.collect_list(F.struct("date", "events"))).alias("by_day"))
+    )
     laid_out = counted.repartition("cid")
     if start is None or start <= cfg.window_start:
         folded = F.sum("copies").over(Window.partitionBy("cid", "method"))
@@ -140,14 +145,12 @@ def sector_counts(
         everywhere = in_window(messages, cfg).where(F.col("method").isin(*fields))
         totals = everywhere.groupBy("cid", "method").agg(F.count("*").alias("same_method"))
         laid_out = laid_out.join(totals, ["cid", "method"], "left")
-    from_events = F.when(
-        F.col("method").isin(*event_methods), F.col("events") * F.col("same_method")
-    )
-    order = [F.col("param_count"), from_events]
+    seen = F.try_element_at("by_day", F.col("date")) * F.col("same_method")
+    order = [F.col("param_count"), F.when(F.col("method").isin(*event_methods), seen)]
     if prefer == "events":
         order.reverse()
     return (
-        laid_out.join(added, ["cid", "date"], "left")
+        laid_out.join(by_day, "cid", "left")
         .withColumn("sector_count", F.coalesce(*order))
         .select(columns)
     )

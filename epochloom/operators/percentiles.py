@@ -8,6 +8,8 @@ from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from epochloom.functions.amounts import ratio
+
 # A day of at most this many rows is aggregated in one buffer.
 BUFFERED_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
@@ -115,21 +117,31 @@ def sliced_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -
     )
 
 
-def counted_median(counts: DataFrame, value: str, weight: str, name: str) -> DataFrame:
-    """One row per `date`: the lower median of `value`, each row standing for `weight` equal ones.
+def counted_sizes(
+    counts: DataFrame, value: str, weight: str, keep: Column | None = None
+) -> DataFrame:
+    """date, mean, median, rows: of `value`, each row standing for `weight` equal ones.
 
-    For values with few distinct levels, such as batch sizes, already counted per day: the
-    window then sees one row per level however many messages there were.
+    The median is the lower middle element. Mean and median skip NULLs and what `keep` rules
+    out; `rows` counts everything. For sizes already counted per day: the window sees one row
+    per distinct size, and sizes that differ add up, so a day with S sectors in all holds at
+    most about sqrt(2 S) of them.
     """
     by_day = Window.partitionBy("date")
-    ranked = counts.where(F.col(value).isNotNull()).select(
+    kept = F.col(value).isNotNull() if keep is None else F.col(value).isNotNull() & keep
+    ranked = counts.select(
         "date",
-        value,
-        F.sum(weight).over(by_day.orderBy(value)).alias("reached"),
-        F.sum(weight).over(by_day).alias("total"),
+        F.col(weight).alias("all"),
+        F.when(kept, F.col(value)).alias("v"),
+        F.when(kept, F.col(weight)).alias("w"),
+    ).withColumns(
+        {
+            "reached": F.sum("w").over(by_day.orderBy("v")),
+            "total": F.sum("w").over(by_day),
+        }
     )
-    return (
-        ranked.where(F.col("reached") * 2 >= F.col("total"))
-        .groupBy("date")
-        .agg(F.min(value).alias(name))
+    return ranked.groupBy("date").agg(
+        ratio(F.sum(F.col("v") * F.col("w")), F.sum("w")).alias("mean"),
+        F.min(F.when(F.col("reached") * 2 >= F.col("total"), F.col("v"))).alias("median"),
+        F.sum("all").alias("rows"),
     )

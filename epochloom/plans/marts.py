@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from epochloom.config import (
+    ACTIVATION_FIELDS,
     ARCHETYPE_COUNT_FIELDS,
     ATTO_PER_COIN,
     PATH_COUNT_FIELDS,
@@ -106,17 +107,27 @@ def sector_events(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
 
 
 def activations(
-    t: Ledger, cfg: LedgerConfig, since: Day = None, strict: bool = False
+    t: Ledger,
+    cfg: LedgerConfig,
+    since: Day = None,
+    strict: bool = False,
+    fields: Mapping[str, str] = ACTIVATION_FIELDS,
 ) -> DataFrame:
     """date, total, market: activated sectors, and those that notify the market actor.
 
     Sectors are classed inside each message's own array; no row per sector is made.
     """
     through_market = notifies_market_strict if strict else notifies_market
+    sectors = F.coalesce(
+        *[
+            F.when(F.col("method") == method, array_elements(F.col("params"), field))
+            for method, field in fields.items()
+        ]
+    )
     return (
         dated(t.parsed_messages, cfg, since, cfg.onboarding_window_start)
-        .where(F.col("method") == PROVE_COMMIT)
-        .select("date", array_elements(F.col("params"), "SectorActivations").alias("sectors"))
+        .where(F.col("method").isin(*fields))
+        .select("date", sectors.alias("sectors"))
         .where(F.size("sectors") > 0)
         .groupBy("date")
         .agg(

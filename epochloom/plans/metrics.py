@@ -26,7 +26,7 @@ from epochloom.operators.daily import (
     trailing_mean,
     yield_per_unit,
 )
-from epochloom.operators.percentiles import counted_median
+from epochloom.operators.percentiles import counted_sizes
 from epochloom.operators.quality import check_pct_sum
 from epochloom.operators.state import state_delta_daily
 from epochloom.plans.marts import POWERS, Marts, events_where
@@ -145,43 +145,22 @@ def power_added(m: Marts) -> DataFrame:
     return rolling_mean(daily, names.values(), m.cfg.smooth_days)
 
 
-def _mean_size(keep: Column) -> Column:
-    size, messages = F.col("sector_count"), F.col("messages")
-    return ratio(
-        F.sum(F.when(keep, size * messages)),
-        F.sum(F.when(keep & size.isNotNull(), messages)),
-    )
-
-
 @metric
 def precommit_sector_batch_size(m: Marts) -> DataFrame:
-    batches, proofs = m["batch_sizes"], m["aggregate_sizes"]
-    is_sized = F.col("sector_count") > 0
-    batch_daily = batches.groupBy("date").agg(
-        _mean_size(F.lit(True)).alias("avg_sectors_per_message"),
-        F.sum("messages").alias("messages"),
-    )
-    proof_daily = proofs.groupBy("date").agg(
-        _mean_size(is_sized).alias("avg_aggregate_size"),
-        F.sum("messages").alias("aggregate_messages"),
-    )
-    joined = join_days(
-        batch_daily,
-        counted_median(batches, "sector_count", "messages", "median_sectors_per_message"),
-        proof_daily,
-        counted_median(
-            proofs.where(is_sized), "sector_count", "messages", "median_aggregate_size"
-        ),
+    batches = counted_sizes(m["batch_sizes"], "sector_count", "messages").select(
+        "date",
+        F.col("mean").alias("avg_sectors_per_message"),
+        F.col("median").alias("median_sectors_per_message"),
+        F.col("rows").alias("messages"),
     )
-    return joined.select(
+    sized = F.col("sector_count") > 0
+    proofs = counted_sizes(m["aggregate_sizes"], "sector_count", "messages", sized).select(
         "date",
-        "avg_sectors_per_message",
-        "median_sectors_per_message",
-        "messages",
-        "avg_aggregate_size",
-        "median_aggregate_size",
-        "aggregate_messages",
+        F.col("mean").alias("avg_aggregate_size"),
+        F.col("median").alias("median_aggregate_size"),
+        F.col("rows").alias("aggregate_messages"),
     )
+    return join_days(batches, proofs)
 
 
 @metric

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from epochloom.operators.percentiles import counted_median, day_percentiles, sliced_percentiles
+from epochloom.operators.percentiles import counted_sizes, day_percentiles, sliced_percentiles
 
 WANTED = {"p0": 0.0, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p100": 1.0}
 
@@ -45,11 +45,19 @@ def test_no_rows(spark):
     assert sliced_percentiles(empty, "v", WANTED).count() == 0
 
 
-def test_counted_median_is_an_element(spark):
+def test_counted_sizes(spark):
     rows = [("a", 1, 2), ("a", 7, 1), ("a", 9, 1), ("b", 4, 1), ("b", 6, 1), ("b", None, 50)]
+    rows += [("c", None, 3), ("d", 0, 2), ("d", 5, 1)]
     df = spark.createDataFrame(rows, "date string, n long, messages long")
-    found = counted_median(df, "n", "messages", "m").orderBy("date").collect()
-    assert [tuple(r) for r in found] == [("a", 1), ("b", 4)]
+    found = counted_sizes(df, "n", "messages").orderBy("date").collect()
+    assert [tuple(r) for r in found] == [
+        ("a", 4.5, 1, 4),
+        ("b", 5.0, 4, 52),
+        ("c", None, None, 3),
+        ("d", pytest.approx(5 / 3), 0, 3),
+    ]
+    positive = counted_sizes(df, "n", "messages", F.col("n") > 0).where("date = 'd'")
+    assert tuple(positive.first()) == ("d", 5.0, 5, 3)
 
 
 def test_counted_median_matches_the_sketch(spark):
@@ -57,6 +65,6 @@ def test_counted_median_matches_the_sketch(spark):
         F.concat(F.lit("d"), F.col("id") % 7).alias("date"), (F.col("id") * 37 % 53).alias("n")
     )
     counts = df.groupBy("date", "n").agg(F.count("*").alias("w"))
-    exact = counted_median(counts, "n", "w", "m")
+    exact = counted_sizes(counts, "n", "w")
     sketch = df.groupBy("date").agg(F.percentile_approx("n", 0.5, 10000).alias("s"))
-    assert exact.join(sketch, "date").where("m <> s").count() == 0
+    assert exact.join(sketch, "date").where("median <> s").count() == 0
