@@ -20,16 +20,14 @@ from epochloom.sources.tables import in_window
 
 
 def gas_by_message(gas: DataFrame, cfg: LedgerConfig, unit: float = ATTO_PER_NANO) -> DataFrame:
-    """Per id: summed fee, summed gas used, and the rows behind them."""
-    return (
-        in_window(gas, cfg)
-        .groupBy("cid")
-        .agg(
-            F.sum(burnt_fee(unit)).alias("fee"),
-            F.count(burnt_fee(unit)).alias("fee_rows"),
-            F.sum(number(F.col("gas_used"))).alias("gas_used"),
-            F.count("*").alias("gas_rows"),
-        )
+    """Per id: fee and rows inside the window, gas used and rows at any height."""
+    fee = F.when(F.col("height") > cfg.window_start, burnt_fee(unit))
+    return gas.groupBy("cid").agg(
+        F.sum(fee).alias("fee"),
+        F.count(fee).alias("fee_rows"),
+        F.count_if(F.col("height") > cfg.window_start).alias("window_rows"),
+        F.sum(number(F.col("gas_used"))).alias("gas_used"),
+        F.count("*").alias("gas_rows"),
     )
 
 
@@ -98,70 +96,113 @@ def added_by_message(
     )
 
 
-def sector_counts(
+def fold_messages(
     messages: DataFrame,
-    events: DataFrame,
-    event_id: str | None,
-    fields: Mapping[str, Sequence[str]],
-    event_methods: Sequence[str],
+    counts: Mapping[str, Mapping[str, Sequence[str]]],
     cfg: LedgerConfig,
-    prefer: str = "params",
     start: int | None = None,
 ) -> DataFrame:
-    """(date, cid, method, sector_count, copies): sectors per message, equal messages folded.
+    """(cid, method, date, <counts>, copies): equal messages folded into one row.
 
-    The count comes from the parameters. Where they give none (a count of 0 is one), it is
-    the number of sector-added events joined to the message on the same day; `prefer="events"`
-    turns the order round. Without an event id column there is no fallback. `start` keeps only
-    messages after that height, counted as they would be among all of the window's.
+    `counts` names the sector counts to read, each with the parameter arrays of its methods;
+    only those methods are kept. `start` keeps only messages after that height.
     """
-    counted = (
+    methods = {method for fields in counts.values() for method in fields}
+    return (
         in_window(messages, cfg, start)
-        .where(F.col("method").isin(*fields))
+        .where(F.col("method").isin(*sorted(methods)))
         .groupBy(
             "cid",
             "method",
             epoch_to_day(F.col("height"), cfg).alias("date"),
-            param_count(F.col("method"), F.col("params"), fields).alias("param_count"),
+            *[
+                param_count(F.col("method"), F.col("params"), fields).alias(name)
+                for name, fields in counts.items()
+            ],
         )
         .agg(F.count("*").alias("copies"))
     )
-    columns = ["date", "cid", "method", "sector_count", "copies"]
+
+
+def with_event_counts(
+    folded: DataFrame,
+    messages: DataFrame,
+    events: DataFrame,
+    event_id: str | None,
+    cfg: LedgerConfig,
+    start: int | None = None,
+) -> DataFrame:
+    """Adds `seen`: sector-added events joined to the message's id and method on its day.
+
+    Every event meets every message of the id and method, so the events of the day are
+    multiplied by those messages. Without an event id column `seen` is NULL.
+    """
     if event_id is None:
-        return counted.withColumn("sector_count", F.col("param_count")).select(columns)
+        return folded.withColumn("seen", F.lit(None).cast("bigint"))
     # At most one entry per calendar day, so an id's map stays short. Looking the day up lets
-    # this join, the window and the later join to the gas all work on rows laid out by id.
+    # this join, the window and a later join to the gas all work on rows laid out by id.
     by_day = (
         added_by_message(events, event_id, cfg, start)
         .groupBy("cid")
         .agg(F.map_from_entries(F.collect_list(F.struct("date", "events"))).alias("by_day"))
     )
-    laid_out = counted.repartition("cid")
+    laid_out = folded.repartition("cid")
     if start is None or start <= cfg.window_start:
-        folded = F.sum("copies").over(Window.partitionBy("cid", "method"))
-        laid_out = laid_out.withColumn("same_method", folded)
+        same_method = F.sum("copies").over(Window.partitionBy("cid", "method"))
+        laid_out = laid_out.withColumn("same_method", same_method)
     else:
         # Earlier messages of the same id count too; their parameters are not read.
-        everywhere = in_window(messages, cfg).where(F.col("method").isin(*fields))
-        totals = everywhere.groupBy("cid", "method").agg(F.count("*").alias("same_method"))
+        totals = (
+            in_window(messages, cfg)
+            .groupBy("cid", "method")
+            .agg(F.count("*").alias("same_method"))
+        )
         laid_out = laid_out.join(totals, ["cid", "method"], "left")
     seen = F.try_element_at("by_day", F.col("date")) * F.col("same_method")
-    order = [F.col("param_count"), F.when(F.col("method").isin(*event_methods), seen)]
+    return laid_out.join(by_day, "cid", "left").select(
+        *folded.columns, seen.alias("seen")
+    )
+
+
+def sectors_of(param: str, event_methods: Sequence[str], prefer: str = "params") -> Column:
+    """The count from the parameters, or for these methods from the events where it is NULL.
+
+    A count of 0 is a count. `prefer="events"` turns the order round.
+    """
+    order = [F.col(param), F.when(F.col("method").isin(*event_methods), F.col("seen"))]
     if prefer == "events":
         order.reverse()
-    return (
-        laid_out.join(by_day, "cid", "left")
-        .withColumn("sector_count", F.coalesce(*order))
-        .select(columns)
+    return F.coalesce(*order)
+
+
+def sector_counts(
+    messages: DataFrame,
+    events: DataFrame,
+    event_id: str | None,
+    fields: Mapping[str, Sequence[str]],
+    event_methods: Sequence[str],
+    cfg: LedgerConfig,
+    prefer: str = "params",
+    start: int | None = None,
+) -> DataFrame:
+    """(date, cid, method, sector_count, copies): sectors per message, with event fallback."""
+    folded = fold_messages(messages, {"param_count": fields}, cfg, start)
+    return with_event_counts(folded, messages, events, event_id, cfg, start).select(
+        "date",
+        "cid",
+        "method",
+        sectors_of("param_count", event_methods, prefer).alias("sector_count"),
+        "copies",
     )
 
 
-def mean_cost_per_sector(counts: DataFrame, gas: DataFrame, by: Sequence[str], name: str):
-    """Mean over matched (message, gas) rows of fee per sector."""
-    fee_per_sector = F.col("copies") * ratio(F.col("fee"), F.col("sector_count"))
+def mean_cost_per_sector(
+    costed: DataFrame, sectors: str, by: Sequence[str], name: str
+) -> DataFrame:
+    """Mean of fee per sector over the (message, gas) pairs behind folded rows with gas."""
+    fee_per_sector = F.col("copies") * ratio(F.col("fee"), F.col(sectors))
     return (
-        counts.where(F.col("sector_count") > 0)
-        .join(gas.select("cid", "fee", "fee_rows"), "cid")
+        costed.where((F.col(sectors) > 0) & (F.col("window_rows") > 0))
         .groupBy(*by)
         .agg(
             ratio(F.sum(fee_per_sector), F.sum(F.col("copies") * F.col("fee_rows"))).alias(name)

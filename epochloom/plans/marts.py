@@ -9,7 +9,7 @@ gas may lie on different days. So a frame for some days equals those days of the
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,7 +28,6 @@ from epochloom.functions.amounts import coins, lifetime_cost, number, ratio
 from epochloom.functions.classes import size_class
 from epochloom.functions.params import (
     array_elements,
-    array_length,
     notifies_market,
     notifies_market_strict,
 )
@@ -36,9 +35,11 @@ from epochloom.functions.time import epoch_to_day, phase_of
 from epochloom.operators.daily import join_days
 from epochloom.operators.messages import (
     fee_per_class,
+    fold_messages,
     gas_by_message,
     mean_cost_per_sector,
-    sector_counts,
+    sectors_of,
+    with_event_counts,
 )
 from epochloom.operators.percentiles import day_percentiles
 from epochloom.operators.state import state_changes
@@ -137,79 +138,122 @@ def activations(
     )
 
 
-def path_counts(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
-    """Sectors per onboarding message, from parameters or events."""
-    return sector_counts(
-        t.parsed_messages,
-        t.miner_sector_events,
-        resolve_column(t.miner_sector_events),
-        PATH_COUNT_FIELDS,
-        [PROVE_COMMIT, PROVE_AGGREGATE, PROVE_UPDATES],
-        cfg,
-        start=start_height(cfg, since),
-    )
+PATH_EVENT_METHODS = (PROVE_COMMIT, PROVE_AGGREGATE, PROVE_UPDATES)
+ARCHETYPE_EVENT_METHODS = (PROVE_COMMIT,)
+
+
+def onboarding(
+    t: Ledger,
+    cfg: LedgerConfig,
+    since: Day = None,
+    counts: Sequence[str] = ("path_sectors", "archetype_sectors"),
+    events: bool = True,
+    gas: bool = True,
+    archetype_fields: Mapping[str, Sequence[str]] = ARCHETYPE_COUNT_FIELDS,
+    prefer: str = "params",
+) -> DataFrame:
+    """Onboarding messages with their sector counts and gas, equal ones folded.
+
+    The parameters are parsed, and messages, events and gas brought together by id, once for
+    all frames below. `counts`, `events` and `gas` leave out what a single frame does not use.
+    """
+    start = start_height(cfg, since)
+    sources = {
+        "path_sectors": (PATH_COUNT_FIELDS, PATH_EVENT_METHODS),
+        "archetype_sectors": (archetype_fields, ARCHETYPE_EVENT_METHODS),
+    }
+    fields = {name: sources[name][0] for name in counts}
+    rows = fold_messages(t.parsed_messages, fields, cfg, start)
+    if events:
+        id_column = resolve_column(t.miner_sector_events)
+        rows = with_event_counts(
+            rows, t.parsed_messages, t.miner_sector_events, id_column, cfg, start
+        )
+        rows = rows.withColumns(
+            {name: sectors_of(name, sources[name][1], prefer) for name in counts}
+        ).drop("seen")
+    for name in counts:
+        counted = F.when(F.col("method").isin(*fields[name]), F.col(name))
+        rows = rows.withColumn(name, counted)
+    if not gas:
+        return rows
+    return rows.join(gas_by_message(t.derived_gas_outputs, cfg), "cid", "left")
+
+
+def _given(messages: DataFrame | None, t: Ledger, cfg: LedgerConfig, since: Day, **parts):
+    return onboarding(t, cfg, since, **parts) if messages is None else messages
 
 
-def path_costs(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+def path_costs(
+    t: Ledger, cfg: LedgerConfig, since: Day = None, messages: DataFrame | None = None
+) -> DataFrame:
     """date, method, cost: mean nano cost per sector of each onboarding path."""
-    gas = gas_by_message(t.derived_gas_outputs, cfg)
-    return mean_cost_per_sector(path_counts(t, cfg, since), gas, ["date", "method"], "cost")
+    rows = _given(messages, t, cfg, since, counts=["path_sectors"])
+    return mean_cost_per_sector(rows, "path_sectors", ["date", "method"], "cost")
 
 
 def archetype_costs(
-    t: Ledger, cfg: LedgerConfig, since: Day = None, archetype_fields=ARCHETYPE_COUNT_FIELDS
+    t: Ledger, cfg: LedgerConfig, since: Day = None, messages: DataFrame | None = None
 ) -> DataFrame:
     """date, sp_archetype, cost: mean cost per method and size class, summed over methods."""
-    counts = sector_counts(
-        t.parsed_messages,
-        t.miner_sector_events,
-        resolve_column(t.miner_sector_events),
-        archetype_fields,
-        [PROVE_COMMIT],
-        cfg,
-        start=start_height(cfg, since),
-    )
-    classed = counts.withColumn("sp_archetype", size_class(F.col("sector_count"), cfg))
-    gas = gas_by_message(t.derived_gas_outputs, cfg)
+    rows = _given(messages, t, cfg, since, counts=["archetype_sectors"])
+    classed = rows.withColumn("sp_archetype", size_class(F.col("archetype_sectors"), cfg))
+    by_method = ["date", "method", "sp_archetype"]
     return (
-        mean_cost_per_sector(classed, gas, ["date", "method", "sp_archetype"], "cost")
+        mean_cost_per_sector(classed, "archetype_sectors", by_method, "cost")
         .groupBy("date", "sp_archetype")
         .agg(F.sum("cost").alias("cost"))
     )
 
 
-def gas_totals(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
-    """date, gas_used, gas_limit."""
-    return (
-        dated(t.derived_gas_outputs, cfg, since)
-        .groupBy("date")
-        .agg(F.sum("gas_used").alias("gas_used"), F.sum("gas_limit").alias("gas_limit"))
+def batch_gas(
+    t: Ledger, cfg: LedgerConfig, since: Day = None, messages: DataFrame | None = None
+) -> DataFrame:
+    """date, gas_per_sector: gas used by batched pre-commits over the sectors they carry.
+
+    Unlike the fees, the gas matched here carries no window of its own.
+    """
+    rows = _given(messages, t, cfg, since, counts=["path_sectors"], events=False)
+    batches = rows.where(
+        (F.col("method") == PRECOMMIT_BATCH)
+        & (F.col("path_sectors") > 0)
+        & (F.col("gas_rows") > 0)
     )
+    gas, sectors = F.col("gas_used"), F.col("path_sectors") * F.col("gas_rows")
+    per_sector = ratio(F.sum(F.col("copies") * gas), F.sum(F.col("copies") * sectors))
+    return batches.groupBy("date").agg(per_sector.alias("gas_per_sector"))
 
 
-def batch_gas(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
-    """date, gas_per_sector: gas used by batched pre-commits over the sectors they carry."""
-    batches = (
-        dated(t.parsed_messages, cfg, since)
-        .where(F.col("method") == PRECOMMIT_BATCH)
-        .select("date", "cid", array_length(F.col("params"), "Sectors").alias("sectors"))
-        .where(F.col("sectors") > 0)
-        .groupBy("cid", "date")
-        .agg(F.count("*").alias("copies"), F.sum("sectors").alias("sectors"))
-    )
-    # Unlike the daily totals, the gas matched here carries no window of its own.
-    gas = t.derived_gas_outputs.groupBy("cid").agg(
-        F.sum(number(F.col("gas_used"))).alias("gas_used"), F.count("*").alias("gas_rows")
+def batch_sizes(
+    t: Ledger, cfg: LedgerConfig, since: Day = None, messages: DataFrame | None = None
+) -> DataFrame:
+    """date, sector_count, messages of the batched pre-commits; the count may be NULL."""
+    parts = {"counts": ["path_sectors"], "events": False, "gas": False}
+    return _sizes(_given(messages, t, cfg, since, **parts), PRECOMMIT_BATCH)
+
+
+def aggregate_sizes(
+    t: Ledger, cfg: LedgerConfig, since: Day = None, messages: DataFrame | None = None
+) -> DataFrame:
+    """date, sector_count, messages of the aggregated proofs, with the event fallback."""
+    rows = _given(messages, t, cfg, since, counts=["path_sectors"], gas=False)
+    return _sizes(rows, PROVE_AGGREGATE)
+
+
+def _sizes(messages: DataFrame, method: str) -> DataFrame:
+    return (
+        messages.where(F.col("method") == method)
+        .groupBy("date", F.col("path_sectors").alias("sector_count"))
+        .agg(F.sum("copies").alias("messages"))
     )
+
+
+def gas_totals(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
+    """date, gas_used, gas_limit."""
     return (
-        batches.join(gas, "cid")
+        dated(t.derived_gas_outputs, cfg, since)
         .groupBy("date")
-        .agg(
-            ratio(
-                F.sum(F.col("copies") * F.col("gas_used")),
-                F.sum(F.col("sectors") * F.col("gas_rows")),
-            ).alias("gas_per_sector")
-        )
+        .agg(F.sum("gas_used").alias("gas_used"), F.sum("gas_limit").alias("gas_limit"))
     )
 
 
@@ -230,30 +274,6 @@ def power_changes(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
     return state_changes(claims, "miner_id", ["height"], POWERS, cfg)
 
 
-def batch_sizes(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
-    """date, sector_count, messages of the batched pre-commits; the count may be NULL."""
-    return (
-        dated(t.parsed_messages, cfg, since)
-        .where(F.col("method") == PRECOMMIT_BATCH)
-        .groupBy("date", array_length(F.col("params"), "Sectors").alias("sector_count"))
-        .agg(F.count("*").alias("messages"))
-    )
-
-
-def aggregate_sizes(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
-    """date, sector_count, messages of the aggregated proofs, with the event fallback."""
-    counts = sector_counts(
-        t.parsed_messages,
-        t.miner_sector_events,
-        resolve_column(t.miner_sector_events),
-        {PROVE_AGGREGATE: PATH_COUNT_FIELDS[PROVE_AGGREGATE]},
-        [PROVE_AGGREGATE],
-        cfg,
-        start=start_height(cfg, since),
-    )
-    return counts.groupBy("date", "sector_count").agg(F.sum("copies").alias("messages"))
-
-
 def fee_costs(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
     """date, cost, sectors: mean projected fee over declared lifetimes, and the rows behind it."""
     start, end, fee = F.col("activation_epoch"), F.col("expiration_epoch"), F.col("daily_fee")
@@ -272,7 +292,11 @@ def fee_costs(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
     )
 
 
-MARTS = {
+# Frames taken from the onboarding messages, and frames taken from the facts themselves.
+FROM_ONBOARDING = {
+    f.__name__: f for f in (path_costs, archetype_costs, batch_gas, batch_sizes, aggregate_sizes)
+}
+FROM_FACTS = {
     f.__name__: f
     for f in (
         base_fees,
@@ -281,17 +305,13 @@ MARTS = {
         rewards,
         sector_events,
         activations,
-        path_costs,
-        archetype_costs,
         gas_totals,
-        batch_gas,
         miner_counts,
         power_changes,
-        batch_sizes,
-        aggregate_sizes,
         fee_costs,
     )
 }
+MARTS = {**FROM_FACTS, **FROM_ONBOARDING}
 
 
 class Marts:

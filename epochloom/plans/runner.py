@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epochloom.config import LedgerConfig
-from epochloom.plans.marts import MARTS, Marts
+from epochloom.plans.marts import FROM_FACTS, FROM_ONBOARDING, MARTS, Marts, onboarding
 from epochloom.plans.metrics import DAILY
 from epochloom.sources.json_records import write_records
 from epochloom.sources.tables import Ledger
@@ -27,6 +27,7 @@ def store_mart(df: DataFrame, path: str, replace_days_only: bool = False) -> Non
     ).partitionBy("date").parquet(path)
 
 
+ONBOARDING = "onboarding"
 STATE = "_reached"
 
 
@@ -55,8 +56,15 @@ def store_marts(
     these files. A day left without rows keeps its earlier result when `since` is given, which
     append-only facts never bring about.
     """
-    for name, build in MARTS.items():
-        store_mart(build(ledger, cfg, since), f"{root}/{name}", since is not None)
+    some_days = since is not None
+    for name, build in FROM_FACTS.items():
+        store_mart(build(ledger, cfg, since), f"{root}/{name}", some_days)
+    store_mart(onboarding(ledger, cfg, since), f"{root}/{ONBOARDING}", some_days)
+    messages = spark.read.parquet(f"{root}/{ONBOARDING}")
+    if some_days:
+        messages = messages.where(F.col("date") >= F.lit(since))
+    for name, build in FROM_ONBOARDING.items():
+        store_mart(build(ledger, cfg, since, messages), f"{root}/{name}", some_days)
     marts = stored_marts(spark, cfg, root)
     newest = reduce(
         DataFrame.union, [marts[name].agg(F.max("date").alias("date")) for name in MARTS]

@@ -8,7 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from epochloom.operators.quality import CheckFailed
-from epochloom.plans.marts import MARTS, Marts, activations, archetype_costs
+from epochloom.plans.marts import (
+    FROM_ONBOARDING,
+    MARTS,
+    Marts,
+    activations,
+    archetype_costs,
+    onboarding,
+)
 from epochloom.plans.metrics import METRICS, small_batch_count
 from epochloom.plans.runner import reached_day, store_marts, write_metrics
 from epochloom.config import ARCHETYPE_ACTIVATION_FIELDS
@@ -141,13 +148,21 @@ def test_event_fallback_gives_the_aggregate_size(marts):
 
 
 def test_archetype_fields(ledger):
-    """By default the activation array is not a count, and without events there is none."""
-    default = archetype_costs(ledger, CFG).groupBy("date").count()
-    documented = archetype_costs(
-        ledger, CFG, archetype_fields=ARCHETYPE_ACTIVATION_FIELDS
-    )
-    assert default.count() == 4
-    assert documented.where("sp_archetype = 'small_sp'").count() >= 1
+    """By default the activation array is not a count, so those messages have none."""
+    documented = onboarding(ledger, CFG, archetype_fields=ARCHETYPE_ACTIVATION_FIELDS)
+    for rows_, counted in ((onboarding(ledger, CFG), 0), (documented, 7)):
+        proofs = rows_.where("method = 'ProveCommitSectors3'")
+        assert proofs.count() == 7
+        assert proofs.where("archetype_sectors is not null").count() == counted
+        assert archetype_costs(ledger, CFG, messages=rows_).count() >= 4
+
+
+def test_frames_share_the_onboarding_messages(ledger):
+    shared = onboarding(ledger, CFG)
+    for name, build in FROM_ONBOARDING.items():
+        own, common = build(ledger, CFG), build(ledger, CFG, messages=shared)
+        assert own.count() > 0
+        assert own.exceptAll(common).count() == common.exceptAll(own).count() == 0, name
 
 
 def test_power_starts_with_null(marts):

@@ -44,9 +44,8 @@ def test_hot_id_in_the_costs(spark):
         F.expr(HOT).alias("message_cid"),
     )
     counts = m.sector_counts(messages(spark), events, "message_cid", PATH_COUNT_FIELDS, [], CFG)
-    costs = m.mean_cost_per_sector(
-        counts, m.gas_by_message(gas(spark), CFG, 1.0), ["date", "method"], "cost"
-    )
+    costed = counts.join(m.gas_by_message(gas(spark), CFG, 1.0), "cid", "left")
+    costs = m.mean_cost_per_sector(costed, "sector_count", ["date", "method"], "cost")
     assert [r.cost for r in costs.collect()] == [1.0]
 
 

@@ -33,12 +33,27 @@ def _rows(frame: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=lambda row: [(v is not None, str(type(v)), v) for v in row])
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def differences(spark: SparkSession, con, sf_dir: str, name: str) -> list[str]:
     """What differs; empty when columns, row count and every value agree."""
-    ours = all_queries()[name](spark, sf_dir).toPandas()
-    theirs = con.execute(all_sql()[name]).df()
+    frame = all_queries()[name](spark, sf_dir)
+    ours = frame.toPandas()
+    result = con.execute(all_sql()[name])
+    types = {column[0]: str(column[1]) for column in result.description}
+    theirs = result.df()
     if sorted(ours.columns) != sorted(theirs.columns):
         return [f"columns {sorted(ours.columns)} / {sorted(theirs.columns)}"]
+    wanted = {column: TYPES.get(dtype, dtype) for column, dtype in frame.dtypes}
+    if wanted != types:
+        return [f"types {wanted} / {types}"]
     mine, other = _rows(ours), _rows(theirs)
     if len(mine) != len(other):
         return [f"rows {len(mine)} / {len(other)}"]

@@ -314,7 +314,14 @@ def distinct_keys(t: Ledger) -> DataFrame:
 
 
 def _path_counts(t: Ledger) -> DataFrame:
-    return marts.path_counts(t, FACTS)
+    return m.sector_counts(
+        t.parsed_messages,
+        t.miner_sector_events,
+        resolve_column(t.miner_sector_events),
+        PATH_COUNT_FIELDS,
+        marts.PATH_EVENT_METHODS,
+        FACTS,
+    )
 
 
 def pivot_mean(t: Ledger) -> DataFrame:
