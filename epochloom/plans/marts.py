@@ -28,6 +28,7 @@ from epochloom.functions.amounts import coins, lifetime_cost, number, ratio
 from epochloom.functions.classes import size_class
 from epochloom.functions.params import (
     array_elements,
+    array_length,
     notifies_market,
     notifies_market_strict,
 )
@@ -228,8 +229,15 @@ def batch_sizes(
     t: Ledger, cfg: LedgerConfig, since: Day = None, messages: DataFrame | None = None
 ) -> DataFrame:
     """date, sector_count, messages of the batched pre-commits; the count may be NULL."""
-    parts = {"counts": ["path_sectors"], "events": False, "gas": False}
-    return _sizes(_given(messages, t, cfg, since, **parts), PRECOMMIT_BATCH)
+    if messages is None:
+        # Needs neither side nor folding by id, so each message counts as one.
+        messages = dated(t.parsed_messages, cfg, since).select(
+            "date",
+            "method",
+            array_length(F.col("params"), "Sectors").alias("path_sectors"),
+            F.lit(1).cast("bigint").alias("copies"),
+        )
+    return _sizes(messages, PRECOMMIT_BATCH)
 
 
 def aggregate_sizes(
