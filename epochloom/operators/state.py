@@ -104,28 +104,27 @@ def day_key_spine(rows: DataFrame, key: str) -> DataFrame:
 def fill_forward(rows: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
     """Last non-NULL values of every key on every observed day, NULL before its first row.
 
-    Each change row is spread over the days until the key's next one, so no grid is joined
-    and only the change rows are shuffled and sorted.
+    Each change row is unfolded over the days until the key's next one, so no grid is joined,
+    only the change rows are shuffled and sorted, and the work is that of the result.
     """
     ordered = Window.partitionBy(key).orderBy("date")
+    days = _observed_days(rows)
     spans = rows.select(
         key,
         *[carried(v, key).alias(v) for v in values],
         F.col("date").alias("start"),
-        F.lead("date").over(ordered).alias("until"),
-        (F.row_number().over(ordered) == 1).alias("is_first"),
+        F.when(F.row_number().over(ordered) > 1, F.array_position(days, F.col("date")))
+        .otherwise(1)
+        .alias("low"),
+        F.coalesce(F.array_position(days, F.lead("date").over(ordered)), F.size(days) + 1).alias(
+            "end"
+        ),
     )
-    held = spans.withColumn("days", _observed_days(rows)).select(
+    held = spans.select(
+        F.explode(F.slice(days, F.col("low"), F.col("end") - F.col("low"))).alias("date"),
         key,
         *values,
         "start",
-        F.explode(
-            F.filter(
-                "days",
-                lambda d: (F.col("is_first") | (d >= F.col("start")))
-                & (F.col("until").isNull() | (d < F.col("until"))),
-            )
-        ).alias("date"),
     )
     return held.select(
         "date", key, *[F.when(F.col("date") >= F.col("start"), F.col(v)).alias(v) for v in values]
