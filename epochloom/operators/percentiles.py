@@ -20,7 +20,7 @@ GRID = 8
 def day_percentiles(
     df: DataFrame, value: str, wanted: Mapping[str, float], buffered_rows: int = BUFFERED_ROWS
 ) -> DataFrame:
-    """One row per `date` with the named interpolated percentiles of `value`.
+    """One row per `date` with the named interpolated percentiles of `value`, NULLs skipped.
 
     The built-in percentile holds a group's distinct values in one buffer. The largest day is
     counted first; beyond `buffered_rows` the work goes to `sliced_percentiles`, which never
@@ -45,7 +45,7 @@ def _ranks(fraction: float) -> tuple[Column, Column, Column]:
 
 
 def sliced_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -> DataFrame:
-    """The same result for days of any size.
+    """As `day_percentiles`, for days of any size.
 
     A quantile sketch proposes cut points, rows between cuts are counted, and only the slices
     that hold a wanted rank are grouped by value and sorted. The counts are exact, so the
@@ -98,6 +98,8 @@ def sliced_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("v")))
 
+    # A day without values still has a row, as it has from the built-in aggregate.
+    days = df.select("date").distinct()
     found = placed.groupBy("date", "n").agg(
         *[
             at(rank).alias(f"{name}_{side}")
@@ -105,7 +107,7 @@ def sliced_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -
             for side, rank in (("low", low), ("high", high))
         ],
     )
-    return found.select(
+    return days.join(F.broadcast(found), "date", "left").select(
         "date",
         *[
             (

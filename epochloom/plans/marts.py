@@ -33,7 +33,6 @@ from epochloom.functions.params import (
     notifies_market_strict,
 )
 from epochloom.functions.time import epoch_to_day, phase_of
-from epochloom.operators.daily import join_days
 from epochloom.operators.messages import (
     fee_per_class,
     fold_messages,
@@ -71,8 +70,7 @@ def base_fees(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
     fees = dated(t.block_headers, cfg, since).select(
         "date", number(F.col("parent_base_fee")).alias("fee")
     )
-    found = day_percentiles(fees, "fee", {"p50": 0.5, "p95": 0.95})
-    return join_days(fees.select("date").distinct(), found)
+    return day_percentiles(fees, "fee", {"p50": 0.5, "p95": 0.95})
 
 
 def burn(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:

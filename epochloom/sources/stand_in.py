@@ -29,6 +29,22 @@ EVENTS = LedgerConfig(
 CLAIMS = EVENTS.with_(window_start=10599 * 2880 - 1)
 
 
+# Declared, so that opening a table reads no file footers.
+SCHEMAS = {
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+        "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+        "props STRING"
+    ),
+}
 EVENT_HEIGHT = (
     "datediff(to_date(ts), DATE'1995-01-01') * 2880L"
     " + (hour(ts) * 3600 + minute(ts) * 60 + second(ts)) div 30"
@@ -141,7 +157,7 @@ def stand_in_ledger(spark: SparkSession, sf_dir: str, fee_zeros: int = 12) -> Le
     """`fee_zeros` scales the burnt fees, to suit metrics in whole coins (12) or nanos (5)."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     def from_events(*columns: str) -> DataFrame:
         return table("events").selectExpr(f"{EVENT_HEIGHT} AS height", *columns)

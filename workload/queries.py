@@ -67,9 +67,12 @@ def digits_of(metric: str) -> int:
     return 4 if metric in NANO_METRICS else 6
 
 
+def zeros_of(metric: str) -> int:
+    return NANO_ZEROS if metric in NANO_METRICS else 12
+
+
 def _marts(spark: SparkSession, sf_dir: str, metric: str) -> Marts:
-    zeros = NANO_ZEROS if metric in NANO_METRICS else 12
-    return Marts(stand_in_ledger(spark, sf_dir, zeros), config_of(metric))
+    return Marts(stand_in_ledger(spark, sf_dir, zeros_of(metric)), config_of(metric))
 
 
 def metric_frame(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
@@ -619,8 +622,12 @@ def series_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_frame(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
     """As `metric_frame`, unordered and with the day still a date."""
-    frame = metrics.DAILY[metric](_marts(spark, sf_dir, metric))
-    return publish(frame, digits_of(metric)).withColumn("date", F.to_date("date"))
+    return _shown(metric, _marts(spark, sf_dir, metric))
+
+
+def _shown(metric: str, frames: Marts) -> DataFrame:
+    shown = publish(metrics.DAILY[metric](frames), digits_of(metric))
+    return shown.withColumn("date", F.to_date("date"))
 
 
 def series_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -640,7 +647,16 @@ def phase_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = {name: daily_frame(spark, sf_dir, name) for name in metrics.METRICS}
+    """Metrics with the same settings and amounts share their frames."""
+    shared: dict[tuple[int, LedgerConfig], Marts] = {}
+    for metric in metrics.DAILY:
+        key = zeros_of(metric), config_of(metric)
+        if key not in shared:
+            shared[key] = _marts(spark, sf_dir, metric)
+    frames = {
+        metric: _shown(metric, shared[zeros_of(metric), config_of(metric)])
+        for metric in metrics.DAILY
+    }
     return publish(series.chart_series(frames))
 
 
