@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -48,15 +48,33 @@ class Ledger:
         return self._opened[name]
 
 
-def load_ledger(spark: SparkSession, root: str) -> Ledger:
-    """Tables stored as Parquet under `root`.
+def load_ledger(
+    spark: SparkSession,
+    root: str,
+    declared: bool = True,
+    names: Mapping[str, str] | None = None,
+) -> Ledger:
+    """Tables stored as Parquet folders under `root`, named otherwise where `names` says so.
 
-    The events table keeps the schema of its files, because its message id column varies.
+    The events table keeps the schema of its files, because its message id column varies, and
+    with `declared=False` so do the others, for instance where amounts are stored as text.
     """
 
     def table(name: str) -> DataFrame:
-        reader = spark.read if name == PROBED else spark.read.schema(SCHEMAS[name])
-        return reader.parquet(f"{root}/{name}")
+        reader = spark.read.schema(SCHEMAS[name]) if declared and name != PROBED else spark.read
+        return reader.parquet(f"{root}/{(names or {}).get(name, name)}")
+
+    return Ledger(**{name: partial(table, name) for name in SCHEMAS})
+
+
+def catalog_ledger(
+    spark: SparkSession, database: str | None = None, names: Mapping[str, str] | None = None
+) -> Ledger:
+    """Tables or views of the session's catalog."""
+
+    def table(name: str) -> DataFrame:
+        known = (names or {}).get(name, name)
+        return spark.table(f"{database}.{known}" if database else known)
 
     return Ledger(**{name: partial(table, name) for name in SCHEMAS})
 

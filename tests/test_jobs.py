@@ -14,13 +14,14 @@ from epochloom.plans.marts import (
     Marts,
     activations,
     archetype_costs,
+    burn,
     onboarding,
 )
 from epochloom.plans.metrics import METRICS, small_batch_count
 from epochloom.plans.runner import reached_day, store_marts, write_metrics
 from epochloom.config import ARCHETYPE_ACTIVATION_FIELDS
 from epochloom.sources.json_records import read_record_array, read_records
-from epochloom.sources.tables import in_window, resolve_column
+from epochloom.sources.tables import catalog_ledger, in_window, load_ledger, resolve_column
 from epochloom.streaming.refresh import refresh
 from tests.ledgers import BOUNDARIES, CFG, COIN, rows, store
 
@@ -189,6 +190,40 @@ def test_day_partitions_are_pruned(ledger):
     assert "GreaterThan(height,5300000)" in plan
 
 
+def test_recent_days_cut_the_scan(ledger):
+    recent = burn(ledger, CFG, dt.date(2025, 9, 8))._jdf.queryExecution().toString()
+    first = CFG.first_epoch_of((dt.date(2025, 9, 8) - dt.date(1970, 1, 1)).days)
+    assert f"GreaterThan(height,{first - 1})" in recent
+    assert [str(r.date) for r in burn(ledger, CFG, dt.date(2025, 9, 8)).collect()] == [
+        "2025-09-08"
+    ]
+
+
+def test_amounts_as_text_and_other_table_names(spark, ledger, marts):
+    """Catalog tables, one under another name, with amounts stored as text."""
+    text = F.col("daily_fee").cast("string").alias("daily_fee")
+    infos = ledger.miner_sector_infos.select("activation_epoch", "expiration_epoch", text)
+    infos.createOrReplaceTempView("infos_v9")
+    ledger.block_headers.select(
+        "height", F.col("parent_base_fee").cast("string").alias("parent_base_fee")
+    ).createOrReplaceTempView("block_headers")
+    other = Marts(catalog_ledger(spark, names={"miner_sector_infos": "infos_v9"}), CFG)
+    for name in ("sector_daily_fee_cost", "base_fee_percentiles"):
+        assert METRICS[name](other).collect() == METRICS[name](marts).collect()
+
+
+def test_folders_with_their_own_schema(spark, tmp_path):
+    rows_ = [(4000001, "7"), (4000002, "9")]
+    spark.createDataFrame(rows_, "height long, participating_miner_count string").write.parquet(
+        str(tmp_path / "powers")
+    )
+    own = load_ledger(spark, str(tmp_path), declared=False, names={"chain_powers": "powers"})
+    assert [r.participating_miner_count for r in own.chain_powers.orderBy("height").collect()] == [
+        "7",
+        "9",
+    ]
+
+
 def test_resolve_column(spark):
     df = spark.createDataFrame([], "message string, msg_cid string")
     assert resolve_column(df) == "msg_cid"
