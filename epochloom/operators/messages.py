@@ -62,8 +62,9 @@ def fee_per_class(
 ) -> DataFrame:
     """Per day of the gas row: fee over all matched messages, and over each class.
 
-    Gas rows lie after the height `start`, the window's unless given. Only the gas side is bound to the window. A day gives 0 for a class none of its messages
-    belong to, and NULL only where every matched fee of the class's messages is NULL.
+    Only the gas side is bound to the window, or to the heights after `start`. A day gives 0 for
+    a class none of its messages belong to, and NULL only where every matched message belongs to
+    it and every fee is NULL.
     """
     by_id = (
         in_window(gas, cfg, start)

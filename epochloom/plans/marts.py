@@ -147,14 +147,15 @@ def onboarding(
     since: Day = None,
     counts: Sequence[str] = ("path_sectors", "archetype_sectors"),
     events: bool = True,
-    gas: bool = True,
+    gas: str | None = "all",
     archetype_fields: Mapping[str, Sequence[str]] = ARCHETYPE_COUNT_FIELDS,
     prefer: str = "params",
 ) -> DataFrame:
     """Onboarding messages with their sector counts and gas, equal ones folded.
 
     The parameters are parsed, and messages, events and gas brought together by id, once for
-    all frames below. `counts`, `events` and `gas` leave out what a single frame does not use.
+    all frames below. `counts`, `events` and `gas` (None or "window") leave out what a single
+    frame does not use.
     """
     start = start_height(cfg, since)
     sources = {
@@ -174,9 +175,11 @@ def onboarding(
     for name in counts:
         counted = F.when(F.col("method").isin(*fields[name]), F.col(name))
         rows = rows.withColumn(name, counted)
-    if not gas:
+    if gas is None:
         return rows
-    return rows.join(gas_by_message(t.derived_gas_outputs, cfg), "cid", "left")
+    outputs = t.derived_gas_outputs
+    matched = in_window(outputs, cfg) if gas == "window" else outputs
+    return rows.join(gas_by_message(matched, cfg), "cid", "left")
 
 
 def _given(messages: DataFrame | None, t: Ledger, cfg: LedgerConfig, since: Day, **parts):
@@ -187,7 +190,7 @@ def path_costs(
     t: Ledger, cfg: LedgerConfig, since: Day = None, messages: DataFrame | None = None
 ) -> DataFrame:
     """date, method, cost: mean nano cost per sector of each onboarding path."""
-    rows = _given(messages, t, cfg, since, counts=["path_sectors"])
+    rows = _given(messages, t, cfg, since, counts=["path_sectors"], gas="window")
     return mean_cost_per_sector(rows, "path_sectors", ["date", "method"], "cost")
 
 
@@ -195,7 +198,7 @@ def archetype_costs(
     t: Ledger, cfg: LedgerConfig, since: Day = None, messages: DataFrame | None = None
 ) -> DataFrame:
     """date, sp_archetype, cost: mean cost per method and size class, summed over methods."""
-    rows = _given(messages, t, cfg, since, counts=["archetype_sectors"])
+    rows = _given(messages, t, cfg, since, counts=["archetype_sectors"], gas="window")
     classed = rows.withColumn("sp_archetype", size_class(F.col("archetype_sectors"), cfg))
     by_method = ["date", "method", "sp_archetype"]
     return (
@@ -242,7 +245,7 @@ def aggregate_sizes(
     t: Ledger, cfg: LedgerConfig, since: Day = None, messages: DataFrame | None = None
 ) -> DataFrame:
     """date, sector_count, messages of the aggregated proofs, with the event fallback."""
-    rows = _given(messages, t, cfg, since, counts=["path_sectors"], gas=False)
+    rows = _given(messages, t, cfg, since, counts=["path_sectors"], gas=None)
     return _sizes(rows, PROVE_AGGREGATE)
 
 

@@ -82,7 +82,8 @@ def _amount(units: str, zeros: int, key: str) -> str:
 def _array(field: str, element: str) -> str:
     """JSON object with one array of o_custkey % 13 elements."""
     index = "filter(sequence(0, 12), i -> i < o_custkey % 13)"
-    return f"""concat('{{"{field}":[', array_join(transform({index}, i -> {element}), ','), ']}}')"""
+    joined = f"array_join(transform({index}, i -> {element}), ',')"
+    return f"""concat('{{"{field}":[', {joined}, ']}}')"""
 
 
 PARAMS = f"""CASE
@@ -101,7 +102,10 @@ PARAMS = f"""CASE
 
 def _messages(orders: DataFrame) -> DataFrame:
     return orders.selectExpr("*", f"{METHOD} AS method").selectExpr(
-        f"{ORDER_HEIGHT} AS height", "concat('m', o_orderkey) AS cid", "method", f"{PARAMS} AS params"
+        f"{ORDER_HEIGHT} AS height",
+        "concat('m', o_orderkey) AS cid",
+        "method",
+        f"{PARAMS} AS params",
     )
 
 

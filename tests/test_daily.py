@@ -67,7 +67,8 @@ def test_series_points_are_finite_and_sorted(spark):
 
 def test_series_flags(spark):
     df = days(spark, (1.0, None), (None, None), columns="a double, b double")
-    found = {r.series: (r.points, r.has_data) for r in series.series_has_data(df, ["a", "b"]).collect()}
+    flags = series.series_has_data(df, ["a", "b"]).collect()
+    found = {r.series: (r.points, r.has_data) for r in flags}
     assert found == {"a": (1, True), "b": (0, False)}
     both = series.series_unpivot(df, ["a", "b"], ["first", "second"])
     assert [r.series for r in both.collect()] == ["first"]

@@ -29,3 +29,10 @@ def test_scans_read_only_what_is_used(spark):
 def test_burn_does_not_read_parameters(spark):
     plan = QUERIES["daily_fee_burn"](spark, SF_DIR)._jdf.queryExecution().toString()
     assert "o_custkey" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_costs_cut_the_gas_scan_at_the_window(spark):
+    plan = QUERIES["gas_per_sector_by_path"](spark, SF_DIR)._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1].split("\n")
+    scans = [line for line in physical if "lineitem" in line]
+    assert scans and all("l_shipdate" in line and "l_quantity" not in line for line in scans)

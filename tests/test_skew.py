@@ -51,7 +51,8 @@ def test_hot_id_in_the_costs(spark):
 
 def test_hot_day_in_the_percentiles(spark):
     day = F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(F.lit(99))
-    df = spark.range(N).select(day.alias("date"), (F.col("id") * 7919 % N).cast("double").alias("v"))
+    value = (F.col("id") * 7919 % N).cast("double")
+    df = spark.range(N).select(day.alias("date"), value.alias("v"))
     found = sliced_percentiles(df, "v", {"p50": 0.5, "p95": 0.95})
     wanted = df.groupBy("date").agg(F.percentile("v", [0.5, 0.95]).alias("w"))
     both = found.join(wanted, "date")

@@ -547,8 +547,10 @@ def method_class(t: Ledger) -> DataFrame:
 
 def size_class(t: Ledger) -> DataFrame:
     sized = _path_counts(t).where(F.col("sector_count") > 0)
-    return sized.groupBy("date", classes.size_class(F.col("sector_count"), FACTS).alias("size")).agg(
-        F.sum("copies").alias("messages"), F.sum(F.col("copies") * F.col("sector_count")).alias("sectors")
+    label = classes.size_class(F.col("sector_count"), FACTS).alias("size")
+    return sized.groupBy("date", label).agg(
+        F.sum("copies").alias("messages"),
+        F.sum(F.col("copies") * F.col("sector_count")).alias("sectors"),
     )
 
 
@@ -615,9 +617,8 @@ def check_pct_sum(t: Ledger) -> DataFrame:
 
 
 def series_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish(
-        series.series_points(daily_frame(spark, sf_dir, "gas_utilization"), "gas_utilization_pct")
-    )
+    daily = daily_frame(spark, sf_dir, "gas_utilization")
+    return publish(series.series_points(daily, "gas_utilization_pct"))
 
 
 def daily_frame(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
