@@ -1 +1,10 @@
-"""Operators for preparing training text, each one Spark job over a documents table."""
+"""Operators for preparing training text, each one Spark job over a documents table.
+
+Functions of this package travel to executors by value, so a cluster needs no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from epochloom.llm import quality_classifier, quality_rules, toxicity
 from epochloom.llm.ngram_join import ngram_jaccard_join
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,9 +20,34 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(documents(spark, sf_dir), words=3, percent=90)
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, labels(spark, sf_dir), modulus=3, rest=1)
+    return toxicity.score(docs, model, threshold=0.7)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_rules.train(docs, labels(spark, sf_dir))
+    return quality_rules.apply_rules(docs, model)
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_classifier.train(docs, labels(spark, sf_dir), modulus=5, rest=0)
+    return quality_classifier.score(docs, model, threshold=0.3)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op2_ngram_join": op2_ngram_join,
+        "op7_toxicity": op7_toxicity,
+        "op8_quality_rules": op8_quality_rules,
+        "op9_quality_classifier": op9_quality_classifier,
     }
 
 
