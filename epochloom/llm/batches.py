@@ -184,3 +184,50 @@ def _array(values, kind: pa.DataType) -> pa.Array:
 def text_rows(docs: DataFrame, *keys: str) -> DataFrame:
     """The named columns and the text, null as empty."""
     return docs.select(*keys, F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+class SeenValues:
+    """Values of 64-bit keys that a Python worker has met, as flat arrays; a cache and no more.
+
+    A value is a run of small integers. Beyond ``limit`` keys everything is forgotten.
+    """
+
+    def __init__(self, dtype, limit: int = 1 << 21):
+        self.dtype, self.limit = dtype, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.starts = self.lengths = np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1024, self.dtype), 0
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key stands, -1 for unknown ones."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def add(self, keys: np.ndarray, values: np.ndarray, lengths: np.ndarray) -> None:
+        if len(self.flat) < self.used + len(values):
+            room = np.zeros(2 * (self.used + len(values)), self.dtype)
+            room[: self.used] = self.flat[: self.used]
+            self.flat = room
+        self.flat[self.used : self.used + len(values)] = values
+        starts = self.used + np.cumsum(lengths) - lengths
+        self.used += len(values)
+        merged = np.concatenate([self.keys, keys])
+        order = np.argsort(merged, kind="stable")
+        self.keys = merged[order]
+        self.starts = np.concatenate([self.starts, starts])[order]
+        self.lengths = np.concatenate([self.lengths, lengths])[order]
+
+
+def worker_values(name: str, dtype) -> SeenValues:
+    """The values this Python worker has kept under a name, also between tasks."""
+    import sys
+
+    kept = sys.modules.setdefault("_kept_by_worker", type(sys)("_kept_by_worker"))
+    if not hasattr(kept, name):
+        setattr(kept, name, SeenValues(dtype))
+    return getattr(kept, name)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epochloom.llm import quality_classifier, quality_rules, toxicity
+from epochloom.llm import language_id, quality_classifier, quality_rules, toxicity
 from epochloom.llm.ngram_join import ngram_jaccard_join
+from epochloom.llm.shared import shared_folder
+from epochloom.llm.token_counts import count_tokens
+from epochloom.llm.token_files import read_ids, write_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +24,20 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(documents(spark, sf_dir), words=3, percent=90)
 
 
+def vocabulary(name: str) -> str:
+    return public_tokenizers.path(name)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), limit=512)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    write_ids(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), path)
+    return read_ids(spark, path)
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -42,12 +60,20 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model, threshold=0.3)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.train(docs, modulus=4, rest=2))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op2_ngram_join": op2_ngram_join,
+        "op5_token_counts": op5_token_counts,
+        "op6_token_files": op6_token_files,
         "op7_toxicity": op7_toxicity,
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
+        "op10_language_id": op10_language_id,
     }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,3 +20,10 @@ def saved(df: DataFrame) -> DataFrame:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new path, not yet existing, below the shared folder."""
+    context = spark.sparkContext
+    named = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    return f"{(named or tempfile.mkdtemp(prefix='shared-')).rstrip('/')}/{uuid.uuid4()}"
