@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from epochloom.llm import language_id, quality_classifier, quality_rules, toxicity
+from epochloom.llm.fingerprints import fingerprint_documents
+from epochloom.llm.mixing import MIX_SQL, mix_sources
 from epochloom.llm.ngram_join import ngram_jaccard_join
 from epochloom.llm.shared import shared_folder
 from epochloom.llm.token_counts import count_tokens
@@ -20,10 +22,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(documents(spark, sf_dir), words=3, percent=90)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir))
+
+
 def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
@@ -67,7 +77,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_fingerprints": op1_fingerprints,
         "op2_ngram_join": op2_ngram_join,
+        "op3_mixing": op3_mixing,
         "op5_token_counts": op5_token_counts,
         "op6_token_files": op6_token_files,
         "op7_toxicity": op7_toxicity,
@@ -78,4 +90,4 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": MIX_SQL}
