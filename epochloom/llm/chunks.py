@@ -54,11 +54,26 @@ def chunks_of(texts: Texts) -> Words:
     return Words(starts, lengths, np.diff(np.searchsorted(starts, offsets)))
 
 
+def space_chunks_of(texts: Texts) -> Words:
+    """As ``chunks_of``, with U+0020 as the only white space."""
+    data = texts.data
+    cut = np.zeros(len(data) + 1, bool)
+    if len(data):
+        space = data == 0x20
+        cut[1:-1] = space[1:] & ~space[:-1]
+    cut[texts.offsets[:-1]] = True
+    cut[-1] = False
+    starts = np.flatnonzero(cut)
+    lengths = np.diff(np.r_[starts, len(data)])
+    return Words(starts, lengths, np.diff(np.searchsorted(starts, texts.offsets)))
+
+
 def tokenized(
     column: pa.Array,
     seen: SeenValues,
     tokenize: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
     count_only: bool = False,
+    cut: Callable[[Texts], Words] = chunks_of,
 ) -> tuple[np.ndarray, np.ndarray]:
     """All tokens of all texts end to end, and their number per text.
 
@@ -66,7 +81,7 @@ def tokenized(
     With ``count_only`` the first result is empty and the numbers are all there is.
     """
     texts = texts_of(column)
-    chunks = chunks_of(texts)
+    chunks = cut(texts)
     hashes = word_hashes(texts.data, chunks)
     kinds, first, which = np.unique(hashes, return_index=True, return_inverse=True)
     if len(seen.keys) + len(kinds) > seen.limit:

@@ -11,6 +11,7 @@ from epochloom.llm import language_id, quality_classifier, quality_rules, toxici
 from epochloom.llm.fingerprints import fingerprint_documents
 from epochloom.llm.mixing import MIX_SQL, mix_sources
 from epochloom.llm.ngram_join import ngram_jaccard_join
+from epochloom.llm.sentencepiece_lattice import encode_documents, read_pieces
 from epochloom.llm.shared import shared_folder
 from epochloom.llm.token_counts import count_tokens
 from epochloom.llm.token_files import read_ids, write_ids
@@ -38,6 +39,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary("piece_bpe_32k.model")
+    return encode_documents(documents(spark, sf_dir), read_pieces(model), model)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), limit=512)
 
@@ -80,6 +86,7 @@ def llm_queries() -> dict[str, Query]:
         "op1_fingerprints": op1_fingerprints,
         "op2_ngram_join": op2_ngram_join,
         "op3_mixing": op3_mixing,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_token_counts": op5_token_counts,
         "op6_token_files": op6_token_files,
         "op7_toxicity": op7_toxicity,
