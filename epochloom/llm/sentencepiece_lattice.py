@@ -216,7 +216,7 @@ def fold_viterbi(
     for t, n in enumerate(active, start=1):
         words = order[:n]
         top, choice = np.full(n, -np.inf), np.ones(n, np.int64)
-        for size in range(1, min(t, pieces.longest) + 1):
+        for size in range(min(t, pieces.longest), 0, -1):  # of equal sums the earliest start
             piece = edges[first[words] + t - size, size - 1]
             score = np.where(piece >= 0, pieces.scores[piece], worst if size == 1 else -np.inf)
             total = best[shift[words] + t - size] + score
