@@ -43,7 +43,14 @@ def lifetime_cost(fee: Column, start: Column, end: Column, cfg) -> Column:
     return number(fee) * days / F.lit(ATTO_PER_NANO)
 
 
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def finite(value: Column) -> Column:
-    """The value as a double, or NULL when it is missing, not numeric, NaN or infinite."""
-    x = F.nullif(value.cast("string"), F.lit("")).try_cast("double")
+    """The value as a double, or NULL when it is missing, not numeric, NaN or infinite.
+
+    The cast alone would take a type suffix, as in "1d", for part of a number.
+    """
+    text = value.cast("string")
+    x = F.when(text.rlike(NUMBER), text).try_cast("double")
     return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)

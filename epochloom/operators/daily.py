@@ -49,7 +49,7 @@ def rolling_mean(
 
 def join_days(base: DataFrame, *others: DataFrame, how: str = "left") -> DataFrame:
     """Join daily frames on the day; the right sides are bounded by the calendar."""
-    return reduce(lambda left, right: left.join(F.broadcast(right), "date", how), others, base)
+    return reduce(lambda left, right: left.join(right, "date", how), others, base)
 
 
 def pivot_mean(daily: DataFrame, names: str, value: str, columns: Sequence[str]) -> DataFrame:
@@ -57,13 +57,6 @@ def pivot_mean(daily: DataFrame, names: str, value: str, columns: Sequence[str])
     return daily.groupBy("date").pivot(names, list(columns)).agg(F.avg(value))
 
 
-def unpivot(daily: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
-    """Wide to long, as doubles; NULLs are kept."""
-    return daily.select("date", *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        "date", list(columns), name, value
-    )
-
-
 def cumulative_to_daily(df: DataFrame, value: str, name: str, scale: float) -> DataFrame:
     """Largest cumulative value of each day, differenced against the previous day present."""
     top = df.groupBy("date").agg(F.max(F.col(value).cast("double")).alias("top"))

@@ -4,38 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
-from operator import add, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from epochloom.functions.amounts import ratio
 
-# A day of at most this many rows is aggregated in one buffer.
-BUFFERED_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
-BRACKET = 5 / SKETCH_ACCURACY
-GRID = 8
-
-
-def day_percentiles(
-    df: DataFrame, value: str, wanted: Mapping[str, float], buffered_rows: int = BUFFERED_ROWS
-) -> DataFrame:
-    """One row per `date` with the named interpolated percentiles of `value`, NULLs skipped.
-
-    The built-in percentile holds a group's distinct values in one buffer. The largest day is
-    counted first; beyond `buffered_rows` the work goes to `sliced_percentiles`, which never
-    brings a whole day together.
-    """
-    largest = df.groupBy("date").count().agg(F.max("count")).first()[0] or 0
-    if largest > buffered_rows:
-        return sliced_percentiles(df, value, wanted)
-    found = df.groupBy("date").agg(F.percentile(value, list(wanted.values())).alias("found"))
-    return found.select("date", *[F.col("found")[i].alias(n) for i, n in enumerate(wanted)])
-
-
-def _cut_points(fractions) -> list[float]:
-    near = {min(max(p + d, 0.0), 1.0) for p in fractions for d in (-BRACKET, BRACKET)}
-    return sorted(near | {i / GRID for i in range(1, GRID)})
+SLICES = 64
+SKETCH_ACCURACY = 1000
 
 
 def _ranks(fraction: float) -> tuple[Column, Column, Column]:
@@ -44,36 +20,31 @@ def _ranks(fraction: float) -> tuple[Column, Column, Column]:
     return F.floor(position), F.ceil(position), position - F.floor(position)
 
 
-def sliced_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -> DataFrame:
-    """As `day_percentiles`, for days of any size.
+def day_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -> DataFrame:
+    """One row per `date` with the named interpolated percentiles of `value`, NULLs skipped.
 
-    A quantile sketch proposes cut points, rows between cuts are counted, and only the slices
-    that hold a wanted rank are grouped by value and sorted. The counts are exact, so the
-    sketch decides how evenly work spreads and never what the answer is.
+    Rows are counted per day and value first. A sketch of each day's distinct values proposes cut
+    points, the slices between them are counted, and only the slices that hold a wanted rank are
+    sorted. The counts are exact, so the sketch decides how evenly work spreads and never what
+    the answer is; no day comes together in one buffer. A day without values has a row of NULLs.
     """
-    rows = df.select("date", F.col(value).alias("v")).where(F.col("v").isNotNull())
-    cuts = _cut_points(wanted.values())
-    sketch = rows.groupBy("date").agg(
-        F.percentile_approx("v", cuts, SKETCH_ACCURACY).alias("cuts")
+    counted = df.groupBy("date", F.col(value).alias("v")).agg(F.count("*").alias("copies"))
+    cuts = [i / SLICES for i in range(1, SLICES)]
+    sketch = counted.groupBy("date").agg(
+        F.percentile_approx("v", cuts, SKETCH_ACCURACY).alias("cuts"),
+        F.sum(F.when(F.col("v").isNotNull(), F.col("copies"))).alias("n"),
     )
-    # One fixed-width row per calendar day, so this broadcast and the next stay small.
-    sliced = rows.join(F.broadcast(sketch), "date").select(
-        "date",
-        "v",
-        reduce(
-            add, [(F.col("v") > F.col("cuts")[i]).cast("int") for i in range(len(cuts))]
-        ).alias("slice"),
+    above = F.size(F.filter("cuts", lambda cut: F.col("v") > cut))
+    sliced = counted.join(sketch, "date").select(
+        "date", "v", "copies", "n", F.when(F.col("v").isNull(), -1).otherwise(above).alias("slice")
     )
-    by_day = Window.partitionBy("date")
     slices = (
         sliced.groupBy("date", "slice")
-        .agg(F.count("*").alias("size"))
-        .select(
-            "date",
-            "slice",
-            "size",
-            F.sum("size").over(by_day).alias("n"),
-            (F.sum("size").over(by_day.orderBy("slice")) - F.col("size")).alias("before"),
+        .agg(F.sum("copies").alias("size"), F.max("n").alias("n"))
+        .where(F.col("slice") >= 0)
+        .withColumn(
+            "before",
+            F.sum("size").over(Window.partitionBy("date").orderBy("slice")) - F.col("size"),
         )
     )
     ranks = {name: _ranks(p) for name, p in wanted.items()}
@@ -85,12 +56,10 @@ def sliced_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -
             for rank in (low, high)
         ],
     )
-    hit = slices.where(held).select("date", "slice", "n", "before")
+    hit = slices.where(held).select("date", "slice", "before")
     in_slice = Window.partitionBy("date", "slice").orderBy("v")
     placed = (
-        sliced.join(F.broadcast(hit), ["date", "slice"])
-        .groupBy("date", "slice", "n", "before", "v")
-        .agg(F.count("*").alias("copies"))
+        sliced.join(hit, ["date", "slice"])
         .withColumn("end", F.col("before") + F.sum("copies").over(in_slice))
         .withColumn("start", F.col("end") - F.col("copies"))
     )
@@ -98,8 +67,6 @@ def sliced_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("v")))
 
-    # A day without values still has a row, as it has from the built-in aggregate.
-    days = df.select("date").distinct()
     found = placed.groupBy("date", "n").agg(
         *[
             at(rank).alias(f"{name}_{side}")
@@ -107,7 +74,7 @@ def sliced_percentiles(df: DataFrame, value: str, wanted: Mapping[str, float]) -
             for side, rank in (("low", low), ("high", high))
         ],
     )
-    return days.join(F.broadcast(found), "date", "left").select(
+    return sketch.select("date").join(found, "date", "left").select(
         "date",
         *[
             (

@@ -89,43 +89,17 @@ def state_delta_daily(changes: DataFrame, key: str, values: Sequence[str]) -> Da
     return daily.select("date", *[F.when(has_previous, F.col(v)).alias(v) for v in values])
 
 
-def _observed_days(rows: DataFrame) -> Column:
-    """All days present, in order, as one scalar array: its length is bounded by the calendar."""
-    days = rows.select("date").distinct().agg(F.array_sort(F.collect_list("date")).alias("days"))
-    return days.scalar()
-
-
-def day_key_spine(rows: DataFrame, key: str) -> DataFrame:
-    """Every observed day for every key: each key unfolds the calendar on its own."""
-    keys = rows.select(key).distinct()
-    return keys.select(F.explode(_observed_days(rows)).alias("date"), key)
-
-
 def fill_forward(rows: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """Last non-NULL values of every key on every observed day, NULL before its first row.
+    """(key, values, valid_from, valid_to): the values of a key from each change on.
 
-    Each change row is unfolded over the days until the key's next one, so no grid is joined,
-    only the change rows are shuffled and sorted, and the work is that of the result.
+    A value that a change leaves NULL keeps the one before. An interval holds on `valid_from` and
+    the days after it, up to but without `valid_to`, which is NULL for a key's last one. There is
+    one row per change row, so the result is never larger than the changes.
     """
     ordered = Window.partitionBy(key).orderBy("date")
-    days = _observed_days(rows)
-    spans = rows.select(
+    return rows.select(
         key,
         *[carried(v, key).alias(v) for v in values],
-        F.col("date").alias("start"),
-        F.when(F.row_number().over(ordered) > 1, F.array_position(days, F.col("date")))
-        .otherwise(1)
-        .alias("low"),
-        F.coalesce(F.array_position(days, F.lead("date").over(ordered)), F.size(days) + 1).alias(
-            "end"
-        ),
-    )
-    held = spans.select(
-        F.explode(F.slice(days, F.col("low"), F.col("end") - F.col("low"))).alias("date"),
-        key,
-        *values,
-        "start",
-    )
-    return held.select(
-        "date", key, *[F.when(F.col("date") >= F.col("start"), F.col(v)).alias(v) for v in values]
+        F.col("date").alias("valid_from"),
+        F.lead("date").over(ordered).alias("valid_to"),
     )

@@ -321,6 +321,44 @@ FROM_FACTS = {
     )
 }
 MARTS = {**FROM_FACTS, **FROM_ONBOARDING}
+ONBOARDING = "onboarding"
+# What stored frames hold beside their `date`.
+FRAME_SCHEMAS = {
+    "base_fees": "p50 DOUBLE, p95 DOUBLE",
+    "burn": "total DOUBLE, dispute DOUBLE, onboarding DOUBLE, other DOUBLE",
+    "supply": "circulating_fil DOUBLE, burnt_fil DOUBLE",
+    "rewards": "top DOUBLE",
+    "sector_events": "event STRING, phase STRING, events BIGINT",
+    "activations": "total BIGINT, market BIGINT",
+    "gas_totals": "gas_used BIGINT, gas_limit BIGINT",
+    "miner_counts": "participating_miner_count BIGINT",
+    "power_changes": "miner_id STRING, raw_byte_power DOUBLE, quality_adj_power DOUBLE",
+    "fee_costs": "cost DOUBLE, sectors BIGINT",
+    ONBOARDING: (
+        "cid STRING, method STRING, path_sectors BIGINT, archetype_sectors BIGINT, "
+        "copies BIGINT, fee DOUBLE, fee_rows BIGINT, window_rows BIGINT, gas_used DOUBLE, "
+        "gas_rows BIGINT"
+    ),
+    "path_costs": "method STRING, cost DOUBLE",
+    "archetype_costs": "sp_archetype STRING, cost DOUBLE",
+    "batch_gas": "gas_per_sector DOUBLE",
+    "batch_sizes": "sector_count BIGINT, messages BIGINT",
+    "aggregate_sizes": "sector_count BIGINT, messages BIGINT",
+}
+# The tables whose rows a frame's days are made of. Sectors may be added for any past day, so
+# `fee_costs` has none and is always built in full.
+FRAME_TABLES = {
+    "base_fees": ("block_headers",),
+    "burn": ("derived_gas_outputs", "parsed_messages"),
+    "supply": ("chain_economics",),
+    "rewards": ("chain_rewards",),
+    "sector_events": ("miner_sector_events",),
+    "activations": ("parsed_messages",),
+    "gas_totals": ("derived_gas_outputs",),
+    "miner_counts": ("chain_powers",),
+    "power_changes": ("power_actor_claims",),
+    ONBOARDING: ("parsed_messages", "miner_sector_events", "derived_gas_outputs"),
+}
 
 
 class Marts:

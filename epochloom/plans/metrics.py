@@ -224,10 +224,10 @@ def sector_lifetime_cost(m: Marts) -> DataFrame:
 
 
 @metric
-def small_batch_count(m: Marts, check: bool = False) -> DataFrame:
+def small_batch_count(m: Marts, check: bool = True) -> DataFrame:
     """Messages without a count are in the total only, so the shares may fall short of 100.
 
-    `check` runs the completeness check first and raises if a day is off.
+    Reading a day on which they fall short raises an error, unless `check` is off.
     """
     small = events_where(F.col("sector_count") < m.cfg.small_batch_below, "messages")
     fuller = events_where(F.col("sector_count") >= m.cfg.small_batch_below, "messages")
@@ -241,6 +241,4 @@ def small_batch_count(m: Marts, check: bool = False) -> DataFrame:
             percent(fuller, F.sum("messages"), 2).alias("fuller_batch_pct"),
         )
     )
-    if check:
-        check_pct_sum(daily, ["small_batch_pct", "fuller_batch_pct"])
-    return daily
+    return check_pct_sum(daily, ["small_batch_pct", "fuller_batch_pct"]) if check else daily

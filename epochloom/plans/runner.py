@@ -3,44 +3,76 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from epochloom.config import LedgerConfig
-from epochloom.plans.marts import FROM_FACTS, FROM_ONBOARDING, MARTS, Marts, onboarding
+from epochloom.functions.time import epoch_to_day
+from epochloom.plans.marts import (
+    FRAME_SCHEMAS,
+    FRAME_TABLES,
+    FROM_FACTS,
+    FROM_ONBOARDING,
+    MARTS,
+    ONBOARDING,
+    Marts,
+    onboarding,
+)
 from epochloom.plans.metrics import DAILY
 from epochloom.sources.json_records import write_records
-from epochloom.sources.tables import Ledger
+from epochloom.sources.tables import Ledger, in_window
+
+STATE = "_reached"
+STATE_SCHEMA = "frame STRING, date DATE"
+
+
+def frame_schema(name: str) -> T.StructType:
+    return T.StructType.fromDDL(f"{FRAME_SCHEMAS[name]}, date DATE")
 
 
-def store_mart(df: DataFrame, path: str, replace_days_only: bool = False) -> None:
+def store_mart(df: DataFrame, root: str, name: str, replace_days_only: bool = False) -> None:
     """Write a daily frame as day partitions, replacing all of it or only the days it holds.
 
     Rebalancing gives each day few files and splits a day that is much larger than others.
     """
     mode = "dynamic" if replace_days_only else "static"
-    df.hint("rebalance", F.col("date")).write.mode("overwrite").option(
+    declared = df.select(*[F.col(f.name).cast(f.dataType) for f in frame_schema(name)])
+    declared.hint("rebalance", F.col("date")).write.mode("overwrite").option(
         "partitionOverwriteMode", mode
-    ).partitionBy("date").parquet(path)
+    ).partitionBy("date").parquet(f"{root}/{name}")
 
 
-ONBOARDING = "onboarding"
-STATE = "_reached"
+def stored_frame(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored frame by its declared schema, so one without any row can be read too."""
+    return spark.read.schema(frame_schema(name)).parquet(f"{root}/{name}")
 
 
-def reached_day(spark: SparkSession, root: str) -> dt.date | None:
-    """The newest day of the last run that finished, or None before the first one."""
+def reached_days(spark: SparkSession, root: str) -> dict[str, dt.date]:
+    """Up to which day each frame was complete after the last run that finished; empty before
+    the first one and after a full run that broke off."""
     try:
-        return spark.read.schema("date DATE").parquet(f"{root}/{STATE}").first()[0]
-    except AnalysisException:
-        return None
+        rows = spark.read.schema(STATE_SCHEMA).parquet(f"{root}/{STATE}").collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    return {r.frame: r.date for r in rows}
+
+
+def complete_days(ledger: Ledger, cfg: LedgerConfig) -> dict[str, dt.date]:
+    """Per frame the newest day that all of its tables have reached; without one, no entry."""
+    newest = {}
+    for table in sorted({t for tables in FRAME_TABLES.values() for t in tables}):
+        top = in_window(getattr(ledger, table), cfg).agg(F.max("height").alias("height"))
+        newest[table] = top.select(epoch_to_day(F.col("height"), cfg)).first()[0]
+    found = {frame: [newest[t] for t in tables] for frame, tables in FRAME_TABLES.items()}
+    return {frame: min(days) for frame, days in found.items() if None not in days}
 
 
 def stored_marts(spark: SparkSession, cfg: LedgerConfig, root: str) -> Marts:
-    return Marts(cfg=cfg, stored={n: spark.read.parquet(f"{root}/{n}") for n in MARTS})
+    return Marts(cfg=cfg, stored={n: stored_frame(spark, root, n) for n in MARTS})
 
 
 def store_marts(
@@ -48,30 +80,36 @@ def store_marts(
     ledger: Ledger,
     cfg: LedgerConfig,
     root: str,
-    since: dt.date | None = None,
+    since: Mapping[str, dt.date] | None = None,
 ) -> Marts:
-    """Build and store every daily frame, or only its days from `since` on, and read them back.
+    """Build and store every daily frame and read them back; `since` names the frames of which
+    only the days from a given one on are built.
 
-    The facts are joined and parsed once here; a job that later loses an executor re-reads
-    these files. A day left without rows keeps its earlier result when `since` is given, which
-    append-only facts never bring about.
+    A job that later loses an executor re-reads these files. A day left without rows keeps its
+    earlier result where `since` applies, which append-only facts never bring about.
     """
-    some_days = since is not None
+    since = since or {}
+    state = spark.createDataFrame([], STATE_SCHEMA)
+    if not since:
+        # Whatever an earlier run reached no longer holds once its frames are overwritten.
+        state.write.mode("overwrite").parquet(f"{root}/{STATE}")
+    # Taken before the frames, so that facts arriving meanwhile are read again next time.
+    reached = complete_days(ledger, cfg)
     for name, build in FROM_FACTS.items():
-        store_mart(build(ledger, cfg, since), f"{root}/{name}", some_days)
-    store_mart(onboarding(ledger, cfg, since), f"{root}/{ONBOARDING}", some_days)
-    messages = spark.read.parquet(f"{root}/{ONBOARDING}")
-    if some_days:
-        messages = messages.where(F.col("date") >= F.lit(since))
+        day = since.get(name) if name in FRAME_TABLES else None
+        store_mart(build(ledger, cfg, day), root, name, day is not None)
+    day = since.get(ONBOARDING)
+    store_mart(onboarding(ledger, cfg, day), root, ONBOARDING, day is not None)
+    messages = stored_frame(spark, root, ONBOARDING)
+    if day is not None:
+        messages = messages.where(F.col("date") >= F.lit(day))
     for name, build in FROM_ONBOARDING.items():
-        store_mart(build(ledger, cfg, since, messages), f"{root}/{name}", some_days)
-    marts = stored_marts(spark, cfg, root)
-    newest = reduce(
-        DataFrame.union, [marts[name].agg(F.max("date").alias("date")) for name in MARTS]
-    ).agg(F.max("date").alias("date"))
-    # Written last, so a run that breaks off is repeated from the same day.
-    newest.write.mode("overwrite").parquet(f"{root}/{STATE}")
-    return marts
+        store_mart(build(ledger, cfg, day, messages), root, name, day is not None)
+    # Written last, so a run that breaks off is repeated from the same days.
+    spark.createDataFrame(sorted(reached.items()), STATE_SCHEMA).coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{root}/{STATE}")
+    return stored_marts(spark, cfg, root)
 
 
 def write_metrics(

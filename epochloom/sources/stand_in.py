@@ -61,9 +61,10 @@ METHOD = """CASE
     WHEN o_orderstatus = 'O' THEN 'DisputeWindowedPoSt'
     WHEN o_orderstatus = 'F' THEN 'SubmitWindowedPoSt' END"""
 SECTOR = """concat('{"SectorNumber":', i, '}')"""
-ACTIVATION = """CASE (o_custkey + i) % 4
+ACTIVATION = """CASE (o_custkey + i) % 5
     WHEN 0 THEN '{"SectorType":8}'
     WHEN 1 THEN '{"Pieces":null}'
+    WHEN 3 THEN '{"Pieces":[{"Size":1,"Address":"f05","Notify":[]}]}'
     WHEN 2 THEN '{"Pieces":[{"Size":1,"Notify":[{"Address":"f05"}]}]}'
     ELSE '{"Pieces":[{"Size":1,"Notify":[{"Address":"f099"}]}]}' END"""
 

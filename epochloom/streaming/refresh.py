@@ -1,8 +1,10 @@
 """The scheduled refresh: recompute recent days only.
 
-Facts arrive in height order, so days before the last stored one are complete. Each run
-rebuilds the daily frames from that day on, replaces those day partitions, and finishes every
-metric from the stored frames, whose windows need earlier days but no earlier facts.
+Facts arrive in height order within a table, but tables may lag behind each other. Each run
+rebuilds every daily frame from the newest day that all of its tables had reached, replaces those
+day partitions, and finishes every metric from the stored frames, whose windows need earlier days
+but no earlier facts. Frames over sector lifetimes are built in full, for a sector may be recorded
+long after its activation.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from epochloom.config import LedgerConfig
-from epochloom.plans.marts import Marts
-from epochloom.plans.runner import reached_day, store_marts, write_metrics
+from epochloom.plans.marts import FRAME_TABLES, Marts
+from epochloom.plans.runner import reached_days, store_marts, write_metrics
 from epochloom.sources.tables import Ledger
 
 
@@ -29,14 +31,14 @@ def refresh(
 ) -> Marts:
     """Bring stored frames and metrics up to date with the ledger.
 
-    Without `since`, starts `overlap_days` before the newest day the last finished run reached,
-    which may have been stored while still partial.
+    Without `since`, each frame starts `overlap_days` before the day up to which it was complete
+    after the last finished run; that day may have been stored while still partial.
     """
-    if since is None:
-        reached = reached_day(spark, mart_root)
-        if reached is not None:
-            since = reached - dt.timedelta(days=overlap_days)
-    marts = store_marts(spark, ledger, cfg, mart_root, since)
+    back = dt.timedelta(days=overlap_days)
+    starts = {frame: day - back for frame, day in reached_days(spark, mart_root).items()}
+    if since is not None:
+        starts = dict.fromkeys(FRAME_TABLES, since)
+    marts = store_marts(spark, ledger, cfg, mart_root, starts)
     if out_root is not None:
         write_metrics(marts, out_root, check=check)
     return marts

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from epochloom.operators import daily as d, quality
@@ -48,10 +49,12 @@ def test_yield_needs_both_positive(spark):
 
 def test_pct_check(spark):
     good = days(spark, (40.0, 60.0), (None, 1.0), columns="a double, b double")
-    assert quality.check_pct_sum(good, ["a", "b"]) is good
+    checked = quality.check_pct_sum(good, ["a", "b"])
+    assert checked.collect() == good.collect()
     bad = days(spark, (40.0, 60.0), (40.0, 59.5), columns="a double, b double")
-    with pytest.raises(quality.CheckFailed, match="1 of 2 days"):
-        quality.check_pct_sum(bad, ["a", "b"])
+    broken = quality.check_pct_sum(bad, ["a", "b"])
+    with pytest.raises(SparkRuntimeException, match="is off by 0.5 on"):
+        broken.collect()
 
 
 def test_repeated_ids(spark):

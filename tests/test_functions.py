@@ -117,9 +117,9 @@ def test_ratios_and_finite_values(spark):
         amounts.percent(F.col("a"), F.col("b"), 2),
     )
     assert found == [(0.25, 25.0), (None, None), (None, None)]
-    texts = ["1.5", "", None, "NaN", "Infinity", "-Infinity", "x", "-2"]
+    texts = ["1.5", "", None, "NaN", "Infinity", "-Infinity", "x", "-2", "1d", "2f", ".5e1"]
     finite = values(spark, [(t,) for t in texts], "t string", amounts.finite(F.col("t")))
-    assert [x for (x,) in finite] == [1.5, None, None, None, None, None, None, -2.0]
+    assert [x for (x,) in finite] == [1.5, *[None] * 6, -2.0, None, None, 5.0]
 
 
 def test_lifetime_cost(spark):

@@ -5,9 +5,9 @@ import json
 import os
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
-from epochloom.operators.quality import CheckFailed
 from epochloom.plans.marts import (
     FROM_ONBOARDING,
     MARTS,
@@ -18,7 +18,7 @@ from epochloom.plans.marts import (
     onboarding,
 )
 from epochloom.plans.metrics import METRICS, small_batch_count
-from epochloom.plans.runner import reached_day, store_marts, write_metrics
+from epochloom.plans.runner import reached_days, store_marts, write_metrics
 from epochloom.config import ARCHETYPE_ACTIVATION_FIELDS
 from epochloom.sources.json_records import read_record_array, read_records
 from epochloom.sources.tables import catalog_ledger, in_window, load_ledger, resolve_column
@@ -173,15 +173,15 @@ def test_power_starts_with_null(marts):
 
 
 def test_completeness_check(marts, spark):
-    assert small_batch_count(marts, check=True).count() == 4
+    assert len(small_batch_count(marts).collect()) == 4
     sizes = spark.createDataFrame(
         [(dt.date(2025, 1, 1), 2, 1), (dt.date(2025, 1, 1), None, 1)],
         "date date, sector_count long, messages long",
     )
     broken = Marts(stored={"batch_sizes": sizes}, cfg=CFG)
-    assert small_batch_count(broken).first().total_batch_count == 2
-    with pytest.raises(CheckFailed):
-        small_batch_count(broken, check=True)
+    assert small_batch_count(broken, check=False).first().total_batch_count == 2
+    with pytest.raises(SparkRuntimeException, match="small_batch_pct"):
+        small_batch_count(broken).collect()
 
 
 def test_day_partitions_are_pruned(ledger):
@@ -278,8 +278,8 @@ def test_refresh_equals_a_full_run(spark, tmp_path):
         assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()], name
         assert os.path.isdir(tmp_path / "out" / name)
     newest = max(r.date for r in full["miner_counts"].collect())
-    assert reached_day(spark, mart_root) == newest
-    assert reached_day(spark, str(tmp_path / "nowhere")) is None
+    assert reached_days(spark, mart_root)["miner_counts"] == newest
+    assert reached_days(spark, str(tmp_path / "nowhere")) == {}
 
 
 def test_boundaries_are_what_the_settings_say():

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from epochloom.operators.percentiles import counted_sizes, day_percentiles, sliced_percentiles
+from epochloom.operators.percentiles import counted_sizes, day_percentiles
 
 WANTED = {"p0": 0.0, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p100": 1.0}
 
@@ -15,8 +15,7 @@ def frame(spark, days):
     return spark.createDataFrame(rows, "date string, v double").repartition(5)
 
 
-@pytest.mark.parametrize("method", ["built_in", "sliced", "by_size"])
-def test_against_numpy(spark, method):
+def test_against_numpy(spark):
     rng = random.Random(7)
     days = {
         "a": [rng.random() for _ in range(4001)],
@@ -28,10 +27,7 @@ def test_against_numpy(spark, method):
         "f": [5.0, 1.0],
     }
     df = frame(spark, {**days, "g": [None]})
-    if method == "sliced":
-        found = sliced_percentiles(df, "v", WANTED)
-    else:
-        found = day_percentiles(df, "v", WANTED, buffered_rows=0 if method == "by_size" else 10**9)
+    found = day_percentiles(df, "v", WANTED)
     rows = {r.date: r for r in found.collect()}
     assert set(rows) == {*days, "g"}
     assert rows["g"].p50 is None
@@ -43,7 +39,6 @@ def test_against_numpy(spark, method):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "date string, v double")
     assert day_percentiles(empty, "v", WANTED).count() == 0
-    assert sliced_percentiles(empty, "v", WANTED).count() == 0
 
 
 def test_counted_sizes(spark):

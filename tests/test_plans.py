@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__
+from workload.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
+QUERIES = all_queries()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -21,6 +21,15 @@ def test_no_product_and_no_python(spark, name):
         assert forbidden not in plan
 
 
+def test_planning_runs_no_job(spark):
+    context = spark.sparkContext
+    context.setJobGroup("planning", "planning")
+    for query in QUERIES.values():
+        query(spark, SF_DIR)
+    assert list(context.statusTracker().getJobIdsForGroup("planning")) == []
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_scans_read_only_what_is_used(spark):
     plan = QUERIES["participating_miner_count"](spark, SF_DIR)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from epochloom.config import LedgerConfig, PATH_COUNT_FIELDS
 from epochloom.operators import messages as m
-from epochloom.operators.percentiles import sliced_percentiles
+from epochloom.operators.percentiles import day_percentiles
 
 CFG = LedgerConfig(genesis_unix=0, window_start=-1)
 N = 300_000
@@ -53,7 +53,7 @@ def test_hot_day_in_the_percentiles(spark):
     day = F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(F.lit(99))
     value = (F.col("id") * 7919 % N).cast("double")
     df = spark.range(N).select(day.alias("date"), value.alias("v"))
-    found = sliced_percentiles(df, "v", {"p50": 0.5, "p95": 0.95})
+    found = day_percentiles(df, "v", {"p50": 0.5, "p95": 0.95})
     wanted = df.groupBy("date").agg(F.percentile("v", [0.5, 0.95]).alias("w"))
     both = found.join(wanted, "date")
     assert both.count() == 51

@@ -92,26 +92,19 @@ def test_latest_keeps_a_null_value(spark):
     assert state.daily_latest(df, "miner_id", ["height"], POWERS).first()[2:] == (None, 6.0)
 
 
-def test_fill_forward_covers_the_whole_grid(spark):
+def test_fill_forward_has_one_interval_per_change(spark):
     rows = [(d, k, v) for d, k, v in [
         ("2024-01-01", "a", 1.0), ("2024-01-03", "a", None), ("2024-01-04", "a", 4.0),
         ("2024-01-03", "b", 7.0),
     ]]
-    df = spark.createDataFrame(rows, "date string, k string, v double").withColumn(
-        "date", F.to_date("date")
-    )
-    found = state.fill_forward(df, "k", ["v"]).orderBy("k", "date")
-    got = [(str(r.date), r.k, r.v) for r in found.collect()]
-    assert got == [
-        ("2024-01-01", "a", 1.0),
-        ("2024-01-03", "a", 1.0),
-        ("2024-01-04", "a", 4.0),
-        ("2024-01-01", "b", None),
-        ("2024-01-03", "b", 7.0),
-        ("2024-01-04", "b", 7.0),
+    df = spark.createDataFrame(rows, "date string, k string, v double")
+    found = state.fill_forward(df, "k", ["v"]).orderBy("k", "valid_from")
+    assert [tuple(r) for r in found.collect()] == [
+        ("a", 1.0, "2024-01-01", "2024-01-03"),
+        ("a", 1.0, "2024-01-03", "2024-01-04"),
+        ("a", 4.0, "2024-01-04", None),
+        ("b", 7.0, "2024-01-03", None),
     ]
-    spine = state.day_key_spine(df, "k")
-    assert spine.count() == 6 and spine.distinct().count() == 6
 
 
 def test_seed_only_for_keys_seen_later(spark):

@@ -7,7 +7,6 @@ plan with the DataFrame side.
 from __future__ import annotations
 
 from epochloom.config import LedgerConfig
-from epochloom.plans.series import CHARTS
 from epochloom.sources.stand_in import CLAIMS, EVENTS, FACTS
 from workload.queries import NANO_ZEROS
 
@@ -65,8 +64,9 @@ def _array(field: str, element: str) -> str:
 
 _SECTOR = "'{\"SectorNumber\":' || i || '}'"
 _ACTIVATION = (
-    "CASE (o_custkey + i) % 4 WHEN 0 THEN '{\"SectorType\":8}' "
+    "CASE (o_custkey + i) % 5 WHEN 0 THEN '{\"SectorType\":8}' "
     "WHEN 1 THEN '{\"Pieces\":null}' "
+    "WHEN 3 THEN '{\"Pieces\":[{\"Size\":1,\"Address\":\"f05\",\"Notify\":[]}]}' "
     "WHEN 2 THEN '{\"Pieces\":[{\"Size\":1,\"Notify\":[{\"Address\":\"f05\"}]}]}' "
     "ELSE '{\"Pieces\":[{\"Size\":1,\"Notify\":[{\"Address\":\"f099\"}]}]}' END"
 )
@@ -181,42 +181,47 @@ def dated(table: str, cfg: LedgerConfig, after: int | None = None) -> str:
 
 # --- shared steps -------------------------------------------------------------------------
 
-CLAIM_STEPS = {
-    "act": f"""SELECT date, miner_id, raw, qap FROM (SELECT *, row_number() OVER (
-        PARTITION BY date, miner_id
-        ORDER BY height DESC, raw DESC NULLS LAST, qap DESC NULLS LAST) AS rn
-        FROM ({dated("claims", CLAIMS)})) WHERE rn = 1""",
-    "latest": f"""SELECT miner_id, raw, qap FROM (SELECT *, row_number() OVER (
-        PARTITION BY miner_id
-        ORDER BY height DESC, raw DESC NULLS LAST, qap DESC NULLS LAST) AS rn
-        FROM claims WHERE height <= {CLAIMS.window_start}) WHERE rn = 1""",
-    "seed": "SELECT * FROM latest WHERE miner_id IN (SELECT miner_id FROM act)",
-    "anchored": """SELECT date, miner_id, raw, qap FROM act UNION ALL
-        SELECT CAST((SELECT min(date) FROM act) - 1 AS DATE), miner_id, raw, qap FROM seed""",
-    "spine": """SELECT date, miner_id FROM (SELECT DISTINCT date FROM anchored)
-        CROSS JOIN (SELECT DISTINCT miner_id FROM anchored)""",
-    "filled": """SELECT s.date, s.miner_id,
-        last_value(a.raw IGNORE NULLS) OVER w AS raw,
-        last_value(a.qap IGNORE NULLS) OVER w AS qap
-        FROM spine s LEFT JOIN anchored a ON s.date = a.date AND s.miner_id = a.miner_id
-        WINDOW w AS (PARTITION BY s.miner_id ORDER BY s.date
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-    "network": """SELECT date, sum(coalesce(raw, 0)) AS raw, sum(coalesce(qap, 0)) AS qap
-        FROM filled GROUP BY date""",
-    "delta": f"""SELECT date, (raw - lag(raw) OVER (ORDER BY date)) / {PIB} AS raw,
-        (qap - lag(qap) OVER (ORDER BY date)) / {PIB} AS qap
-        FROM network WHERE date >= (SELECT min(date) FROM act)""",
-    "smooth": """SELECT date,
-        avg(raw) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS raw,
-        avg(qap) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS qap
-        FROM delta""",
+# A miner's reading of a day is its greatest (height, powers); NULL powers count as -1 for that.
+# Readings up to the window start share the NULL day. Powers of any day are looked up as of it.
+_SINCE = f"CASE WHEN height > {CLAIMS.window_start} THEN {day('height')} END"
+_FIRST = "(SELECT min(date) FROM held)"
+
+
+def _as_of(power: str) -> str:
+    return f"""SELECT d.date, coalesce(sum(c.{power}), 0) AS total
+        FROM (SELECT DISTINCT date, miner_id FROM
+            (SELECT DISTINCT date FROM held WHERE date IS NOT NULL) CROSS JOIN
+            (SELECT DISTINCT miner_id FROM known)) d
+        ASOF LEFT JOIN (SELECT * FROM known WHERE {power} IS NOT NULL) c
+            ON d.miner_id = c.miner_id AND d.date >= c.date
+        GROUP BY d.date"""
+
+
+POWER_STEPS = {
+    "held": f"""SELECT miner_id, date, nullif(top.raw, -1) AS raw, nullif(top.qap, -1) AS qap
+        FROM (SELECT miner_id, {_SINCE} AS date, max(struct_pack(h := height,
+            raw := coalesce(raw, -1), qap := coalesce(qap, -1))) AS top
+            FROM claims GROUP BY ALL)""",
+    "known": f"""SELECT coalesce(date, CAST({_FIRST} - 1 AS DATE)) AS date, miner_id, raw, qap
+        FROM held WHERE miner_id IN (SELECT miner_id FROM held WHERE date IS NOT NULL)""",
+    "raw_days": _as_of("raw"),
+    "qap_days": _as_of("qap"),
+    "gained": f"""SELECT r.date, (r.total - p.total) / {PIB} AS raw,
+            (q.total - o.total) / {PIB} AS qap
+        FROM raw_days r JOIN qap_days q ON r.date = q.date
+        ASOF LEFT JOIN raw_days p ON r.date > p.date
+        ASOF LEFT JOIN qap_days o ON r.date > o.date""",
+    "evened": """SELECT a.date, avg(b.raw) AS raw, avg(b.qap) AS qap
+        FROM (SELECT *, count(*) OVER (ORDER BY date) AS i FROM gained) a
+        JOIN (SELECT *, count(*) OVER (ORDER BY date) AS i FROM gained) b
+            ON b.i BETWEEN a.i - 6 AND a.i GROUP BY a.date""",
 }
 
 
 def claims_query(select: str, last: str) -> str:
-    """Select over the claim steps up to the named one."""
-    names = list(CLAIM_STEPS)
-    return query(select, **{k: CLAIM_STEPS[k] for k in names[: names.index(last) + 1]})
+    """Select over the power steps up to the named one."""
+    names = list(POWER_STEPS)
+    return query(select, **{k: POWER_STEPS[k] for k in names[: names.index(last) + 1]})
 
 
 FEES = {
@@ -225,41 +230,50 @@ FEES = {
         FROM gas g JOIN msgs m ON g.cid = m.cid WHERE g.height > {FACTS.window_start}"""
 }
 
-ANY_PATH = f"""CASE method
-    WHEN 'PreCommitSectorBatch2' THEN {length("Sectors")}
-    WHEN 'ProveCommitSectors3' THEN {length("SectorActivations")}
-    WHEN 'ProveReplicaUpdates3' THEN coalesce({length("SectorUpdates")}, {length("Sectors")},
-        {length("SectorNumbers")})
-    WHEN 'ProveCommitAggregate' THEN {length("SectorNumbers")}
-    ELSE 1 END"""
-ARCHETYPE = f"""CASE method
-    WHEN 'PreCommitSectorBatch2' THEN {length("Sectors")}
-    WHEN 'ProveCommitSectors3' THEN coalesce({length("SectorNumbers")}, {length("SectorProofs")},
-        {length("Sectors")})
-    ELSE 1 END"""
-
-
-def counted(methods: str, event_methods: str, count: str) -> dict[str, str]:
+# Where a method's sectors are listed: the lowest rank that is an array counts.
+FIELDS = """(VALUES
+    ('path', 'PreCommitSectorBatch2', 1, 'Sectors'),
+    ('path', 'ProveCommitSectors3', 1, 'SectorActivations'),
+    ('path', 'ProveReplicaUpdates3', 1, 'SectorUpdates'),
+    ('path', 'ProveReplicaUpdates3', 2, 'Sectors'),
+    ('path', 'ProveReplicaUpdates3', 3, 'SectorNumbers'),
+    ('path', 'ProveCommitAggregate', 1, 'SectorNumbers'),
+    ('size', 'PreCommitSectorBatch2', 1, 'Sectors'),
+    ('size', 'ProveCommitSectors3', 1, 'SectorNumbers'),
+    ('size', 'ProveCommitSectors3', 2, 'SectorProofs'),
+    ('size', 'ProveCommitSectors3', 3, 'Sectors')) AS f(use, method, rank, field)"""
+
+
+def listed(use: str) -> str:
+    """The number of sectors that a message's parameters list, NULL without a list."""
+    return f"""(SELECT CAST(arg_min(json_array_length(m.params, '$.' || f.field), f.rank) AS BIGINT)
+        FROM {FIELDS} WHERE f.use = '{use}' AND f.method = m.method
+        AND json_type(m.params, '$.' || f.field) = 'ARRAY')"""
+
+
+def counted(methods: str, event_methods: str, use: str) -> dict[str, str]:
+    """Per message: its listed sectors, else what its events say, each event once for every
+    message of the id and method."""
     return {
-        "sized": f"""SELECT {day("height")} AS date, cid, method, {count} AS parsed
-            FROM msgs WHERE height > {FACTS.window_start} AND method IN {methods}""",
-        "seen": f"""SELECT {day("e.height")} AS date, m.cid, m.method, count(*) AS seen
-            FROM mse e JOIN msgs m ON m.cid = e.message_cid
-            WHERE e.height > {FACTS.window_start} AND e.event = 'SECTOR_ADDED'
-            AND m.height > {FACTS.window_start} AND m.method IN {event_methods}
-            GROUP BY 1, 2, 3""",
-        "counts": """SELECT s.date, s.cid, s.method, coalesce(s.parsed, e.seen) AS sectors
-            FROM sized s LEFT JOIN seen e
-            ON s.date = e.date AND s.cid = e.cid AND s.method = e.method""",
+        "adds": f"""SELECT message_cid, {day("height")} AS date, count(*) AS adds FROM mse
+            WHERE event = 'SECTOR_ADDED' AND height > {FACTS.window_start} GROUP BY ALL""",
+        "counts": f"""SELECT {day("m.height")} AS date, m.cid, m.method, coalesce({listed(use)},
+                CASE WHEN m.method IN {event_methods} THEN look.adds * twin.copies END) AS sectors
+            FROM msgs m
+            LEFT JOIN LATERAL (SELECT adds FROM adds WHERE adds.message_cid = m.cid
+                AND adds.date = {day("m.height")}) look ON true
+            LEFT JOIN LATERAL (SELECT count(*) AS copies FROM msgs o WHERE o.cid = m.cid
+                AND o.method = m.method AND o.height > {FACTS.window_start}) twin ON true
+            WHERE m.height > {FACTS.window_start} AND m.method IN {methods}""",
     }
 
 
-PATH_STEPS = counted(PATHS, EVENT_PATHS, ANY_PATH)
+PATH_STEPS = counted(PATHS, EVENT_PATHS, "path")
 COST = f"""SELECT cid, (base_fee_burn + over_estimation_burn) / 1e9 AS cost
     FROM gas WHERE height > {FACTS.window_start}"""
 ARCHETYPE_STEPS = {
     **counted(
-        "('PreCommitSectorBatch2', 'ProveCommitSectors3')", "('ProveCommitSectors3')", ARCHETYPE
+        "('PreCommitSectorBatch2', 'ProveCommitSectors3')", "('ProveCommitSectors3')", "size"
     ),
     "cost": COST,
     "classed": f"""SELECT date, method, CASE WHEN sectors >= {FACTS.large_batch_from}
@@ -268,9 +282,7 @@ ARCHETYPE_STEPS = {
         FROM counts JOIN cost ON counts.cid = cost.cid WHERE sectors > 0 GROUP BY 1, 2, 3""",
     "summed": "SELECT date, sp_archetype, sum(cost) AS cost FROM classed GROUP BY 1, 2",
 }
-AGG_SIZES = counted(
-    "('ProveCommitAggregate')", "('ProveCommitAggregate')", length("SectorNumbers")
-)
+AGG_SIZES = counted("('ProveCommitAggregate')", "('ProveCommitAggregate')", "path")
 BATCHES = {
     "batches": f"""SELECT {day("height")} AS date, cid, {length("Sectors")} AS sectors FROM msgs
         WHERE height > {FACTS.window_start} AND method = 'PreCommitSectorBatch2'"""
@@ -327,7 +339,9 @@ ACTIVATIONS = {
         FROM msgs WHERE method = 'ProveCommitSectors3'
         AND json_type(params, '$.SectorActivations') = 'ARRAY'""",
     "judged": """SELECT *, coalesce(regexp_matches(CAST(json_extract(sector, '$.Pieces')
-        AS VARCHAR), '"Address"\\s*:\\s*"f05"'), false) AS market FROM acts""",
+        AS VARCHAR), '"Address"\\s*:\\s*"f05"'), false) AS market,
+        coalesce(regexp_matches(CAST(json_extract(sector, '$.Pieces[*].Notify')
+        AS VARCHAR), '"Address"\\s*:\\s*"f05"'), false) AS strict FROM acts""",
 }
 
 
@@ -403,8 +417,8 @@ def metric_sql() -> dict[str, str]:
         ),
         "power_added": claims_query(
             f"""SELECT {text()} AS date, {r("raw")} AS raw_power_added,
-            {r("qap")} AS quality_adjusted_power_added FROM smooth""",
-            "smooth",
+            {r("qap")} AS quality_adjusted_power_added FROM evened""",
+            "evened",
         ),
         "precommit_sector_batch_size": query(
             f"""SELECT {text("p.date")} AS date, {r("mean")} AS avg_sectors_per_message,
@@ -485,9 +499,8 @@ def operator_sql() -> dict[str, str]:
         ),
         "scalar_subquery_filter": claims_query(
             f"""SELECT {text()} AS date, miner_id, {r(RAW)} AS raw_byte_power,
-            {r(QAP)} AS quality_adj_power FROM anchored
-            WHERE date >= (SELECT min(date) FROM act)""",
-            "anchored",
+            {r(QAP)} AS quality_adj_power FROM known WHERE date >= {_FIRST}""",
+            "known",
         ),
         "join_inner_cid": query(
             f"""SELECT g.cid, {text(day("g.height"))} AS date, m.method, count(*) AS pairs,
@@ -519,14 +532,9 @@ def operator_sql() -> dict[str, str]:
         ),
         "join_semi": claims_query(
             f"""SELECT miner_id, {r(RAW)} AS raw_byte_power, {r(QAP)} AS quality_adj_power
-            FROM seed""",
-            "seed",
-        ),
-        "join_cross_spine": query(
-            f"""SELECT {text()} AS date, miner_id
-            FROM (SELECT DISTINCT date FROM act)
-            CROSS JOIN (SELECT DISTINCT miner_id FROM act)""",
-            act=CLAIM_STEPS["act"],
+            FROM held WHERE date IS NULL
+            AND miner_id IN (SELECT miner_id FROM held WHERE date IS NOT NULL)""",
+            "held",
         ),
         "explode_json_array": query(
             "SELECT cid, CAST(position AS INTEGER) AS position, CAST(sector AS VARCHAR) AS sector "
@@ -612,7 +620,8 @@ def operator_sql() -> dict[str, str]:
                 for p in PATHS[2:-2].split("', '")
             )
             + " FROM sized GROUP BY date",
-            sized=PATH_STEPS["sized"],
+            sized=f"""SELECT {day("m.height")} AS date, method, {listed("path")} AS parsed
+                FROM msgs m WHERE height > {FACTS.window_start} AND method IN {PATHS}""",
         ),
         "agg_any": query(
             f"""SELECT {text()} AS date, bool_or(qap IS NULL) AS any_silent,
@@ -625,8 +634,8 @@ def operator_sql() -> dict[str, str]:
         ),
         "win_latest_before": query(
             f"""SELECT miner_id, {r(RAW)} AS raw_byte_power, {r(QAP)} AS quality_adj_power
-            FROM latest """,
-            latest=CLAIM_STEPS["latest"],
+            FROM held WHERE date IS NULL""",
+            held=POWER_STEPS["held"],
         ),
         "win_lag_delta": query(
             f"""SELECT {text()} AS date,
@@ -641,8 +650,8 @@ def operator_sql() -> dict[str, str]:
             f"""SELECT {text()} AS date, miner_id, {r(f'''last_value(qap IGNORE NULLS) OVER (
                 PARTITION BY miner_id ORDER BY date
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / {PIB}''')} AS carried
-            FROM anchored""",
-            "anchored",
+            FROM known""",
+            "known",
         ),
         "win_rolling_30": query(
             f"""SELECT {text()} AS date, {r('''avg(extended) OVER (ORDER BY date
@@ -715,32 +724,40 @@ def operator_sql() -> dict[str, str]:
         ),
         "to_finite": """SELECT c_custkey, CASE WHEN isfinite(x) THEN x END + 0.0 AS number FROM (
             SELECT c_custkey, try_cast(nullif(CASE c_custkey % 5 WHEN 0 THEN c_name WHEN 1 THEN ''
-                WHEN 2 THEN 'Infinity' ELSE split_part(c_name, '#', 2) END, '') AS DOUBLE) AS x
+                WHEN 2 THEN 'Infinity' WHEN 3 THEN split_part(c_name, '#', 2) || 'd'
+                ELSE split_part(c_name, '#', 2) END, '') AS DOUBLE) AS x
             FROM customer)""",
         "daily_latest": claims_query(
             f"""SELECT {text()} AS date, miner_id, {r(RAW)} AS raw_byte_power,
-            {r(QAP)} AS quality_adj_power FROM act""",
-            "act",
+            {r(QAP)} AS quality_adj_power FROM held WHERE date IS NOT NULL""",
+            "held",
         ),
         "seed_anchor": claims_query(
             f"""SELECT {text()} AS date, miner_id, {r(RAW)} AS raw_byte_power,
-            {r(QAP)} AS quality_adj_power FROM anchored""",
-            "anchored",
+            {r(QAP)} AS quality_adj_power FROM known""",
+            "known",
         ),
         "fill_forward": claims_query(
-            f"""SELECT {text()} AS date, miner_id, {r(RAW)} AS raw_byte_power,
-            {r(QAP)} AS quality_adj_power FROM filled""",
-            "filled",
+            f"""SELECT k.miner_id, {r("a.raw / " + PIB)} AS raw_byte_power,
+            {r("b.qap / " + PIB)} AS quality_adj_power, {text("k.date")} AS valid_from,
+            {text("(SELECT min(n.date) FROM known n WHERE n.miner_id = k.miner_id AND n.date > k.date)")}
+                AS valid_to
+            FROM known k
+            ASOF LEFT JOIN (SELECT * FROM known WHERE raw IS NOT NULL) a
+                ON k.miner_id = a.miner_id AND k.date >= a.date
+            ASOF LEFT JOIN (SELECT * FROM known WHERE qap IS NOT NULL) b
+                ON k.miner_id = b.miner_id AND k.date >= b.date""",
+            "known",
         ),
         "state_delta_daily": claims_query(
             f"""SELECT {text()} AS date, {r("raw")} AS raw_byte_power,
-            {r("qap")} AS quality_adj_power FROM delta""",
-            "delta",
+            {r("qap")} AS quality_adj_power FROM gained""",
+            "gained",
         ),
         "rolling_mean": claims_query(
             f"""SELECT {text()} AS date, {r("raw")} AS raw_byte_power,
-            {r("qap")} AS quality_adj_power FROM smooth""",
-            "smooth",
+            {r("qap")} AS quality_adj_power FROM evened""",
+            "evened",
         ),
         "cumulative_to_daily": query(
             f"SELECT {text()} AS date, {r('gain')} AS reward FROM gains ", **REWARDS
@@ -761,7 +778,7 @@ def operator_sql() -> dict[str, str]:
             **PATH_STEPS,
         ),
         "param_count": query(
-            f"SELECT cid, method, {ANY_PATH} AS sectors FROM msgs WHERE method IN {PATHS}"
+            f"SELECT cid, method, {listed('path')} AS sectors FROM msgs m WHERE method IN {PATHS}"
         ),
         "count_with_event_fallback": query(
             f"""SELECT {text()} AS date, cid, method, sectors AS sector_count, count(*) AS copies
@@ -775,7 +792,7 @@ def operator_sql() -> dict[str, str]:
         ),
         "classify_nested": query(
             f"""SELECT m.cid, {length("SectorActivations", "m.params")} AS total,
-            count(*) FILTER (j.market) AS market, count(*) FILTER (j.market) AS strict
+            count(*) FILTER (j.market) AS market, count(*) FILTER (j.strict) AS strict
             FROM msgs m LEFT JOIN judged j ON m.cid = j.cid
             WHERE m.method = 'ProveCommitSectors3'
             AND json_type(m.params, '$.SectorActivations') = 'ARRAY' GROUP BY ALL""",
@@ -810,6 +827,33 @@ def operator_sql() -> dict[str, str]:
     return rows
 
 
+# Every chart of the page, with its metric, unit and columns.
+PAGE = (
+    ("power_added", "power_added:raw_power_added", "PiB", "raw_power_added"),
+    ("power_added", "power_added:quality_adjusted_power_added", "PiB (QAP)", "quality_adjusted_power_added"),
+    ("participating_miner_count", "participating_miner_count:participating_miner_count", "Miners", "participating_miner_count"),
+    ("precommit_sector_batch_size", "precommit_sector_batch_size:avg_sectors_per_message", "Sectors", "avg_sectors_per_message median_sectors_per_message"),
+    ("precommit_sector_batch_size", "precommit_sector_batch_size:messages", "Messages", "messages aggregate_messages"),
+    ("precommit_sector_batch_size", "precommit_sector_batch_size:avg_aggregate_size", "Sectors", "avg_aggregate_size median_aggregate_size"),
+    ("gas_per_sector_by_path", "gas_per_sector_by_path:PreCommitSectorBatch2", "nanoFIL", "PreCommitSectorBatch2 ProveCommitSectors3 ProveCommitAggregate ProveReplicaUpdates3"),
+    ("ddo_sector_onboarding", "ddo_sector_onboarding:ddo_sectors", "Sectors", "ddo_sectors non_ddo_sectors"),
+    ("small_batch_count", "small_batch_count:fuller_batch_pct", "%", "fuller_batch_pct"),
+    ("fil_return_per_sector", "fil_return_per_sector:fil_return_per_sector", "FIL / sector", "fil_return_per_sector"),
+    ("daily_fee_burn", "daily_fee_burn:total_fee_burn_fil", "FIL", "total_fee_burn_fil sector_onboarding_gas_fil"),
+    ("sector_lifetime_cost", "sector_lifetime_cost:large_sp", "nanoFIL", "large_sp medium_sp small_sp"),
+    ("sector_daily_fee_cost", "sector_daily_fee_cost:avg_daily_fee_lifetime_cost_nanofil", "nanoFIL", "avg_daily_fee_lifetime_cost_nanofil"),
+    ("base_fee_percentiles", "base_fee_percentiles:base_fee_p50_nanofil", "nanoFIL", "base_fee_p50_nanofil base_fee_p95_nanofil"),
+    ("gas_utilization", "gas_utilization:gas_utilization_pct", "%", "gas_utilization_pct"),
+    ("gas_utilization", "gas_utilization:theoretical_max_sectors_per_day", "Sectors / day", "theoretical_max_sectors_per_day"),
+    ("burn_composition", "burn_composition:dispute_termination_gas_fil", "FIL", "dispute_termination_gas_fil sector_onboarding_gas_fil other_burn_fil"),
+    ("circulating_supply_vs_burn", "circulating_supply_vs_burn:circulating_fil", "FIL", "circulating_fil burnt_fil"),
+    ("circulating_supply_vs_burn", "circulating_supply_vs_burn:circulating_growth_pct", "%", "circulating_growth_pct daily_burn_rate_pct"),
+    ("sector_extensions", "sector_extensions:extensions_pre_grace", "Extensions", "extensions_pre_grace extensions_during_grace extensions_post_grace baseline_rolling_30d"),
+    ("renewal_rate", "renewal_rate:expired_count", "Sectors", "expired_count extended_count"),
+    ("renewal_rate", "renewal_rate:renewal_rate_pre_pct", "%", "renewal_rate_pre_pct renewal_rate_during_pct renewal_rate_post_pct"),
+)
+
+
 def series_sql(frames: dict[str, str]) -> dict[str, str]:
     millis = "CAST(epoch_ms(CAST(date AS TIMESTAMP)) AS BIGINT)"
 
@@ -846,12 +890,12 @@ def series_sql(frames: dict[str, str]) -> dict[str, str]:
         ),
         "metric_catalog": " UNION ALL ".join(
             points(
-                chart.metric,
+                metric,
                 column,
-                f"'{chart.name}' AS chart, '{column}' AS series, '{chart.unit}' AS unit,",
+                f"'{chart}' AS chart, '{column}' AS series, '{unit}' AS unit,",
             )
-            for chart in CHARTS
-            for column in chart.columns
+            for metric, chart, unit, columns in PAGE
+            for column in columns.split()
         ),
     }
 
