@@ -40,7 +40,6 @@ def _hang_larger(edges: DataFrame) -> DataFrame:
         both.join(least, "u")
         .where("v > u")
         .select(F.col("v").alias("child"), F.col("m").alias("parent"))
-        .distinct()
     )
 
 
