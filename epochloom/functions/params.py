@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -20,15 +20,27 @@ def array_elements(params: Column, field: str) -> Column:
     return F.from_json(F.get_json_object(params, f"$.{field}"), "array<string>")
 
 
+def parsed_arrays(params: Column, names: Iterable[str]) -> Column:
+    """The named top-level arrays in a struct, each element as its own JSON text, in one parse.
+
+    A name that is missing or not an array is NULL; text that is no JSON object has no arrays.
+    """
+    fields = ", ".join(f"`{name}`: ARRAY<STRING>" for name in sorted(set(names)))
+    return F.from_json(params, f"STRUCT<{fields}>")
+
+
+def array_names(fields: Mapping[str, Sequence[str]]) -> list[str]:
+    return sorted({name for names in fields.values() for name in names})
+
+
 def param_count(
-    method: Column, params: Column, fields: Mapping[str, Sequence[str]]
+    method: Column, arrays: Column, fields: Mapping[str, Sequence[str]]
 ) -> Column:
-    """Sector count of a message; only the arrays its method uses are parsed."""
+    """Sector count of a message from the parsed arrays: the first of its method's that is there."""
     branches = F
     for name, keys in fields.items():
-        branches = branches.when(
-            method == name, F.coalesce(*[array_length(params, key) for key in keys])
-        )
+        sizes = [F.array_size(arrays[key]).cast("bigint") for key in keys]
+        branches = branches.when(method == name, F.coalesce(*sizes))
     return branches.otherwise(F.lit(1).cast("bigint"))
 
 

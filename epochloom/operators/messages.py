@@ -1,8 +1,8 @@
 """Joins of messages, their gas and their events.
 
-Ids may repeat on either side, and a repeated id multiplies rows. Each side is therefore
-reduced to sums and counts per id before the join, and the products are formed from those,
-which gives the same totals while no id, however often it occurs, is ever expanded.
+Ids may repeat on either side, and a repeated id multiplies rows. One side is therefore reduced
+to counts per id before the join, and products with those give the same totals, while no row of
+the other side is ever expanded. Both sides are laid out by the id once.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from epochloom.config import ATTO_PER_NANO, SECTOR_ADDED, LedgerConfig
 from epochloom.functions.amounts import burnt_fee, number, ratio
 from epochloom.functions.classes import METHOD_CLASSES, method_class
-from epochloom.functions.params import param_count
+from epochloom.functions.params import array_names, param_count, parsed_arrays
 from epochloom.functions.time import epoch_to_day
 from epochloom.sources.tables import in_window
 
@@ -42,18 +42,23 @@ def class_counts(messages: DataFrame) -> DataFrame:
 
 def matched_totals(gas: DataFrame, messages: DataFrame, unit: float, cfg: LedgerConfig):
     """(cid, date, method, pairs, fee): the inner join on the id, folded to its totals."""
-    by_day = (
-        in_window(gas, cfg)
-        .groupBy("cid", epoch_to_day(F.col("height"), cfg).alias("date"))
-        .agg(F.sum(burnt_fee(unit)).alias("fee"), F.count("*").alias("rows"))
+    # Laid out by id alone, which serves the counts, the join and the totals.
+    by_method = (
+        messages.select("cid", "method")
+        .repartition("cid")
+        .groupBy("cid", "method")
+        .agg(F.count("*").alias("copies"))
     )
-    by_method = messages.groupBy("cid", "method").agg(F.count("*").alias("copies"))
-    return by_day.join(by_method, "cid").select(
-        "cid",
-        "date",
-        "method",
-        (F.col("rows") * F.col("copies")).alias("pairs"),
-        (F.col("fee") * F.col("copies")).alias("fee"),
+    return (
+        in_window(gas, cfg)
+        .select(
+            "cid",
+            epoch_to_day(F.col("height"), cfg).alias("date"),
+            burnt_fee(unit).alias("fee"),
+        )
+        .join(by_method, "cid")
+        .groupBy("cid", "date", "method")
+        .agg(F.sum("copies").alias("pairs"), F.sum(F.col("fee") * F.col("copies")).alias("fee"))
     )
 
 
@@ -66,10 +71,8 @@ def fee_per_class(
     a class none of its messages belong to, and NULL only where every matched message belongs to
     it and every fee is NULL.
     """
-    by_id = (
-        in_window(gas, cfg, start)
-        .groupBy("cid", epoch_to_day(F.col("height"), cfg).alias("date"))
-        .agg(F.sum(burnt_fee(unit)).alias("fee"))
+    rows = in_window(gas, cfg, start).select(
+        "cid", epoch_to_day(F.col("height"), cfg).alias("date"), burnt_fee(unit).alias("fee")
     )
     fee, total = F.col("fee"), F.col("messages")
 
@@ -79,7 +82,7 @@ def fee_per_class(
         return F.sum(known * F.col(name)).alias(name)
 
     return (
-        by_id.join(class_counts(messages), "cid")
+        rows.join(class_counts(messages), "cid")
         .groupBy("date")
         .agg(F.sum(fee * total).alias("total"), *[share(name) for name in METHOD_CLASSES])
     )
@@ -92,7 +95,9 @@ def added_by_message(
     return (
         in_window(events, cfg, start)
         .where((F.col("event") == SECTOR_ADDED) & F.col(event_id).isNotNull())
-        .groupBy(F.col(event_id).alias("cid"), epoch_to_day(F.col("height"), cfg).alias("date"))
+        .select(F.col(event_id).alias("cid"), epoch_to_day(F.col("height"), cfg).alias("date"))
+        .repartition("cid")
+        .groupBy("cid", "date")
         .agg(F.count("*").alias("events"))
     )
 
@@ -109,18 +114,24 @@ def fold_messages(
     only those methods are kept. `start` keeps only messages after that height.
     """
     methods = {method for fields in counts.values() for method in fields}
+    names = {name for fields in counts.values() for name in array_names(fields)}
+    day = epoch_to_day(F.col("height"), cfg).alias("date")
     return (
         in_window(messages, cfg, start)
         .where(F.col("method").isin(*sorted(methods)))
-        .groupBy(
+        .select("cid", "method", day, parsed_arrays(F.col("params"), names).alias("arrays"))
+        .select(
             "cid",
             "method",
-            epoch_to_day(F.col("height"), cfg).alias("date"),
+            "date",
             *[
-                param_count(F.col("method"), F.col("params"), fields).alias(name)
+                param_count(F.col("method"), F.col("arrays"), fields).alias(name)
                 for name, fields in counts.items()
             ],
         )
+        # One layout for the folding here and for the joins by id that follow.
+        .repartition("cid")
+        .groupBy("cid", "method", "date", *counts)
         .agg(F.count("*").alias("copies"))
     )
 
@@ -147,7 +158,7 @@ def with_event_counts(
         .groupBy("cid")
         .agg(F.map_from_entries(F.collect_list(F.struct("date", "events"))).alias("by_day"))
     )
-    laid_out = folded.repartition("cid")
+    laid_out = folded
     if start is None or start <= cfg.window_start:
         same_method = F.sum("copies").over(Window.partitionBy("cid", "method"))
         laid_out = laid_out.withColumn("same_method", same_method)

@@ -27,10 +27,9 @@ from epochloom.config import (
 from epochloom.functions.amounts import coins, lifetime_cost, number, ratio
 from epochloom.functions.classes import size_class
 from epochloom.functions.params import (
-    array_elements,
-    array_length,
     notifies_market,
     notifies_market_strict,
+    parsed_arrays,
 )
 from epochloom.functions.time import epoch_to_day, phase_of
 from epochloom.operators.messages import (
@@ -119,21 +118,19 @@ def activations(
     """
     through_market = notifies_market_strict if strict else notifies_market
     sectors = F.coalesce(
-        *[
-            F.when(F.col("method") == method, array_elements(F.col("params"), field))
-            for method, field in fields.items()
-        ]
+        *[F.when(F.col("method") == method, F.col("arrays")[field]) for method, field in fields.items()]
     )
     return (
         dated(t.parsed_messages, cfg, since, cfg.onboarding_window_start)
         .where(F.col("method").isin(*fields))
+        .select("date", "method", parsed_arrays(F.col("params"), fields.values()).alias("arrays"))
         .select("date", sectors.alias("sectors"))
-        .where(F.size("sectors") > 0)
         .groupBy("date")
         .agg(
-            F.sum(F.size("sectors")).alias("total"),
-            F.sum(F.size(F.filter("sectors", through_market))).alias("market"),
+            F.sum(F.array_size("sectors")).alias("total"),
+            F.sum(F.array_size(F.filter("sectors", through_market))).alias("market"),
         )
+        .where(F.col("total") > 0)
     )
 
 
@@ -179,6 +176,12 @@ def onboarding(
         return rows
     outputs = t.derived_gas_outputs
     matched = in_window(outputs, cfg) if gas == "window" else outputs
+    # Most gas belongs to other messages: it goes before it is folded, by a broadcast of the ids
+    # where these are few.
+    methods = sorted({method for by_method in fields.values() for method in by_method})
+    messages = in_window(t.parsed_messages, cfg, start)
+    ids = messages.where(F.col("method").isin(*methods)).select("cid")
+    matched = matched.join(ids, "cid", "left_semi")
     return rows.join(gas_by_message(matched, cfg), "cid", "left")
 
 
@@ -235,7 +238,9 @@ def batch_sizes(
         messages = dated(t.parsed_messages, cfg, since).select(
             "date",
             "method",
-            array_length(F.col("params"), "Sectors").alias("path_sectors"),
+            F.array_size(parsed_arrays(F.col("params"), ["Sectors"])["Sectors"])
+            .cast("bigint")
+            .alias("path_sectors"),
             F.lit(1).cast("bigint").alias("copies"),
         )
     return _sizes(messages, PRECOMMIT_BATCH)

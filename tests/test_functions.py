@@ -70,10 +70,16 @@ def test_param_count_takes_the_first_array_present(spark):
         ("ProveReplicaUpdates3", '{"SectorNumbers":[1,2]}'),
         ("ProveCommitAggregate", '{"SectorNumbers":[1,2,3,4],"AggregateSize":9}'),
         ("Other", None),
+        ("PreCommitSectorBatch2", '{"Sectors":{"a":1},"SectorNumbers":[1]}'),
+        ("PreCommitSectorBatch2", '{"Sectors":"x"}'),
+        ("PreCommitSectorBatch2", "[1,2]"),
+        ("PreCommitSectorBatch2", "not json"),
+        ("PreCommitSectorBatch2", '{"Sectors":[null,1,"a",[2],{"b":3}]}'),
     ]
-    count = params.param_count(F.col("m"), F.col("p"), PATH_COUNT_FIELDS)
+    arrays = params.parsed_arrays(F.col("p"), params.array_names(PATH_COUNT_FIELDS))
+    count = params.param_count(F.col("m"), arrays, PATH_COUNT_FIELDS)
     found = values(spark, rows, "m string, p string", count)
-    assert [n for (n,) in found] == [2, 3, None, 0, 1, 2, 4, 1]
+    assert [n for (n,) in found] == [2, 3, None, 0, 1, 2, 4, 1, None, None, None, None, 5]
 
 
 def test_market_calls(spark):

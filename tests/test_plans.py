@@ -21,6 +21,22 @@ def test_no_product_and_no_python(spark, name):
         assert forbidden not in plan
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "ddo_sector_onboarding",
+        "gas_per_sector_by_path",
+        "precommit_sector_batch_size",
+        "sector_lifetime_cost",
+    ],
+)
+def test_parameters_are_parsed_once(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    scans = sum("orders" in line and "FileScan" in line for line in plan.split("\n"))
+    assert "json_array_length" not in plan
+    assert 1 <= plan.count("from_json(") <= scans
+
+
 def test_planning_runs_no_job(spark):
     context = spark.sparkContext
     context.setJobGroup("planning", "planning")

@@ -326,12 +326,11 @@ def _path_counts(t: Ledger) -> DataFrame:
 
 def pivot_mean(t: Ledger) -> DataFrame:
     sizes = (
-        dated(t.parsed_messages, FACTS)
-        .where(F.col("method").isin(*ONBOARDING_PATHS))
+        _parsed(dated(t.parsed_messages, FACTS))
         .select(
             "date",
             "method",
-            js.param_count(F.col("method"), F.col("params"), PATH_COUNT_FIELDS).alias("n"),
+            js.param_count(F.col("method"), F.col("arrays"), PATH_COUNT_FIELDS).alias("n"),
         )
         .groupBy("date", "method")
         .agg(F.avg("n").alias("n"))
@@ -553,12 +552,18 @@ def size_class(t: Ledger) -> DataFrame:
     )
 
 
+def _parsed(messages: DataFrame) -> DataFrame:
+    """Onboarding messages with the arrays of their parameters."""
+    arrays = js.parsed_arrays(F.col("params"), js.array_names(PATH_COUNT_FIELDS))
+    rows = messages.where(F.col("method").isin(*ONBOARDING_PATHS))
+    return rows.withColumn("arrays", arrays).drop("params")
+
+
 def param_count(t: Ledger) -> DataFrame:
-    rows = t.parsed_messages.where(F.col("method").isin(*ONBOARDING_PATHS))
-    return rows.select(
+    return _parsed(t.parsed_messages).select(
         "cid",
         "method",
-        js.param_count(F.col("method"), F.col("params"), PATH_COUNT_FIELDS).alias("sectors"),
+        js.param_count(F.col("method"), F.col("arrays"), PATH_COUNT_FIELDS).alias("sectors"),
     )
 
 
