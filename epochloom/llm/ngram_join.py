@@ -453,3 +453,35 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     return documents.join(labels, "set_key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+#: The join of three words and 90 percent in DuckDB SQL, by all pairs that share a shingle.
+JOIN_SQL = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        END) AS shingle
+    FROM worded
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    JOIN sizes a ON a.doc_id = x.doc_id JOIN sizes b ON b.doc_id = y.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
+       least(d.doc_id, coalesce(min(r.b), d.doc_id))::BIGINT AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reached r ON r.a = d.doc_id
+GROUP BY d.doc_id, s.n
+"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from epochloom.llm import language_id, quality_classifier, quality_rules, toxicity
 from epochloom.llm.fingerprints import fingerprint_documents
 from epochloom.llm.mixing import MIX_SQL, mix_sources
-from epochloom.llm.ngram_join import ngram_jaccard_join
+from epochloom.llm.ngram_join import JOIN_SQL, ngram_jaccard_join
 from epochloom.llm.sentencepiece_lattice import encode_documents, read_pieces
 from epochloom.llm.shared import shared_folder
 from epochloom.llm.token_counts import count_tokens
@@ -97,4 +97,4 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op3_mixing": MIX_SQL}
+    return {"op2_ngram_join": JOIN_SQL, "op3_mixing": MIX_SQL}
