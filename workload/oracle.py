@@ -112,7 +112,9 @@ def tables(zeros: int = 12) -> dict[str, str]:
                     THEN {_array("Sectors", _SECTOR)}
                 WHEN method = 'ProveReplicaUpdates3' THEN {_array("SectorNumbers", _SECTOR)}
             END AS params
-            FROM (SELECT *, {_ORDER_HEIGHT} AS height, 'm' || o_orderkey AS cid, CASE
+            FROM (SELECT *, {_ORDER_HEIGHT} AS height, unnest(range(0,
+                    CASE WHEN o_orderkey % 40 = 3 THEN 2 ELSE 1 END)) AS copy,
+                'm' || (o_orderkey - CASE WHEN o_orderkey % 40 = 7 THEN 4 ELSE 0 END) AS cid, CASE
                 WHEN o_orderpriority = '1-URGENT' THEN 'PreCommitSectorBatch2'
                 WHEN o_orderpriority = '2-HIGH' THEN 'ProveCommitSectors3'
                 WHEN o_orderpriority = '3-MEDIUM' THEN 'ProveCommitAggregate'
@@ -122,8 +124,11 @@ def tables(zeros: int = 12) -> dict[str, str]:
             END AS method FROM orders)""",
         "gas": f"""
             SELECT {_LINE_HEIGHT} AS height, 'm' || l_orderkey AS cid,
-                {_amount(f"{price} * {discount}", zeros, "l_partkey")} AS base_fee_burn,
-                {_amount(f"{price} * {tax}", zeros, "l_suppkey")} AS over_estimation_burn,
+                CASE WHEN l_linenumber <> 6
+                    THEN {_amount(f"{price} * {discount}", zeros, "l_partkey")} END AS base_fee_burn,
+                CASE WHEN l_linenumber <> 5
+                    THEN {_amount(f"{price} * {tax}", zeros, "l_suppkey")} END
+                    AS over_estimation_burn,
                 CAST(l_quantity AS BIGINT) * 1000000 AS gas_used,
                 CAST(50000000 AS BIGINT) AS gas_limit
             FROM lineitem""",
@@ -153,7 +158,8 @@ def tables(zeros: int = 12) -> dict[str, str]:
                 {_amount(f"event_id * 1000 + {value}", 16, "event_id")} AS total
             FROM events""",
         "headers": f"""
-            SELECT {_EVENT_HEIGHT} AS height, {_amount(value, 7, "event_id")} AS fee
+            SELECT {_EVENT_HEIGHT} AS height,
+                CASE WHEN event_id % 31 <> 0 THEN {_amount(value, 7, "event_id")} END AS fee
             FROM events""",
         "powers": f"SELECT {_EVENT_HEIGHT} AS height, user_id AS miners FROM events",
         "infos": f"""
@@ -345,6 +351,13 @@ ACTIVATIONS = {
 }
 
 
+def _calling(part: str) -> str:
+    """How many of a message's activations name the market actor in a part of theirs."""
+    return f"""len(list_filter(json_extract(params, '$.SectorActivations[*]'),
+        lambda s: coalesce(regexp_matches(CAST(json_extract(s, '$.{part}') AS VARCHAR),
+        '"Address"\\s*:\\s*"f05"'), false)))"""
+
+
 def metric_sql() -> dict[str, str]:
     c = FACTS.daily_gas_capacity
     seven = "OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
@@ -524,7 +537,7 @@ def operator_sql() -> dict[str, str]:
         ),
         "join_left_composite": query(
             f"""SELECT {text("s.date")} AS date, s.cid, s.method, count(DISTINCT s.rid) AS copies,
-            nullif(count(e.message_cid), 0) AS events
+            nullif(count(e.message_cid) // count(DISTINCT s.rid), 0) AS events
             FROM (SELECT *, row_number() OVER () AS rid FROM ({facts})) s
             LEFT JOIN (SELECT {day("height")} AS date, message_cid FROM mse
                 WHERE height > {FACTS.window_start} AND event = 'SECTOR_ADDED') e
@@ -791,12 +804,10 @@ def operator_sql() -> dict[str, str]:
             NANO_ZEROS,
         ),
         "classify_nested": query(
-            f"""SELECT m.cid, {length("SectorActivations", "m.params")} AS total,
-            count(*) FILTER (j.market) AS market, count(*) FILTER (j.strict) AS strict
-            FROM msgs m LEFT JOIN judged j ON m.cid = j.cid
-            WHERE m.method = 'ProveCommitSectors3'
-            AND json_type(m.params, '$.SectorActivations') = 'ARRAY' GROUP BY ALL""",
-            **ACTIVATIONS,
+            f"""SELECT cid, {length("SectorActivations")} AS total,
+            {n(_calling("Pieces"))} AS market, {n(_calling("Pieces[*].Notify"))} AS strict
+            FROM msgs WHERE method = 'ProveCommitSectors3'
+            AND json_type(params, '$.SectorActivations') = 'ARRAY'"""
         ),
         "lifetime_cost": query(
             f"""SELECT start AS activation_epoch, stop AS expiration_epoch,
