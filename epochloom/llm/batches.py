@@ -146,8 +146,9 @@ def map_slices(
     docs: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], dict]],
     schema: str,
+    sized_by: str = "text",
 ) -> DataFrame:
-    """Apply a function to slices of a frame with a ``text`` column.
+    """Apply a function to slices of a frame, cut by the bytes of one column.
 
     ``make`` runs once per task, so that models are unpacked once; its result maps a slice to
     columns in the order of ``schema``.
@@ -162,7 +163,7 @@ def map_slices(
         arrow = to_arrow_schema(target)
         step = make()
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, sized_by):
                 columns = step(piece)
                 if columns is None:
                     continue

@@ -27,3 +27,10 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
     return f"{(named or tempfile.mkdtemp(prefix='shared-')).rstrip('/')}/{uuid.uuid4()}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that an operator wrote, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

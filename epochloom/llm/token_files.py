@@ -8,24 +8,26 @@ keeps the bit offset, so blocks are decoded independently of each other; a table
 consecutive documents and about ``RECORD_BYTES`` of codes; records ascend by range of doc_id,
 then by their number, and documents in them by doc_id.
 
-Texts are tokenized twice, once for the counts and once for the codes, so that only codes are
-shuffled and kept. Null counts as an empty text, whose only id is ``END``. Null ids come first;
-rows with equal ids are ordered by their codes. An empty table gives empty files and no rows.
+Texts are tokenized once; their ids are kept in the shared folder between the two passes, for the
+counts and for the codes, and removed at the end. Only codes are shuffled. Null counts as an empty
+text, whose only id is ``END``. Null ids come first; rows with equal ids are ordered by their
+codes. An empty table gives empty files and no rows.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from epochloom.llm.batches import map_slices, run_index, worker_values
+from epochloom.llm.batches import map_slices, run_index, slices, worker_values
 from epochloom.llm.chunks import tokenized
+from epochloom.llm.shared import discard
 
 MAX_BITS = 16
 BLOCK = 1024
@@ -163,29 +165,50 @@ def _with_end(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.insert(flat, np.cumsum(counts), END), counts + 1
 
 
-def _encoder(shared, name: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
-    tokenizer = LibraryTokenizer(shared.value)
-    seen = worker_values(name, np.int32)
-    return lambda column: _with_end(*tokenized(column, seen, tokenizer))
+def _split(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    data, width = ids.tobytes(), ids.itemsize
+    ends = np.cumsum(counts) * width
+    sizes = counts * width
+    return [data[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
-def id_counts(docs: DataFrame, shared, name: str) -> np.ndarray:
+def document_ids(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """doc_id and ids, the end id included, as little-endian 32-bit integers."""
+    with open(vocabulary, encoding="utf-8") as file:
+        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+    name = f"token_files_{abs(hash(vocabulary))}"
+
+    def make():
+        tokenizer, seen = LibraryTokenizer(shared.value), worker_values(name, np.int32)
+
+        def step(batch):
+            ids, counts = _with_end(*tokenized(batch.column("text"), seen, tokenizer))
+            return {"doc_id": batch.column("doc_id"), "ids": _split(ids.astype("<u4"), counts)}
+
+        return step
+
+    return map_slices(docs.select("doc_id", "text"), make, "doc_id long, ids binary")
+
+
+def _ids_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    counts = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").astype(np.int32), counts
+
+
+def id_counts(encoded: DataFrame) -> np.ndarray:
     """How often each id occurs in all documents, end ids included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from epochloom.llm.batches import slices
-
-        encode, total = _encoder(shared, name), np.zeros(1, np.int64)
+        total = np.zeros(1, np.int64)
         for batch in batches:
-            for piece in slices(batch):
-                ids, _ = encode(piece.column("text"))
-                found = np.bincount(ids, minlength=len(total))
+            for piece in slices(batch, "ids"):
+                found = np.bincount(_ids_of(piece.column("ids"))[0], minlength=len(total))
                 found[: len(total)] += total
                 total = found
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "id long, n long")
+    rows = encoded.select("ids").mapInArrow(run, "id long, n long")
     summed = rows.groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # one row per vocabulary id
     ids = summed.column("id").to_numpy()
     out = np.zeros(int(ids.max(initial=-1)) + 1, np.int64)
@@ -196,15 +219,14 @@ def id_counts(docs: DataFrame, shared, name: str) -> np.ndarray:
 def write_ids(docs: DataFrame, vocabulary: str, path: str) -> None:
     """Encode every text and write the files below ``path``: ``lengths`` and ``records``."""
     spark = docs.sparkSession
-    with open(vocabulary, encoding="utf-8") as file:
-        shared = spark.sparkContext.broadcast(file.read())
-    name = f"token_files_{abs(hash(vocabulary))}"
-    lengths = code_lengths(id_counts(docs, shared, name))
+    document_ids(docs, vocabulary).write.option("compression", "zstd").parquet(f"{path}/ids")
+    encoded = spark.read.schema("doc_id long, ids binary").parquet(f"{path}/ids")
+    lengths = code_lengths(id_counts(encoded))
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(
         1
     ).write.parquet(f"{path}/lengths")
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.where(F.col("doc_id").isNotNull()).approxQuantile(
+    cuts = encoded.where(F.col("doc_id").isNotNull()).approxQuantile(
         "doc_id", [i / count for i in range(1, count)], 0.1 / count
     )
     code = spark.sparkContext.broadcast(
@@ -212,11 +234,10 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str) -> None:
     )
 
     def make():
-        encode = _encoder(shared, name)
         codes, sizes, cuts = code.value
 
         def step(batch):
-            ids, counts = encode(batch.column("text"))
+            ids, counts = _ids_of(batch.column("ids"))
             bits, offsets = pack(ids, counts, codes, sizes)
             doc_id = batch.column("doc_id")
             bucket = np.searchsorted(cuts, pc.fill_null(doc_id, 0).to_numpy(), "right")
@@ -232,11 +253,12 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str) -> None:
         return step
 
     schema = "doc_id long, bucket int, n_ids long, bits binary, offsets binary"
-    coded = map_slices(docs.select("doc_id", "text"), make, schema)
+    coded = map_slices(encoded, make, schema, sized_by="ids")
     ordered = coded.repartition("bucket").sortWithinPartitions("bucket", "doc_id", "n_ids", "bits")
     ordered.mapInArrow(_records, RECORD).write.option("compression", "none").parquet(
         f"{path}/records"
     )
+    discard(spark, f"{path}/ids")
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
