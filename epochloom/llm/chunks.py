@@ -90,7 +90,10 @@ def tokenized(
     if len(fresh):
         body = texts.data.tobytes()
         begin, size = chunks.starts[first[fresh]], chunks.lengths[first[fresh]]
-        strings = [body[a : a + n].decode("utf-8", "replace") for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
+        ends = (begin + size).tolist()
+        strings = [
+            body[a:b].decode("utf-8", "replace") for a, b in zip(begin.tolist(), ends, strict=True)
+        ]
         values, lengths = tokenize(strings)
         if count_only:
             values = values[:0]

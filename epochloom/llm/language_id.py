@@ -27,7 +27,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from epochloom.llm.batches import Words, map_slices, mix, run_index, run_sums, texts_of, word_hashes, words_of
+from epochloom.llm.batches import (
+    Words,
+    map_slices,
+    mix,
+    run_index,
+    run_sums,
+    texts_of,
+    word_hashes,
+    words_of,
+)
 from epochloom.llm.shared import saved
 from epochloom.llm.training import held_out, remainder
 
@@ -181,7 +190,7 @@ def fit(texts: list[str], label: np.ndarray, languages: list[str]) -> LanguageMo
     np.add.at(observed, (batch.which, per_word), 1.0)
     stays = np.bincount(y, np.maximum(batch.counts - 1, 0), size)
     weights, transition = np.zeros((len(KINDS), TABLE, size)), np.zeros((size, size))
-    state = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(transition), np.zeros_like(transition)]
+    state = [np.zeros_like(x) for x in (weights, weights, transition, transition)]
     for t in range(1, STEPS + 1):
         marginal, expected, _ = forward_backward(
             emissions(batch, weights)[batch.which], transition, batch.counts

@@ -28,7 +28,6 @@ from epochloom.llm.batches import (
     map_slices,
     mix,
     run_index,
-    run_sums,
     slices,
     texts_of,
     word_hashes,

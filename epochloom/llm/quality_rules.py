@@ -19,7 +19,6 @@ is 1. Rows are judged one by one, so repeated rows agree; other columns are igno
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from epochloom.llm.batches import (
