@@ -23,6 +23,8 @@ from epochloom.llm.shared import saved
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 RANGE_ROWS = 100_000
+#: Up to so many sources are broadcast to their documents; more are joined by a shuffle.
+FEW_SOURCES = 10_000
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, most: int = 3) -> DataFrame:
@@ -66,6 +68,8 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = 3) -> DataFrame:
         "source_size",
         "target",
     ).join(sources.select("name", "rows"), "name")
+    if sources.count() <= FEW_SOURCES:
+        plan = F.broadcast(plan)
     ranges = F.ceil(F.col("rows") / RANGE_ROWS)
     part = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
     rows = sized.drop("source").join(plan, "name").withColumn(
