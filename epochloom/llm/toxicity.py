@@ -35,6 +35,7 @@ from epochloom.llm.training import (
     fit_logistic,
     held_out,
     known_labels,
+    only_likely,
     remainder,
     sampled_texts,
     sigmoid,
@@ -239,7 +240,8 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 0, rest: int = 0) -
     of_use = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     if modulus:  # before the join, which moves texts
         of_use = of_use.where(remainder(modulus) != rest)
-    counts = saved(class_counts(of_use.where(~apart).join(known.where(~apart), "doc_id")))
+    counted = known.where(~apart)
+    counts = saved(class_counts(only_likely(of_use, counted).join(counted, "doc_id")))
     sample = sampled_texts(docs, bounded_sample(known.where(apart), SAMPLE))
     tables = ratios(counts)
     shared = docs.sparkSession.sparkContext.broadcast(tables)

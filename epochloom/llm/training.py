@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -23,6 +24,30 @@ def known_labels(labels: DataFrame, column: str, modulus: int = 0, rest: int = 0
     return rows.groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
 
 
+FILTER_BITS = 1 << 24
+
+
+def only_likely(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows whose id is in ``known``, and few others: by a bit set of fixed size with a bit on for
+    each known id. A join has to follow; this spares it most texts that have no partner."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
+    place = F.call_function("shiftleft", F.lit(1).cast("long"), bit % 32)
+    blocks = known.groupBy((bit / 32).cast("int").alias("block")).agg(
+        F.bit_or(place).alias("bits")
+    )
+    on = np.zeros(FILTER_BITS // 32, np.uint32)
+    for block, bits in blocks.toLocalIterator():
+        on[block] = bits
+    shared = docs.sparkSession.sparkContext.broadcast(on)
+
+    @F.pandas_udf("boolean")
+    def is_on(bits: pd.Series) -> pd.Series:
+        at = bits.to_numpy()
+        return pd.Series((shared.value[at // 32] >> (at % 32).astype(np.uint32)) & 1 == 1)
+
+    return docs.where(is_on(bit))
+
+
 def bounded_sample(known: DataFrame, rows_per_label: int) -> DataFrame:
     """Up to so many rows of label 0 and of 1, those with the smallest hash of the id."""
     order = F.xxhash64("doc_id")
