@@ -35,6 +35,7 @@ def _hang_larger(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("child").alias("u"), F.col("parent").alias("v")).union(
         edges.select("parent", "child")
     )
+    both = both.repartition("u")  # once, for the minimum and for the join with it
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (
         both.join(least, "u")
@@ -44,9 +45,10 @@ def _hang_larger(edges: DataFrame) -> DataFrame:
 
 
 def _hang_smaller(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("child").agg(F.min("parent").alias("m"))
+    laid = edges.repartition("child")
+    least = laid.groupBy("child").agg(F.min("parent").alias("m"))
     moved = (
-        edges.join(least, "child")
+        laid.join(least, "child")
         .where("parent != m")
         .select(F.col("parent").alias("child"), F.col("m").alias("parent"))
     )

@@ -355,8 +355,6 @@ def open_pairs(
     blocks, so a large one is spread out. ``closest`` keeps one pair for each two components of a
     task, those with the most similar sketches.
     """
-    import pandas as pd
-
     centers = buckets.select(
         "signature", F.col("center").alias("set_key"), F.lit(0).cast("byte").alias("upper")
     ).distinct()
@@ -387,33 +385,70 @@ def open_pairs(
         .join(classes.select("set_key", "n_shingles", "sketch"), "set_key")
     )
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        size = min(map(len, group["sketch"]))
-        sketch = np.stack([_folded(x, size) for x in group["sketch"]]).view(np.uint64)
-        key, root, n = (group[c].to_numpy() for c in ("set_key", "root", "n_shingles"))
-        upper, block = group["upper"].to_numpy(), group["block"].to_numpy()
-        within = bool((group["low"] == group["high"]).iloc[0])
-        found = []
-        for i in range(len(key) - 1):
-            differ = _differing(sketch[i + 1 :], sketch[i])
-            ok = (root[i + 1 :] != root[i]) & ((upper[i + 1 :] == 0) | (upper[i] == 0))
-            ok &= differ <= _allowed(n[i + 1 :] + n[i], percent)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            held = batch if held is None else pa.concat_batches([held, batch])
+            edges = _group_edges(held)
+            yield _closest_pairs(held, edges[:-1], percent, closest)
+            held = held.slice(edges[-2])
+        if held is not None:
+            yield _closest_pairs(held, _group_edges(held), percent, closest)
+
+    keys = ["signature", "low", "high"]
+    ordered = rows.repartition(*keys).sortWithinPartitions(*keys)
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
+def _group_edges(batch: pa.RecordBatch) -> np.ndarray:
+    """Where groups of rows with equal signature, low and high start, and the end."""
+    new = np.zeros(max(batch.num_rows - 1, 0), bool)
+    for name in ("signature", "low", "high"):
+        column = batch.column(name).to_numpy()
+        new |= column[1:] != column[:-1]
+    return np.r_[0, np.flatnonzero(new) + 1, batch.num_rows]
+
+
+def _closest_pairs(
+    batch: pa.RecordBatch, edges: np.ndarray, percent: int, closest: bool
+) -> pa.RecordBatch:
+    """Pairs (a, b) of each group's rows that may link; groups hold two blocks at most."""
+    column = {
+        n: batch.column(n).to_numpy()
+        for n in ("low", "high", "block", "set_key", "upper", "root", "n_shingles")
+    }
+    sketch = batch.column("sketch")
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        part = {n: c[start:end] for n, c in column.items()}
+        root, n, key = part["root"], part["n_shingles"], part["set_key"]
+        if end - start < 2 or (root == root[0]).all():
+            continue
+        raw = [x.as_buffer() for x in sketch.slice(start, end - start)]
+        size = min(x.size for x in raw)
+        bits = np.stack([_folded(x, size) for x in raw]).view(np.uint64)
+        within = part["low"][0] == part["high"][0]
+        rows = max(1, 1_000_000 // bits.size)
+        for top in range(0, end - start, rows):
+            some = slice(top, top + rows)
+            differ = _differing(bits[some, None, :], bits[None, :, :])
+            ok = differ <= _allowed(n[some, None] + n[None, :], percent)
+            ok &= root[some, None] != root[None, :]
+            ok &= (part["upper"][some, None] == 0) | (part["upper"][None, :] == 0)
+            ok &= key[some, None] < key[None, :]
             if not within:
-                ok &= block[i + 1 :] != block[i]
-            j = np.flatnonzero(ok)
-            found.append((np.full(len(j), i), j + i + 1, differ[j]))
-        if not found:
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        i, j, differ = (np.concatenate(x) for x in zip(*found, strict=True))
-        if closest and len(i):
-            low, high = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
-            order = np.lexsort((differ, high, low))
-            i, j, low, high = i[order], j[order], low[order], high[order]
-            first = np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
-            i, j = i[first], j[first]
-        return pd.DataFrame({"a": np.minimum(key[i], key[j]), "b": np.maximum(key[i], key[j])})
-
-    return rows.groupBy("signature", "low", "high").applyInPandas(compare, "a long, b long").distinct()
+                ok &= part["block"][some, None] != part["block"][None, :]
+            i, j = np.nonzero(ok)
+            differ, i = differ[i, j], i + top
+            if closest and len(i):
+                low, high = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
+                order = np.lexsort((differ, high, low))
+                i, j, low, high = i[order], j[order], low[order], high[order]
+                first = np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
+                i, j = i[first], j[first]
+            found.append((key[i], key[j]))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
