@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -19,7 +20,12 @@ def saved(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    kept = df.checkpoint()
+    # Shuffle files and older checkpoints that nothing needs any more go when the driver collects
+    # its garbage, which by itself may be long after many steps.
+    gc.collect()
+    context._jvm.System.gc()
+    return kept
 
 
 def shared_folder(spark: SparkSession) -> str:
