@@ -132,10 +132,12 @@ def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
     return mix(run_sums(each, words.lengths) + words.lengths.astype(np.uint64))
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in consecutive pieces of about ``SLICE_BYTES`` of text."""
+def slices(
+    batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batch in consecutive pieces of about ``size`` bytes of text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    piece = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    piece = (np.cumsum(sizes) - sizes) // size
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(sizes)]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if b > a:
@@ -147,6 +149,7 @@ def map_slices(
     make: Callable[[], Callable[[pa.RecordBatch], dict]],
     schema: str,
     sized_by: str = "text",
+    size: int = SLICE_BYTES,
 ) -> DataFrame:
     """Apply a function to slices of a frame, cut by the bytes of one column.
 
@@ -163,7 +166,7 @@ def map_slices(
         arrow = to_arrow_schema(target)
         step = make()
         for batch in batches:
-            for piece in slices(batch, sized_by):
+            for piece in slices(batch, sized_by, size):
                 columns = step(piece)
                 if columns is None:
                     continue

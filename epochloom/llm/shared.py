@@ -21,13 +21,17 @@ def saved(df: DataFrame) -> DataFrame:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     kept = df.checkpoint()
-    # Shuffle files and older checkpoints that nothing needs any more go when the driver collects
-    # its garbage, which by itself may be long after many steps.
-    gc.collect()
-    context._jvm.System.gc()
+    release(spark)
     return kept
 
 
+def release(spark: SparkSession) -> None:
+    """Shuffle files and older checkpoints that nothing needs any more go when the driver collects
+    its garbage, which by itself may be long after many steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path, not yet existing, below the shared folder."""
     context = spark.sparkContext

@@ -8,8 +8,12 @@ expression seen in one class only thus differs by the weight of its own counts,
 class has seen hardly at all.
 
 Counts are taken over all labelled training rows by a distributed aggregate. The log-likelihood
-ratio of each n-gram, and of each context for unseen n-grams, goes to a table of fixed size by
-hash (``SLOTS``; where two share a slot the more frequent one stays), which is what tasks get.
+ratio of each n-gram, and of each context for unseen n-grams, stays in frames in the shared
+folder, whole at any size and never gathered. Texts meet them by slice: a slice's words are
+reduced to the distinct ones and these to their distinct n-grams, so that an n-gram is in the join
+once per slice, however frequent. The join goes by buckets of contexts, as many as the n-grams on
+both sides need (``BUCKET``); a slice's n-grams of one bucket are one row there. The values go
+back to the slice, and of its documents only the places of words in its list are shuffled.
 
 A word's ratio is divided by its length. A document has the ratio over all its bytes, divided by
 their number, and the means of its highest 1, 3 and 10 words (absent words count 0); a logistic
@@ -22,14 +26,26 @@ classes every score is 0.5. Rows are scored one by one, so repeated rows agree.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import itertools
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from epochloom.llm.batches import map_slices, run_index, run_sums, texts_of, words_of
-from epochloom.llm.shared import saved
+from epochloom.llm.batches import (
+    Texts,
+    map_slices,
+    mix,
+    run_index,
+    run_sums,
+    texts_of,
+    word_hashes,
+    words_of,
+)
+from epochloom.llm.shared import discard, release, saved, shared_folder
 from epochloom.llm.training import (
     bounded_sample,
     fit_logistic,
@@ -43,19 +59,23 @@ from epochloom.llm.training import (
 
 ORDER = 6
 DISCOUNT = 0.75
-SLOTS = 1 << 22
-CONTEXT_SLOTS = 1 << 20
 #: Rows per class on which the final regression is fitted.
 SAMPLE = 3000
 #: One in so many training rows is kept out of the counts, for that regression.
 APART = 5
+#: Bytes of text that share one list of words.
+SLICE = 4_000_000
+#: N-grams that a task looks up at a time, and the fewest buckets.
+BUCKET, LEAST_BUCKETS = 1 << 19, 24
 FEATURES = ("mean_ratio", "top_1", "top_3", "top_10", "log_words")
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def byte_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The n-gram of each byte as an integer, last byte lowest; bytes per word; words per text."""
-    texts = texts_of(column).lowered()
+    return _grams(texts_of(column).lowered())
+
+
+def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words = words_of(texts)
     lengths = words.lengths + 2
     at = run_index(lengths)
@@ -73,10 +93,6 @@ def byte_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams[keep], lengths - 1, words.counts
 
 
-def _slot(grams: np.ndarray, slots: int) -> np.ndarray:
-    return ((grams * _ODD) >> np.uint64(65 - slots.bit_length())).astype(np.int64)
-
-
 def class_counts(texts: DataFrame) -> DataFrame:
     """(gram, n0, n1) over all rows of (text, label)."""
 
@@ -139,9 +155,9 @@ def shared_backoff(grams: DataFrame) -> DataFrame:
     return lower
 
 
-def ratios(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Tables by slot: log ratio of label 1 to 0 of seen n-grams (else NaN), and what an unseen
-    n-gram gets in each context."""
+def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gram, value): the log ratio of label 1 to 0 of every seen n-gram; and (context, other):
+    what an unseen n-gram gets in each context."""
     contexts = counts.groupBy(_context().alias("context")).agg(
         *[F.sum(f"n{k}").alias(f"total{k}") for k in (0, 1)],
         *[F.sum((F.col(f"n{k}") > 0).cast("long")).alias(f"kinds{k}") for k in (0, 1)],
@@ -162,48 +178,175 @@ def ratios(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         .withColumn("shorter", _suffix(ORDER - 1))
         .join(contexts, "context")
         .join(shared_backoff(counts).withColumnRenamed("gram", "shorter"), "shorter")
-        .select(
-            F.col("gram"),
-            F.log(own(1) / own(0)).alias("value"),
-            (F.col("n0") + F.col("n1")).alias("weight"),
-        )
+        .select("gram", F.log(own(1) / own(0)).cast("float").alias("value"))
+    )
+    unseen = contexts.select("context", F.log(left(1) / left(0)).cast("float").alias("other"))
+    return _in_parquet(seen), _in_parquet(unseen)
+
+
+def _in_parquet(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_slices(docs: DataFrame, path: str) -> None:
+    """One row per slice of (doc_id, text, mark): its ids and marks, its distinct words in one
+    text, which of them each document has, and the number of its distinct n-grams."""
+
+    def make():
+        number = itertools.count(TaskContext.get().partitionId() << 32)
+
+        def step(batch):
+            texts = texts_of(batch.column("text")).lowered()
+            words = words_of(texts)
+            _, one, which, times = np.unique(
+                word_hashes(texts.data, words),
+                return_index=True,
+                return_inverse=True,
+                return_counts=True,
+            )
+            # frequent words first: small numbers, which pack well
+            order = np.argsort(-times, kind="stable")
+            one, rank = one[order], np.argsort(order)
+            lengths = words.lengths[one] + 1
+            at = run_index(lengths)
+            inside = at < np.repeat(lengths, lengths) - 1
+            body = np.full(len(at), 32, np.uint8)
+            body[inside] = texts.data[(np.repeat(words.starts[one], lengths) + at)[inside]]
+            planes = rank[which].astype(np.uint32).view(np.uint8).reshape(-1, 4).T
+            return {
+                "slice": [next(number)],
+                "doc_id": _as_list(batch.column("doc_id")),
+                "mark": _as_list(batch.column("mark")),
+                "counts": [words.counts.astype(np.int32).tobytes()],
+                "words": [zlib.compress(body.tobytes(), 1)],
+                "which": [zlib.compress(planes.tobytes(), 1)],
+                "grams": [len(np.unique(_word_grams(body)[0]))],
+            }
+
+        return step
+
+    rows = map_slices(docs.select("doc_id", "text", "mark"), make, SLICES, size=SLICE)
+    rows.write.option("compression", "zstd").parquet(path)
+
+
+SLICES = (
+    "slice long, doc_id array<long>, mark array<int>, counts binary, words binary, which binary, "
+    "grams long"
+)
+
+
+def _as_list(column: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
+
+
+def _unpacked(blob: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob.as_buffer()), np.uint8)
+
+
+def _word_grams(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of the words in one text, and their numbers per word."""
+    grams, lengths, _ = _grams(Texts(body, np.array([0, len(body)])))
+    return grams, lengths
+
+
+def _by_bucket(contexts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order by bucket, the buckets that occur, and where each starts and the last ends."""
+    bucket = (mix(contexts) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    used, starts = np.unique(bucket[order], return_index=True)
+    return order, used, np.r_[starts, len(order)]
+
+
+_PACKED = "bucket long, kind int, slice long, grams binary, values binary"
+
+
+def _packed(contexts, grams, values, buckets: int, kind: int, piece: int) -> pa.RecordBatch:
+    """One row for each bucket with the n-grams, and their values if any."""
+    order, used, edges = _by_bucket(contexts, buckets)
+    parts = list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+    grams = grams[order]
+    values = None if values is None else values[order]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(used, pa.int64()),
+            pa.array(np.full(len(used), kind, np.int32)),
+            pa.array(np.full(len(used), piece, np.int64)),
+            pa.array([grams[a:b].tobytes() for a, b in parts], pa.binary()),
+            pa.array([values is not None and values[a:b].tobytes() or b"" for a, b in parts], pa.binary()),
+        ],
+        names=["bucket", "kind", "slice", "grams", "values"],
     )
-    unseen = contexts.select(
-        F.col("context").alias("gram"),
-        F.log(left(1) / left(0)).alias("value"),
-        (F.col("total0") + F.col("total1")).alias("weight"),
+
+
+def _looked_up(group: pa.Table) -> pa.Table:
+    """slice, bucket, values of a bucket's n-grams (kind 2), from the seen n-grams (kind 0) and
+    the contexts (kind 1): an unseen n-gram has what its context gives, or else 0."""
+    kind = group.column("kind").to_numpy()
+
+    def joined(k: int, name: str, dtype) -> np.ndarray:
+        return np.frombuffer(b"".join(group.column(name).filter(kind == k).to_pylist()), dtype)
+
+    def found(k: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys, values = joined(k, "grams", np.uint64), joined(k, "values", np.float32)
+        if not len(keys):
+            return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.float32)
+        order = np.argsort(keys)
+        keys, values = keys[order], values[order]
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        hit = keys[at] == wanted
+        return hit, np.where(hit, values[at], np.float32(0))
+
+    wanted = joined(2, "grams", np.uint64)
+    hit, values = found(0, wanted)
+    values[~hit] = found(1, wanted[~hit] >> np.uint64(8))[1]
+    rows = group.filter(kind == 2)
+    sizes = np.array([len(x) for x in rows.column("grams").to_pylist()], np.int64) // 8
+    ends = np.cumsum(sizes)
+    blobs = [values[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)]
+    return pa.table(
+        [rows.column("slice"), rows.column("bucket"), pa.array(blobs, pa.binary())],
+        names=["slice", "bucket", "values"],
     )
-    out = []
-    for rows, slots, fill in ((seen, SLOTS, np.nan), (unseen, CONTEXT_SLOTS, 0.0)):
 
-        def in_slots(batches, slots=slots):
-            for b in batches:
-                at = _slot(b.column(0).to_numpy().view(np.uint64), slots)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at.astype(np.int32)), b.column(1), b.column(2), b.column(0)],
-                    names=["slot", "value", "weight", "gram"],
-                )
 
-        kept = (
-            rows.mapInArrow(in_slots, "slot int, value double, weight long, gram long")
-            .groupBy("slot")
-            .agg(F.max_by("value", F.struct("weight", "gram")).cast("float").alias("value"))
-        )
-        table = np.full(slots, fill, np.float32)
-        found = kept.toArrow()  # at most one row per slot
-        table[found.column(0).to_numpy()] = found.column(1).to_numpy()
-        out.append(table)
-    return out[0], out[1]
-
-
-def features_of(column: pa.Array, tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """One row of FEATURES per text."""
-    seen, unseen = tables
-    grams, lengths, counts = byte_grams(column)
-    each = seen[_slot(grams, SLOTS)]
-    missing = np.isnan(each)
-    each[missing] = unseen[_slot(grams[missing] >> np.uint64(8), CONTEXT_SLOTS)]
-    per_word = run_sums(each.astype(np.float64), lengths)
+def bucket_values(
+    words: DataFrame, tables: tuple[DataFrame, DataFrame], buckets: int
+) -> DataFrame:
+    """slice, bucket, values for (slice, words): the values of the slice's distinct n-grams in the
+    bucket, ascending."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, body in zip(batch.column("slice"), batch.column("words"), strict=True):
+                grams = np.unique(_word_grams(_unpacked(body))[0])
+                yield _packed(grams >> np.uint64(8), grams, None, buckets, 2, piece.as_py())
+
+    def table(kind: int, rows: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                grams = batch.column(0).to_numpy().view(np.uint64)
+                contexts = grams if kind else grams >> np.uint64(8)
+                yield _packed(contexts, grams, batch.column(1).to_numpy(), buckets, kind, 0)
+
+        return rows.mapInArrow(run, _PACKED)
+
+    rows = words.mapInArrow(keys, _PACKED)
+    for kind, frame in enumerate(tables):
+        rows = rows.union(table(kind, frame))
+    return rows.groupBy("bucket").applyInArrow(_looked_up, "slice long, bucket long, values binary")
+
+
+def features_of(
+    body: np.ndarray, which: np.ndarray, counts: np.ndarray, values: np.ndarray
+) -> np.ndarray:
+    """One row of FEATURES per text, from a slice's distinct words, the word at each place, words
+    per text, and the values of the distinct n-grams in ascending order."""
+    grams, sizes = _word_grams(body)
+    each = values[np.unique(grams, return_inverse=True)[1]]
+    per_word = run_sums(each.astype(np.float64), sizes)[which]
+    lengths = sizes[which]
     out = np.zeros((len(counts), len(FEATURES)))
     out[:, 0] = run_sums(per_word, counts) / np.maximum(run_sums(lengths, counts), 1)
     out[:, 4] = np.log1p(counts)
@@ -220,17 +363,62 @@ def features_of(column: pa.Array, tables: tuple[np.ndarray, np.ndarray]) -> np.n
     return out
 
 
+def features(docs: DataFrame, tables: tuple[DataFrame, DataFrame], path: str) -> DataFrame:
+    """doc_id, mark and FEATURES for every row of (doc_id, text, mark); slices stay in the folder,
+    which must not exist and is read by the result."""
+    spark = docs.sparkSession
+    write_slices(docs, path)
+    # read twice: cogroup does not take two frames of one origin
+    rows, again = (spark.read.schema(SLICES).parquet(path) for _ in range(2))
+    total = rows.agg(F.coalesce(F.sum("grams"), F.lit(0))).first()[0]
+    total += sum(table.count() for table in tables)
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        body, which = (_unpacked(left.column(n)[0]) for n in ("words", "which"))
+        which = np.ascontiguousarray(which.reshape(4, -1).T).view(np.uint32)[:, 0].astype(np.int64)
+        counts = np.frombuffer(left.column("counts")[0].as_buffer(), np.int32).astype(np.int64)
+        order, _, _ = _by_bucket(np.unique(_word_grams(body)[0]) >> np.uint64(8), buckets)
+        blobs = right.sort_by("bucket").column("values").to_pylist()
+        values = np.zeros(len(order), np.float32)
+        values[order] = np.frombuffer(b"".join(blobs), np.float32)
+        x = features_of(body, which, counts, values)
+        lists = [left.column(n).combine_chunks().flatten() for n in ("doc_id", "mark")]
+        return pa.table(
+            [*lists, *[pa.array(x[:, i]) for i in range(len(FEATURES))]],
+            names=["doc_id", "mark", *FEATURES],
+        )
+
+    schema = "doc_id long, mark int, " + ", ".join(f"{n} double" for n in FEATURES)
+    values = bucket_values(again.select("slice", "words"), tables, buckets)
+    return (
+        rows.drop("grams").groupBy("slice").cogroup(values.groupBy("slice")).applyInArrow(run, schema)
+    )
+
+
 class ToxicityModel:
-    """Ratio tables and the regression on top; ``weights`` is None without labelled rows."""
+    """Ratio frames and the regression on top; ``weights`` is None without labelled rows."""
 
     def __init__(self, tables=None, weights=None, center=None, scale=None):
         self.tables, self.weights, self.center, self.scale = tables, weights, center, scale
 
-    def scores(self, column: pa.Array) -> np.ndarray:
+    def scores(self, docs: DataFrame) -> DataFrame:
+        """doc_id, mark, score for every row of (doc_id, text, mark)."""
         if self.weights is None:
-            return np.full(len(column), 0.5)
-        x = (features_of(column, self.tables) - self.center) / self.scale
-        return sigmoid(x @ self.weights[:-1] + self.weights[-1])
+            return docs.select("doc_id", "mark", F.lit(0.5).alias("score"))
+        weights, center, scale = self.weights, self.center, self.scale
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = np.stack([batch.column(n).to_numpy() for n in FEATURES], axis=1)
+                score = sigmoid((x - center) / scale @ weights[:-1] + weights[-1])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("mark"), pa.array(score)],
+                    names=["doc_id", "mark", "score"],
+                )
+
+        rows = features(docs, self.tables, shared_folder(docs.sparkSession))
+        return rows.mapInArrow(run, "doc_id long, mark int, score double")
 
 
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 0, rest: int = 0) -> ToxicityModel:
@@ -241,21 +429,13 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 0, rest: int = 0) -
     if modulus:  # before the join, which moves texts
         of_use = of_use.where(remainder(modulus) != rest)
     counted = known.where(~apart)
-    counts = saved(class_counts(only_likely(of_use, counted).join(counted, "doc_id")))
     sample = sampled_texts(docs, bounded_sample(known.where(apart), SAMPLE))
-    tables = ratios(counts)
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
-
-    def make():
-        def step(batch):
-            x = features_of(batch.column("text"), shared.value)
-            return {"label": batch.column("label")} | {n: x[:, i] for i, n in enumerate(FEATURES)}
-
-        return step
-
-    schema = "label int, " + ", ".join(f"{n} double" for n in FEATURES)
-    found = map_slices(sample.select("text", "label"), make, schema).toArrow()
-    y = found.column("label").to_numpy().astype(np.float64)
+    tables = ratios(saved(class_counts(only_likely(of_use, counted).join(counted, "doc_id"))))
+    release(docs.sparkSession)
+    path = shared_folder(docs.sparkSession)
+    found = features(sample.withColumnRenamed("label", "mark"), tables, path).toArrow()
+    discard(docs.sparkSession, path)
+    y = found.column("mark").to_numpy().astype(np.float64)
     if not (0 < y.sum() < len(y)):
         return ToxicityModel()
     x = np.stack([found.column(n).to_numpy() for n in FEATURES], axis=1)
@@ -267,21 +447,10 @@ def score(
     docs: DataFrame, model: ToxicityModel, threshold: float, modulus: int = 3, rest: int = 1
 ) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def make() -> Callable:
-        model = shared.value
-
-        def step(batch):
-            scores = model.scores(batch.column("text"))
-            return {
-                "doc_id": batch.column("doc_id"),
-                "held_out": batch.column("held_out"),
-                "score": scores,
-                "predicted": (scores >= threshold).astype(np.int32),
-            }
-
-        return step
-
-    rows = docs.select("doc_id", "text", held_out(modulus, rest))
-    return map_slices(rows, make, "doc_id long, held_out boolean, score double, predicted int")
+    rows = docs.select("doc_id", "text", held_out(modulus, rest).cast("int").alias("mark"))
+    return model.scores(rows).select(
+        "doc_id",
+        (F.col("mark") == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )

@@ -79,6 +79,33 @@ def test_shared_backoff_is_a_distribution(spark):
                 assert 0 < sum(p for g, p in table.items() if g >> 8 == context) <= 1 + 1e-9
 
 
+def test_each_gram_has_its_own_value(spark, monkeypatch, tmp_path):
+    """With more n-grams than any fixed table: a seen one has its own value, an unseen one what its
+    context gives, one in an unseen context 0."""
+    for name in ("SLOTS", "CONTEXT_SLOTS"):  # tables that earlier versions had
+        monkeypatch.setattr(tox, name, 16, raising=False)
+    rows = [("the cat sat on a mat", 0), ("the dog ran off with bats", 1), ("a cat ran", 0)]
+    tables = tox.ratios(tox.class_counts(spark.createDataFrame(rows, "text string, label int")))
+    seen = {r.gram: r.value for r in tables[0].collect()}
+    unseen = {r.context: r.other for r in tables[1].collect()}
+    assert len(seen) > 40 and len(unseen) > 20
+    texts = [t for t, _ in rows] + ["the catz zzz", "", None, "the the dogs bats bats"]
+    docs = spark.createDataFrame(
+        [(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, mark int"
+    )
+    found = {r.doc_id: r for r in tox.features(docs.repartition(3), tables, str(tmp_path / "slices")).collect()}
+    assert sorted(found) == list(range(len(texts)))
+    for i, text in enumerate(texts):
+        grams, lengths, _ = tox.byte_grams(pa.array([text], pa.string()))
+        each = np.array([seen.get(g, unseen.get(g >> 8, 0.0)) for g in map(int, grams)])
+        ends = np.cumsum(lengths)
+        per_word = [each[e - n : e].sum() / n for e, n in zip(ends, lengths)]
+        top = sorted([v for v in per_word if v > 0], reverse=True)
+        wanted = [each.sum() / max(len(each), 1), *[sum(top[:k]) / k for k in (1, 3, 10)]]
+        assert np.allclose([found[i][n] for n in tox.FEATURES[:4]], wanted, atol=1e-6)
+        assert found[i].log_words == pytest.approx(np.log1p(len(lengths)))
+
+
 def test_grams_are_bytes_with_their_context():
     grams, lengths, counts = tox.byte_grams(pa.array(["Ab  c", None]))
     text = [int(g).to_bytes(8, "big").lstrip(b"\0") for g in grams]
