@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epochloom.llm import language_id, quality_rules
 from epochloom.llm.mixing import mix_sources
-from epochloom.llm.ngram_join import ngram_jaccard_join
+from epochloom.llm.ngram_join import row_components
 from epochloom.llm.queries import documents, labels, vocabulary
 from epochloom.llm.sentencepiece_lattice import encode_documents, read_pieces
-from epochloom.llm.shared import shared_folder
+from epochloom.llm.shared import saved, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document goes if no language has this mean probability over its words.
@@ -39,26 +39,48 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where("kept").select(*COLUMNS)
 
 
+def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents with a hash of the row and a number of its own, kept in the shared folder;
+    ids may be null or repeated, so stages that judge rows act by the number."""
+    path = shared_folder(spark)
+    marks = F.xxhash64(*COLUMNS).alias("_tie"), F.monotonically_increasing_id().alias("_row")
+    rows = docs.select(*COLUMNS, *marks)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near duplicates, once; documents
-    without an id are in no group."""
-    found = ngram_jaccard_join(docs, SHINGLE_WORDS, ALIKE_PERCENT)
-    # ids of documents to drop: these are few beside the texts, which are not shuffled by a
-    # broadcast of them where it is small
-    dropped = found.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps one row of each group of near duplicates, of its smallest id. Texts are in groups, not
+    ids: of an id with two texts each is judged in its own group. Rows without words are alike
+    when id and text are; rows without an id are in no group, and all stay."""
+    rows = numbered(spark, docs)
+    same_text = F.xxhash64("text").alias("_text")
+    found = row_components(
+        rows.withColumn("_text", same_text),
+        SHINGLE_WORDS,
+        ALIKE_PERCENT,
+        carried=("_text", "_tie", "_row"),
+    ).where("doc_id is not null")
+    alone = [F.when(F.col("root").isNull(), F.col(c)).alias(f"_{c}") for c in ("doc_id", "_text")]
+    found = saved(found.select("root", *alone, "doc_id", "_tie", "_row"))
+    kept = found.groupBy("root", "_doc_id", "__text").agg(
+        F.min(F.struct("doc_id", "_tie", "_row")).alias("least")
+    )
+    # rows to drop: these are few beside the texts, which are not shuffled by a broadcast of them
+    # where it is small
+    dropped = found.select("_row").join(kept.select("least._row"), "_row", "left_anti")
+    return rows.join(dropped, "_row", "left_anti").select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or drops documents by the words the mix takes of them; one that is taken in part
-    stays whole."""
-    taken = mix_sources(docs).where("taken > 0").select(
-        "doc_id", F.ceil(F.col("taken") / F.col("size")).cast("int").alias("times")
+    """Repeats or drops rows by the words the mix takes of each; one that is taken in part stays
+    whole. Rows of one id are taken one by one, rows without an id like all others."""
+    rows = numbered(spark, docs)
+    times = mix_sources(rows, carried=("_tie", "_row")).where("taken > 0").select(
+        "_row", F.ceil(F.col("taken") / F.col("size")).cast("int").alias("times")
     )
-    times = taken.groupBy("doc_id").agg(F.max("times").alias("times"))
     return (
-        docs.select(*COLUMNS)
-        .join(times, "doc_id")
+        rows.join(times, "_row")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
         .select(*COLUMNS)
     )

@@ -48,13 +48,18 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, most: int = 3) -> DataFr
     return level.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = 3) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row of (doc_id, text, source)."""
+def mix_sources(
+    docs: DataFrame, weights=WEIGHTS, most: int = 3, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every row of (doc_id, text, source), and the
+    named columns, by which rows of one id and size are ordered."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     # sources as keys of joins, which null is not
     name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("name")
-    sized = saved(docs.select("doc_id", "source", name, size.alias("size"), key.alias("key")))
+    sized = saved(
+        docs.select("doc_id", "source", name, size.alias("size"), key.alias("key"), *carried)
+    )
     sources = saved(
         sized.groupBy("name").agg(
             F.first("source").alias("source"),
@@ -87,7 +92,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = 3) -> DataFrame:
     )
     inside = (
         Window.partitionBy("name", "range")
-        .orderBy("key", "doc_id", "size")
+        .orderBy("key", "doc_id", "size", *carried)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     ahead = F.col("base") + F.sum("size").over(inside) - F.col("size")
@@ -108,6 +113,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = 3) -> DataFrame:
             )
             .cast("long")
             .alias("taken"),
+            *carried,
         )
     )
 

@@ -145,8 +145,11 @@ def sketches(values: np.ndarray, sizes: np.ndarray, percent: int) -> list[bytes]
     return [packed[a // 8 : (a + n) // 8].tobytes() for a, n in zip(first, bits, strict=True)]
 
 
-def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, the key of the set (null for an empty one) and its sketch."""
+def document_sets(
+    docs: DataFrame, words: int, percent: int, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, n_shingles, the key of the set (null for an empty one), its sketch, and the named
+    columns of longs."""
 
     def make():
         def step(batch):
@@ -156,12 +159,13 @@ def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 "n_shingles": sizes,
                 "set_key": pa.array(set_keys(values, sizes).view(np.int64), mask=sizes == 0),
                 "sketch": sketches(values, sizes, percent),
-            }
+            } | {c: batch.column(c) for c in carried}
 
         return step
 
     schema = "doc_id long, n_shingles long, set_key long, sketch binary"
-    return map_slices(docs.select("doc_id", "text"), make, schema)
+    schema += "".join(f", {c} long" for c in carried)
+    return map_slices(docs.select("doc_id", "text", *carried), make, schema)
 
 
 def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -456,7 +460,15 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
     component_id is the smallest doc_id that links lead to, the document's own included.
     """
-    documents = saved(document_sets(docs, words, percent))
+    return row_components(docs, words, percent).drop("root")
+
+
+def row_components(
+    docs: DataFrame, words: int, percent: int, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """The same, with the component as a value of its own, root (null for rows without words), and
+    the named columns of longs. Two components may have one smallest id; their roots differ."""
+    documents = saved(document_sets(docs, words, percent, carried))
     classes = documents.where("set_key is not null and doc_id is not null")
     # any document of a class can stand for it; the smallest id is the same in every run
     classes = saved(
@@ -484,9 +496,13 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         "set_key", "doc_id", F.coalesce("root", "set_key").alias("root")
     )
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labels = placed.join(least, "root").select("set_key", "component_id")
+    labels = placed.join(least, "root").select("set_key", "component_id", "root")
     return documents.join(labels, "set_key", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id",
+        "n_shingles",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        "root",
+        *carried,
     )
 
 
