@@ -7,7 +7,8 @@ continuation counts (in how many contexts a shorter n-gram occurs) of all labell
 expression seen in one class only thus differs by the weight of its own counts, one that neither
 class has seen hardly at all.
 
-Counts are taken over all labelled training rows by a distributed aggregate. The log-likelihood
+Counts are taken by a distributed aggregate, over all labelled training rows but the few that the
+regression below is fitted on. The log-likelihood
 ratio of each n-gram, and of each context for unseen n-grams, stays in frames in the shared
 folder, whole at any size and never gathered. Texts meet them by slice: a slice's words are
 reduced to the distinct ones and these to their distinct n-grams, so that an n-gram is in the join
@@ -17,8 +18,8 @@ back to the slice, and of its documents only the places of words in its list are
 
 A word's ratio is divided by its length. A document has the ratio over all its bytes, divided by
 their number, and the means of its highest 1, 3 and 10 words (absent words count 0); a logistic
-regression on these and the length, fitted on up to ``SAMPLE`` rows per class kept out of the
-counts, turns them into the score.
+regression on these and the length, fitted on up to ``SAMPLE`` rows per class and no more than
+about one row in ``APART``, turns them into the score. Only these rows are kept out of the counts.
 
 Null and empty texts have all features 0 and get the score of that. Without labelled rows of both
 classes every score is 0.5. Rows are scored one by one, so repeated rows agree.
@@ -61,7 +62,7 @@ ORDER = 6
 DISCOUNT = 0.75
 #: Rows per class on which the final regression is fitted.
 SAMPLE = 3000
-#: One in so many training rows is kept out of the counts, for that regression.
+#: One in so many training rows may be among them.
 APART = 5
 #: Bytes of text that share one list of words.
 SLICE = 4_000_000
@@ -428,8 +429,9 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 0, rest: int = 0) -
     of_use = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     if modulus:  # before the join, which moves texts
         of_use = of_use.where(remainder(modulus) != rest)
-    counted = known.where(~apart)
-    sample = sampled_texts(docs, bounded_sample(known.where(apart), SAMPLE))
+    fitted = saved(bounded_sample(known.where(apart), SAMPLE))
+    counted = known.join(F.broadcast(fitted.select("doc_id")), "doc_id", "left_anti")
+    sample = sampled_texts(docs, fitted)
     tables = ratios(saved(class_counts(only_likely(of_use, counted).join(counted, "doc_id"))))
     release(docs.sparkSession)
     path = shared_folder(docs.sparkSession)

@@ -79,6 +79,15 @@ def test_shared_backoff_is_a_distribution(spark):
                 assert 0 < sum(p for g, p in table.items() if g >> 8 == context) <= 1 + 1e-9
 
 
+def test_rows_outside_the_regression_are_counted(spark, monkeypatch):
+    rows, known = expressions(spark)
+    counted, whole = [], tox.class_counts
+    monkeypatch.setattr(tox, "SAMPLE", 5)
+    monkeypatch.setattr(tox, "class_counts", lambda t: counted.append(t.count()) or whole(t))
+    tox.train(frame(spark, rows), known)
+    assert counted == [len(rows) - 10]
+
+
 def test_each_gram_has_its_own_value(spark, monkeypatch, tmp_path):
     """With more n-grams than any fixed table: a seen one has its own value, an unseen one what its
     context gives, one in an unseen context 0."""
