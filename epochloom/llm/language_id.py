@@ -38,7 +38,7 @@ from epochloom.llm.batches import (
     words_of,
 )
 from epochloom.llm.shared import saved
-from epochloom.llm.training import held_out, remainder
+from epochloom.llm.training import held_out, one_per_id, remainder
 
 UNKNOWN = "und"
 SAMPLE = 400
@@ -225,10 +225,11 @@ def train(docs: DataFrame, modulus: int = 0, rest: int = 0) -> LanguageModel:
     order = F.xxhash64("doc_id")
     chosen = None
     for language in languages:
-        part = known.where(F.col("lang") == language).select("doc_id").distinct()
+        part = known.where(F.col("lang") == language).select("doc_id", "lang").distinct()
         part = part.orderBy(order, "doc_id").limit(SAMPLE)
         chosen = part if chosen is None else chosen.union(part)
-    rows = known.select("doc_id", "text", "lang").join(F.broadcast(saved(chosen)), "doc_id")
+    rows = known.select("doc_id", "text", "lang")
+    rows = one_per_id(rows.join(F.broadcast(saved(chosen)), ["doc_id", "lang"]), "lang")
     texts, label = [], []
     for row in rows.orderBy("doc_id", "lang", "text").toLocalIterator():
         for piece in _stretches(row["text"] or ""):

@@ -60,7 +60,14 @@ def bounded_sample(known: DataFrame, rows_per_label: int) -> DataFrame:
 
 def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """(doc_id, label, text) of a bounded sample, which is broadcast for that reason."""
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return one_per_id(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "label")
+
+
+def one_per_id(rows: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label, text) once per id and label, however often rows repeat an id: the text of the
+    smallest hash."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return rows.groupBy("doc_id", label).agg(least).select("doc_id", label, "least.text")
 
 
 def sigmoid(x):

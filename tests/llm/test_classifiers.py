@@ -12,6 +12,7 @@ from epochloom.llm import quality_classifier as qc
 from epochloom.llm import quality_rules as qr
 from epochloom.llm import toxicity as tox
 from epochloom.llm.queries import documents, labels
+from epochloom.llm.training import sampled_texts
 from tests.llm.rows import WORD, awkward, empty, frame, prose
 
 SF = "/root/testdata/sf0.01"
@@ -128,6 +129,22 @@ def test_without_labels_scores_are_even(spark):
     assert tox.score(empty(spark), model, 0.7).count() == 0
 
 
+# --- samples --------------------------------------------------------------------------------
+
+
+def test_samples_are_bounded_in_rows(spark, monkeypatch):
+    """An id that many rows repeat is one training row, the same in every order of the rows."""
+    rows = [(1, f"text {i}", "en") for i in range(40)] + [(1, "ein text", "de"), (2, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, label int")
+    found = [
+        sorted(map(tuple, sampled_texts(docs.repartition(n), sample).collect())) for n in (1, 5)
+    ]
+    assert found[0] == found[1] and [x[:2] for x in found[0]] == [(1, 0), (2, 1)]
+    monkeypatch.setattr(li, "fit", lambda texts, label, languages: [languages[i] for i in label])
+    assert sorted(li.train(docs)) == ["de", "en", "en"]
+
+
 # --- quality rules --------------------------------------------------------------------------
 
 
