@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from epochloom.llm import language_id, quality_classifier, quality_rules, toxicity
+from epochloom.llm.conversation_repair import damage, repair_report
 from epochloom.llm.fingerprints import fingerprint_documents
 from epochloom.llm.mixing import MIX_SQL, mix_sources
 from epochloom.llm.ngram_join import JOIN_SQL, ngram_jaccard_join
@@ -81,6 +82,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs, modulus=4, rest=2))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair_report(damage(rows), rows.select("conv_id"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -93,6 +99,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_language_id": op10_language_id,
+        "op12_conversation_repair": op12_conversation_repair,
     }
 
 
