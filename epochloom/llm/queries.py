@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from epochloom.llm import language_id, quality_classifier, quality_rules, toxicity
 from epochloom.llm.conversation_repair import damage, repair_report
 from epochloom.llm.fingerprints import fingerprint_documents
+from epochloom.llm.license_scan import SCAN_SQL, find_licenses, scan_report
 from epochloom.llm.mixing import MIX_SQL, mix_sources
 from epochloom.llm.ngram_join import JOIN_SQL, ngram_jaccard_join
 from epochloom.llm.sentencepiece_lattice import encode_documents, read_pieces
@@ -82,6 +83,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs, modulus=4, rest=2))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_report(find_licenses(documents(spark, sf_dir)))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return repair_report(damage(rows), rows.select("conv_id"))
@@ -99,9 +104,10 @@ def llm_queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_language_id": op10_language_id,
+        "op11_license_scan": op11_license_scan,
         "op12_conversation_repair": op12_conversation_repair,
     }
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op2_ngram_join": JOIN_SQL, "op3_mixing": MIX_SQL}
+    return {"op2_ngram_join": JOIN_SQL, "op3_mixing": MIX_SQL, "op11_license_scan": SCAN_SQL}
