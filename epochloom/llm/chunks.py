@@ -21,7 +21,7 @@ WIDE_SPACES = "".join(
 )
 
 
-def _holds_wide_space(texts: Texts) -> np.ndarray:
+def holds_wide_space(texts: Texts) -> np.ndarray:
     data, hit = texts.data, np.zeros(len(texts.data) + 1, np.int64)
     for character in WIDE_SPACES:
         code = character.encode()
@@ -45,7 +45,7 @@ def chunks_of(texts: Texts) -> Words:
     if len(data):
         space = IS_SPACE[data]
         cut[1:-1] = space[1:] & ~space[:-1]
-        for i in np.flatnonzero(_holds_wide_space(texts)):
+        for i in np.flatnonzero(holds_wide_space(texts)):
             cut[offsets[i] : offsets[i + 1]] = False
     cut[offsets[:-1]] = True
     cut[-1] = False

@@ -17,6 +17,7 @@ from epochloom.llm.sentencepiece_lattice import encode_documents, read_pieces
 from epochloom.llm.shared import shared_folder
 from epochloom.llm.token_counts import count_tokens
 from epochloom.llm.token_files import read_ids, write_ids
+from epochloom.llm.tokenizer_alignment import alignment_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +93,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damage(rows), rows.select("conv_id"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    return alignment_report(documents(spark, sf_dir), *files)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -106,6 +112,7 @@ def llm_queries() -> dict[str, Query]:
         "op10_language_id": op10_language_id,
         "op11_license_scan": op11_license_scan,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_tokenizer_alignment": op13_tokenizer_alignment,
     }
 
 
