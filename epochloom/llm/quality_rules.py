@@ -18,7 +18,12 @@ is 1. Rows are judged one by one, so repeated rows agree; other columns are igno
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from epochloom.llm.batches import (
@@ -36,6 +41,8 @@ from epochloom.llm.batches import (
 from epochloom.llm.training import bounded_sample, fit_logistic, known_labels, sampled_texts, sigmoid
 
 MIN_WORDS = 50
+#: Features that the fit handles at a time.
+BLOCK = 1 << 19
 MAX_REPEATED_PERCENT = 50
 KEEP_AT = 0.5
 SAMPLE = 2000
@@ -145,19 +152,64 @@ class QualityModel:
         return sigmoid(slope * self.margins(kinds) + offset)
 
 
-def _fit(shares: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, steps: int = 80):
-    """Weights of a sparse logistic regression by Adam over all rows."""
-    doc = np.repeat(np.arange(len(shares)), [len(f) for f, _ in shares])
-    feature = np.concatenate([f for f, _ in shares])
-    value = np.concatenate([v for _, v in shares])
+def _flat(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The binary values of a column end to end."""
+    parts = [np.zeros(0, kind)]
+    for chunk in column.chunks:
+        chunk = chunk.cast(pa.large_binary())
+        _, ends, data = chunk.buffers()
+        if len(chunk) and data is not None:
+            at = np.frombuffer(ends, np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
+            parts.append(np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(kind))
+    return np.concatenate(parts)
+
+
+@dataclass
+class Shares:
+    """Features of many texts end to end, with their shares, and where each text's begin."""
+
+    feature: np.ndarray
+    share: np.ndarray
+    ends: np.ndarray
+
+    @staticmethod
+    def of(features: pa.ChunkedArray, shares: pa.ChunkedArray) -> Shares:
+        """From columns of binary values, with one copy."""
+        sizes = pc.binary_length(features).to_numpy().astype(np.int64) // 4
+        return Shares(_flat(features, np.int32), _flat(shares, np.float32), np.cumsum(sizes))
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """Texts with about ``BLOCK`` features in all: which, and for each feature the text's place
+        among these, the feature and the share."""
+        first = 0
+        while first < len(self.ends):
+            start = int(self.ends[first - 1]) if first else 0
+            last = max(int(np.searchsorted(self.ends, start + BLOCK, "right")), first + 1)
+            ends = self.ends[first:last]
+            of = np.repeat(np.arange(last - first), np.diff(ends, prepend=start))
+            here = slice(start, int(ends[-1]))
+            yield slice(first, last), of, self.feature[here], self.share[here]
+            first = last
+
+    def margins(self, w: np.ndarray) -> np.ndarray:
+        out = [np.bincount(of, w[f] * v, x.stop - x.start) for x, of, f, v in self.blocks()]
+        return np.concatenate([np.zeros(0), *out])
+
+
+def _fit(shares: Shares, y: np.ndarray, own: np.ndarray, steps: int = 80):
+    """Weights of a sparse logistic regression by Adam over the rows in ``own``, in blocks."""
     n = TABLE * KINDS
     w, b = np.zeros(n), 0.0
     m, v = np.zeros(n + 1), np.zeros(n + 1)
-    weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
+    good, bad = own & (y == 1), own & (y == 0)
+    weight = np.where(good, 0.5 / good.sum(), np.where(bad, 0.5 / bad.sum(), 0.0))
     for t in range(1, steps + 1):
-        margin = np.bincount(doc, w[feature] * value, len(y)) + b
-        error = weight * (sigmoid(margin) - y)
-        slope = np.r_[np.bincount(feature, error[doc] * value, n) + 1e-7 * w, error.sum()]
+        slope = np.r_[1e-7 * w, 0.0]
+        for rows, of, feature, share in shares.blocks():
+            margin = np.bincount(of, w[feature] * share, rows.stop - rows.start) + b
+            error = weight[rows] * (sigmoid(margin) - y[rows])
+            slope[:-1] += np.bincount(feature, error[of] * share, n)
+            slope[-1] += error.sum()
         m = 0.9 * m + 0.1 * slope
         v = 0.99 * v + 0.01 * slope**2
         step = 0.5 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
@@ -197,17 +249,14 @@ def train(docs: DataFrame, labels: DataFrame) -> QualityModel:
 
     schema = "label int, apart boolean, doc_id long, feature binary, share binary"
     rows = map_slices(sample.withColumn("apart", apart), make, schema)
-    rows = rows.orderBy("doc_id").toArrow().to_pydict()
-    shares = [
-        (np.frombuffer(f, np.int32), np.frombuffer(v, np.float32).astype(np.float64))
-        for f, v in zip(rows["feature"], rows["share"], strict=True)
-    ]
+    rows = rows.orderBy("doc_id").toArrow()
+    shares = Shares.of(rows.column("feature"), rows.column("share"))
+    rows = rows.select(["label", "apart"]).to_pydict()
     y, own = np.array(rows["label"], np.float64), ~np.array(rows["apart"], bool)
     if not (0 < y[own].sum() < own.sum()):
         return QualityModel()
-    w, b = _fit([s for s, o in zip(shares, own, strict=True) if o], y[own])
-    flat = w.reshape(-1)
-    margin = np.array([(flat[f] * v).sum() + b for f, v in shares])
+    w, b = _fit(shares, y, own)
+    margin = shares.margins(w.reshape(-1)) + b
     fit = ~own if 0 < y[~own].sum() < (~own).sum() else own
     slope, offset = fit_logistic(margin[fit][:, None], y[fit])
     return QualityModel(w.astype(np.float32), float(b), (float(max(slope, 1e-3)), float(offset)))
