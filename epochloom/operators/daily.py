@@ -15,26 +15,27 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from epochloom.functions.amounts import ratio
 
 
-def by_day():
-    return Window.orderBy("date")
+def by_day(*within: str):
+    """Days in order; with ``within``, each value of those columns on its own."""
+    return Window.partitionBy(*within).orderBy("date")
 
 
 def newest_first(daily: DataFrame, *then: str) -> DataFrame:
     return daily.orderBy(F.desc("date"), *[F.asc(c) for c in then])
 
 
-def previous(value: str) -> Column:
+def previous(value: str, *within: str) -> Column:
     """The value of the previous row, which need not be the previous calendar day."""
-    return F.lag(value).over(by_day())
+    return F.lag(value).over(by_day(*within))
 
 
-def change(value: str) -> Column:
-    return F.col(value) - previous(value)
+def change(value: str, *within: str) -> Column:
+    return F.col(value) - previous(value, *within)
 
 
-def trailing_mean(value: str, rows: int, min_samples: int = 1) -> Column:
+def trailing_mean(value: str, rows: int, min_samples: int = 1, within: Sequence[str] = ()) -> Column:
     """Mean of the last `rows` rows, NULLs skipped; NULL below `min_samples` values."""
-    frame = by_day().rowsBetween(1 - rows, 0)
+    frame = by_day(*within).rowsBetween(1 - rows, 0)
     mean = F.avg(value).over(frame)
     if min_samples <= 1:
         return mean

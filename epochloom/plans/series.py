@@ -102,6 +102,33 @@ def series_unpivot(
     )
 
 
+def drawn(daily: DataFrame, charts: Sequence[Chart]) -> DataFrame:
+    """(chart, series, unit, date, x_millis, y): the finite points of charts whose columns one frame
+    holds, in one pass over it."""
+    points = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(chart.name).alias("chart"),
+                    F.lit(c).alias("series"),
+                    F.lit(chart.unit).alias("unit"),
+                    finite(F.col(c)).alias("y"),
+                )
+                for chart in charts
+                for c in chart.columns
+            ]
+        )
+    ).alias("p")
+    return (
+        daily.where(F.col("date").isNotNull())
+        .select("date", points)
+        .where(F.col("p.y").isNotNull())
+        .select(
+            "p.chart", "p.series", "p.unit", "date", day_millis(F.col("date")).alias("x_millis"), "p.y"
+        )
+    )
+
+
 def series_points(daily: DataFrame, column: str) -> DataFrame:
     """(date, x_millis, y), oldest first."""
     return series_unpivot(daily, [column]).drop("series").orderBy("x_millis")
@@ -109,29 +136,10 @@ def series_points(daily: DataFrame, column: str) -> DataFrame:
 
 def chart_series(metrics: Mapping[str, DataFrame], charts: Sequence[Chart] = CHARTS) -> DataFrame:
     """(chart, series, unit, date, x_millis, y) of every chart, each metric planned once."""
-    drawn: dict[str, list[Chart]] = {}
+    wanted: dict[str, list[Chart]] = {}
     for chart in charts:
-        drawn.setdefault(chart.metric, []).append(chart)
-    parts = []
-    for metric, wanted in drawn.items():
-        columns = [c for chart in wanted for c in chart.columns]
-        names = F.create_map(
-            *[F.lit(x) for chart in wanted for c in chart.columns for x in (c, chart.name)]
-        )
-        units = F.create_map(
-            *[F.lit(x) for chart in wanted for c in chart.columns for x in (c, chart.unit)]
-        )
-        parts.append(
-            series_unpivot(metrics[metric], columns).select(
-                names[F.col("series")].alias("chart"),
-                "series",
-                units[F.col("series")].alias("unit"),
-                "date",
-                "x_millis",
-                "y",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+        wanted.setdefault(chart.metric, []).append(chart)
+    return reduce(DataFrame.unionByName, [drawn(metrics[m], c) for m, c in wanted.items()])
 
 
 def series_has_data(

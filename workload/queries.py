@@ -23,7 +23,7 @@ from epochloom.functions import amounts, classes, params as js
 from epochloom.functions.time import day_text, epoch_to_day, phase_of
 from epochloom.operators import daily as d, messages as m, quality, state
 from epochloom.operators.percentiles import counted_sizes, day_percentiles
-from epochloom.plans import marts, metrics, series
+from epochloom.plans import catalog, marts, metrics, series
 from epochloom.plans.marts import POWERS, Marts, dated, power_changes
 from epochloom.sources.stand_in import CLAIMS, EVENTS, FACTS, stand_in_ledger
 from epochloom.sources.tables import Ledger, in_window, resolve_column
@@ -654,17 +654,16 @@ def phase_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics with the same settings and amounts share their frames."""
-    shared: dict[tuple[int, LedgerConfig], Marts] = {}
+    """Metrics with the same settings and amounts share wide frames, one read of each table."""
+    groups: dict[tuple[int, LedgerConfig], list[str]] = {}
     for metric in metrics.DAILY:
-        key = zeros_of(metric), config_of(metric)
-        if key not in shared:
-            shared[key] = _marts(spark, sf_dir, metric)
-    frames = {
-        metric: _shown(metric, shared[zeros_of(metric), config_of(metric)])
-        for metric in metrics.DAILY
-    }
-    return publish(series.chart_series(frames))
+        groups.setdefault((zeros_of(metric), config_of(metric)), []).append(metric)
+    frames = []
+    for (zeros, cfg), names in groups.items():
+        for held, daily in catalog.wide_frames(stand_in_ledger(spark, sf_dir, zeros), cfg, names):
+            shown = publish(daily, digits_of(held[0])).withColumn("date", F.to_date("date"))
+            frames.append((held, shown))
+    return publish(catalog.catalog(frames))
 
 
 _LEDGER_QUERIES = (
