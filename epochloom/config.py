@@ -71,6 +71,8 @@ class LedgerConfig:
     large_batch_from: int = 10
     smooth_days: int = 7
     baseline_days: int = 30
+    #: Whether messages, events and gas are stored in buckets of the message id.
+    stored_by_id: bool = False
 
     @property
     def epochs_per_day(self) -> int:

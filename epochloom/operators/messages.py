@@ -19,6 +19,16 @@ from epochloom.functions.time import epoch_to_day
 from epochloom.sources.tables import in_window
 
 
+def by_id(df: DataFrame, cfg: LedgerConfig) -> DataFrame:
+    """The rows laid out by `cid`: as they are where the facts are stored in buckets of it."""
+    return df if cfg.stored_by_id else df.repartition("cid")
+
+
+def of_ids(df: DataFrame, ids: DataFrame, column: str = "cid") -> DataFrame:
+    """Rows whose id is among the given ones; by a broadcast of these where they are few."""
+    return df.join(ids.select(F.col("cid").alias(column)), column, "left_semi")
+
+
 def gas_by_message(gas: DataFrame, cfg: LedgerConfig, unit: float = ATTO_PER_NANO) -> DataFrame:
     """Per id: fee and rows inside the window, gas used and rows at any height."""
     fee = F.when(F.col("height") > cfg.window_start, burnt_fee(unit))
@@ -44,8 +54,7 @@ def matched_totals(gas: DataFrame, messages: DataFrame, unit: float, cfg: Ledger
     """(cid, date, method, pairs, fee): the inner join on the id, folded to its totals."""
     # Laid out by id alone, which serves the counts, the join and the totals.
     by_method = (
-        messages.select("cid", "method")
-        .repartition("cid")
+        by_id(messages.select("cid", "method"), cfg)
         .groupBy("cid", "method")
         .agg(F.count("*").alias("copies"))
     )
@@ -92,14 +101,12 @@ def added_by_message(
     events: DataFrame, event_id: str, cfg: LedgerConfig, start: int | None = None
 ) -> DataFrame:
     """(cid, date, events): sector-added events per message id and day."""
-    return (
+    added = (
         in_window(events, cfg, start)
         .where((F.col("event") == SECTOR_ADDED) & F.col(event_id).isNotNull())
         .select(F.col(event_id).alias("cid"), epoch_to_day(F.col("height"), cfg).alias("date"))
-        .repartition("cid")
-        .groupBy("cid", "date")
-        .agg(F.count("*").alias("events"))
     )
+    return by_id(added, cfg).groupBy("cid", "date").agg(F.count("*").alias("events"))
 
 
 def fold_messages(
@@ -116,7 +123,7 @@ def fold_messages(
     methods = {method for fields in counts.values() for method in fields}
     names = {name for fields in counts.values() for name in array_names(fields)}
     day = epoch_to_day(F.col("height"), cfg).alias("date")
-    return (
+    counted = (
         in_window(messages, cfg, start)
         .where(F.col("method").isin(*sorted(methods)))
         .select("cid", "method", day, parsed_arrays(F.col("params"), names).alias("arrays"))
@@ -129,8 +136,10 @@ def fold_messages(
                 for name, fields in counts.items()
             ],
         )
-        # One layout for the folding here and for the joins by id that follow.
-        .repartition("cid")
+    )
+    # One layout for the folding here and for the joins by id that follow.
+    return (
+        by_id(counted, cfg)
         .groupBy("cid", "method", "date", *counts)
         .agg(F.count("*").alias("copies"))
     )
@@ -163,9 +172,11 @@ def with_event_counts(
         same_method = F.sum("copies").over(Window.partitionBy("cid", "method"))
         laid_out = laid_out.withColumn("same_method", same_method)
     else:
-        # Earlier messages of the same id count too; their parameters are not read.
+        # Earlier messages of the same id count too; their parameters are not read, and of the
+        # whole window only those with an id of the new days are grouped.
+        new = in_window(messages, cfg, start).select("cid")
         totals = (
-            in_window(messages, cfg)
+            of_ids(in_window(messages, cfg), new)
             .groupBy("cid", "method")
             .agg(F.count("*").alias("same_method"))
         )

@@ -37,6 +37,7 @@ from epochloom.operators.messages import (
     fold_messages,
     gas_by_message,
     mean_cost_per_sector,
+    of_ids,
     sectors_of,
     with_event_counts,
 )
@@ -176,12 +177,11 @@ def onboarding(
         return rows
     outputs = t.derived_gas_outputs
     matched = in_window(outputs, cfg) if gas == "window" else outputs
-    # Most gas belongs to other messages: it goes before it is folded, by a broadcast of the ids
-    # where these are few.
-    methods = sorted({method for by_method in fields.values() for method in by_method})
-    messages = in_window(t.parsed_messages, cfg, start)
-    ids = messages.where(F.col("method").isin(*methods)).select("cid")
-    matched = matched.join(ids, "cid", "left_semi")
+    if start > cfg.window_start:
+        # A refresh: few ids are new, and all other gas goes before it is folded.
+        methods = sorted({method for by_method in fields.values() for method in by_method})
+        new = in_window(t.parsed_messages, cfg, start).where(F.col("method").isin(*methods))
+        matched = of_ids(matched, new)
     return rows.join(gas_by_message(matched, cfg), "cid", "left")
 
 

@@ -79,16 +79,38 @@ def catalog_ledger(
     return Ledger(**{name: partial(table, name) for name in SCHEMAS})
 
 
+def _by_day(df: DataFrame, cfg: LedgerConfig) -> DataFrame:
+    height = "activation_epoch" if "activation_epoch" in df.columns else "height"
+    return df.withColumn("day", epoch_to_day(F.col(height), cfg))
+
+
 def write_table(df: DataFrame, root: str, name: str, cfg: LedgerConfig) -> None:
     """Append facts as day partitions, so that later windows skip whole days.
 
     Rebalancing gives each day few files and splits a day much larger than the others.
     """
-    height = "activation_epoch" if "activation_epoch" in df.columns else "height"
-    by_day = df.withColumn("day", epoch_to_day(F.col(height), cfg))
-    by_day.hint("rebalance", F.col("day")).write.mode("append").partitionBy("day").parquet(
-        f"{root}/{name}"
-    )
+    _by_day(df, cfg).hint("rebalance", F.col("day")).write.mode("append").partitionBy(
+        "day"
+    ).parquet(f"{root}/{name}")
+
+
+def write_buckets(
+    df: DataFrame, root: str, table: str, cfg: LedgerConfig, buckets: int
+) -> None:
+    """Append messages, events or gas to a catalog table with day partitions, each in buckets of the
+    message id. Tables that are joined need the same number of buckets.
+
+    With `stored_by_id` set, jobs over such tables plan no exchange of the facts. A day has one
+    file per bucket, so appends should hold whole days.
+    """
+    key = resolve_column(df, ("cid", *MESSAGE_ID_COLUMNS))
+    if key is None:
+        raise ValueError(f"{table} has no message id")
+    laid_out = _by_day(df, cfg).repartition(buckets, key)
+    name = table.rpartition(".")[2]
+    laid_out.write.mode("append").partitionBy("day").bucketBy(buckets, key).sortBy(key).option(
+        "path", f"{root}/{name}"
+    ).saveAsTable(table)
 
 
 def resolve_column(df: DataFrame, preferred: Sequence[str] = MESSAGE_ID_COLUMNS) -> str | None:
