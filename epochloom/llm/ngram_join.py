@@ -11,6 +11,12 @@ by value into ``k // 2 + 1`` parts, so one part differs in at most one shingle;
 split into three again, and the enumerated signatures are the contents of two of the three. A
 linked pair therefore shares a signature, whatever the data.
 
+Where links may differ much (below ``THIRDS_FROM`` percent) there are so many parts that signatures
+come out empty by chance, and all sets with the same empty one would meet. There parts are split
+in two, and e further parts are added: then a linked pair has 1 + e parts that differ in at most
+one shingle. A set of which at most e parts have an empty signature leaves these signatures out;
+a part remains in which the pair shares one that is not empty. All other sets keep all of theirs.
+
 Classes that share a signature form a bucket. First each member is compared with the bucket's
 smallest member only (exact set sizes of the texts, no estimate); this joins groups of copies
 without naming their pairs. Members of one bucket still in different components are then compared
@@ -35,6 +41,8 @@ from epochloom.llm.components import components
 from epochloom.llm.shared import saved
 
 _SEED = np.uint64(0xD6E8FEB86659FD93)
+#: From this percentage on, parts are split in three and none is spare.
+THIRDS_FROM = 85
 
 
 @dataclass(frozen=True)
@@ -59,6 +67,21 @@ def bands(percent: int, largest: int) -> list[Band]:
         low = high + 1
 
 
+def layout(band: Band, percent: int) -> tuple[int, int, int]:
+    """Parts of a band's instance, what each is split into, and how many of the parts are spare."""
+    least = band.bound // 2 + 1
+    if percent >= THIRDS_FROM:
+        return least, 3, 0
+    spare, most = 0, least // 3 if band.bound else 0
+    while spare < most:
+        parts = least + spare
+        empty = 2 * parts * np.exp(-band.low / (2 * parts))  # parts with an empty signature
+        if empty + 2 * np.sqrt(empty) <= spare:
+            break
+        spare += 1
+    return least + spare, 2, spare
+
+
 def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle values of all texts end to end, ascending within each, and their counts."""
     texts = texts_of(column).lowered()
@@ -96,32 +119,40 @@ def signatures(
     table = bands(percent, int(sizes.max()))
     band_of = np.searchsorted([b.low for b in table], sizes, "right") - 1
     bound = np.array([b.bound for b in table])
+    laid_out = [layout(b, percent) for b in table]
+    parts_of, split, spare_of = (np.array(x) for x in zip(*laid_out, strict=True))
+    split = int(split.min())
     owner = np.repeat(np.arange(len(sizes)), sizes)
     out = []
     for side in (0, 1):
         instance = band_of - side
         used = (instance >= 0) & (sizes > 0)
-        parts = np.where(used, bound[np.maximum(instance, 0)] // 2 + 1, 0)
+        parts = np.where(used, parts_of[np.maximum(instance, 0)], 0)
         single = used & (bound[np.maximum(instance, 0)] == 0)
         rows = used[owner]
         value, of = values[rows], owner[rows]
         slot = mix(value + _SEED)
         part = (slot >> np.uint64(32)) % parts[of].astype(np.uint64)
-        third = (slot & np.uint64(0xFFFFFFFF)) % np.uint64(3)
+        third = (slot & np.uint64(0xFFFFFFFF)) % np.uint64(split)
         first = np.cumsum(parts) - parts
-        cell = (first[of] + part.astype(np.int64)) * 3 + third.astype(np.int64)
+        cell = (first[of] + part.astype(np.int64)) * split + third.astype(np.int64)
         total = int(parts.sum())
         order = np.argsort(cell, kind="stable")
-        sums = run_sums(mix(value ^ _SEED)[order], np.bincount(cell, minlength=total * 3))
-        sums = sums.reshape(total, 3)
+        held = np.bincount(cell, minlength=total * split)
+        sums = run_sums(mix(value ^ _SEED)[order], held)
+        sums, held = sums.reshape(total, split), held.reshape(total, split)
         of_part = np.repeat(np.arange(len(sizes)), parts)
         place = mix(
             (np.repeat(instance, parts) << 32).astype(np.uint64)
             + (np.arange(total) - first[of_part]).astype(np.uint64)
         )
-        for omitted in range(3):
+        empty = (held.sum(axis=1)[:, None] == held) & ~single[of_part][:, None]
+        lacking = np.bincount(of_part, empty.any(axis=1), len(sizes))
+        left_out = used & (lacking <= np.where(used, spare_of[np.maximum(instance, 0)], -1))
+        for omitted in range(split):
             content = sums.sum(axis=1) - np.where(single[of_part], 0, sums[:, omitted])
-            rows = ~single[of_part] if omitted else slice(None)
+            rows = ~single[of_part] if omitted else np.ones(total, bool)
+            rows = rows & ~(empty[:, omitted] & left_out[of_part])
             values_ = mix(mix(content) + place + np.uint64(omitted + 1))
             out.append((values_[rows], of_part[rows], np.full(total, side, np.int8)[rows]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
