@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: an address entry that names the storage-market actor.
 MARKET_ADDRESS = r'"Address"\s*:\s*"f05"'
@@ -29,6 +29,30 @@ def parsed_arrays(params: Column, names: Iterable[str]) -> Column:
     return F.from_json(params, f"STRUCT<{fields}>")
 
 
+#: The column that holds parameters parsed when they were stored.
+VARIANT = "params_variant"
+
+
+def with_variant(messages: DataFrame) -> DataFrame:
+    """The messages with their parameters also as VARIANT, for storing; parsed once and for all.
+
+    NULL where the text is no JSON, or names one field twice in an object.
+    """
+    return messages.withColumn(VARIANT, F.try_parse_json("params"))
+
+
+def message_arrays(messages: DataFrame, names: Iterable[str]) -> Column:
+    """`parsed_arrays` of the messages' parameters, from the VARIANT column where there is one."""
+    if VARIANT not in messages.columns:
+        return parsed_arrays(F.col("params"), names)
+    return F.struct(
+        *[
+            F.try_variant_get(VARIANT, f"$.{name}", "array<string>").alias(name)
+            for name in sorted(set(names))
+        ]
+    )
+
+
 def array_names(fields: Mapping[str, Sequence[str]]) -> list[str]:
     return sorted({name for names in fields.values() for name in names})
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from epochloom.config import ATTO_PER_NANO, SECTOR_ADDED, LedgerConfig
 from epochloom.functions.amounts import burnt_fee, number, ratio
 from epochloom.functions.classes import METHOD_CLASSES, method_class
-from epochloom.functions.params import array_names, param_count, parsed_arrays
+from epochloom.functions.params import array_names, message_arrays, param_count
 from epochloom.functions.time import epoch_to_day
 from epochloom.sources.tables import in_window
 
@@ -126,7 +126,7 @@ def fold_messages(
     counted = (
         in_window(messages, cfg, start)
         .where(F.col("method").isin(*sorted(methods)))
-        .select("cid", "method", day, parsed_arrays(F.col("params"), names).alias("arrays"))
+        .select("cid", "method", day, message_arrays(messages, names).alias("arrays"))
         .select(
             "cid",
             "method",

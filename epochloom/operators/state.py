@@ -103,3 +103,64 @@ def fill_forward(rows: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
         F.col("date").alias("valid_from"),
         F.lead("date").over(ordered).alias("valid_to"),
     )
+
+
+BIN_DAYS = 32
+
+
+def state_on(
+    intervals: DataFrame,
+    asked: DataFrame,
+    key: str,
+    values: Sequence[str],
+    date: str = "date",
+    bin_days: int = BIN_DAYS,
+) -> DataFrame:
+    """The asked rows with the values that held for their key on their day; NULL before the first
+    interval, and for a NULL key or day.
+
+    `intervals` is what `fill_forward` returns. Time is cut into bins. What a key carries into a bin
+    is the last state of an earlier one, from one row per key and bin that something happens in; and
+    each bin is then looked through on its own, so a key with many changes or many questions spreads
+    over as many tasks as it has bins. No row is made for a day on which nothing changes or is
+    asked. Questions about one key and day are answered once.
+    """
+    bin_of = lambda day: F.floor(F.unix_date(day.cast("date")) / bin_days).alias("_bin")
+    state = F.struct(*values).alias("_state")
+    day = F.col(date).cast("date").alias("_day")
+    changes = intervals.select(
+        F.col(key).alias("_key"), F.col("valid_from").cast("date").alias("_day"), state
+    ).withColumn("_asked", F.lit(False))
+    questions = (
+        asked.where(F.col(key).isNotNull() & F.col(date).isNotNull())
+        .select(F.col(key).alias("_key"), day)
+        .distinct()
+        .withColumn("_asked", F.lit(True))
+    )
+    rows = changes.unionByName(questions, allowMissingColumns=True).withColumn(
+        "_bin", bin_of(F.col("_day"))
+    )
+    earlier = Window.partitionBy("_key").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    into = (
+        rows.groupBy("_key", "_bin")
+        .agg(F.max_by("_state", F.when(~F.col("_asked"), F.col("_day"))).alias("_last"))
+        .select("_key", "_bin", F.last("_last", ignorenulls=True).over(earlier).alias("_state"))
+        .where(F.col("_state").isNotNull())
+        # before all days of the bin
+        .withColumns({"_asked": F.lit(False), "_day": F.lit(None).cast("date")})
+    )
+    upto = (
+        Window.partitionBy("_key", "_bin")
+        .orderBy(F.asc_nulls_first("_day"), "_asked")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    answers = (
+        rows.unionByName(into)
+        .withColumn("_state", F.last("_state", ignorenulls=True).over(upto))
+        .where("_asked")
+        .select("_key", "_day", "_state")
+    )
+    same = (F.col(key) == F.col("_key")) & (F.col(date).cast("date") == F.col("_day"))
+    return asked.join(answers, same, "left").select(
+        *[F.col(c) for c in asked.columns], *[F.col(f"_state.{v}").alias(v) for v in values]
+    )

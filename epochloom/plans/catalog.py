@@ -40,9 +40,9 @@ from epochloom.functions.amounts import burnt_fee, coins, number, percent, ratio
 from epochloom.functions.classes import METHOD_CLASSES, method_class, size_class
 from epochloom.functions.params import (
     array_names,
+    message_arrays,
     notifies_market,
     param_count,
-    parsed_arrays,
 )
 from epochloom.functions.time import epoch_to_day, phase_of
 from epochloom.operators.daily import change, previous, trailing_mean
@@ -185,7 +185,7 @@ def _facts_by_id(t: Ledger, cfg: LedgerConfig, burns: bool) -> DataFrame:
     activated = F.when(height > cfg.onboarding_window_start, sectors)
     messages = messages.select(
         "height", "cid", "method",
-        F.when(inside & counted, parsed_arrays(F.col("params"), names)).alias("arrays"),
+        F.when(inside & counted, message_arrays(t.parsed_messages, names)).alias("arrays"),
     ).select(
         F.lit(MESSAGE).alias("kind"),
         "cid",

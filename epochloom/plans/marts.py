@@ -27,9 +27,9 @@ from epochloom.config import (
 from epochloom.functions.amounts import coins, lifetime_cost, number, ratio
 from epochloom.functions.classes import size_class
 from epochloom.functions.params import (
+    message_arrays,
     notifies_market,
     notifies_market_strict,
-    parsed_arrays,
 )
 from epochloom.functions.time import epoch_to_day, phase_of
 from epochloom.operators.messages import (
@@ -124,7 +124,7 @@ def activations(
     return (
         dated(t.parsed_messages, cfg, since, cfg.onboarding_window_start)
         .where(F.col("method").isin(*fields))
-        .select("date", "method", parsed_arrays(F.col("params"), fields.values()).alias("arrays"))
+        .select("date", "method", message_arrays(t.parsed_messages, fields.values()).alias("arrays"))
         .select("date", sectors.alias("sectors"))
         .groupBy("date")
         .agg(
@@ -238,7 +238,7 @@ def batch_sizes(
         messages = dated(t.parsed_messages, cfg, since).select(
             "date",
             "method",
-            F.array_size(parsed_arrays(F.col("params"), ["Sectors"])["Sectors"])
+            F.array_size(message_arrays(t.parsed_messages, ["Sectors"])["Sectors"])
             .cast("bigint")
             .alias("path_sectors"),
             F.lit(1).cast("bigint").alias("copies"),
@@ -288,13 +288,35 @@ def power_changes(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
     return state_changes(claims, "miner_id", ["height"], POWERS, cfg)
 
 
-def fee_costs(t: Ledger, cfg: LedgerConfig, since: Day = None) -> DataFrame:
-    """date, cost, sectors: mean projected fee over declared lifetimes, and the rows behind it."""
+def day_marks(facts: DataFrame) -> DataFrame | None:
+    """(date, mark): a sum of hashes over the files and rows of each stored day, which differs once
+    rows are added to it. Only file footers are read. None for a table without day partitions."""
+    if "day" not in facts.columns:
+        return None
+    file = F.xxhash64(
+        *[f"_metadata.{c}" for c in ("file_path", "file_size", "file_modification_time")]
+    )
+    return (
+        facts.select(F.col("day").alias("date"), file.cast("decimal(38,0)").alias("file"))
+        .groupBy("date")
+        .agg(F.sum("file").cast("string").alias("mark"))
+    )
+
+
+def fee_costs(
+    t: Ledger, cfg: LedgerConfig, since: Day = None, days: Sequence[dt.date] | None = None
+) -> DataFrame:
+    """date, cost, sectors: mean projected fee over declared lifetimes, and the rows behind it.
+
+    `days` names the activation days to build, of a table with day partitions.
+    """
     start, end, fee = F.col("activation_epoch"), F.col("expiration_epoch"), F.col("daily_fee")
     first = start_height(cfg, since, cfg.upgrade_epoch - 1) + 1
     sectors = t.miner_sector_infos
     if "day" in sectors.columns:
         sectors = sectors.where(F.col("day") >= epoch_to_day(F.lit(first), cfg))
+    if days is not None:
+        sectors = sectors.where(F.col("day").isin(*days))
     valid = (start >= first) & (end > start) & fee.isNotNull() & (number(fee) > 0)
     return (
         sectors.where(valid)
@@ -351,7 +373,7 @@ FRAME_SCHEMAS = {
     "aggregate_sizes": "sector_count BIGINT, messages BIGINT",
 }
 # The tables whose rows a frame's days are made of. Sectors may be added for any past day, so
-# `fee_costs` has none and is always built in full.
+# `fee_costs` has none; the days to build are told by the marks of its files.
 FRAME_TABLES = {
     "base_fees": ("block_headers",),
     "burn": ("derived_gas_outputs", "parsed_messages"),
@@ -378,6 +400,8 @@ class Marts:
         self.cfg = cfg or LedgerConfig()
         self._ledger = ledger
         self._frames = dict(stored or {})
+        #: What a stored run counted while it wrote its frames.
+        self.figures: dict[str, dict[str, int]] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from epochloom.config import LedgerConfig
 from epochloom.functions.time import epoch_to_day
@@ -18,6 +18,7 @@ from epochloom.plans.marts import (
     MARTS,
     ONBOARDING,
     Marts,
+    day_marks,
     onboarding,
 )
 from epochloom.plans.metrics import DAILY
@@ -26,22 +27,51 @@ from epochloom.sources.tables import Ledger, in_window
 
 STATE = "_reached"
 STATE_SCHEMA = "frame STRING, date DATE"
+MARKS = "_marks"
+MARKS_SCHEMA = "date DATE, mark STRING"
 
 
 def frame_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(f"{FRAME_SCHEMAS[name]}, date DATE")
 
 
-def store_mart(df: DataFrame, root: str, name: str, replace_days_only: bool = False) -> None:
-    """Write a daily frame as day partitions, replacing all of it or only the days it holds.
+def _figures(name: str) -> dict[str, Column]:
+    """What is counted of a stored frame while it is written."""
+    copies = F.col("copies")
+    if name == "batch_sizes":
+        missing = F.when(F.col("sector_count").isNull(), F.col("messages"))
+        return {"messages": F.sum("messages"), "without_count": F.sum(missing)}
+    if name == ONBOARDING:
+        return {
+            "messages": F.sum("copies"),
+            "repeated": F.sum(F.when(copies > 1, copies)),
+            "without_gas": F.sum(F.when(F.col("gas_rows").isNull(), copies)),
+            "repeated_gas": F.sum(F.when(F.col("gas_rows") > 1, copies)),
+            "without_sectors": F.sum(F.when(F.col("path_sectors").isNull(), copies)),
+        }
+    return {}
+
+
+def store_mart(
+    df: DataFrame, root: str, name: str, replace_days_only: bool = False
+) -> dict[str, int]:
+    """Write a daily frame as day partitions, replacing all of it or only the days it holds, and
+    return its figures, counted in the same job.
 
     Rebalancing gives each day few files and splits a day that is much larger than others.
     """
     mode = "dynamic" if replace_days_only else "static"
     declared = df.select(*[F.col(f.name).cast(f.dataType) for f in frame_schema(name)])
+    wanted, seen = _figures(name), None
+    if wanted:
+        seen = Observation(name)
+        zero = F.lit(0).cast("bigint")
+        counts = [F.coalesce(c.cast("bigint"), zero).alias(n) for n, c in wanted.items()]
+        declared = declared.observe(seen, F.count("*").alias("rows"), *counts)
     declared.hint("rebalance", F.col("date")).write.mode("overwrite").option(
         "partitionOverwriteMode", mode
     ).partitionBy("date").parquet(f"{root}/{name}")
+    return dict(seen.get) if seen else {}
 
 
 def stored_frame(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -49,16 +79,41 @@ def stored_frame(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(frame_schema(name)).parquet(f"{root}/{name}")
 
 
-def reached_days(spark: SparkSession, root: str) -> dict[str, dt.date]:
-    """Up to which day each frame was complete after the last run that finished; empty before
-    the first one and after a full run that broke off."""
+def _kept(spark: SparkSession, path: str, schema: str) -> list[Row]:
+    """The rows of a small table, none where there is no such table yet."""
     try:
-        rows = spark.read.schema(STATE_SCHEMA).parquet(f"{root}/{STATE}").collect()
+        return spark.read.schema(schema).parquet(path).collect()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return {}
+            return []
         raise
-    return {r.frame: r.date for r in rows}
+
+
+def reached_days(spark: SparkSession, root: str) -> dict[str, dt.date]:
+    """Up to which day each frame was complete after the last run that finished; empty before
+    the first one and after a full run that broke off."""
+    return {r.frame: r.date for r in _kept(spark, f"{root}/{STATE}", STATE_SCHEMA)}
+
+
+def changed_days(
+    spark: SparkSession, ledger: Ledger, root: str
+) -> tuple[dict[dt.date, str], list[dt.date] | None]:
+    """Marks of the activation days as they are now, and the days whose mark is another than after
+    the last finished run. None where that can't be told, and all days are to be built; so it is
+    too when a day is gone."""
+    found = day_marks(ledger.miner_sector_infos)
+    if found is None:
+        return {}, None
+    # one row per calendar day
+    now = {r.date: r.mark for r in found.collect()}
+    before = {r.date: r.mark for r in _kept(spark, f"{root}/{MARKS}", MARKS_SCHEMA)}
+    if not before or set(before) - set(now):
+        return now, None
+    return now, sorted(day for day, mark in now.items() if before.get(day) != mark)
+
+
+def _write_small(spark: SparkSession, rows: list, schema: str, path: str) -> None:
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def complete_days(ledger: Ledger, cfg: LedgerConfig) -> dict[str, dt.date]:
@@ -85,31 +140,46 @@ def store_marts(
     """Build and store every daily frame and read them back; `since` names the frames of which
     only the days from a given one on are built.
 
+    `figures` of the result holds, by frame, what was counted while it was written: messages in
+    all, repeated ones, and those without gas or without a count.
+
     A job that later loses an executor re-reads these files. A day left without rows keeps its
     earlier result where `since` applies, which append-only facts never bring about.
     """
     since = since or {}
-    state = spark.createDataFrame([], STATE_SCHEMA)
     if not since:
         # Whatever an earlier run reached no longer holds once its frames are overwritten.
-        state.write.mode("overwrite").parquet(f"{root}/{STATE}")
+        _write_small(spark, [], STATE_SCHEMA, f"{root}/{STATE}")
+        _write_small(spark, [], MARKS_SCHEMA, f"{root}/{MARKS}")
     # Taken before the frames, so that facts arriving meanwhile are read again next time.
     reached = complete_days(ledger, cfg)
+    marks, changed = changed_days(spark, ledger, root)
+    figures = {}
     for name, build in FROM_FACTS.items():
-        day = since.get(name) if name in FRAME_TABLES else None
+        if name == "fee_costs":
+            if changed is None:
+                store_mart(build(ledger, cfg), root, name)
+            elif changed:
+                store_mart(build(ledger, cfg, days=changed), root, name, True)
+            continue
+        day = since.get(name)
         store_mart(build(ledger, cfg, day), root, name, day is not None)
     day = since.get(ONBOARDING)
-    store_mart(onboarding(ledger, cfg, day), root, ONBOARDING, day is not None)
+    figures[ONBOARDING] = store_mart(
+        onboarding(ledger, cfg, day), root, ONBOARDING, day is not None
+    )
     messages = stored_frame(spark, root, ONBOARDING)
     if day is not None:
         messages = messages.where(F.col("date") >= F.lit(day))
     for name, build in FROM_ONBOARDING.items():
-        store_mart(build(ledger, cfg, day, messages), root, name, day is not None)
+        seen = store_mart(build(ledger, cfg, day, messages), root, name, day is not None)
+        figures |= {name: seen} if seen else {}
     # Written last, so a run that breaks off is repeated from the same days.
-    spark.createDataFrame(sorted(reached.items()), STATE_SCHEMA).coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{root}/{STATE}")
-    return stored_marts(spark, cfg, root)
+    _write_small(spark, sorted(marks.items()), MARKS_SCHEMA, f"{root}/{MARKS}")
+    _write_small(spark, sorted(reached.items()), STATE_SCHEMA, f"{root}/{STATE}")
+    marts = stored_marts(spark, cfg, root)
+    marts.figures = figures
+    return marts
 
 
 def write_metrics(

@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epochloom.config import MESSAGE_ID_COLUMNS, LedgerConfig
+from epochloom.functions.params import VARIANT
 from epochloom.functions.time import epoch_to_day
 
 AMOUNT = "DECIMAL(38,0)"
@@ -53,15 +54,20 @@ def load_ledger(
     root: str,
     declared: bool = True,
     names: Mapping[str, str] | None = None,
+    variant: bool = False,
 ) -> Ledger:
     """Tables stored as Parquet folders under `root`, named otherwise where `names` says so.
 
     The events table keeps the schema of its files, because its message id column varies, and
-    with `declared=False` so do the others, for instance where amounts are stored as text.
+    with `declared=False` so do the others, for instance where amounts are stored as text. With
+    `variant`, messages were stored with their parsed parameters, and these are read.
     """
+    schemas = dict(SCHEMAS)
+    if variant:
+        schemas["parsed_messages"] += f", {VARIANT} VARIANT"
 
     def table(name: str) -> DataFrame:
-        reader = spark.read.schema(SCHEMAS[name]) if declared and name != PROBED else spark.read
+        reader = spark.read.schema(schemas[name]) if declared and name != PROBED else spark.read
         return reader.parquet(f"{root}/{(names or {}).get(name, name)}")
 
     return Ledger(**{name: partial(table, name) for name in SCHEMAS})

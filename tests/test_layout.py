@@ -5,11 +5,18 @@ import random
 
 import pytest
 
+from epochloom.functions.params import with_variant
 from epochloom.plans import catalog
 from epochloom.plans.marts import Marts, onboarding
 from epochloom.plans.metrics import DAILY
 from epochloom.plans.series import CHARTS, drawn
-from epochloom.sources.tables import SCHEMAS, catalog_ledger, write_buckets
+from epochloom.sources.tables import (
+    SCHEMAS,
+    catalog_ledger,
+    load_ledger,
+    write_buckets,
+    write_table,
+)
 from tests.ledgers import CFG, COIN, rows, store
 
 FACTS = ("parsed_messages", "miner_sector_events", "derived_gas_outputs")
@@ -102,6 +109,36 @@ def test_facts_stored_by_id_are_not_exchanged(spark, ledger, bucketed, metric):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.fixture
+def parsed(spark, tmp_path):
+    root, data = str(tmp_path / "variant"), hot_rows()
+    texts = ["no json", "[1]", '{"Sectors":null}', '{"Sectors":{"a":1}}', '{"Sectors":[null,[2],"x"]}']
+    for i, text in enumerate(texts):
+        data["parsed_messages"].append((5300001, f"t{i}", "PreCommitSectorBatch2", text))
+    messages = data.pop("parsed_messages")
+    store(spark, root, data)
+    rows = spark.createDataFrame(messages, SCHEMAS["parsed_messages"])
+    write_table(with_variant(rows), root, "parsed_messages", CFG)
+    return root
+
+
+@pytest.mark.parametrize(
+    "metric",
+    ["ddo_sector_onboarding", "gas_per_sector_by_path", "precommit_sector_batch_size", "sector_lifetime_cost"],
+)
+def test_stored_variants_are_not_parsed_again(spark, parsed, metric):
+    ledger, usual = (load_ledger(spark, parsed, variant=v) for v in (True, False))
+    found, wanted = (DAILY[metric](Marts(x, CFG)) for x in (ledger, usual))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "params#" not in plan and "params_variant" in plan
+    assert "from_json" in wanted._jdf.queryExecution().executedPlan().toString()
+    rows = sorted(map(str, found.collect()))
+    assert rows == sorted(map(str, wanted.collect())) and rows
+    charts = [c for c in CHARTS if c.metric == metric]
+    ((_, wide),) = catalog.wide_frames(ledger, CFG, [metric])
+    assert points(drawn(wide, charts)) == points(drawn(wanted, charts))
+
+
 def test_tables_without_an_id_have_no_buckets(spark, tmp_path):
     with pytest.raises(ValueError):
         frame = spark.createDataFrame([(1, 2)], SCHEMAS["chain_powers"])

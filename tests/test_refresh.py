@@ -1,9 +1,12 @@
 """A refresh gives the frames of a full run, however its facts arrived."""
 
+import datetime as dt
+import glob
 from decimal import Decimal
 
 import pytest
 
+from epochloom.config import PATH_COUNT_FIELDS as METHODS
 from epochloom.plans import runner
 from epochloom.plans.marts import FRAME_SCHEMAS, MARTS, Marts
 from epochloom.plans.runner import reached_days, store_marts
@@ -56,6 +59,47 @@ def test_a_late_row_for_an_old_activation_day(spark, roots):
     same_as_full(spark, ledger, refresh(spark, ledger, CFG, mart_root))
 
 
+def files_by_day(root):
+    found = {}
+    for path in glob.glob(f"{root}/fee_costs/date=*/*.parquet"):
+        found.setdefault(path.split("date=")[1][:10], set()).add(path)
+    return found
+
+
+def test_a_late_row_rebuilds_its_day_alone(spark, roots):
+    root, mart_root = roots
+    early, late = split(rows(extra_days=4), {})
+    late["miner_sector_infos"] = [(5138040, 5138040 + 57600, Decimal(7 * 10**9))]
+    store_marts(spark, store(spark, root, early), CFG, mart_root)
+    before = files_by_day(mart_root)
+    ledger = store(spark, root, late)
+    marts = refresh(spark, ledger, CFG, mart_root)
+    after = files_by_day(mart_root)
+    day = str(dt.date(1970, 1, 1) + dt.timedelta((CFG.genesis_unix + 5138040 * 30) // 86400))
+    assert set(after) == set(before) and len(before) > 2
+    assert [d for d in sorted(before) if before[d] != after[d]] == [day]
+    same_as_full(spark, ledger, marts)
+    # nothing new: nothing of it is written
+    refresh(spark, store(spark, root, {}), CFG, mart_root)
+    assert files_by_day(mart_root) == after
+
+
+def test_figures_are_counted_while_frames_are_written(spark, roots):
+    root, mart_root = roots
+    data = rows(extra_days=2)
+    data["parsed_messages"] += [data["parsed_messages"][-4]] * 2
+    data["parsed_messages"].append((LAST, "alone", "PreCommitSectorBatch2", None))
+    marts = store_marts(spark, store(spark, root, data), CFG, mart_root)
+    seen, sizes = marts.figures["onboarding"], marts.figures["batch_sizes"]
+    wanted = [r for r in data["parsed_messages"] if r[0] > CFG.window_start and r[2] in METHODS]
+    repeated = [r for r in wanted if wanted.count(r) > 1]
+    assert (seen["messages"], seen["repeated"]) == (len(wanted), len(repeated))
+    assert (seen["without_gas"], sizes["without_count"]) == (1, 1)
+    assert sizes["messages"] == sum(r[2] == "PreCommitSectorBatch2" for r in wanted)
+    (later,) = refresh(spark, store(spark, root, {}), CFG, mart_root).figures.keys() - {"batch_sizes"}
+    assert later == "onboarding"
+
+
 def test_a_ledger_without_activations(spark, roots):
     root, mart_root = roots
     early, late = split(rows(extra_days=4), {})

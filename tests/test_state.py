@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pytest
@@ -112,3 +113,25 @@ def test_seed_only_for_keys_seen_later(spark):
     seen = spark.createDataFrame([("a",), ("new",)], "miner_id string")
     seed = state.seed_state(before, "miner_id", ["height"], POWERS, seen)
     assert [tuple(r) for r in seed.collect()] == [("a", 2.0, 2.0)]
+
+
+def test_state_on_against_looking_back(spark):
+    rng = random.Random(3)
+    day = lambda: dt.date(2024, 1, 1) + dt.timedelta(rng.randrange(200))
+    keys = ["hot"] * 6 + ["a", "b", "c", "d"]
+    changes = {(rng.choice(keys), day()): rng.choice([1.0, 2.0, None]) for _ in range(150)}
+    rows = [(k, d, v) for (k, d), v in changes.items()] + [("gone", dt.date(2023, 1, 1), 9.0)]
+    held = state.fill_forward(spark.createDataFrame(rows, "k string, date date, v double"), "k", ["v"])
+    asked = [(i, rng.choice([*keys, "gone", "never", None]), rng.choice([day(), day(), None])) for i in range(400)]
+    asked += [(1000 + i, "hot", dt.date(2024, 3, 1)) for i in range(50)]
+    found = state.state_on(held, spark.createDataFrame(asked, "i long, k string, date date"), "k", ["v"])
+
+    def looked_up(key, date):
+        known = [(d, v) for k, d, v in rows if k == key and date and d <= date and v is not None]
+        return max(known)[1] if known else None
+
+    got = {r.i: (r.k, r.date, r.v) for r in found.collect()}
+    assert found.columns == ["i", "k", "date", "v"] and len(got) == len(asked)
+    assert got == {i: (k, d, looked_up(k, d)) for i, k, d in asked}
+    none = state.state_on(held.limit(0), found.drop("v").limit(5), "k", ["v"])
+    assert [r.v for r in none.collect()] == [None] * 5

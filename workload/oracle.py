@@ -762,6 +762,16 @@ def operator_sql() -> dict[str, str]:
                 ON k.miner_id = b.miner_id AND k.date >= b.date""",
             "known",
         ),
+        "state_as_of": claims_query(
+            f"""SELECT c.height, c.miner_id, {text("c.week_before")} AS week_before,
+            {r("a.raw / " + PIB)} AS raw_byte_power, {r("b.qap / " + PIB)} AS quality_adj_power
+            FROM (SELECT height, miner_id, CAST(date - 7 AS DATE) AS week_before FROM ({claims})) c
+            ASOF LEFT JOIN (SELECT * FROM known WHERE raw IS NOT NULL) a
+                ON c.miner_id = a.miner_id AND c.week_before >= a.date
+            ASOF LEFT JOIN (SELECT * FROM known WHERE qap IS NOT NULL) b
+                ON c.miner_id = b.miner_id AND c.week_before >= b.date""",
+            "known",
+        ),
         "state_delta_daily": claims_query(
             f"""SELECT {text()} AS date, {r("raw")} AS raw_byte_power,
             {r("qap")} AS quality_adj_power FROM gained""",

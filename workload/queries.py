@@ -517,6 +517,15 @@ def fill_forward(t: Ledger) -> DataFrame:
     return _in_pib(state.fill_forward(_anchored(t), "miner_id", POWERS))
 
 
+def state_as_of(t: Ledger) -> DataFrame:
+    """Each claim of the window with what its miner had seven days before."""
+    asked = dated(_claims(t), CLAIMS).select(
+        "height", "miner_id", F.date_sub("date", 7).alias("week_before")
+    )
+    held = state.fill_forward(_anchored(t), "miner_id", POWERS)
+    return _in_pib(state.state_on(held, asked, "miner_id", POWERS, "week_before"))
+
+
 def state_delta_daily(t: Ledger) -> DataFrame:
     daily = state.state_delta_daily(power_changes(t, CLAIMS), "miner_id", POWERS)
     return _in_pib(daily)
@@ -714,6 +723,7 @@ _LEDGER_QUERIES = (
     regexp_match,
     daily_latest,
     fill_forward,
+    state_as_of,
     state_delta_daily,
     rolling_mean,
     cumulative_to_daily,
