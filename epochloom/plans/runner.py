@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -22,7 +23,7 @@ from epochloom.plans.marts import (
     onboarding,
 )
 from epochloom.plans.metrics import DAILY
-from epochloom.sources.json_records import write_records
+from epochloom.sources.json_records import read_records, write_records
 from epochloom.sources.tables import Ledger, in_window
 
 STATE = "_reached"
@@ -192,3 +193,47 @@ def write_metrics(
         write_records(DAILY[name](marts, **options), f"{out_root}/{name}")
         written.append(name)
     return written
+
+
+PUBLISHED = "published"
+PUBLISHED_SCHEMA = "version STRING, metric STRING"
+
+
+def publish_metrics(
+    spark: SparkSession,
+    marts: Marts,
+    out_root: str,
+    only: Iterable[str] | None = None,
+    check: bool = True,
+) -> str:
+    """Write the metrics as a new version and, when all are there, name it; returns the version.
+
+    Nothing that a reader may hold is overwritten: versions are folders of their own, and naming
+    one adds a single file to the list of versions, which is there or is not. A run that breaks off
+    leaves the version before it in force.
+    """
+    version = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    written = write_metrics(marts, f"{out_root}/{version}", only, check)
+    named = spark.createDataFrame([(version, name) for name in written], PUBLISHED_SCHEMA)
+    named.coalesce(1).write.mode("append").json(f"{out_root}/{PUBLISHED}")
+    return version
+
+
+def published(spark: SparkSession, out_root: str) -> tuple[str | None, list[str]]:
+    """The newest named version and its metrics; None before the first."""
+    try:
+        rows = spark.read.schema(PUBLISHED_SCHEMA).json(f"{out_root}/{PUBLISHED}").collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None, []
+        raise
+    newest = max((r.version for r in rows), default=None)
+    return newest, sorted(r.metric for r in rows if r.version == newest)
+
+
+def read_published(spark: SparkSession, out_root: str, metric: str, schema: str) -> DataFrame:
+    """A metric's records of the newest version."""
+    version, metrics = published(spark, out_root)
+    if metric not in metrics:
+        raise KeyError(metric)
+    return read_records(spark, f"{out_root}/{version}/{metric}", schema)

@@ -135,6 +135,36 @@ def test_a_rebuild_that_breaks_off(spark, roots, monkeypatch):
     same_as_full(spark, ledger, refresh(spark, ledger, CFG, mart_root))
 
 
+def test_a_publication_that_breaks_off(spark, roots, tmp_path, monkeypatch):
+    """Readers keep the whole version before, whichever metric the next one stops at."""
+    out, names = str(tmp_path / "json"), ["power_added", "renewal_rate", "sector_extensions"]
+    early, late = split(rows(extra_days=4), {})
+    before = Marts(store(spark, roots[0], early), CFG)
+    assert runner.published(spark, out) == (None, [])
+    first = runner.publish_metrics(spark, before, out, names)
+    schema = "date STRING, expired_count BIGINT, extended_count BIGINT"
+    read = lambda: content(runner.read_published(spark, out, "renewal_rate", schema), "*")
+    old, written, whole = read(), [], runner.write_records
+
+    def breaks(daily, path):
+        if len(written) == 2:
+            raise RuntimeError("broken off")
+        written.append(path)
+        whole(daily, path)
+
+    after = Marts(store(spark, roots[0], late), CFG)
+    monkeypatch.setattr(runner, "write_records", breaks)
+    with pytest.raises(RuntimeError):
+        runner.publish_metrics(spark, after, out, names)
+    monkeypatch.undo()
+    assert len(written) == 2 and runner.published(spark, out) == (first, names)
+    assert read() == old
+    second = runner.publish_metrics(spark, after, out, names)
+    assert runner.published(spark, out) == (second, names) and len(read()) > len(old)
+    with pytest.raises(KeyError):
+        runner.read_published(spark, out, "base_fee_percentiles", schema)
+
+
 def test_only_a_missing_path_is_a_first_run(spark, tmp_path):
     assert reached_days(spark, str(tmp_path / "nowhere")) == {}
 
