@@ -37,7 +37,7 @@ from epochloom.llm.batches import (
     word_hashes,
     words_of,
 )
-from epochloom.llm.shared import saved
+from epochloom.llm.shared import arrived, saved, shipped
 from epochloom.llm.training import held_out, one_per_id, remainder
 
 UNKNOWN = "und"
@@ -246,11 +246,11 @@ def identify(
     carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row, and the named columns of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
     fields = [docs.schema[c] for c in carried]
 
     def make():
-        model = shared.value
+        model = arrived(shared)
 
         def step(batch):
             names, scores = model.predict(batch.column("text"))

@@ -32,6 +32,7 @@ from epochloom.llm.batches import (
     texts_of,
     word_hashes,
 )
+from epochloom.llm.shared import arrived, shipped
 from epochloom.llm.training import bounded_sample, held_out, known_labels, sampled_texts, sigmoid
 
 TYPES = 1 << 14
@@ -222,10 +223,10 @@ def score(
     docs: DataFrame, model: QualityScorer, threshold: float, modulus: int = 5, rest: int = 0
 ) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
 
     def make():
-        model = shared.value
+        model = arrived(shared)
 
         def step(batch):
             scores = model.scores(batch.column("text"))

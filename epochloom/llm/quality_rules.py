@@ -38,6 +38,7 @@ from epochloom.llm.batches import (
     word_hashes,
     words_of,
 )
+from epochloom.llm.shared import arrived, shipped
 from epochloom.llm.training import bounded_sample, fit_logistic, known_labels, sampled_texts, sigmoid
 
 MIN_WORDS = 50
@@ -265,11 +266,11 @@ def train(docs: DataFrame, labels: DataFrame) -> QualityModel:
 def apply_rules(docs: DataFrame, model: QualityModel, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the counts, base_failed, probability and kept for every row, and the named columns
     of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
     fields = [docs.schema[c] for c in carried]
 
     def make():
-        model = shared.value
+        model = arrived(shared)
 
         def step(batch):
             texts = texts_of(batch.column("text"))

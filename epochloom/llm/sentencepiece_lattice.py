@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 
 from epochloom.llm.batches import map_slices, mix, run_index, run_sums, texts_of, worker_values
 from epochloom.llm.chunks import space_chunks_of, tokenized
+from epochloom.llm.shared import arrived, shipped
 
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -308,17 +309,18 @@ def encode_documents(
     """doc_id, n_pieces, ids_crc32 (of little-endian 32-bit ids) and round_trip (decoding gives the
     text back, U+2581 as a space) for every row; the ids as an array where asked for. ``name``
     tells models apart."""
-    shared = docs.sparkSession.sparkContext.broadcast(pieces)
+    shared = shipped(docs.sparkSession, pieces)
     kept = f"sentencepiece_{abs(hash((name, pieces.kind)))}"
 
     def make():
-        encoder = WordEncoder(shared.value)
+        pieces = arrived(shared)
+        encoder = WordEncoder(pieces)
         seen = worker_values(kept, np.int32)
 
         def step(batch):
             text = _spaced(batch.column("text"))
             ids, counts = tokenized(text, seen, encoder, cut=space_chunks_of)
-            source, back = texts_of(text), decoded(ids, counts, shared.value)
+            source, back = texts_of(text), decoded(ids, counts, pieces)
             body, at = source.data.tobytes(), source.offsets.tolist()
             same = [body[a + 1 : b] == x for a, b, x in zip(at[:-1], at[1:], back, strict=True)]
             small, ends = ids.astype("<u4"), np.cumsum(counts)
@@ -344,14 +346,15 @@ def encode_documents(
 
 def decode_documents(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     """doc_id, text from doc_id, ids; null ids decode to the empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(pieces)
+    shared = shipped(encoded.sparkSession, pieces)
 
     def run(batches):
+        pieces = arrived(shared)
         for batch in batches:
             lists = batch.column("ids")
             counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
             ids = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
-            texts = decoded(ids, counts, shared.value)
+            texts = decoded(ids, counts, pieces)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([t.decode("utf-8", "replace") for t in texts])],
                 names=["doc_id", "text"],

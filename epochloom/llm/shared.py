@@ -3,12 +3,35 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shipped(spark: SparkSession, value: object) -> Broadcast[bytes]:
+    """A broadcast of a value of this package's classes. It holds the classes with the value, so
+    workers that lack the package can unpack it with ``arrived``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def arrived(shared: Broadcast[bytes]) -> object:
+    return cloudpickle.loads(shared.value)
+
+
+def _base(spark: SparkSession) -> str:
+    """The folder that the cluster shares; a temporary one where a single machine does all."""
+    context = spark.sparkContext
+    named = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="shared-")
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The frame computed now and kept as a reliable checkpoint.
 
@@ -18,8 +41,7 @@ def saved(df: DataFrame) -> DataFrame:
     spark = SparkSession.getActiveSession() or df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(_base(spark))
     kept = df.checkpoint()
     release(spark)
     return kept
@@ -34,9 +56,7 @@ def release(spark: SparkSession) -> None:
 
 def shared_folder(spark: SparkSession) -> str:
     """A new path, not yet existing, below the shared folder."""
-    context = spark.sparkContext
-    named = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
-    return f"{(named or tempfile.mkdtemp(prefix='shared-')).rstrip('/')}/{uuid.uuid4()}"
+    return f"{_base(spark)}/{uuid.uuid4()}"
 
 
 def discard(spark: SparkSession, path: str) -> None:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 
 from epochloom.llm.batches import map_slices, run_index, worker_values
 from epochloom.llm.chunks import WIDE_SPACES, tokenized
+from epochloom.llm.shared import arrived, shipped
 
 NEVER = np.int32(2**31 - 1)
 _SPACE = r"\t-\r " + WIDE_SPACES
@@ -165,10 +166,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens) for every row;
     ``vocabulary`` is the path of the vocabulary file on the driver."""
     with open(vocabulary, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(MergeTable.read(file.read()))
+        shared = shipped(docs.sparkSession, MergeTable.read(file.read()))
 
     def make():
-        counter = ChunkCounter(shared.value)
+        counter = ChunkCounter(arrived(shared))
         seen = worker_values(f"token_counts_{abs(hash(vocabulary))}", np.int32)
 
         def step(batch):
