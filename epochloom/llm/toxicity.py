@@ -10,11 +10,13 @@ class has seen hardly at all.
 Counts are taken by a distributed aggregate, over all labelled training rows but the few that the
 regression below is fitted on. The log-likelihood
 ratio of each n-gram, and of each context for unseen n-grams, stays in frames in the shared
-folder, whole at any size and never gathered. Texts meet them by slice: a slice's words are
-reduced to the distinct ones and these to their distinct n-grams, so that an n-gram is in the join
-once per slice, however frequent. The join goes by buckets of contexts, as many as the n-grams on
-both sides need (``BUCKET``); a slice's n-grams of one bucket are one row there. The values go
-back to the slice, and of its documents only the places of words in its list are shuffled.
+folder, whole at any size and never gathered. The distinct words of all texts meet them once: a
+chunk of words is reduced to its distinct n-grams, and these are joined by buckets of contexts, as
+many as the n-grams on both sides need (``BUCKET``). A word's ratio is the sum of its n-grams'.
+
+Documents then look up words. The ``FREQUENT`` most frequent ones at most are broadcast, a fixed
+bound at any size; every other word of a document goes through a join by word, whose keys are rare
+by choice, and back to its document. Words count as equal when their 64-bit hashes do.
 
 A word's ratio is divided by its length. A document has the ratio over all its bytes, divided by
 their number, and the means of its highest 1, 3 and 10 words (absent words count 0); a logistic
@@ -64,8 +66,12 @@ DISCOUNT = 0.75
 SAMPLE = 3000
 #: One in so many training rows may be among them.
 APART = 5
-#: Bytes of text that share one list of words.
-SLICE = 4_000_000
+#: Bytes of distinct words, as they stand in memory, that look up their n-grams together.
+CHUNK = 8_000_000
+#: The most words whose ratios are broadcast (16 bytes each), and steps per doubling of their times.
+FREQUENT, STEPS = 1 << 20, 8
+#: Highest words of a document that are told apart.
+TOP = 10
 #: N-grams that a task looks up at a time, and the fewest buckets.
 BUCKET, LEAST_BUCKETS = 1 << 19, 24
 FEATURES = ("mean_ratio", "top_1", "top_3", "top_10", "log_words")
@@ -191,55 +197,61 @@ def _in_parquet(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_slices(docs: DataFrame, path: str) -> None:
-    """One row per slice of (doc_id, text, mark): its ids and marks, its distinct words in one
-    text, which of them each document has, and the number of its distinct n-grams."""
+def distinct_words(docs: DataFrame) -> DataFrame:
+    """(word, times) over all rows of (text), lower-cased."""
 
     def make():
-        number = itertools.count(TaskContext.get().partitionId() << 32)
-
         def step(batch):
             texts = texts_of(batch.column("text")).lowered()
             words = words_of(texts)
-            _, one, which, times = np.unique(
-                word_hashes(texts.data, words),
-                return_index=True,
-                return_inverse=True,
-                return_counts=True,
+            _, one, times = np.unique(
+                word_hashes(texts.data, words), return_index=True, return_counts=True
             )
-            # frequent words first: small numbers, which pack well
-            order = np.argsort(-times, kind="stable")
-            one, rank = one[order], np.argsort(order)
-            lengths = words.lengths[one] + 1
-            at = run_index(lengths)
-            inside = at < np.repeat(lengths, lengths) - 1
-            body = np.full(len(at), 32, np.uint8)
-            body[inside] = texts.data[(np.repeat(words.starts[one], lengths) + at)[inside]]
-            planes = rank[which].astype(np.uint32).view(np.uint8).reshape(-1, 4).T
-            return {
-                "slice": [next(number)],
-                "doc_id": _as_list(batch.column("doc_id")),
-                "mark": _as_list(batch.column("mark")),
-                "counts": [words.counts.astype(np.int32).tobytes()],
-                "words": [zlib.compress(body.tobytes(), 1)],
-                "which": [zlib.compress(planes.tobytes(), 1)],
-                "grams": [len(np.unique(_word_grams(body)[0]))],
-            }
+            lengths = words.lengths[one]
+            data = texts.data[np.repeat(words.starts[one], lengths) + run_index(lengths)]
+            ends = np.r_[0, np.cumsum(lengths)].astype(np.int64)
+            found = pa.LargeStringArray.from_buffers(
+                len(one), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))
+            )
+            return {"word": found, "times": times}
 
         return step
 
-    rows = map_slices(docs.select("doc_id", "text", "mark"), make, SLICES, size=SLICE)
-    rows.write.option("compression", "zstd").parquet(path)
+    rows = map_slices(docs.select("text"), make, "word string, times long")
+    return rows.groupBy("word").agg(F.sum("times").alias("times"))
 
 
-SLICES = (
-    "slice long, doc_id array<long>, mark array<int>, counts binary, words binary, which binary, "
-    "grams long"
-)
+CHUNKS = "slice long, words binary, times binary, grams long"
 
 
-def _as_list(column: pa.Array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
+def write_chunks(words: DataFrame, path: str) -> None:
+    """The words of (word, times), ``CHUNK`` bytes of them to a row, each followed by a space; with
+    the number of their distinct n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = itertools.count(TaskContext.get().partitionId() << 32)
+
+        def chunk(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts)
+            body = "".join(f"{w} " for w in table.column("word").to_pylist()).encode()
+            distinct = len(np.unique(_word_grams(np.frombuffer(body, np.uint8))[0]))
+            times = table.column("times").to_numpy().astype(np.int64)
+            values = (next(number), zlib.compress(body, 1), zlib.compress(times.tobytes(), 1), distinct)
+            names = ["slice", "words", "times", "grams"]
+            return pa.RecordBatch.from_pylist([dict(zip(names, values, strict=True))])
+
+        waiting, size = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            size += batch.nbytes
+            if size >= CHUNK:
+                yield chunk(waiting)
+                waiting, size = [], 0
+        if size:
+            yield chunk(waiting)
+
+    rows = words.mapInArrow(run, CHUNKS)
+    rows.write.option("compression", "zstd").parquet(path)
 
 
 def _unpacked(blob: pa.Scalar) -> np.ndarray:
@@ -339,61 +351,162 @@ def bucket_values(
     return rows.groupBy("bucket").applyInArrow(_looked_up, "slice long, bucket long, values binary")
 
 
-def features_of(
-    body: np.ndarray, which: np.ndarray, counts: np.ndarray, values: np.ndarray
-) -> np.ndarray:
-    """One row of FEATURES per text, from a slice's distinct words, the word at each place, words
-    per text, and the values of the distinct n-grams in ascending order."""
-    grams, sizes = _word_grams(body)
-    each = values[np.unique(grams, return_inverse=True)[1]]
-    per_word = run_sums(each.astype(np.float64), sizes)[which]
-    lengths = sizes[which]
-    out = np.zeros((len(counts), len(FEATURES)))
-    out[:, 0] = run_sums(per_word, counts) / np.maximum(run_sums(lengths, counts), 1)
-    out[:, 4] = np.log1p(counts)
-    value = per_word / np.maximum(lengths, 1)
-    doc = np.repeat(np.arange(len(counts)), counts)
-    high = value > 0
-    doc, value = doc[high], value[high]
-    order = np.lexsort((-value, doc))
-    doc, value = doc[order], value[order]
-    rank = run_index(np.bincount(doc, minlength=len(counts)))
-    for j, k in ((1, 1), (2, 3), (3, 10)):
-        top = rank < k
-        out[:, j] = np.bincount(doc[top], value[top], len(counts)) / k
-    return out
-
-
-def features(docs: DataFrame, tables: tuple[DataFrame, DataFrame], path: str) -> DataFrame:
-    """doc_id, mark and FEATURES for every row of (doc_id, text, mark); slices stay in the folder,
-    which must not exist and is read by the result."""
-    spark = docs.sparkSession
-    write_slices(docs, path)
+def word_ratios(words: DataFrame, tables: tuple[DataFrame, DataFrame], path: str) -> DataFrame:
+    """(word, length, ratio, times) for (word, times), stored in the folder: the word by its hash,
+    its n-grams, and the sum of their values."""
+    spark = words.sparkSession
+    write_chunks(words, f"{path}/chunks")
     # read twice: cogroup does not take two frames of one origin
-    rows, again = (spark.read.schema(SLICES).parquet(path) for _ in range(2))
+    rows, again = (spark.read.schema(CHUNKS).parquet(f"{path}/chunks") for _ in range(2))
     total = rows.agg(F.coalesce(F.sum("grams"), F.lit(0))).first()[0]
     total += sum(table.count() for table in tables)
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        body, which = (_unpacked(left.column(n)[0]) for n in ("words", "which"))
-        which = np.ascontiguousarray(which.reshape(4, -1).T).view(np.uint32)[:, 0].astype(np.int64)
-        counts = np.frombuffer(left.column("counts")[0].as_buffer(), np.int32).astype(np.int64)
-        order, _, _ = _by_bucket(np.unique(_word_grams(body)[0]) >> np.uint64(8), buckets)
-        blobs = right.sort_by("bucket").column("values").to_pylist()
+        body = _unpacked(left.column("words")[0])
+        grams, sizes = _word_grams(body)
+        distinct, place = np.unique(grams, return_inverse=True)
+        order, _, _ = _by_bucket(distinct >> np.uint64(8), buckets)
         values = np.zeros(len(order), np.float32)
+        blobs = right.sort_by("bucket").column("values").to_pylist()
         values[order] = np.frombuffer(b"".join(blobs), np.float32)
-        x = features_of(body, which, counts, values)
-        lists = [left.column(n).combine_chunks().flatten() for n in ("doc_id", "mark")]
+        hashes = word_hashes(body, words_of(Texts(body, np.array([0, len(body)]))))
         return pa.table(
-            [*lists, *[pa.array(x[:, i]) for i in range(len(FEATURES))]],
-            names=["doc_id", "mark", *FEATURES],
+            [
+                pa.array(hashes.view(np.int64)),
+                pa.array(sizes),
+                pa.array(run_sums(values[place].astype(np.float64), sizes)),
+                pa.array(_unpacked(left.column("times")[0]).view(np.int64)),
+            ],
+            names=["word", "length", "ratio", "times"],
         )
 
-    schema = "doc_id long, mark int, " + ", ".join(f"{n} double" for n in FEATURES)
     values = bucket_values(again.select("slice", "words"), tables, buckets)
-    return (
-        rows.drop("grams").groupBy("slice").cogroup(values.groupBy("slice")).applyInArrow(run, schema)
+    schema = "word long, length long, ratio double, times long"
+    found = rows.drop("grams").groupBy("slice").cogroup(values.groupBy("slice"))
+    found = found.applyInArrow(run, schema)
+    found.write.option("compression", "zstd").parquet(f"{path}/words")
+    discard(spark, f"{path}/chunks")
+    return spark.read.schema(schema).parquet(f"{path}/words")
+
+
+def frequent_from(words: DataFrame) -> int:
+    """The least number of times such that at most ``FREQUENT`` words occur as often."""
+    steps = F.floor(F.log2("times") * STEPS).cast("int")
+    sizes = words.groupBy(steps.alias("step")).agg(F.count("*").alias("n"), F.min("times").alias("t"))
+    cut, within = 1 << 62, 0
+    for row in sizes.orderBy(F.desc("step")).collect():  # at most 64 * STEPS
+        within += row["n"]
+        if within > FREQUENT:
+            break
+        cut = row["t"]
+    return cut
+
+
+def document_parts(docs: DataFrame, frequent: pa.Table) -> DataFrame:
+    """What the frequent words give each row of (doc_id, text, mark): the sum of their ratios and
+    the ``TOP`` highest per byte; the bytes and words of the text; the other words, repeated."""
+    spark = docs.sparkSession
+    keys = frequent.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shared = spark.sparkContext.broadcast((keys[order], frequent.column("ratio").to_numpy()[order]))
+
+    def make():
+        keys, ratios = shared.value
+        number = itertools.count(TaskContext.get().partitionId() << 40)
+
+        def step(batch):
+            texts = texts_of(batch.column("text")).lowered()
+            words = words_of(texts)
+            kinds, which = np.unique(word_hashes(texts.data, words), return_inverse=True)
+            at = np.searchsorted(keys, kinds)
+            known = np.zeros(len(kinds), bool)
+            known[at < len(keys)] = keys[at[at < len(keys)]] == kinds[at < len(keys)]
+            ratio = np.zeros(len(kinds))
+            ratio[known] = ratios[at[known]]
+            ratio, other = ratio[which], ~known[which]
+            lengths = words.lengths + 1
+            value, doc = ratio / np.maximum(lengths, 1), words.doc
+            return {
+                "row": list(itertools.islice(number, len(texts))),
+                "doc_id": batch.column("doc_id"),
+                "mark": batch.column("mark"),
+                "ratio": run_sums(ratio, words.counts),
+                "bytes": run_sums(lengths, words.counts),
+                "words": words.counts,
+                "top": _highest(doc, value, len(texts)),
+                "others": _lists(doc[other], kinds.view(np.int64)[which[other]], len(texts)),
+            }
+
+        return step
+
+    return map_slices(docs.select("doc_id", "text", "mark"), make, PARTS)
+
+
+PARTS = (
+    "row long, doc_id long, mark int, ratio double, bytes long, words long, top array<double>, "
+    "others array<long>"
+)
+
+
+def _lists(doc: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
+    """One list per text; ``doc`` ascends."""
+    ends = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
+def _highest(doc: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
+    """The ``TOP`` highest of each text that are above 0, descending."""
+    high = value > 0
+    doc, value = doc[high], value[high]
+    order = np.lexsort((-value, doc))
+    doc, value = doc[order], value[order]
+    kept = run_index(np.bincount(doc, minlength=n)) < TOP
+    return _lists(doc[kept], value[kept], n)
+
+
+def _merged_top(*lists):
+    none = F.array().cast("array<double>")
+    both = F.concat(*[F.coalesce(x, none) for x in lists])
+    return F.slice(F.sort_array(both, asc=False), 1, TOP)
+
+
+def features(docs: DataFrame, tables: tuple[DataFrame, DataFrame], path: str) -> DataFrame:
+    """doc_id, mark and FEATURES for every row of (doc_id, text, mark); steps stay in the folder,
+    which must not exist and is read by the result."""
+    spark = docs.sparkSession
+    words = word_ratios(distinct_words(docs), tables, path)
+    cut = frequent_from(words)
+    frequent = words.where(F.col("times") >= cut).select("word", "ratio").toArrow()
+    release(spark)
+    parts = document_parts(docs, frequent)
+    parts.write.option("compression", "zstd").parquet(f"{path}/parts")
+    parts = spark.read.schema(PARTS).parquet(f"{path}/parts")
+    per_byte = F.col("ratio") / F.col("length")
+    others = (
+        parts.select("row", F.explode("others").alias("word"))
+        .join(words.where(F.col("times") < cut).drop("times"), "word")
+        .groupBy("row")
+        .agg(
+            F.sum("ratio").alias("more"),
+            # of one document: as long as its text at most
+            _merged_top(F.collect_list(F.when(F.col("ratio") > 0, per_byte))).alias("more_top"),
+        )
+    )
+    rows = parts.drop("others").join(others, "row", "left")
+    rows = rows.withColumn("top", _merged_top(F.col("top"), F.col("more_top")))
+
+    def mean_of(k: int):
+        total = F.aggregate(F.slice("top", 1, k), F.lit(0.0), lambda a, x: a + x)
+        return (total / k).alias(f"top_{k}")
+
+    ratio = F.col("ratio") + F.coalesce("more", F.lit(0.0))
+    return rows.select(
+        "doc_id",
+        "mark",
+        (ratio / F.greatest("bytes", F.lit(1))).alias("mean_ratio"),
+        *[mean_of(k) for k in (1, 3, TOP)],
+        F.log1p(F.col("words").cast("double")).alias("log_words"),
     )
 
 
@@ -431,7 +544,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 0, rest: int = 0) -
         of_use = of_use.where(remainder(modulus) != rest)
     fitted = saved(bounded_sample(known.where(apart), SAMPLE))
     counted = known.join(F.broadcast(fitted.select("doc_id")), "doc_id", "left_anti")
-    sample = sampled_texts(docs, fitted)
+    sample = saved(sampled_texts(docs, fitted))  # bounded; read twice
     tables = ratios(saved(class_counts(only_likely(of_use, counted).join(counted, "doc_id"))))
     release(docs.sparkSession)
     path = shared_folder(docs.sparkSession)

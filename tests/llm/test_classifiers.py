@@ -89,9 +89,12 @@ def test_rows_outside_the_regression_are_counted(spark, monkeypatch):
     assert counted == [len(rows) - 10]
 
 
-def test_each_gram_has_its_own_value(spark, monkeypatch, tmp_path):
+@pytest.mark.parametrize("most", [0, 3, 1 << 20])
+def test_each_gram_has_its_own_value(spark, monkeypatch, tmp_path, most):
     """With more n-grams than any fixed table: a seen one has its own value, an unseen one what its
-    context gives, one in an unseen context 0."""
+    context gives, one in an unseen context 0; however many words are looked up by broadcast."""
+    monkeypatch.setattr(tox, "FREQUENT", most)
+    monkeypatch.setattr(tox, "CHUNK", 100)
     for name in ("SLOTS", "CONTEXT_SLOTS"):  # tables that earlier versions had
         monkeypatch.setattr(tox, name, 16, raising=False)
     rows = [("the cat sat on a mat", 0), ("the dog ran off with bats", 1), ("a cat ran", 0)]
