@@ -4,14 +4,17 @@ Words are runs of characters other than space and 09-0D, lower-cased A-Z. Featur
 hash into tables of fixed size: the word itself (lexicon), its first and last one to three bytes
 (affixes), and its 2-, 3- and 4-byte n-grams with boundary marks. The emission of a language is
 the mean of the weights of each kind, summed; transitions between the languages of neighbouring
-words are learned with it. Training maximises the likelihood of the label sequences, in which all
-words of a labelled document have its language, by gradients from forward-backward, on a bounded
-sample: up to ``SAMPLE`` documents per language, in windows of ``STRETCH`` words spread over each
-whole text. Which languages there are is read from all training rows.
+words are learned with it. Training maximises the likelihood of the label sequences by gradients
+from forward-backward, on a bounded sample: up to ``SAMPLE`` documents per language, each whole
+text in consecutive windows of ``STRETCH`` words, whose words have the language of their document.
+Windows are put in a fixed random order and joined in twos, so that a sequence may go from any
+language to any other in its middle, as code-switched text does. Which languages there are is read
+from all training rows.
 
 Scoring runs forward-backward over every whole text, in lockstep over the documents of a slice,
 and yields the probability of each language for each word; a document's language is the one with
-the highest mean over its words with a letter, and that mean its score.
+the highest mean over its words with a letter, and that mean its score. ``label_words`` gives the
+spans of words in one language instead.
 
 ``und`` with score 0 where the text is null or has no letter. With no labelled row everything is
 ``und``. Ties go to the language that is first in code point order. Rows are scored one by one,
@@ -25,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from epochloom.llm.batches import (
     Words,
@@ -43,7 +46,8 @@ from epochloom.llm.training import held_out, one_per_id, remainder
 UNKNOWN = "und"
 SAMPLE = 400
 STRETCH = 60
-STRETCHES = 4
+#: Training sequences that go through forward-backward together.
+BLOCK = 2000
 #: Features per kind.
 TABLE = 1 << 16
 KINDS = ("word", "affix", "gram")
@@ -52,11 +56,13 @@ STEPS = 60
 
 @dataclass
 class Batch:
-    """Distinct words of some texts: features with their kinds, and where each word stands."""
+    """Distinct words of some texts: features with their kinds, whether they have a letter, and
+    where each word stands."""
 
     feature: list[np.ndarray]
     owner: list[np.ndarray]
     size: list[np.ndarray]
+    letter: np.ndarray
     which: np.ndarray
     counts: np.ndarray
 
@@ -98,7 +104,19 @@ def batch_of(column: pa.Array) -> Batch:
     hashes = word_hashes(texts.data, words)
     kinds, first, which = np.unique(hashes, return_index=True, return_inverse=True)
     some = Words(words.starts[first], words.lengths[first], np.array([len(first)]))
-    return Batch(*_features(texts.data, some, kinds), which, words.counts)
+    return Batch(
+        *_features(texts.data, some, kinds), _with_letter(texts.data, some), which, words.counts
+    )
+
+
+def _with_letter(data: np.ndarray, words: Words) -> np.ndarray:
+    body = data[np.repeat(words.starts, words.lengths) + run_index(words.lengths)]
+    ends = np.r_[0, np.cumsum(words.lengths)].astype(np.int64)
+    strings = pa.LargeStringArray.from_buffers(
+        len(words.starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(body))
+    )
+    found = pc.match_substring_regex(strings, r"\p{L}")
+    return found.to_numpy(zero_copy_only=False).astype(bool)
 
 
 def emissions(batch: Batch, weights: np.ndarray) -> np.ndarray:
@@ -153,58 +171,89 @@ class LanguageModel:
     def __init__(self, languages: list[str], weights=None, transition=None):
         self.languages, self.weights, self.transition = languages, weights, transition
 
+    def marginals(self, batch: Batch) -> np.ndarray:
+        """(words, languages): the probability of each language for each word."""
+        emission = emissions(batch, self.weights)[batch.which]
+        return forward_backward(emission, self.transition, batch.counts)[0]
+
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         n = len(column)
-        letters = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False)
-        letters = letters.to_numpy(zero_copy_only=False).astype(bool)
         if self.weights is None:
             return [UNKNOWN] * n, np.zeros(n)
         batch = batch_of(column)
-        marginal, _, _ = forward_backward(
-            emissions(batch, self.weights)[batch.which], self.transition, batch.counts
-        )
+        letter = batch.letter[batch.which]
+        marginal = np.where(letter[:, None], self.marginals(batch), 0.0)
+        counted = run_sums(letter.astype(np.int64), batch.counts)
         total = np.stack([run_sums(m, batch.counts) for m in marginal.T], axis=1)
-        mean = total / np.maximum(batch.counts, 1)[:, None]
+        mean = total / np.maximum(counted, 1)[:, None]
         best = mean.argmax(axis=1)
-        score = np.where(letters, mean[np.arange(n), best], 0.0)
+        score = np.where(counted > 0, mean[np.arange(n), best], 0.0)
         names = np.array([*self.languages], object)
-        return list(np.where(letters, names[best], UNKNOWN)), np.clip(score, 0, 1)
+        return list(np.where(counted > 0, names[best], UNKNOWN)), np.clip(score, 0, 1)
 
-
-def _stretches(text: str) -> list[str]:
-    """Windows of words evenly spread over a training text."""
+    def spans(self, column: pa.Array) -> dict[str, np.ndarray]:
+        """Runs of words of one text with the same likeliest language: the text, first and last
+        word from 0, the language, and the mean of its probabilities."""
+        batch = batch_of(column)
+        if self.weights is None:
+            marginal = np.zeros((len(batch.which), 1))
+        else:
+            marginal = self.marginals(batch)
+        best, text = marginal.argmax(axis=1), np.repeat(np.arange(len(column)), batch.counts)
+        at = run_index(batch.counts)
+        new = (at == 0) | (np.diff(best, prepend=-1) != 0)
+        first = np.flatnonzero(new)
+        lengths = np.diff(np.r_[first, len(best)])
+        names = np.array(self.languages or [UNKNOWN], object)
+        score = run_sums(marginal[np.arange(len(best)), best], lengths) / lengths
+        return {
+            "text": text[first],
+            "first_word": at[first],
+            "last_word": at[first] + lengths - 1,
+            "lang": names[best[first]],
+            "score": np.clip(score, 0, 1),
+        }
+
+
+def _windows(text: str) -> list[str]:
+    """A whole training text in consecutive windows of words."""
     words = text.split()
-    if len(words) <= STRETCH * STRETCHES:
-        return [" ".join(words)]
-    gap = (len(words) - STRETCH) / (STRETCHES - 1)
-    return [" ".join(words[int(i * gap) : int(i * gap) + STRETCH]) for i in range(STRETCHES)]
+    return [" ".join(words[i : i + STRETCH]) for i in range(0, max(len(words), 1), STRETCH)]
 
 
 def fit(texts: list[str], label: np.ndarray, languages: list[str]) -> LanguageModel:
-    """Adam on the conditional log-likelihood of label sequences of one language each."""
-    batch, y = batch_of(pa.array(texts, pa.string())), label
+    """Adam on the conditional log-likelihood of label sequences, each of two of the texts."""
+    order = np.random.default_rng(5).permutation(len(texts))
+    batch = batch_of(pa.array([texts[i] for i in order], pa.string()))
     size = len(languages)
-    per_word = np.repeat(y, batch.counts)
-    n, total = len(batch.size[0]), max(int(batch.counts.sum()), 1)
-    observed = np.zeros((n, size))
-    np.add.at(observed, (batch.which, per_word), 1.0)
-    stays = np.bincount(y, np.maximum(batch.counts - 1, 0), size)
+    per_word = np.repeat(np.asarray(label)[order], batch.counts)
+    counts = np.add.reduceat(batch.counts, np.arange(0, len(order), 2)) if len(order) else batch.counts
+    n, total = len(batch.size[0]), max(int(counts.sum()), 1)
+    observed = np.bincount(batch.which * size + per_word, minlength=n * size).reshape(n, size)
+    inside = run_index(counts)[1:] > 0
+    moves = np.bincount((per_word[:-1] * size + per_word[1:])[inside], minlength=size * size)
+    moves = moves.reshape(size, size)
+    ends = np.r_[0, np.cumsum(counts)]
+    blocks = [
+        (counts[i : i + BLOCK], batch.which[ends[i] : ends[min(i + BLOCK, len(counts))]])
+        for i in range(0, len(counts), BLOCK)
+    ]
     weights, transition = np.zeros((len(KINDS), TABLE, size)), np.zeros((size, size))
     state = [np.zeros_like(x) for x in (weights, weights, transition, transition)]
     for t in range(1, STEPS + 1):
-        marginal, expected, _ = forward_backward(
-            emissions(batch, weights)[batch.which], transition, batch.counts
-        )
-        given = np.stack([np.bincount(batch.which, m, n) for m in marginal.T], axis=1)
-        gap = (given - observed) / total
+        emission, gap, expected = emissions(batch, weights), -observed.astype(float), -moves.astype(float)
+        for part, which in blocks:
+            marginal, turns, _ = forward_backward(emission[which], transition, part)
+            gap += np.stack([np.bincount(which, m, n) for m in marginal.T], axis=1)
+            expected += turns
+        gap /= total
         slope = np.empty_like(weights)
         for k in range(len(KINDS)):
             share = gap / np.maximum(batch.size[k], 1)[:, None]
             for j in range(size):
                 slope[k, :, j] = np.bincount(batch.feature[k], share[batch.owner[k], j], TABLE)
         slope += 1e-7 * weights
-        # training sequences never switch; the penalty keeps switching possible
-        turn = (expected - np.diag(stays)) / total + 0.02 * transition
+        turn = expected / total + 1e-4 * transition
         for i, (value, s) in enumerate(((weights, slope), (transition, turn))):
             m, v = state[2 * i], state[2 * i + 1]
             m += 0.1 * (s - m)
@@ -222,17 +271,15 @@ def train(docs: DataFrame, modulus: int = 0, rest: int = 0) -> LanguageModel:
     languages = sorted(r[0] for r in known.select("lang").distinct().toLocalIterator())
     if not languages:
         return LanguageModel([])
-    order = F.xxhash64("doc_id")
-    chosen = None
-    for language in languages:
-        part = known.where(F.col("lang") == language).select("doc_id", "lang").distinct()
-        part = part.orderBy(order, "doc_id").limit(SAMPLE)
-        chosen = part if chosen is None else chosen.union(part)
+    # each task keeps the first of a language before the exchange, so no language meets in one task
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = known.select("doc_id", "lang").distinct()
+    chosen = chosen.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE).drop("n")
     rows = known.select("doc_id", "text", "lang")
     rows = one_per_id(rows.join(F.broadcast(saved(chosen)), ["doc_id", "lang"]), "lang")
     texts, label = [], []
     for row in rows.orderBy("doc_id", "lang", "text").toLocalIterator():
-        for piece in _stretches(row["text"] or ""):
+        for piece in _windows(row["text"] or ""):
             texts.append(piece)
             label.append(languages.index(row["lang"]))
     return fit(texts, np.array(label), languages)
@@ -263,3 +310,21 @@ def identify(
     schema += [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
     rows = docs.select(*dict.fromkeys(("doc_id", "text", *carried)), held_out(modulus, rest))
     return map_slices(rows, make, ", ".join(schema))
+
+
+def label_words(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """doc_id, first_word, last_word (from 0), lang, score for every span of words of one language
+    in every row; nothing for texts without words."""
+    shared = shipped(docs.sparkSession, model)
+
+    def make():
+        model = arrived(shared)
+
+        def step(batch):
+            found = model.spans(batch.column("text"))
+            return found | {"doc_id": batch.column("doc_id").take(pa.array(found["text"]))}
+
+        return step
+
+    schema = "doc_id long, first_word long, last_word long, lang string, score double"
+    return map_slices(docs.select("doc_id", "text"), make, schema)

@@ -253,6 +253,56 @@ def test_languages_of_held_out_rows(spark, docs):
     assert best[0] == "en" and best[-1] == "de" and sum(a != b for a, b in zip(best, best[1:])) <= 3
 
 
+def test_languages_by_brute_force(spark, docs):
+    """Means over words with a letter, and spans, from each text's own forward-backward."""
+    model = li.train(docs, modulus=4, rest=2)
+    mixed = "Stinging the thing of and that 12 Enheit der und ist nicht verkeit schung enlich."
+    rows = awkward() + [(400, "hallo 12 34 56"), (401, mixed), (402, "7 8 the 9 éé")]
+    named = {str(r): r for r in li.identify(frame(spark, rows), model).collect()}
+    spans = collections.defaultdict(list)
+    for r in li.label_words(frame(spark, rows), model).collect():
+        spans[r.doc_id].append((r.first_word, r.last_word, r.lang, round(r.score, 6)))
+    for i, text in [x for x in rows if x[0] not in (None, 10)]:
+        row = next(r for r in named.values() if r.doc_id == i)
+        words = WORD.findall(text or "")
+        kept = [any(c.isalpha() for c in w) for w in words]
+        if not words:
+            assert (row.lang_pred, row.score, spans[i]) == ("und", 0.0, [])
+            continue
+        marginal = model.marginals(li.batch_of(pa.array([text])))
+        likely = [model.languages[k] for k in marginal.argmax(axis=1)]
+        if any(kept):
+            mean = marginal[kept].mean(axis=0)
+            assert row.lang_pred == model.languages[mean.argmax()]
+            assert row.score == pytest.approx(mean.max(), abs=1e-6)
+        else:
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+        wanted = [(k, len(list(g))) for k, g in itertools.groupby(likely)]
+        got = [(x[2], x[1] - x[0] + 1) for x in sorted(spans[i])]
+        assert got == wanted and sorted(spans[i])[0][0] == 0
+        ends = np.cumsum([x[1] for x in wanted])
+        for (a, b, lang, score), end in zip(sorted(spans[i]), ends):
+            own = marginal[a : b + 1, model.languages.index(lang)]
+            assert b + 1 == end and score == pytest.approx(own.mean(), abs=2e-6)
+    assert li.label_words(empty(spark), model).count() == 0
+
+
+def test_words_of_texts_in_two_languages(spark, docs):
+    """Held-out texts of two languages end to end: most words get their own language."""
+    model = li.train(docs, modulus=4, rest=2)
+    held = li.identify(docs, model).where("held_out").select("doc_id")
+    rows = docs.join(held, "doc_id").where("lang is not null and text is not null").orderBy("doc_id").collect()
+    good = total = 0
+    for a, b in zip(rows, rows[1:]):
+        parts = [" ".join(r.text.split()[:40]) for r in (a, b)]
+        marginal = model.marginals(li.batch_of(pa.array([" ".join(parts)])))
+        truth = [r.lang for r, p in zip((a, b), parts) for _ in p.split()]
+        good += sum(model.languages[k] == x for k, x in zip(marginal.argmax(axis=1), truth))
+        total += len(truth)
+    print("words right", good / total, "of", total)
+    assert total > 1000 and good / total > 0.9
+
+
 def test_forward_backward_against_all_paths():
     rng = np.random.default_rng(2)
     counts = np.array([3, 0, 1, 4])
