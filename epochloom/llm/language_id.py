@@ -47,7 +47,9 @@ UNKNOWN = "und"
 SAMPLE = 400
 STRETCH = 60
 #: Training sequences that go through forward-backward together.
-BLOCK = 2000
+BLOCK = 1000
+#: Features that are summed at a time.
+PIECE = 1 << 19
 #: Features per kind.
 TABLE = 1 << 16
 KINDS = ("word", "affix", "gram")
@@ -125,11 +127,19 @@ def emissions(batch: Batch, weights: np.ndarray) -> np.ndarray:
     out = np.zeros((n, weights.shape[2]))
     for k in range(len(KINDS)):
         for j in range(weights.shape[2]):
-            total = np.bincount(batch.owner[k], weights[k, batch.feature[k], j], n)
+            total = _summed(batch.owner[k], weights[k, :, j], batch.feature[k], n)
             out[:, j] += total / np.maximum(batch.size[k], 1)
     return out
 
 
+def _summed(key: np.ndarray, values: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """The sum of values[place] by key, in pieces that need little memory."""
+    out = np.zeros(n)
+    for i in range(0, len(key), PIECE):
+        out += np.bincount(key[i : i + PIECE], values[place[i : i + PIECE]], n)
+    return out
+
+
 def _ranges(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sequences longest first: their order, starts, and how many have a word at each place."""
     order = np.argsort(-counts, kind="stable")
@@ -221,15 +231,48 @@ def _windows(text: str) -> list[str]:
     return [" ".join(words[i : i + STRETCH]) for i in range(0, max(len(words), 1), STRETCH)]
 
 
+def _training_batch(texts: list[str]) -> Batch:
+    """As ``batch_of`` for many texts, built piece by piece to spare the driver's memory."""
+    hashes, counts, seen = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], {}
+    for i in range(0, len(texts), 500):
+        part = texts_of(pa.array(texts[i : i + 500], pa.string())).lowered()
+        words = words_of(part)
+        hashes.append(word_hashes(part.data, words))
+        counts.append(words.counts)
+        for key, at in zip(*(x.tolist() for x in np.unique(hashes[-1], return_index=True)), strict=True):
+            if key not in seen:
+                start = words.starts[at]
+                seen[key] = part.data[start : start + words.lengths[at]].tobytes().decode()
+    kinds = sorted(seen)  # the order in which batch_of has distinct words
+    pieces = [
+        batch_of(pa.array([" ".join(seen[key] for key in kinds[i : i + 10_000])]))
+        for i in range(0, max(len(kinds), 1), 10_000)
+    ]
+    feature, owner, size = [], [], []
+    for k in range(len(KINDS)):
+        before = np.cumsum([0, *[len(p.letter) for p in pieces]])
+        feature.append(np.concatenate([p.feature[k].astype(np.int32) for p in pieces]))
+        owner.append(
+            np.concatenate([(p.owner[k] + b).astype(np.int32) for p, b in zip(pieces, before)])
+        )
+        size.append(np.concatenate([p.size[k].astype(np.int32) for p in pieces]))
+        for p in pieces:
+            p.feature[k] = p.owner[k] = p.size[k] = None
+    letter = np.concatenate([p.letter for p in pieces])
+    which = np.searchsorted(np.array(kinds, np.uint64), np.concatenate(hashes)).astype(np.int32)
+    return Batch(feature, owner, size, letter, which, np.concatenate(counts))
+
+
 def fit(texts: list[str], label: np.ndarray, languages: list[str]) -> LanguageModel:
     """Adam on the conditional log-likelihood of label sequences, each of two of the texts."""
     order = np.random.default_rng(5).permutation(len(texts))
-    batch = batch_of(pa.array([texts[i] for i in order], pa.string()))
+    batch = _training_batch([texts[i] for i in order])
     size = len(languages)
     per_word = np.repeat(np.asarray(label)[order], batch.counts)
     counts = np.add.reduceat(batch.counts, np.arange(0, len(order), 2)) if len(order) else batch.counts
     n, total = len(batch.size[0]), max(int(counts.sum()), 1)
-    observed = np.bincount(batch.which * size + per_word, minlength=n * size).reshape(n, size)
+    observed = np.bincount(batch.which * size + per_word, minlength=n * size)
+    observed = observed.reshape(n, size).astype(np.float32)  # whole numbers, far below 2**24
     inside = run_index(counts)[1:] > 0
     moves = np.bincount((per_word[:-1] * size + per_word[1:])[inside], minlength=size * size)
     moves = moves.reshape(size, size)
@@ -251,7 +294,7 @@ def fit(texts: list[str], label: np.ndarray, languages: list[str]) -> LanguageMo
         for k in range(len(KINDS)):
             share = gap / np.maximum(batch.size[k], 1)[:, None]
             for j in range(size):
-                slope[k, :, j] = np.bincount(batch.feature[k], share[batch.owner[k], j], TABLE)
+                slope[k, :, j] = _summed(batch.feature[k], share[:, j], batch.owner[k], TABLE)
         slope += 1e-7 * weights
         turn = expected / total + 1e-4 * transition
         for i, (value, s) in enumerate(((weights, slope), (transition, turn))):

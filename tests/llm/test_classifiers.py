@@ -253,6 +253,19 @@ def test_languages_of_held_out_rows(spark, docs):
     assert best[0] == "en" and best[-1] == "de" and sum(a != b for a, b in zip(best, best[1:])) <= 3
 
 
+def test_training_batch_is_that_of_the_whole():
+    texts = [t or "" for _, t in awkward()] * 30
+    parts, whole = li._training_batch(texts), li.batch_of(pa.array(texts))
+    for name in ("feature", "owner", "size"):
+        for a, b in zip(getattr(parts, name), getattr(whole, name), strict=True):
+            assert sorted(a.tolist()) == sorted(b.tolist())
+    assert np.array_equal(parts.which, whole.which) and np.array_equal(parts.counts, whole.counts)
+    assert np.array_equal(parts.letter, whole.letter)
+    weights = np.random.default_rng(1).normal(size=(len(li.KINDS), li.TABLE, 3))
+    assert np.allclose(li.emissions(parts, weights), li.emissions(whole, weights))
+    assert len(li._training_batch([]).which) == 0
+
+
 def test_languages_by_brute_force(spark, docs):
     """Means over words with a letter, and spans, from each text's own forward-backward."""
     model = li.train(docs, modulus=4, rest=2)
