@@ -67,7 +67,9 @@ SAMPLE = 3000
 #: One in so many training rows may be among them.
 APART = 5
 #: Bytes of distinct words, as they stand in memory, that look up their n-grams together.
-CHUNK = 8_000_000
+CHUNK = 1 << 21
+#: Bytes of text that are cut into n-grams or words together, and n-grams built at a time.
+TEXT_BYTES, SPAN = 1 << 19, 1 << 17
 #: The most words whose ratios are broadcast (16 bytes each), and steps per doubling of their times.
 FREQUENT, STEPS = 1 << 20, 8
 #: Highest words of a document that are told apart.
@@ -84,20 +86,32 @@ def byte_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words = words_of(texts)
-    lengths = words.lengths + 2
+    lengths = words.lengths + 1
+    ends = np.cumsum(lengths)
+    out, first = np.empty(int(lengths.sum()), np.uint64), 0
+    while first < len(lengths):  # whole words; a span's arrays are many times its n-grams
+        done = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + SPAN, "right")))
+        span = slice(first, last)
+        out[done : ends[last - 1]] = _span_grams(texts.data, words.starts[span], words.lengths[span])
+        first = last
+    return out, lengths, words.counts
+
+
+def _span_grams(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    lengths = sizes + 2
     at = run_index(lengths)
     inside = (at > 0) & (at < np.repeat(lengths, lengths) - 1)
     stream = np.full(len(at), 32, np.uint8)
-    places = np.repeat(words.starts - 1, lengths) + at
-    stream[inside] = texts.data[places[inside]]
+    places = np.repeat(starts - 1, lengths) + at
+    stream[inside] = data[places[inside]]
     grams = stream.astype(np.uint64)
     for k in range(1, ORDER):
         before = np.zeros(len(stream), np.uint64)
         before[k:] = stream[:-k]
         before[at < k] = 0
         grams |= before << np.uint64(8 * k)
-    keep = at > 0
-    return grams[keep], lengths - 1, words.counts
+    return grams[at > 0]
 
 
 def class_counts(texts: DataFrame) -> DataFrame:
@@ -117,7 +131,7 @@ def class_counts(texts: DataFrame) -> DataFrame:
 
         return step
 
-    rows = map_slices(texts.select("text", "label"), make, "gram long, n0 long, n1 long")
+    rows = map_slices(texts.select("text", "label"), make, "gram long, n0 long, n1 long", size=TEXT_BYTES)
     return rows.groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
@@ -217,7 +231,7 @@ def distinct_words(docs: DataFrame) -> DataFrame:
 
         return step
 
-    rows = map_slices(docs.select("text"), make, "word string, times long")
+    rows = map_slices(docs.select("text"), make, "word string, times long", size=TEXT_BYTES)
     return rows.groupBy("word").agg(F.sum("times").alias("times"))
 
 
@@ -440,7 +454,7 @@ def document_parts(docs: DataFrame, frequent: pa.Table) -> DataFrame:
 
         return step
 
-    return map_slices(docs.select("doc_id", "text", "mark"), make, PARTS)
+    return map_slices(docs.select("doc_id", "text", "mark"), make, PARTS, size=TEXT_BYTES)
 
 
 PARTS = (

@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -347,3 +348,23 @@ def test_no_language_is_known(spark):
     found = li.identify(frame(spark, awkward()), model).collect()
     assert {(r.lang_pred, r.score) for r in found} == {("und", 0.0)}
     assert li.identify(empty(spark), model).count() == 0
+
+
+def test_grams_take_little_memory():
+    words = np.random.default_rng(1).integers(97, 123, (200_000, 9), np.uint8)
+    words[:, 8] = 32
+    column = pa.array([words[i : i + 2000].tobytes().decode() for i in range(0, len(words), 2000)])
+    tracemalloc.start()
+    grams, lengths, counts = tox.byte_grams(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lengths.tolist() == [9] * len(words) and counts.sum() == len(words)
+    assert len(grams) == 9 * len(words) and peak < 60e6  # the n-grams themselves are 14 MB
+
+
+def test_a_word_longer_than_a_span(monkeypatch):
+    column = pa.array(["ab " + "xyz" * 40 + " c", None, "d e"])
+    wanted = tox.byte_grams(column)
+    monkeypatch.setattr(tox, "SPAN", 5)
+    for a, b in zip(wanted, tox.byte_grams(column), strict=True):
+        assert a.tolist() == b.tolist()
