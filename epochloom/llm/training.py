@@ -36,8 +36,8 @@ def only_likely(docs: DataFrame, known: DataFrame) -> DataFrame:
         F.bit_or(place).alias("bits")
     )
     on = np.zeros(FILTER_BITS // 32, np.uint32)
-    for block, bits in blocks.toLocalIterator():
-        on[block] = bits
+    found = blocks.toArrow()  # in one job; FILTER_BITS / 32 rows at most
+    on[found.column("block").to_numpy()] = found.column("bits").to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(on)
 
     @F.pandas_udf("boolean")

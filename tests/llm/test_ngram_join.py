@@ -121,3 +121,16 @@ def test_components(spark):
     wanted = {i: 0 for i in range(41)} | {90: 90, 95: 90, 100: 90, 200: 200, 201: 200}
     assert {r.node: r.root for r in found} == wanted and len(found) == len(wanted)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_signatures_are_shuffled_in_six_bytes(spark):
+    rows = nj.signature_rows(frame(spark, near_copies(9)), 3, 90).collect()
+    assert rows and all(0 <= r.signature < 1 << 48 for r in rows)
+
+
+def test_sets_that_share_a_bucket_by_chance_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(nj, "SIGNATURE_BITS", 6)
+    rows = near_copies(9)
+    found = nj.ngram_jaccard_join(frame(spark, rows), 3, 90)
+    got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in found.collect())
+    assert got == brute(rows, 3, 90)
