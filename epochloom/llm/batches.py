@@ -24,6 +24,7 @@ IS_SPACE[list(SPACES)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
+_INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,9 +41,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _MULTIPLIER)
 
 
-def powers(n: int) -> np.ndarray:
-    """The first n powers of the multiplier, modulo 2**64."""
-    out = np.full(max(n, 1), _MULTIPLIER)
+def powers(n: int, of: np.uint64 = _MULTIPLIER) -> np.ndarray:
+    """The first n powers of the multiplier, or of another value, modulo 2**64."""
+    out = np.full(max(n, 1), of)
     out[0] = 1
     return np.multiply.accumulate(out)
 
@@ -126,10 +127,14 @@ def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
     """A 64-bit value per word: a polynomial over random byte values, then mixed."""
     if not len(words.starts):
         return np.zeros(0, np.uint64)
-    at = run_index(words.lengths)
-    scale = powers(int(words.lengths.max()))
-    each = BYTE_VALUES[data[at + np.repeat(words.starts, words.lengths)]] * scale[at]
-    return mix(run_sums(each, words.lengths) + words.lengths.astype(np.uint64))
+    # sums over all of the data so far: a word's is a difference, scaled back to begin at power 0
+    total = BYTE_VALUES[data]
+    total *= powers(len(data))
+    np.cumsum(total, out=total)
+    total = np.concatenate([np.zeros(1, np.uint64), total])
+    sums = total[words.starts + words.lengths] - total[words.starts]
+    sums *= powers(len(data), _INVERSE)[words.starts]
+    return mix(sums + words.lengths.astype(np.uint64))
 
 
 def slices(
@@ -227,11 +232,16 @@ class SeenValues:
         self.lengths = np.concatenate([self.lengths, lengths])[order]
 
 
-def worker_values(name: str, dtype) -> SeenValues:
-    """The values this Python worker has kept under a name, also between tasks."""
+def worker_kept(name: str, build: Callable[[], object]) -> object:
+    """What this Python worker has built under a name, also for its later tasks."""
     import sys
 
     kept = sys.modules.setdefault("_kept_by_worker", type(sys)("_kept_by_worker"))
     if not hasattr(kept, name):
-        setattr(kept, name, SeenValues(dtype))
+        setattr(kept, name, build())
     return getattr(kept, name)
+
+
+def worker_values(name: str, dtype) -> SeenValues:
+    """The values this Python worker has kept under a name, also between tasks."""
+    return worker_kept(name, lambda: SeenValues(dtype))

@@ -13,7 +13,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from epochloom.llm.batches import IS_SPACE, SeenValues, Texts, Words, run_index, texts_of, word_hashes
+from epochloom.llm.batches import IS_SPACE, SeenValues, Texts, Words, texts_of, word_hashes
 
 #: The white space beyond ASCII.
 WIDE_SPACES = "".join(
@@ -22,20 +22,17 @@ WIDE_SPACES = "".join(
 
 
 def holds_wide_space(texts: Texts) -> np.ndarray:
-    data, hit = texts.data, np.zeros(len(texts.data) + 1, np.int64)
-    for character in WIDE_SPACES:
-        code = character.encode()
-        if len(data) < len(code):
-            continue
-        same = data[: len(data) - len(code) + 1] == code[0]
-        if not same.any():
-            continue
-        at = np.flatnonzero(same)
-        for k in range(1, len(code)):
-            at = at[data[at + k] == code[k]]
-        hit[at + 1] = 1
-    total = np.cumsum(hit)
-    return total[texts.offsets[1:]] > total[texts.offsets[:-1]]
+    data, found = texts.data, [np.zeros(0, np.int64)]
+    codes = [character.encode() for character in WIDE_SPACES]
+    for first in {code[0] for code in codes}:
+        begins = np.flatnonzero(data == first)
+        for code in (c for c in codes if c[0] == first):
+            at = begins[begins + len(code) <= len(data)]
+            for k in range(1, len(code)):
+                at = at[data[at + k] == code[k]]
+            found.append(at)
+    places = np.sort(np.concatenate(found))
+    return np.diff(np.searchsorted(places, texts.offsets)) > 0
 
 
 def chunks_of(texts: Texts) -> Words:
@@ -68,6 +65,17 @@ def space_chunks_of(texts: Texts) -> Words:
     return Words(starts, lengths, np.diff(np.searchsorted(starts, texts.offsets)))
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values ascending, a place of each, and which each place holds; places of one value are
+    in no order, which spares a stable sort."""
+    order = np.argsort(hashes)
+    ranked = hashes[order]
+    new = np.r_[True, ranked[1:] != ranked[:-1]][: len(ranked)]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], which
+
+
 def tokenized(
     column: pa.Array,
     seen: SeenValues,
@@ -83,7 +91,7 @@ def tokenized(
     texts = texts_of(column)
     chunks = cut(texts)
     hashes = word_hashes(texts.data, chunks)
-    kinds, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    kinds, first, which = _distinct(hashes)
     if len(seen.keys) + len(kinds) > seen.limit:
         seen.clear()
     fresh = np.flatnonzero(seen.places(kinds) < 0)
@@ -109,5 +117,7 @@ def tokenized(
     per_text = total[ends] - total[ends - chunks.counts]
     if count_only:
         return np.zeros(0, seen.dtype), per_text
-    flat = seen.flat[np.repeat(seen.starts[at][which], lengths) + run_index(lengths)]
+    places = np.repeat(seen.starts[at][which] - total[:-1], lengths)
+    places += np.arange(len(places))
+    flat = seen.flat[places]
     return flat, per_text

@@ -16,16 +16,18 @@ codes. An empty table gives empty files and no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from epochloom.llm.batches import map_slices, run_index, slices, worker_values
+from epochloom.llm.batches import map_slices, run_index, slices, worker_kept, worker_values
 from epochloom.llm.chunks import tokenized
 from epochloom.llm.shared import discard
 
@@ -33,6 +35,8 @@ MAX_BITS = 16
 BLOCK = 1024
 END = 0
 RECORD_BYTES = 2_000_000
+#: Chunks that the library encodes as one text.
+TOGETHER = 256
 RECORD = (
     "bucket int, record int, doc_ids binary, has_id binary, n_ids binary, n_bytes binary, "
     "bits binary, offsets binary, total long"
@@ -102,13 +106,18 @@ def pack(
     width = (bits + 7) // 8
     base = (np.cumsum(width) - width) * 8
     at = before - np.repeat(first - base, counts)
-    # a code lies within three bytes; each is added where it belongs
-    value = codes[ids].astype(np.int64) << (24 - size - (at & 7))
-    byte, total = at >> 3, int(width.sum())
-    out = np.zeros(total + 3)
-    for k in range(3):
-        out += np.bincount(byte + k, value >> (16 - 8 * k) & 255, total + 3)
-    data = out[:total].astype(np.uint8).tobytes()
+    # codes that begin in one word of 64 bits are put together; the last of them may go on in the next
+    value, total = codes[ids].astype(np.uint64), int(width.sum())
+    word, free = at >> 6, 64 - size - (at & 63)
+    out = np.zeros(total // 8 + 2, np.uint64)
+    over = np.flatnonzero(free < 0)
+    rest = value[over] << (64 + free[over]).astype(np.uint64)
+    value[over] >>= (-free[over]).astype(np.uint64)
+    value <<= np.maximum(free, 0).astype(np.uint64)
+    begins = np.flatnonzero(np.diff(word, prepend=-1))
+    out[word[begins]] = np.bitwise_or.reduceat(value, begins)
+    out[word[over] + 1] |= rest
+    data = out.astype(">u8").tobytes()[:total]
     inner = run_index(counts)
     mark = (inner > 0) & (inner % BLOCK == 0)
     offset = (at - np.repeat(base, counts))[mark].astype(np.uint32)
@@ -143,22 +152,67 @@ def unpack(data: bytes, starts: np.ndarray, counts: np.ndarray, table) -> np.nda
     return out
 
 
+def token_bytes(model: dict) -> np.ndarray | None:
+    """How many bytes of text each id of a tokenizer's JSON stands for; None for any other kind than
+    plain byte-level BPE, whose tokens spell the text and never run from a letter into white space."""
+    cut, bpe = model.get("pre_tokenizer") or {}, model["model"]
+    added, after = model.get("added_tokens") or [], model.get("post_processor") or {}
+    plain = (
+        (cut.get("type"), cut.get("use_regex", True)) == ("ByteLevel", True)
+        and not (cut.get("add_prefix_space") or model.get("normalizer"))
+        and after.get("type", "ByteLevel") == "ByteLevel"
+        and bpe.get("type") == "BPE"
+        and not (bpe.get("dropout") or bpe.get("unk_token") or bpe.get("byte_fallback"))
+        and not (bpe.get("continuing_subword_prefix") or bpe.get("end_of_word_suffix"))
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+        and not any(c.isspace() for t in added for c in t["content"])
+    )
+    if not plain:
+        return None
+    out = np.zeros(1 + max([*bpe["vocab"].values(), *(t["id"] for t in added)]), np.int64)
+    out[list(bpe["vocab"].values())] = [len(token) for token in bpe["vocab"]]
+    for t in added:
+        out[t["id"]] = len(t["content"].encode())
+    return out
+
+
 class LibraryTokenizer:
-    """Chunks to ids by the ``tokenizers`` library, unpacked from its JSON text in each task."""
+    """Chunks to ids by the ``tokenizers`` library, unpacked from its JSON text in each task.
+
+    A call for each chunk would cost as much as its merges, so chunks that begin with white space
+    and end without go to the library as one text, and the bytes of its tokens tell them apart.
+    """
 
     def __init__(self, text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(text)
+        self.bytes = token_bytes(json.loads(text))
 
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [
-            e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        ]
+        joins = np.zeros(len(chunks), bool)
+        if self.bytes is not None:
+            joins[:] = [c[:1] in " \t\n\v\f\r" and not c[-1:].isspace() for c in chunks]
+        some = [chunks[i] for i in np.flatnonzero(joins).tolist()]
+        texts = ["".join(some[i : i + TOGETHER]) for i in range(0, len(some), TOGETHER)]
+        flat, _ = self._each(texts)
+        ends = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in some], dtype=np.int64)
+        reached = np.cumsum(self.bytes[flat]) if some else ends
+        last = np.searchsorted(reached, ends)
+        if some and not (reached[-1] == ends[-1] and (reached[last] == ends).all()):
+            return self._each(chunks)
+        alone, sizes = self._each([chunks[i] for i in np.flatnonzero(~joins).tolist()])
+        lengths = np.zeros(len(chunks), np.int64)
+        lengths[joins], lengths[~joins] = np.diff(last, prepend=-1), sizes
+        out, joined = np.empty(int(lengths.sum()), np.int32), np.repeat(joins, lengths)
+        out[joined], out[~joined] = flat, alone
+        return out, lengths
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
-        return flat, lengths
+        return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
 
 
 def _with_end(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,37 +226,47 @@ def _split(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [data[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
-def document_ids(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id and ids, the end id included, as little-endian 32-bit integers."""
+def id_type(vocabulary: str) -> str:
+    """The narrower of 16 and 32 bits, little-endian, that holds all ids."""
+    with open(vocabulary, encoding="utf-8") as file:
+        model = json.load(file)
+    ids = [*model["model"]["vocab"].values(), *(t["id"] for t in model.get("added_tokens") or [])]
+    return "<u2" if max(ids) < 1 << 16 else "<u4"
+
+
+def document_ids(docs: DataFrame, vocabulary: str, kind: str = "<u4") -> DataFrame:
+    """doc_id and ids, the end id included, as integers of that kind."""
     with open(vocabulary, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     name = f"token_files_{abs(hash(vocabulary))}"
 
     def make():
-        tokenizer, seen = LibraryTokenizer(shared.value), worker_values(name, np.int32)
+        seen = worker_values(name, np.int32)
+        tokenizer = worker_kept(f"{name}_tokenizer", lambda: LibraryTokenizer(shared.value))
 
         def step(batch):
             ids, counts = _with_end(*tokenized(batch.column("text"), seen, tokenizer))
-            return {"doc_id": batch.column("doc_id"), "ids": _split(ids.astype("<u4"), counts)}
+            return {"doc_id": batch.column("doc_id"), "ids": _split(ids.astype(kind), counts)}
 
         return step
 
     return map_slices(docs.select("doc_id", "text"), make, "doc_id long, ids binary")
 
 
-def _ids_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    counts = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").astype(np.int32), counts
+def _ids_of(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    counts = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.int32)
+    return ids, counts // np.dtype(kind).itemsize
 
 
-def id_counts(encoded: DataFrame) -> np.ndarray:
+def id_counts(encoded: DataFrame, kind: str) -> np.ndarray:
     """How often each id occurs in all documents, end ids included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
             for piece in slices(batch, "ids"):
-                found = np.bincount(_ids_of(piece.column("ids"))[0], minlength=len(total))
+                found = np.bincount(_ids_of(piece.column("ids"), kind)[0], minlength=len(total))
                 found[: len(total)] += total
                 total = found
         used = np.flatnonzero(total)
@@ -219,9 +283,10 @@ def id_counts(encoded: DataFrame) -> np.ndarray:
 def write_ids(docs: DataFrame, vocabulary: str, path: str) -> None:
     """Encode every text and write the files below ``path``: ``lengths`` and ``records``."""
     spark = docs.sparkSession
-    document_ids(docs, vocabulary).write.option("compression", "zstd").parquet(f"{path}/ids")
+    kind = id_type(vocabulary)
+    document_ids(docs, vocabulary, kind).write.option("compression", "zstd").parquet(f"{path}/ids")
     encoded = spark.read.schema("doc_id long, ids binary").parquet(f"{path}/ids")
-    lengths = code_lengths(id_counts(encoded))
+    lengths = code_lengths(id_counts(encoded, kind))
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(
         1
     ).write.parquet(f"{path}/lengths")
@@ -237,7 +302,7 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str) -> None:
         codes, sizes, cuts = code.value
 
         def step(batch):
-            ids, counts = _ids_of(batch.column("ids"))
+            ids, counts = _ids_of(batch.column("ids"), kind)
             bits, offsets = pack(ids, counts, codes, sizes)
             doc_id = batch.column("doc_id")
             bucket = np.searchsorted(cuts, pc.fill_null(doc_id, 0).to_numpy(), "right")

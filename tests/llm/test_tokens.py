@@ -1,5 +1,6 @@
 """Both tokenizers against their libraries, and the id files as an exact round trip."""
 
+import json
 import random
 import zlib
 
@@ -193,3 +194,49 @@ def test_documents_encode_and_decode(spark, model, pieces):
     texts = [(i, (t or "").replace("▁", " ")) for i, t in rows]
     assert sorted(map(str, map(tuple, back))) == sorted(map(str, texts))
     assert sl.encode_documents(empty(spark), pieces, "test").count() == 0
+
+
+class Counted:
+    """A tokenizer that keeps how many texts it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_chunks_are_encoded_together(library):
+    with open(BYTES, encoding="utf-8") as file:
+        tokenizer = tf.LibraryTokenizer(file.read())
+    tokenizer.tokenizer = counted = Counted(tokenizer.tokenizer)
+    texts = [" " + " ".join(f"{w}{k}" for k in range(400)) for w in ("é'sa", "<|x", "日, \n")]
+    texts += [" a <|endoftext|> b", "<|endoftext|>", "", " \u3000 x", "\x1c y \x1c", "z  "]
+    ids, counts = tokenized(pa.array(texts), SeenValues(np.int32), tokenizer)
+    ends = np.cumsum(counts)
+    assert [ids[e - n : e].tolist() for e, n in zip(ends, counts)] == library_ids(library, texts)
+    assert counted.given < 40
+
+
+def test_chunks_of_other_tokenizers_are_encoded_alone():
+    with open(BYTES, encoding="utf-8") as file:
+        model = json.load(file)
+    assert tf.token_bytes(model) is not None
+    for change in (
+        {"normalizer": {"type": "NFC"}},
+        {"pre_tokenizer": {"type": "Whitespace"}},
+        {"pre_tokenizer": model["pre_tokenizer"] | {"add_prefix_space": True}},
+        {"added_tokens": [model["added_tokens"][0] | {"lstrip": True}]},
+    ):
+        assert tf.token_bytes(model | change) is None
+
+
+def test_ids_are_kept_in_the_fewest_bytes(spark):
+    assert tf.id_type(BYTES) == "<u2"
+    rows = [(1, "a bc"), (2, None)]
+    narrow, wide = (
+        {r.doc_id: np.frombuffer(r.ids, kind).tolist() for r in tf.document_ids(frame(spark, rows), BYTES, kind).collect()}
+        for kind in ("<u2", "<u4")
+    )
+    assert narrow == wide and narrow[2] == [tf.END]
