@@ -2,10 +2,12 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 
 from epochloom.functions.params import with_variant
+from epochloom.operators import messages as m
 from epochloom.plans import catalog
 from epochloom.plans.marts import Marts, onboarding
 from epochloom.plans.metrics import DAILY
@@ -158,3 +160,25 @@ def test_a_refresh_groups_only_messages_and_gas_of_new_ids(spark, ledger):
     later = [r for r in onboarding(ledger, CFG).collect() if r.date and r.date >= day]
     key = lambda r: str(sorted(r.asDict().items()))
     assert later and sorted(map(key, onboarding(ledger, CFG, day).collect())) == sorted(map(key, later))
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partitions_follow_the_size_of_the_files(spark, ledger, monkeypatch):
+    gas, messages = ledger.derived_gas_outputs, ledger.parsed_messages
+    wanted = sorted(map(str, m.matched_totals(gas, messages, 1e18, CFG).collect()))
+    assert m.partitions_of(gas, messages) is None
+    assert m.partitions_of(spark.createDataFrame(gas.rdd, gas.schema)) is None  # of no known size
+    monkeypatch.setattr(m, "PARTITION_BYTES", 500)
+    few, many = m.partitions_of(gas), m.partitions_of(gas, messages)
+    assert 1 < few < many
+    found = m.matched_totals(gas, messages, 1e18, CFG)
+    # counts, join and totals by as many tasks as the rows need, not merged into few
+    exchanges = re.findall(r"Exchange hashpartitioning\(cid#\d+, (\d+)\), (\w+)", plan_of(found))
+    assert len(exchanges) == 2 and {kind for _, kind in exchanges} == {"REPARTITION_BY_NUM"}
+    assert len({n for n, _ in exchanges}) == 1 and int(exchanges[0][0]) > 1
+    assert sorted(map(str, found.collect())) == wanted
+    monkeypatch.setattr(m, "MOST_PARTITIONS", 3)
+    assert m.partitions_of(gas, messages) == 3
