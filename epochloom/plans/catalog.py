@@ -46,7 +46,7 @@ from epochloom.functions.params import (
 )
 from epochloom.functions.time import epoch_to_day, phase_of
 from epochloom.operators.daily import change, previous, trailing_mean
-from epochloom.operators.messages import sectors_of
+from epochloom.operators.messages import by_id as laid_out_by_id, partitions_of, sectors_of
 from epochloom.plans.marts import (
     ARCHETYPE_EVENT_METHODS,
     PATH_EVENT_METHODS,
@@ -234,8 +234,11 @@ def _facts_by_id(t: Ledger, cfg: LedgerConfig, burns: bool) -> DataFrame:
             F.sum("limit_inside").alias("limit_inside"),
         )
     )
-    by_cid, by_method = Window.partitionBy("cid"), Window.partitionBy("cid", "method")
-    by_date = Window.partitionBy("cid", "date")
+    # One sort, of as many partitions as the rows need, serves both windows.
+    if not cfg.stored_by_id:
+        laid_out = laid_out_by_id(folded, cfg, partitions_of(*parts))
+        folded = laid_out.sortWithinPartitions("cid", "date")
+    by_cid, by_date = Window.partitionBy("cid"), Window.partitionBy("cid", "date")
     known, kind, copies = F.col("cid").isNotNull(), F.col("kind"), F.col("copies")
     label = method_class(method)
 
@@ -244,6 +247,10 @@ def _facts_by_id(t: Ledger, cfg: LedgerConfig, burns: bool) -> DataFrame:
         return F.when(known, F.sum(F.when(chosen, value)).over(over))
 
     dated_rows = F.col("date").isNotNull()
+    same_method = F
+    for name in sorted({*PATH_EVENT_METHODS, *ARCHETYPE_EVENT_METHODS}):
+        of_method = total(MESSAGE, copies, by_cid, dated_rows & (method == name))
+        same_method = same_method.when(method == name, of_method)
     return folded.withColumns(
         {
             "messages": total(MESSAGE, copies, by_cid),
@@ -256,7 +263,8 @@ def _facts_by_id(t: Ledger, cfg: LedgerConfig, burns: bool) -> DataFrame:
             "id_window_rows": total(GAS, copies, by_cid, dated_rows),
             "id_used": total(GAS, F.col("used"), by_cid),
             "id_gas_rows": total(GAS, copies, by_cid),
-            "seen": total(EVENT, copies, by_date) * total(MESSAGE, copies, by_method, dated_rows),
+            # only asked for messages of these methods
+            "seen": total(EVENT, copies, by_date) * same_method,
         }
     )
 

@@ -182,3 +182,12 @@ def test_partitions_follow_the_size_of_the_files(spark, ledger, monkeypatch):
     assert sorted(map(str, found.collect())) == wanted
     monkeypatch.setattr(m, "MOST_PARTITIONS", 3)
     assert m.partitions_of(gas, messages) == 3
+
+
+def test_catalogue_sorts_its_facts_once(ledger, monkeypatch):
+    wanted = sorted(map(str, catalog.by_id(ledger, CFG).collect()))
+    monkeypatch.setattr(m, "PARTITION_BYTES", 500)
+    frame = catalog.by_id(ledger, CFG)
+    assert len(re.findall(r" Sort \[cid#", plan_of(frame))) == 1
+    assert re.search(r"hashpartitioning\(cid#\d+, \d+\), REPARTITION_BY_NUM", plan_of(frame))
+    assert sorted(map(str, frame.collect())) == wanted
