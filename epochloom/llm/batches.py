@@ -149,6 +149,21 @@ def slices(
             yield batch.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. The C library and Arrow keep it for later use, and so a
+    Python worker would hold the memory of its largest slice between tasks and in all later ones."""
+    import ctypes
+    import gc
+    import sys
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+        if trim:
+            trim(0)
+
+
 def map_slices(
     docs: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], dict]],
@@ -159,13 +174,13 @@ def map_slices(
     """Apply a function to slices of a frame, cut by the bytes of one column.
 
     ``make`` runs once per task, so that models are unpacked once; its result maps a slice to
-    columns in the order of ``schema``.
+    columns in the order of ``schema``. What a task has freed goes back to the system at its end.
     """
     from pyspark.sql.types import StructType
 
     target = StructType.fromDDL(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(target)
@@ -179,6 +194,10 @@ def map_slices(
                     [_array(columns[f.name], f.type) for f in arrow], schema=arrow
                 )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from steps(batches)
+        give_back()  # the model and the last slice are gone with the steps
+
     return docs.mapInArrow(run, target)
 
 

@@ -70,14 +70,16 @@ class Batch:
 
 
 def _features(data: np.ndarray, words: Words, hashes: np.ndarray) -> tuple[list, list, list]:
-    """Per kind: features, the word each belongs to, and features per word."""
+    """Per kind: features, the word each belongs to, and features per word. Both are kept in 32 bits
+    as soon as they are known, for a slice's distinct words have millions."""
+    slot = lambda x: (mix(x) % np.uint64(TABLE)).astype(np.int32)
     n = len(words.starts)
     lengths = words.lengths + 2
     at = run_index(lengths)
     stream = np.full(len(at), 32, np.uint64)
     inside = (at > 0) & (at < np.repeat(lengths, lengths) - 1)
     stream[inside] = data[(np.repeat(words.starts - 1, lengths) + at)[inside]]
-    owner = np.repeat(np.arange(n), lengths)
+    owner = np.repeat(np.arange(n, dtype=np.int32), lengths)
     left = np.repeat(lengths, lengths) - at
     grams, owners, first, last = [], [], [], []
     code = stream.copy()
@@ -85,18 +87,18 @@ def _features(data: np.ndarray, words: Words, hashes: np.ndarray) -> tuple[list,
         code[: len(code) - k + 1] |= stream[k - 1 :] << np.uint64(8 * (k - 1))
         whole = np.flatnonzero(left >= k)
         value = code[whole] + (np.uint64(k) << np.uint64(40))
-        grams.append(value)
+        grams.append(slot(value))
         owners.append(owner[whole])
-        first.append((value[at[whole] == 0] + (np.uint64(1) << np.uint64(48)), owner[whole][at[whole] == 0]))
-        end = left[whole] == k
-        last.append((value[end] + (np.uint64(2) << np.uint64(48)), owner[whole][end]))
+        start, end = at[whole] == 0, left[whole] == k
+        first.append((slot(value[start] + (np.uint64(1) << np.uint64(48))), owner[whole][start]))
+        last.append((slot(value[end] + (np.uint64(2) << np.uint64(48))), owner[whole][end]))
     affix, affix_owner = (np.concatenate(x) for x in zip(*first, *last, strict=True))
     gram, gram_owner = np.concatenate(grams), np.concatenate(owners)
-    slot = lambda x: (mix(x) % np.uint64(TABLE)).astype(np.int64)
+    word = np.arange(n, dtype=np.int32)
     return (
-        [(hashes % np.uint64(TABLE)).astype(np.int64), slot(affix), slot(gram)],
-        [np.arange(n), affix_owner, gram_owner],
-        [np.bincount(o, minlength=n) for o in (np.arange(n), affix_owner, gram_owner)],
+        [(hashes % np.uint64(TABLE)).astype(np.int32), affix, gram],
+        [word, affix_owner, gram_owner],
+        [np.bincount(o, minlength=n) for o in (word, affix_owner, gram_owner)],
     )
 
 

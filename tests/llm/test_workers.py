@@ -1,11 +1,16 @@
-"""Workers that cannot import the package."""
+"""Workers that cannot import the package, and what their tasks leave behind."""
 
 import os
+import re
 import subprocess
 import sys
 import textwrap
 
 import public_tokenizers
+import pyarrow as pa
+import pytest
+
+from epochloom.llm.batches import map_slices
 
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SCRIPT = f"""
@@ -59,3 +64,36 @@ def test_operators_run_where_workers_lack_the_package(tmp_path):
     )
     assert done.returncode == 0, done.stderr[-3000:]
     assert done.stdout.split("ran ")[1:] == [f"op{n}\n" for n in (4, 5, 8, 9, 10, 11, 12, 13)]
+
+
+class Inside:
+    """Stands for a frame: gives the function of a task itself, to run in this process."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_a_task_gives_its_memory_back(spark):
+    def memory():
+        with open("/proc/self/status") as status:
+            return int(re.search(r"RssAnon:\s+(\d+)", status.read())[1]) // 1024
+
+    kept, most = [], []
+
+    def make():
+        blocks = [b"x" * 60_000 for _ in range(5000)]  # 300 MB in pieces that come from the heap
+        kept.append(b"y" * 60_000)  # on top of them: so the heap doesn't shrink by itself
+
+        def step(batch):
+            most.append(memory())
+            return {"n": [len(blocks)] * batch.num_rows}
+
+        return step
+
+    before = memory()
+    run = map_slices(Inside(), make, "n long")
+    out = list(run(iter([pa.RecordBatch.from_pydict({"text": ["a", None]})])))
+    assert [x.to_pydict() for x in out] == [{"n": [5000, 5000]}]
+    assert most[0] - before > 200
+    assert memory() - before < 60
