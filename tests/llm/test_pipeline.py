@@ -103,6 +103,6 @@ def test_stages_without_documents(spark):
 
 def test_registered_queries():
     numbers = sorted(int(n.split("_")[0][2:]) for n in llm_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*llm_queries(), "pipeline"} <= set(__spark_entry__.queries())
     assert set(llm_sql()) <= set(__spark_entry__.oracle_sql())
